@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, secret_scan
+from . import chat, exact_dedup, mixing, rule_classifier, secret_scan, token_counts
 from .storage import table
 
 #: The conversation that is added to the table, both turns with this text.
@@ -14,23 +15,81 @@ ADDED_CONVERSATION = -7
 ADDED_TEXT = "</s>[INST] ok [/INST]"
 
 
+#: Target weights of the mix: three domains, which the sources' numbers tell apart, and the languages in each.
+MIX = mixing.Mix(share=0.6, max_epochs=2, domains={"crawl": 25, "library": 45, "forum": 30}, languages={"en": 40, "de": 20, "fr": 20, "es": 20})
+
+
+def source_domain() -> Column:
+    number = F.col("source").substr(F.lit(4), F.length("source")).try_cast("int")
+    return F.when(number == 0, "crawl").when(number < 10, "library").when(number.isNotNull(), "forum")
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.select_mix(table(spark, sf_dir, "documents"), source_domain(), MIX)
+    return taken.select("doc_id", *mixing.LEAF, F.col("tokens_").alias("n_tokens"), "copies")
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame([(ADDED_CONVERSATION, 0, "user", ADDED_TEXT), (ADDED_CONVERSATION, 1, "assistant", ADDED_TEXT)], "conv_id long, turn long, role string, text string")
     return chat.read_back(chat.format_turns(rows.unionByName(added)))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = rule_classifier.train(docs, labels, ~rule_classifier.held_out(F.col("doc_id")))
+    return rule_classifier.classify(docs, model).select("doc_id", rule_classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents")).drop("n_points")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_chat_format, op8_secret_scan, op10_exact_dedup)}
-
+    return {f.__name__: f for f in (op5_mix_sources, op6_chat_format, op7_quality_rules, op8_secret_scan, op9_token_counts, op10_exact_dedup)}
+
+
+def _cases(column: str, weights: dict[str, int], default: int) -> str:
+    return str(default) if not weights else f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + f" ELSE {default} END"
+
+
+def _level_sql(rows: str, parent: str, node: str, budget: str) -> str:
+    """Rows of ``rows`` (with capacity and weight) with their share of the parent's budget."""
+    by = f"PARTITION BY {parent} " if parent else ""
+    return f"""
+  SELECT *, least(CAST(capacity AS DOUBLE), weight * max(level_) OVER ({by})) AS share FROM (
+    SELECT *, ({budget} - coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level_
+    FROM ({rows}) WINDOW w AS ({by}ORDER BY capacity / weight, {node}))"""
+
+
+OP5_SQL = rf"""
+WITH slim AS (
+  SELECT doc_id, coalesce(CASE WHEN number = 0 THEN 'crawl' WHEN number < 10 THEN 'library' WHEN number IS NOT NULL THEN 'forum' END, 'unknown') AS domain,
+    coalesce(lang, 'unknown') AS language, coalesce(source, 'unknown') AS origin, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens_
+  FROM (SELECT *, TRY_CAST(substr(source, 4) AS INT) AS number FROM documents)
+), leaves AS (
+  SELECT domain, language, origin, sum(tokens_) AS tokens, sum(tokens_) * {MIX.max_epochs} AS capacity FROM slim GROUP BY ALL
+), d AS ({_level_sql(f"SELECT domain, sum(capacity) AS capacity, {_cases('domain', MIX.domains, MIX.default_weight)} AS weight FROM leaves GROUP BY domain", "", "domain", f"(SELECT CAST(floor(sum(tokens) * {MIX.share}) AS DOUBLE) FROM leaves)")}
+), l AS ({_level_sql(f"SELECT x.*, d.share AS up FROM (SELECT domain, language, sum(capacity) AS capacity, {_cases('language', MIX.languages, MIX.default_weight)} AS weight FROM leaves GROUP BY ALL) x JOIN d USING (domain)", "domain", "language", "up")}
+), s AS ({_level_sql(f"SELECT x.*, l.share AS up FROM (SELECT *, {_cases('origin', MIX.sources, MIX.default_weight)} AS weight FROM leaves) x JOIN l USING (domain, language)", "domain, language", "origin", "up")}
+), plan AS (
+  SELECT domain, language, origin, CAST(floor(share) AS BIGINT) // tokens AS epochs, CAST(floor(share) AS BIGINT) % tokens AS rest FROM s WHERE tokens > 0
+), ordered AS (
+  SELECT *, sum(tokens_) OVER (PARTITION BY domain, language, origin ORDER BY md5({MIX.seed} || ':' || epochs || ':' || doc_id)) AS running
+  FROM slim JOIN plan USING (domain, language, origin)
+)
+SELECT doc_id, domain, language, origin, tokens_ AS n_tokens, CAST(epochs + CAST(running <= rest AS INT) AS BIGINT) AS copies
+FROM ordered WHERE epochs + CAST(running <= rest AS INT) > 0
+"""
 
 _CONTROL_RE = "|".join("".join("\\" + c if c in "[]/<>" else c for c in x) for x in chat.CONTROL)
 
@@ -63,4 +122,4 @@ FROM named WINDOW w AS (PARTITION BY body ORDER BY n DESC, doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_format": OP6_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op10_exact_dedup": OP10_SQL}
