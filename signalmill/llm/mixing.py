@@ -69,9 +69,10 @@ def _share(rows: DataFrame, parent: list[str], node: str, budget: Column) -> Dat
 def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """quota of each leaf (domain, language, origin, tokens)."""
     leaves = leaves.withColumn("capacity", F.col("tokens") * mix.max_epochs)
-    total = leaves.agg(F.floor(F.sum("tokens") * F.lit(mix.share)).cast("double").alias("total_"))
-    domains = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity")).withColumn("weight", _weight(F.col("domain"), mix.domains, mix.default_weight))
-    domains = _share(domains.crossJoin(F.broadcast(total)), [], "domain", F.col("total_")).select("domain", F.col("share").alias("domain_share"))
+    domains = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens"))
+    budget = F.floor(F.sum("tokens").over(Window.partitionBy()) * F.lit(mix.share)).cast("double")
+    domains = domains.withColumn("budget", budget).withColumn("weight", _weight(F.col("domain"), mix.domains, mix.default_weight))
+    domains = _share(domains, [], "domain", F.col("budget")).select("domain", F.col("share").alias("domain_share"))
     languages = leaves.groupBy("domain", "language").agg(F.sum("capacity").alias("capacity")).withColumn("weight", _weight(F.col("language"), mix.languages, mix.default_weight))
     languages = _share(languages.join(domains, "domain"), ["domain"], "language", F.col("domain_share")).select("domain", "language", F.col("share").alias("language_share"))
     leaves = leaves.withColumn("weight", _weight(F.col("origin"), mix.sources, mix.default_weight)).join(languages, ["domain", "language"])

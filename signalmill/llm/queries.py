@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, rule_classifier, secret_scan, token_counts
+from . import chat, exact_dedup, lm_scoring, mixing, rule_classifier, secret_scan, token_counts
 from .storage import table
 
 #: The conversation that is added to the table, both turns with this text.
@@ -15,6 +15,10 @@ ADDED_CONVERSATION = -7
 ADDED_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op1_lm_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 #: Target weights of the mix: three domains, which the sources' numbers tell apart, and the languages in each.
 MIX = mixing.Mix(share=0.6, max_epochs=2, domains={"crawl": 25, "library": 45, "forum": 30}, languages={"en": 40, "de": 20, "fr": 20, "es": 20})
 
@@ -54,7 +58,30 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_mix_sources, op6_chat_format, op7_quality_rules, op8_secret_scan, op9_token_counts, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_lm_backoff, op5_mix_sources, op6_chat_format, op7_quality_rules, op8_secret_scan, op9_token_counts, op10_exact_dedup)}
+
+
+OP1_SQL = rf"""
+WITH words AS (
+  SELECT doc_id, w, unnest(range(len(w))) AS i FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{"ABCDEFGHIJKLMNOPQRSTUVWXYZ"}', '{"abcdefghijklmnopqrstuvwxyz"}'), '[^\x20\x09-\x0D]+') AS w FROM documents)
+), grams AS (
+  SELECT doc_id, i, w[i + 1] AS g1, CASE WHEN i > 0 THEN w[i : i + 1] END AS g2, CASE WHEN i > 1 THEN w[i - 1 : i + 1] END AS g3 FROM words
+), counted AS (
+  SELECT doc_id, i, count(*) OVER () - count(*) OVER (PARTITION BY doc_id) AS n,
+    count(*) OVER (PARTITION BY g1) - count(*) OVER (PARTITION BY g1, doc_id) AS c1,
+    CASE WHEN i > 0 THEN count(*) OVER (PARTITION BY g2) - count(*) OVER (PARTITION BY g2, doc_id) ELSE 0 END AS c2,
+    CASE WHEN i > 1 THEN count(*) OVER (PARTITION BY g3) - count(*) OVER (PARTITION BY g3, doc_id) ELSE 0 END AS c3
+  FROM grams
+), context AS (
+  SELECT *, lag(c1) OVER w AS d1, lag(c2) OVER w AS d2, least(i, {lm_scoring.ORDER - 1}) AS most FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), scored AS (
+  SELECT doc_id, CASE WHEN c3 > 0 THEN c3 / d2 WHEN c2 > 0 THEN pow({lm_scoring.ALPHA}, most - 1) * (c2 / d1)
+    WHEN c1 > 0 THEN pow({lm_scoring.ALPHA}, most) * (c1 / n) ELSE pow({lm_scoring.ALPHA}, most + 1) / (n + 1) END AS s
+  FROM context
+), summed AS (SELECT doc_id, count(*) AS n_words, CAST(sum(CAST(round(ln(s) * 1e6) AS BIGINT)) AS BIGINT) AS score_micro FROM scored GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(score_micro, 0) AS score_micro, score_micro / 1e6 / n_words AS mean_score
+FROM documents LEFT JOIN summed USING (doc_id)
+"""
 
 
 def _cases(column: str, weights: dict[str, int], default: int) -> str:
@@ -122,4 +149,4 @@ FROM named WINDOW w AS (PARTITION BY body ORDER BY n DESC, doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op1_lm_backoff": OP1_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op10_exact_dedup": OP10_SQL}
