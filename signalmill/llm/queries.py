@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, lm_scoring, mixing, rule_classifier, secret_scan, token_counts
+from . import chat, exact_dedup, jaccard_join, lm_scoring, mixing, rule_classifier, secret_scan, token_counts
 from .storage import table
 
 #: The conversation that is added to the table, both turns with this text.
@@ -19,6 +19,10 @@ def op1_lm_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_components(table(spark, sf_dir, "documents"))
+
+
 #: Target weights of the mix: three domains, which the sources' numbers tell apart, and the languages in each.
 MIX = mixing.Mix(share=0.6, max_epochs=2, domains={"crawl": 25, "library": 45, "forum": 30}, languages={"en": 40, "de": 20, "fr": 20, "es": 20})
 
@@ -58,12 +62,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_backoff, op5_mix_sources, op6_chat_format, op7_quality_rules, op8_secret_scan, op9_token_counts, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_lm_backoff, op2_jaccard_join, op5_mix_sources, op6_chat_format, op7_quality_rules, op8_secret_scan, op9_token_counts, op10_exact_dedup)}
 
 
 OP1_SQL = rf"""
 WITH words AS (
-  SELECT doc_id, w, unnest(range(len(w))) AS i FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{"ABCDEFGHIJKLMNOPQRSTUVWXYZ"}', '{"abcdefghijklmnopqrstuvwxyz"}'), '[^\x20\x09-\x0D]+') AS w FROM documents)
+  SELECT doc_id, w, unnest(range(len(w))) AS i FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents)
 ), grams AS (
   SELECT doc_id, i, w[i + 1] AS g1, CASE WHEN i > 0 THEN w[i : i + 1] END AS g2, CASE WHEN i > 1 THEN w[i - 1 : i + 1] END AS g3 FROM words
 ), counted AS (
@@ -84,6 +88,23 @@ FROM documents LEFT JOIN summed USING (doc_id)
 """
 
 
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, list_aggregate(s, 'string_agg', ' ') AS s FROM (
+    SELECT doc_id, CASE WHEN len(w) < 5 THEN w ELSE w[i : i + 4] END AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0))
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+), reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.least_, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a, min(b) AS least_ FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""
+
+
 def _cases(column: str, weights: dict[str, int], default: int) -> str:
     return str(default) if not weights else f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + f" ELSE {default} END"
 
@@ -149,4 +170,4 @@ FROM named WINDOW w AS (PARTITION BY body ORDER BY n DESC, doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_lm_backoff": OP1_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op10_exact_dedup": OP10_SQL}
