@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, jaccard_join, lm_scoring, mixing, rule_classifier, secret_scan, token_counts
+from . import ann_search, chat, exact_dedup, jaccard_join, lm_scoring, mixing, rule_classifier, secret_scan, token_counts
 from .storage import table
 
 #: The conversation that is added to the table, both turns with this text.
@@ -23,6 +23,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_components(table(spark, sf_dir, "documents"))
 
 
+def op3_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 #: Target weights of the mix: three domains, which the sources' numbers tell apart, and the languages in each.
 MIX = mixing.Mix(share=0.6, max_epochs=2, domains={"crawl": 25, "library": 45, "forum": 30}, languages={"en": 40, "de": 20, "fr": 20, "es": 20})
 
@@ -62,7 +66,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_backoff, op2_jaccard_join, op5_mix_sources, op6_chat_format, op7_quality_rules, op8_secret_scan, op9_token_counts, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_lm_backoff, op2_jaccard_join, op3_ann_search, op5_mix_sources, op6_chat_format, op7_quality_rules, op8_secret_scan, op9_token_counts, op10_exact_dedup)}
 
 
 OP1_SQL = rf"""
@@ -105,6 +109,14 @@ FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a, min(b) AS l
 """
 
 
+OP3_SQL = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pairs AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(b.v, a.v) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 20
+"""
+
+
 def _cases(column: str, weights: dict[str, int], default: int) -> str:
     return str(default) if not weights else f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + f" ELSE {default} END"
 
@@ -170,4 +182,4 @@ FROM named WINDOW w AS (PARTITION BY body ORDER BY n DESC, doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op3_ann_search": OP3_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op10_exact_dedup": OP10_SQL}
