@@ -10,14 +10,15 @@ taken off, so a text doesn't vouch for itself; ``leave_one_out=False`` keeps the
 A document's score is the sum of ln S over its words, each rounded to a millionth, so that
 sums don't depend on their order.
 
-The plan is three steps of one exchange each.
-
 1. Documents are dealt into blocks by hash of doc_id. A block explodes its documents into
-   n-grams of all orders and aggregates them, and sends each hash range its distinct n-grams with counts, sorted
+   words and pairs, aggregates them, and sends each hash range its distinct n-grams with counts, sorted
    and packed (differences of 64-bit hashes).
 2. Each hash range adds up its part of the count tables and joins it to what every block
    sent: a block gets back the corpus counts of its n-grams, in the order in which it sent them.
-3. A block joins the counts to its exploded n-grams and sums per document.
+3. For each longer order the same is done again with the n-grams that can occur in another
+   document at all: both of their shorter n-grams do. (If an n-gram is in two documents,
+   all its occurrences pass; of the others the count is the document's own.)
+4. A block joins the counts to its exploded n-grams and sums per document.
 
 A very common n-gram is one entry a block, so no key is hot; only the corpus's number of words goes to the driver.
 Words are runs outside ``[\\x20\\x09-\\x0D]`` with A-Z in lower case. Null and empty texts have no words, a
@@ -36,6 +37,10 @@ from .storage import shuffle_width
 
 ALPHA = 0.4
 ORDER = 3
+#: Orders that are sent whole, in the first exchange.
+FULL_ORDERS = 2
+#: Blocks for each shuffle partition; more need less memory and repeat more n-grams.
+BLOCKS_A_PART = 2
 
 
 def _squeeze(x: np.ndarray) -> bytes:
@@ -49,23 +54,56 @@ def _expand(blob: bytes, n: int) -> np.ndarray:
 
 
 class Grams:
-    """The n-grams of a block of documents, for each order: occurrences, distinct hashes, counts."""
+    """The n-grams of a block of documents. An occurrence ends at a word; ``place`` is the word's place in its document."""
 
-    def __init__(self, texts: pa.ChunkedArray, order: int):
+    def __init__(self, texts: pa.ChunkedArray):
         buf, off = K.text_buffer(texts)
         parts = [K.word_hashes(buf[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in K.chunks(off)]
         self.n_words = np.concatenate([np.diff(o) for _, o in parts]) if parts else np.zeros(0, np.int64)
-        words = np.concatenate([w for w, _ in parts]) if parts else np.zeros(0, np.uint64)
-        self.doc = np.repeat(np.arange(len(self.n_words)), self.n_words)
-        self.place = np.arange(len(words)) - np.repeat(np.cumsum(self.n_words) - self.n_words, self.n_words)
-        self.grams: list[np.ndarray] = []  # by order - 1; occurrence k ends at word k and is valid where place >= order - 1
-        for n in range(1, order + 1):
-            g = np.zeros(len(words), dtype=np.uint64)
-            g[n - 1 :] = K.gram_hashes(words, n)
-            self.grams.append(g)
-
-    def distinct(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(self.grams[n - 1][self.place >= n - 1], return_counts=True)
+        self.words = np.concatenate([w for w, _ in parts]) if parts else np.zeros(0, np.uint64)
+        self.doc = np.repeat(np.arange(len(self.n_words), dtype=np.int32), self.n_words)
+        self.place = np.arange(len(self.words)) - np.repeat(np.cumsum(self.n_words) - self.n_words, self.n_words)
+
+    def ending_at(self, words: np.ndarray, n: int) -> np.ndarray:
+        """Hashes of the n-grams that end at these places of ``self.words``."""
+        h = np.full(len(self.words), 0, dtype=np.uint64)
+        h[n - 1 :] = K.gram_hashes(self.words, n)
+        return h[words]
+
+    def own(self, grams: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """How often the document of each occurrence holds the same n-gram."""
+        _, number = np.unique(grams, return_inverse=True)
+        _, inverse, mine = np.unique(number * max(1, len(self.n_words)) + self.doc[words], return_inverse=True, return_counts=True)
+        return mine[inverse]
+
+    def elsewhere(self, n: int, replies: dict[int, np.ndarray], occurs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Of every word: its n-gram's count in the corpus, and in other documents. ``replies``: corpus counts of what ``wanted`` gave."""
+        count, other = np.zeros((2, len(self.words)), dtype=np.int64)
+        words = np.flatnonzero(self.place >= n - 1)
+        grams = self.ending_at(words, n)
+        mine = self.own(grams, words)
+        count[words] = mine
+        sent = self.wanted(n, occurs)
+        asked = self.ending_at(sent, n)
+        count[sent] = replies[n][np.searchsorted(np.unique(asked), asked)]
+        other[words] = count[words] - mine
+        return count, other
+
+    def wanted(self, n: int, occurs: np.ndarray | None) -> np.ndarray:
+        """Places where an n-gram ends that may be in another document. ``occurs``: of each word, the (n - 1)-gram's count in other documents."""
+        here = self.place >= n - 1
+        if n > FULL_ORDERS:
+            here[1:] &= (occurs[1:] > 0) & (occurs[:-1] > 0)
+        return np.flatnonzero(here)
+
+    def all_counts(self, replies: dict[int, np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """By order: counts in the corpus, and in other documents, as far as there are replies."""
+        counts, others = [], []
+        for n in range(1, len(replies) + 1):
+            c, o = self.elsewhere(n, replies, others[-1] if others else None)
+            counts.append(c)
+            others.append(o)
+        return counts, others
 
 
 def _ranges(u: np.ndarray, parts: int) -> np.ndarray:
@@ -73,84 +111,84 @@ def _ranges(u: np.ndarray, parts: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(u, np.array([(k << 64) // parts for k in range(1, parts)], dtype=np.uint64)), len(u)]
 
 
-def _block_scores(g: Grams, counts: list[np.ndarray], total: int, alpha: float, own: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of millionths of ln S of each document. ``counts``: of each order, the corpus counts of distinct(order)."""
-    order, n = len(counts), len(g.place)
-    have = []  # of each order and occurrence: the count that scores, with the document's own taken off
-    for k in range(1, order + 1):
-        valid = np.flatnonzero(g.place >= k - 1)
-        u = np.unique(g.grams[k - 1][valid])
-        at = np.searchsorted(u, g.grams[k - 1][valid])
-        c = counts[k - 1][at].astype(np.int64)
-        if own:
-            _, inverse, mine = np.unique(at * max(1, len(g.n_words)) + g.doc[valid], return_inverse=True, return_counts=True)
-            c -= mine[inverse]
-        full = np.zeros(n, dtype=np.int64)
-        full[valid] = c
-        have.append(full)
-    rest = total - (g.n_words[g.doc] if own else np.zeros(n, dtype=np.int64))
+def _block_scores(g: Grams, have: list[np.ndarray], total: np.ndarray, alpha: float) -> np.ndarray:
+    """Sum of millionths of ln S of each document. ``have``: by order, the count that scores at each word; ``total``: N for each word."""
+    order, n = len(have), len(g.place)
     s, done = np.zeros(n), np.zeros(n, dtype=bool)
     for k in range(order, 0, -1):
         hit = ~done & (g.place >= k - 1) & (have[k - 1] > 0)
         steps = np.minimum(g.place[hit], order - 1) - (k - 1)
         # the context of the n-gram that ends at word i is the shorter one that ends at word i - 1
-        below = have[k - 2][np.flatnonzero(hit) - 1] if k > 1 else rest[hit]
+        below = have[k - 2][np.flatnonzero(hit) - 1] if k > 1 else total[hit]
         s[hit] = alpha**steps * (have[k - 1][hit] / below)
         done |= hit
-    s[~done] = alpha ** (np.minimum(g.place[~done], order - 1) + 1.0) / (rest[~done] + 1)
-    return np.bincount(g.doc, weights=np.rint(np.log(s) * 1e6), minlength=len(g.n_words)).astype(np.int64), g.n_words
+    s[~done] = alpha ** (np.minimum(g.place[~done], order - 1) + 1.0) / (total[~done] + 1)
+    return np.bincount(g.doc, weights=np.rint(np.log(s) * 1e6), minlength=len(g.n_words)).astype(np.int64)
+
+
+def _replies(rows: pa.Table) -> dict[int, np.ndarray]:
+    """By order: the counts that came back, in the order of the hashes."""
+    got: dict[int, list] = {}
+    for n, part, size, counts in sorted(zip(*(rows.column(c).to_pylist() for c in ("n", "part", "size", "counts")), strict=True), key=lambda r: r[:2]):
+        got.setdefault(n, []).append(_expand(counts, size).astype(np.int64))
+    return {n: np.concatenate(x) for n, x in got.items()}
 
 
 def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_out: bool = True) -> DataFrame:
     """doc_id, n_words, score_micro (millionths), mean_score (a word) of every row."""
     parts = shuffle_width(docs.sparkSession)
     blocks = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(parts)).cast("int").alias("block")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BLOCKS_A_PART * parts)).cast("int").alias("block")
     )
-
     word_count = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     n_all = int(blocks.select(word_count.alias("n")).agg(F.sum("n")).first()[0] or 0)
 
-    def explode(key: tuple, rows: pa.Table) -> pa.Table:
-        g = Grams(rows.column("text"), order)
-        out: list[list] = [[[] for _ in range(parts)] for _ in range(2)]
-        for n in range(1, order + 1):
-            u, c = g.distinct(n)
-            borders = _ranges(u, parts)
-            for p in range(parts):
-                a, b = borders[p], borders[p + 1]
-                out[0][p].append(int(b - a))
-                out[1][p] += [_squeeze(np.diff(u[a:b], prepend=np.uint64(0))), _squeeze(c[a:b])]
-        keep = [p for p in range(parts) if any(out[0][p])]
+    def send(block: int, g: Grams, n: int, occurs: np.ndarray | None) -> pa.Table:
+        u, c = np.unique(g.ending_at(g.wanted(n, occurs), n), return_counts=True)
+        edges = _ranges(u, parts)
+        rows = [(p, int(edges[p]), int(edges[p + 1])) for p in range(parts) if edges[p + 1] > edges[p]]
         return pa.table({
-            "part": pa.array(keep, pa.int32()), "block": pa.array([key[0].as_py()] * len(keep), pa.int32()), "sizes": pa.array([out[0][p] for p in keep], pa.list_(pa.int64())), "packed": pa.array([out[1][p] for p in keep], pa.list_(pa.binary())),
+            "part": pa.array([p for p, _, _ in rows], pa.int32()), "block": pa.array([block] * len(rows), pa.int32()), "n": pa.array([n] * len(rows), pa.int32()), "size": pa.array([b - a for _, a, b in rows], pa.int64()),
+            "grams": pa.array([_squeeze(np.diff(u[a:b], prepend=np.uint64(0))) for _, a, b in rows], pa.binary()), "tallies": pa.array([_squeeze(c[a:b]) for _, a, b in rows], pa.binary()),
         })
 
+    def explode(key: tuple, rows: pa.Table) -> pa.Table:
+        g = Grams(rows.column("text"))
+        return pa.concat_tables([send(key[0].as_py(), g, n, None) for n in range(1, min(order, FULL_ORDERS) + 1)])
+
+    def explode_longer(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        g, replies = Grams(left.column("text")), _replies(right)
+        if not replies:
+            return send(key[0].as_py(), Grams(left.column("text").slice(0, 0)), 1, None)
+        return send(key[0].as_py(), g, len(replies) + 1, g.all_counts(replies)[1][-1])
+
     def count(key: tuple, rows: pa.Table) -> pa.Table:
-        sent = list(zip(rows.column("block").to_pylist(), rows.column("sizes").to_pylist(), rows.column("packed").to_pylist(), strict=True))
-        replies: list[list[bytes]] = [[] for _ in sent]
-        for n in range(order):
-            grams = [np.cumsum(_expand(packed[2 * n], sizes[n]), dtype=np.uint64) for _, sizes, packed in sent]
-            tallies = [_expand(packed[2 * n + 1], sizes[n]).astype(np.int64) for _, sizes, packed in sent]
-            both, weights = np.concatenate(grams), np.concatenate(tallies)
-            by = np.argsort(both, kind="stable")
-            first = np.flatnonzero(np.r_[True, both[by][1:] != both[by][:-1]]) if len(both) else np.zeros(0, np.int64)
-            u, sums = both[by][first], np.add.reduceat(weights[by], first) if len(both) else weights
-            for reply, mine in zip(replies, grams, strict=True):
-                reply.append(_squeeze(sums[np.searchsorted(u, mine)]))
+        sent = list(zip(*(rows.column(c).to_pylist() for c in ("block", "size", "grams", "tallies")), strict=True))
+        grams = [np.cumsum(_expand(x, size), dtype=np.uint64) for _, size, x, _ in sent]
+        both = np.concatenate(grams)
+        by = np.argsort(both, kind="stable")
+        first = np.flatnonzero(np.r_[True, both[by][1:] != both[by][:-1]])
+        u, sums = both[by][first], np.add.reduceat(np.concatenate([_expand(x, size) for _, size, _, x in sent])[by], first)
         return pa.table({
-            "block": pa.array([b for b, _, _ in sent], pa.int32()), "part": pa.array([key[0].as_py()] * len(sent), pa.int32()), "sizes": pa.array([s for _, s, _ in sent], pa.list_(pa.int64())),
-            "counts": pa.array(replies, pa.list_(pa.binary())),
+            "block": pa.array([b for b, *_ in sent], pa.int32()), "n": pa.array([key[1].as_py()] * len(sent), pa.int32()), "part": pa.array([key[0].as_py()] * len(sent), pa.int32()),
+            "size": pa.array([s for _, s, *_ in sent], pa.int64()), "counts": pa.array([_squeeze(sums[np.searchsorted(u, x)]) for x in grams], pa.binary()),
         })
 
     def join(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        g = Grams(left.column("text"), order)
-        replies = sorted(zip(right.column("part").to_pylist(), right.column("sizes").to_pylist(), right.column("counts").to_pylist(), strict=True), key=lambda r: r[0])
-        counts = [np.concatenate([_expand(c[n], s[n]) for _, s, c in replies]).astype(np.int64) if replies else np.zeros(0, np.int64) for n in range(order)]
-        micro, n_words = _block_scores(g, counts, n_all, alpha, leave_one_out)
-        mean = np.where(n_words > 0, micro / 1e6 / np.maximum(n_words, 1), np.nan)
-        return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(n_words), "score_micro": pa.array(micro), "mean_score": pa.array(mean, pa.float64(), mask=n_words == 0)})
-
-    sent = blocks.groupBy("block").applyInArrow(explode, "part int, block int, sizes array<long>, packed array<binary>")
-    replies = sent.groupBy("part").applyInArrow(count, "block int, part int, sizes array<long>, counts array<binary>")
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(join, "doc_id long, n_words long, score_micro long, mean_score double")
+        g, replies = Grams(left.column("text")), _replies(right)
+        for n in range(len(replies) + 1, order + 1):  # no n-gram of this order was sent
+            replies[n] = np.zeros(0, np.int64)
+        counts, others = g.all_counts(replies)
+        total = n_all - g.n_words[g.doc] if leave_one_out else np.full(len(g.words), n_all)
+        micro = _block_scores(g, others if leave_one_out else counts, total, alpha)
+        mean = np.where(g.n_words > 0, micro / 1e6 / np.maximum(g.n_words, 1), np.nan)
+        return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(g.n_words), "score_micro": pa.array(micro), "mean_score": pa.array(mean, pa.float64(), mask=g.n_words == 0)})
+
+    packed = "part int, block int, n int, size long, grams binary, tallies binary"
+    counted = "block int, n int, part int, size long, counts binary"
+    by_block = blocks.groupBy("block")
+    replies = by_block.applyInArrow(explode, packed).groupBy("part", "n").applyInArrow(count, counted)
+    for _ in range(FULL_ORDERS + 1, order + 1):
+        longer = by_block.cogroup(replies.groupBy("block")).applyInArrow(explode_longer, packed)
+        replies = replies.unionByName(longer.groupBy("part", "n").applyInArrow(count, counted))
+    return by_block.cogroup(replies.groupBy("block")).applyInArrow(join, "doc_id long, n_words long, score_micro long, mean_score double")
