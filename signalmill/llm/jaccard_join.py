@@ -5,18 +5,22 @@ A document is the set of its distinct 5-word shingles. Two documents link when
 |x| - ceil(0.8 |x|) + 1 tokens of linked sets share one. Each order gives such a filter, and a pair
 must pass all of them before it is verified on the whole texts.
 
-1. A first scan names each document's set by a 64-bit hash (and its size) and counts tokens in a
-   sketch of fixed size. Documents with the same set are one class from here on.
-2. The orders put rare tokens first: by the sketch's level of a token, then by a hash that differs from order to order. Any
-   order is right; the sketch only makes shared passages come last in all of them.
-3. Prefix tokens under the first order are dealt by token (very common ones salted) and sorted;
-   a stream over them keeps tokens of two classes or more. These are the buckets.
+1. Documents are dealt into blocks by hash of doc_id. Blocks send hash ranges their distinct
+   tokens (the first ``ORDER_BITS`` bits, sorted and packed) with counts of sets, and get back the level of each:
+   0 for a token of one set, else 1 + the whole log2 of its count.
+2. The orders put tokens of low level first, then go by a hash that differs from order to
+   order. Any order is right; two tokens that share their first bits only share a level.
+   A document whose prefix under some order has no token of level 1 or more links with no other set. The others
+   are candidates: their texts and prefixes go to a table of their own.
+3. Every set has a 64-bit name (with its size), and documents with the same set are one class from here on.
+   The candidates' prefix tokens of level 1 or more under the first order are dealt by token, very common ones
+   salted, and sorted; a stream over them keeps tokens of two classes or more. These are the buckets.
 4. In each bucket every class is paired with the bucket's smallest one. Verified pairs give
    components; a group of near copies of any size costs as many pairs as members.
 5. Pairs inside a bucket that are still in different components are then all formed, so no
    link that could change a component is left out.
-6. Verification recomputes both sets from the texts, tests the prefixes under the other
-   orders, and counts the intersection only if all filters pass.
+6. A pair must share a token in the prefixes under every other order too; then its
+   intersection is counted on the sets of the whole texts.
 
 Null texts and texts without words have an empty set and link with nothing. Repeated rows are
 members of one class. Rows without doc_id take part in nothing and keep a null component. Extra columns take no part.
@@ -33,22 +37,22 @@ from pyspark.sql import functions as F
 
 from . import bytekernel as K
 from .components import smallest_labels
+from .packing import expand, squeeze
 from .storage import materialise, shuffle_width
 
 WORDS = 5
 PERCENT = 80
 ORDERS = 3
-#: log2 of the sketch's counters: 4 bytes each while counting, 1 byte each when broadcast.
-SKETCH_BITS = 21
-_SKETCH_BLOCKS = 64
+#: Bits of a token by which its level is counted; more tell more tokens apart and take more room in the exchange.
+ORDER_BITS = 40
+#: From this level on (counts of 128 and more) a token's bucket is dealt in salts.
+HOT_LEVEL = 8
+#: Blocks for each shuffle partition.
+BLOCKS_A_PART = 2
 #: Members of a centre that one salt verifies.
 SALT_MEMBERS = 256
 
 
-def _slim(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-
-
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
     buf, off = K.text_buffer(column)
     for i, j in K.chunks(off):
@@ -62,51 +66,90 @@ def _signature(s: np.ndarray) -> int:
         return int(K.mix64(s * np.uint64(0x9FB21C651E98DF25)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "signature", "size", "block", "sketch"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
-    for b in batches:
-        signatures, sizes = [], []
-        for s in _sets(b.column(1)):
-            signatures.append(_signature(s))
-            sizes.append(len(s))
-            np.add.at(sketch, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        n = len(sizes)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(signatures, types[1]), pa.array(sizes, types[2]), pa.nulls(n, types[3]), pa.nulls(n, types[4])], names=names)
-    if sketch.any():
-        parts = [pa.compress(x.tobytes(), codec="zstd", asbytes=True) for x in np.split(sketch, _SKETCH_BLOCKS)]
-        m = len(parts)
-        yield pa.RecordBatch.from_arrays([pa.nulls(m, types[0]), pa.nulls(m, types[1]), pa.nulls(m, types[2]), pa.array(range(m), types[3]), pa.array(parts, types[4])], names=names)
-
-
-def _levels(features: DataFrame) -> np.ndarray:
-    """How many doublings a counter of the merged sketch lies over twice the mean; of fixed size."""
-    size = 4 * (1 << SKETCH_BITS) // _SKETCH_BLOCKS
-
-    def merge(key: tuple, rows: pa.Table) -> pa.Table:
-        total = np.zeros(size // 4, dtype=np.uint64)
-        for x in rows.column("sketch").to_pylist():
-            total += np.frombuffer(pa.decompress(x, decompressed_size=size, codec="zstd", asbytes=True), dtype=np.uint32)
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "total": pa.array([total.tobytes()], pa.binary())})
-
-    rows = features.where("block is not null").select("block", "sketch").groupBy("block").applyInArrow(merge, "block int, total binary").collect()
-    counts = np.zeros((_SKETCH_BLOCKS, size // 4), dtype=np.uint64)
-    for r in rows:
-        counts[r["block"]] = np.frombuffer(r["total"], dtype=np.uint64)
-    load = counts.reshape(-1) / max(1.0, 2 * float(counts.mean()))
-    return np.floor(np.log2(np.maximum(load, 1))).astype(np.uint8)
-
-
-def prefix(s: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
-    """The first tokens of a set under an order, as many as linked sets must share one of."""
+def _block_tokens(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct first bits of the tokens of a block, and in how many different sets of the block they are."""
+    different = list({x.tobytes(): x for x in sets if len(x)}.values())
+    if not different:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.unique(np.concatenate(different) >> np.uint64(64 - ORDER_BITS), return_counts=True)
+
+
+def _send(key: tuple, rows: pa.Table, parts: int) -> pa.Table:
+    u, c = _block_tokens(list(_sets(rows.column("text"))))
+    edges = np.r_[0, np.searchsorted(u, np.array([(k << ORDER_BITS) // parts for k in range(1, parts)], dtype=np.uint64)), len(u)]
+    sent = [(p, int(edges[p]), int(edges[p + 1])) for p in range(parts) if edges[p + 1] > edges[p]]
+    return pa.table({
+        "part": pa.array([p for p, _, _ in sent], pa.int32()), "block": pa.array([key[0].as_py()] * len(sent), pa.int32()), "size": pa.array([b - a for _, a, b in sent], pa.int64()),
+        "tokens": pa.array([squeeze(np.diff(u[a:b], prepend=np.uint64(0))) for _, a, b in sent], pa.binary()), "tallies": pa.array([squeeze(c[a:b]) for _, a, b in sent], pa.binary()),
+    })
+
+
+def _reply(key: tuple, rows: pa.Table) -> pa.Table:
+    sent = list(zip(*(rows.column(c).to_pylist() for c in ("block", "size", "tokens", "tallies")), strict=True))
+    tokens = [np.cumsum(expand(x, n), dtype=np.uint64) for _, n, x, _ in sent]
+    both = np.concatenate(tokens)
+    by = np.argsort(both, kind="stable")
+    first = np.flatnonzero(np.r_[True, both[by][1:] != both[by][:-1]])
+    u, sums = both[by][first], np.add.reduceat(np.concatenate([expand(x, n) for _, n, _, x in sent])[by], first)
+    level = np.where(sums > 1, 1 + np.floor(np.log2(np.maximum(sums, 1))), 0)
+    return pa.table({
+        "block": pa.array([b for b, *_ in sent], pa.int32()), "part": pa.array([key[0].as_py()] * len(sent), pa.int32()), "size": pa.array([n for _, n, *_ in sent], pa.int64()),
+        "levels": pa.array([squeeze(level[np.searchsorted(u, x)]) for x in tokens], pa.binary()),
+    })
+
+
+_DEALT = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("salt", pa.int32()), ("signature", pa.int64()), ("size", pa.int32()), ("prefixes", pa.list_(pa.binary())), ("text", pa.string())])
+
+
+def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Of a block: a ``set`` row for each document, a ``text`` row for each candidate and a ``token`` row for each shared token of its first prefix."""
+    replies = sorted(zip(*(right.column(c).to_pylist() for c in ("part", "size", "levels")), strict=True))
+    sets = list(_sets(left.column("text")))
+    docs, texts = left.column("doc_id").to_pylist(), left.column("text").to_pylist()
+    names = [_signature(s) for s in sets]
+    u = _block_tokens(sets)[0]
+    levels = np.concatenate([expand(x, n) for _, n, x in replies]) if replies else np.zeros(0, np.uint64)
+    candidates, tokens, salts, owner = [], [], [], []
+    for d, s in enumerate(sets):
+        level = levels[np.searchsorted(u, s >> np.uint64(64 - ORDER_BITS))]
+        if docs[d] is None or not level.any():
+            continue
+        shared = [x[lv > 0] for x, lv in (prefix(s, level, k) for k in range(ORDERS))]
+        if all(len(x) for x in shared):
+            candidates.append((d, [np.sort(x).tobytes() for x in shared[1:]]))
+            first, lv = prefix(s, level, 0)
+            first, lv = first[lv > 0], lv[lv > 0].astype(np.int64)
+            tokens.append(first.view(np.int64))
+            salts.append(np.where(lv >= HOT_LEVEL, 1 + names[d] % (1 << np.clip(lv - HOT_LEVEL + 1, 0, 12)), 0))
+            owner.append(np.full(len(first), d))
+    n, m = len(sets), len(candidates)
+    owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
+    signature, size = np.array(names, dtype=np.int64), np.array([len(s) for s in sets], dtype=np.int32)
+    at = np.array([d for d, _ in candidates], dtype=np.int64)
+
+    def rows(kind: str, ids, salt, index, prefixes, text) -> pa.Table:
+        k = len(index)
+        return pa.Table.from_arrays([
+            pa.array([kind] * k, pa.string()), pa.array(ids, pa.int64()), pa.array(salt, pa.int32()), pa.array(signature[index]), pa.array(size[index]),
+            pa.array(prefixes or [None] * k, pa.list_(pa.binary())), pa.array(text or [None] * k, pa.string()),
+        ], schema=_DEALT)
+
+    return pa.concat_tables([
+        rows("set", docs, np.zeros(n, np.int32), np.arange(n), None, None),
+        rows("text", [docs[d] for d in at], np.zeros(m, np.int32), at, [p for _, p in candidates], [texts[d] for d in at]),
+        rows("token", np.concatenate(tokens) if tokens else [], np.concatenate(salts).astype(np.int32) if salts else [], owner, None, None),
+    ])
+
+
+def prefix(s: np.ndarray, level: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first tokens of a set under an order, as many as linked sets must share one of, and their levels."""
     n = len(s)
     p = n - (PERCENT * n + 99) // 100 + 1
     if p >= n:
-        return s
-    level = levels[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
-    key = (level << np.uint64(56)) | (K.mix64(s ^ np.uint64(0xC2B2AE3D27D4EB4F * (order + 1) % (1 << 64))) >> np.uint64(8))
-    return s[np.argpartition(key, p - 1)[:p]]
+        return s, level
+    key = (level.astype(np.uint64) << np.uint64(56)) | (K.mix64(s ^ np.uint64(0xC2B2AE3D27D4EB4F * (order + 1) % (1 << 64))) >> np.uint64(8))
+    first = np.argpartition(key, p - 1)[:p]
+    return s[first], level[first]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -116,36 +159,6 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def _prefix_rows(levels):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lv = levels.value
-        for b in batches:
-            tokens, sigs, sizes = [], [], []
-
-            def out() -> pa.RecordBatch:
-                t = np.concatenate(tokens)
-                counts = [len(x) for x in tokens]
-                hot = lv[(t >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64)
-                sig = np.repeat(np.array(sigs, dtype=np.int64), counts)
-                salt = np.where(hot > 0, 1 + sig % (1 << np.minimum(hot, 12)), 0).astype(np.int32)
-                return pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(salt), pa.array(sig), pa.array(np.repeat(np.array(sizes, dtype=np.int32), counts))], names=["token", "salt", "signature", "size"])
-
-            total = 0
-            for s in _sets(b.column(1)):
-                if len(s):
-                    tokens.append(prefix(s, lv, 0))
-                    sigs.append(_signature(s))
-                    sizes.append(len(s))
-                    total += len(tokens[-1])
-                    if total > 500_000:
-                        yield out()
-                        tokens, sigs, sizes, total = [], [], [], 0
-            if tokens:
-                yield out()
-
-    return run
-
-
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by token, salt and class: each class once, without tokens of one class; salted tokens all stay."""
     held: tuple | None = None  # the last distinct row of the batch before, and whether it was emitted
@@ -168,40 +181,29 @@ def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, sig, size)], names=names)
 
 
-def _verify_rows(levels):
-    schema = ["a", "b"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lv, now, centre, filters = levels.value, None, None, []
-        for b in batches:
-            out: list[tuple[int, int]] = []
-            rows = zip(*(b.column(k).to_pylist() for k in range(4)), _sets(b.column(4)), strict=True)
-            for c, salt, doc, sig, s in rows:
-                if _signature(s) != sig:  # another row with this doc_id
-                    continue
-                if doc == c:
-                    now, centre, filters = (c, salt), s, [prefix(s, lv, k) for k in range(1, ORDERS)]
-                    continue
-                if now != (c, salt):
-                    continue
-                if all(np.isin(prefix(s, lv, k), f, assume_unique=True, kind="sort").any() for k, f in enumerate(filters, 1)) and linked(centre, s):
-                    out.append((c, doc))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=schema)
-
-    return run
+def _verify_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of each centre, whose own row comes first."""
+    now, centre, filters = None, None, []
+    for b in batches:
+        out: list[tuple[int, int]] = []
+        for c, salt, doc, prefixes, s in zip(*(b.column(k).to_pylist() for k in range(4)), _sets(b.column(4)), strict=True):
+            mine = [np.frombuffer(x, dtype=np.uint64) for x in prefixes]
+            if doc == c:
+                now, centre, filters = (c, salt), s, mine
+            elif now == (c, salt) and all(np.isin(x, f, assume_unique=True, kind="sort").any() for x, f in zip(mine, filters, strict=True)) and linked(centre, s):
+                out.append((c, doc))
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, levels) -> DataFrame:
+def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The linked pairs among ``pairs`` (centre, member). A centre with many members is verified in salts."""
-    spark = docs.sparkSession
     salts = F.ceil(F.col("members") / SALT_MEMBERS).cast("int")
     centres = materialise(pairs.groupBy("centre").agg(F.count("*").alias("members")).select("centre", salts.alias("salts")), "jaccard-centres")
     members = pairs.join(centres, "centre").select("centre", F.pmod(F.xxhash64("member"), F.col("salts")).cast("int").alias("salt"), F.col("member").alias("doc_id"))
     heads = centres.select("centre", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("centre").alias("doc_id"))
-    wanted = members.unionByName(heads).join(classes.select(F.col("doc").alias("doc_id"), "signature"), "doc_id")
-    rows = _slim(docs).join(wanted, "doc_id").select("centre", "salt", "doc_id", "signature", "text")
-    rows = rows.repartition(shuffle_width(spark), "centre", "salt").sortWithinPartitions("centre", "salt", F.col("doc_id") != F.col("centre"))
-    return rows.mapInArrow(_verify_rows(levels), "a long, b long")
+    rows = texts.join(members.unionByName(heads), "doc_id").select("centre", "salt", "doc_id", "prefixes", "text")
+    rows = rows.repartition(shuffle_width(pairs.sparkSession), "centre", "salt").sortWithinPartitions("centre", "salt", F.col("doc_id") != F.col("centre"))
+    return rows.mapInArrow(_verify_rows, "a long, b long")
 
 
 def _size_fits(a: Column, b: Column) -> Column:
@@ -210,22 +212,29 @@ def _size_fits(a: Column, b: Column) -> Column:
 
 def join_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every row."""
-    spark = docs.sparkSession
-    width = shuffle_width(spark)
-    features = materialise(_slim(docs).mapInArrow(_features, "doc_id long, signature long, size int, block int, sketch binary"), "jaccard-features")
-    levels = spark.sparkContext.broadcast(_levels(features))
-    rows = features.where("block is null").select("doc_id", "signature", "size")
+    parts = shuffle_width(docs.sparkSession)
+    block = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BLOCKS_A_PART * parts)).cast("int")
+    by_block = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), block.alias("block")).groupBy("block")
+    sent = by_block.applyInArrow(lambda key, rows: _send(key, rows, parts), "part int, block int, size long, tokens binary, tallies binary")
+    replies = sent.groupBy("part").applyInArrow(_reply, "block int, part int, size long, levels binary")
+    dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(_deal, "kind string, id long, salt int, signature long, size int, prefixes array<binary>, text string")
+    dealt = materialise(dealt, "jaccard-dealt")
+
+    rows = dealt.where("kind = 'set'").select(F.col("id").alias("doc_id"), "signature", "size")
     classes = materialise(rows.where("size > 0 and doc_id is not null").groupBy("signature", "size").agg(F.min("doc_id").alias("doc")), "jaccard-classes")
+    # of copies, and of rows that share a doc_id, the text of the class's own document
+    texts = dealt.where("kind = 'text'").join(classes, ["signature", "size"]).where("id = doc").dropDuplicates(["id"]).select(F.col("id").alias("doc_id"), "prefixes", "text")
+    texts = materialise(texts, "jaccard-texts")
 
-    tokens = _slim(docs).where("doc_id is not null").mapInArrow(_prefix_rows(levels), "token long, salt int, signature long, size int")
-    tokens = tokens.repartition(width, "token", "salt").sortWithinPartitions("token", "salt", "signature", "size")
+    tokens = dealt.where("kind = 'token'").select(F.col("id").alias("token"), "salt", "signature", "size")
+    tokens = tokens.repartition(parts, "token", "salt").sortWithinPartitions("token", "salt", "signature", "size")
     shared = tokens.mapInArrow(_shared_tokens, "token long, signature long, size int")
     buckets = materialise(shared.join(classes, ["signature", "size"]).select("token", "doc", "size"), "jaccard-buckets")
 
     least = buckets.groupBy("token").agg(F.min(F.struct("doc", "size")).alias("c")).select("token", F.col("c.doc").alias("centre"), F.col("c.size").alias("centre_size"))
     star = buckets.join(least, "token").where((F.col("doc") != F.col("centre")) & _size_fits(F.col("size"), F.col("centre_size"))).select("centre", F.col("doc").alias("member")).distinct()
     star = materialise(star, "jaccard-star")
-    first = smallest_labels(_verified(docs, star, classes, levels))
+    first = smallest_labels(_verified(texts, star))
 
     placed = buckets.join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     mixed = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
@@ -234,7 +243,7 @@ def join_components(docs: DataFrame) -> DataFrame:
     rest = left.join(right, F.expr("l.token = r.token and l.doc < r.doc and l.label <> r.label")).where(_size_fits(F.col("l.size"), F.col("r.size")))
     rest = rest.select(F.col("l.doc").alias("centre"), F.col("r.doc").alias("member")).distinct().join(star, ["centre", "member"], "left_anti")
     rest = materialise(rest, "jaccard-rest")
-    more = _verified(docs, rest, classes, levels)
+    more = _verified(texts, rest)
     names = first.withColumnRenamed("label", "to")
     more = more.join(names.withColumnRenamed("node", "a").withColumnRenamed("to", "la"), "a", "left").join(names.withColumnRenamed("node", "b").withColumnRenamed("to", "lb"), "b", "left")
     second = smallest_labels(more.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))

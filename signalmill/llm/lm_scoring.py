@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytekernel as K
+from .packing import expand, squeeze
 from .storage import shuffle_width
 
 ALPHA = 0.4
@@ -43,16 +44,6 @@ FULL_ORDERS = 2
 BLOCKS_A_PART = 2
 
 
-def _squeeze(x: np.ndarray) -> bytes:
-    """Integers as byte planes, compressed."""
-    return pa.compress(np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
-
-
-def _expand(blob: bytes, n: int) -> np.ndarray:
-    raw = np.frombuffer(pa.decompress(blob, decompressed_size=8 * n, codec="zstd", asbytes=True), dtype=np.uint8)
-    return np.ascontiguousarray(raw.reshape(8, n).T).view(np.uint64).reshape(-1)
-
-
 class Grams:
     """The n-grams of a block of documents. An occurrence ends at a word; ``place`` is the word's place in its document."""
 
@@ -130,7 +121,7 @@ def _replies(rows: pa.Table) -> dict[int, np.ndarray]:
     """By order: the counts that came back, in the order of the hashes."""
     got: dict[int, list] = {}
     for n, part, size, counts in sorted(zip(*(rows.column(c).to_pylist() for c in ("n", "part", "size", "counts")), strict=True), key=lambda r: r[:2]):
-        got.setdefault(n, []).append(_expand(counts, size).astype(np.int64))
+        got.setdefault(n, []).append(expand(counts, size).astype(np.int64))
     return {n: np.concatenate(x) for n, x in got.items()}
 
 
@@ -149,7 +140,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_o
         rows = [(p, int(edges[p]), int(edges[p + 1])) for p in range(parts) if edges[p + 1] > edges[p]]
         return pa.table({
             "part": pa.array([p for p, _, _ in rows], pa.int32()), "block": pa.array([block] * len(rows), pa.int32()), "n": pa.array([n] * len(rows), pa.int32()), "size": pa.array([b - a for _, a, b in rows], pa.int64()),
-            "grams": pa.array([_squeeze(np.diff(u[a:b], prepend=np.uint64(0))) for _, a, b in rows], pa.binary()), "tallies": pa.array([_squeeze(c[a:b]) for _, a, b in rows], pa.binary()),
+            "grams": pa.array([squeeze(np.diff(u[a:b], prepend=np.uint64(0))) for _, a, b in rows], pa.binary()), "tallies": pa.array([squeeze(c[a:b]) for _, a, b in rows], pa.binary()),
         })
 
     def explode(key: tuple, rows: pa.Table) -> pa.Table:
@@ -164,14 +155,14 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_o
 
     def count(key: tuple, rows: pa.Table) -> pa.Table:
         sent = list(zip(*(rows.column(c).to_pylist() for c in ("block", "size", "grams", "tallies")), strict=True))
-        grams = [np.cumsum(_expand(x, size), dtype=np.uint64) for _, size, x, _ in sent]
+        grams = [np.cumsum(expand(x, size), dtype=np.uint64) for _, size, x, _ in sent]
         both = np.concatenate(grams)
         by = np.argsort(both, kind="stable")
         first = np.flatnonzero(np.r_[True, both[by][1:] != both[by][:-1]])
-        u, sums = both[by][first], np.add.reduceat(np.concatenate([_expand(x, size) for _, size, _, x in sent])[by], first)
+        u, sums = both[by][first], np.add.reduceat(np.concatenate([expand(x, size) for _, size, _, x in sent])[by], first)
         return pa.table({
             "block": pa.array([b for b, *_ in sent], pa.int32()), "n": pa.array([key[1].as_py()] * len(sent), pa.int32()), "part": pa.array([key[0].as_py()] * len(sent), pa.int32()),
-            "size": pa.array([s for _, s, *_ in sent], pa.int64()), "counts": pa.array([_squeeze(sums[np.searchsorted(u, x)]) for x in grams], pa.binary()),
+            "size": pa.array([s for _, s, *_ in sent], pa.int64()), "counts": pa.array([squeeze(sums[np.searchsorted(u, x)]) for x in grams], pa.binary()),
         })
 
     def join(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
