@@ -90,15 +90,37 @@ def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, off)
 
 
-def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each lower-cased word, and the n + 1 word offsets of the documents."""
-    starts, ends, woff = word_spans(buf, off)
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span."""
     with np.errstate(over="ignore"):
         total = np.zeros(len(buf) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_CODE[LOWER[buf]] * _power_table("up", _BASE, len(buf)), out=total[1:])
+        np.cumsum(_BYTE_CODE[buf] * _power_table("up", _BASE, len(buf)), out=total[1:])
         h = (total[ends] - total[starts]) * _power_table("down", _BASE_INV, len(buf) + 1)[starts]
         h += (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-    return mix64(h), woff
+    return mix64(h)
+
+
+def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each lower-cased word, and the n + 1 word offsets of the documents."""
+    starts, ends, woff = word_spans(buf, off)
+    return span_hashes(LOWER[buf], starts, ends), woff
+
+
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values of ``x``, ascending, and how often each occurs."""
+    x = np.sort(x)
+    edge = np.flatnonzero(np.r_[True, x[1:] != x[:-1]][: len(x)])
+    return x[edge], np.diff(np.r_[edge, len(x)])
+
+
+def numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each value its number among the different ones, ascending, and a place of each different one."""
+    by = np.argsort(x)
+    x = x[by]
+    first = np.r_[True, x[1:] != x[:-1]][: len(x)]
+    out = np.empty(len(x), dtype=np.int64)
+    out[by] = np.cumsum(first) - 1
+    return out, by[first]
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:

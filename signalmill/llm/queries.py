@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_search, chat, exact_dedup, jaccard_join, lm_scoring, mixing, rule_classifier, secret_scan, token_counts
+from . import ann_search, chat, exact_dedup, jaccard_join, lm_scoring, mixing, piece_codec, rule_classifier, secret_scan, token_counts
 from .storage import table
 
 #: The conversation that is added to the table, both turns with this text.
@@ -27,6 +27,10 @@ def op3_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode_documents(table(spark, sf_dir, "documents"))
+
+
 #: Target weights of the mix: three domains, which the sources' numbers tell apart, and the languages in each.
 MIX = mixing.Mix(share=0.6, max_epochs=2, domains={"crawl": 25, "library": 45, "forum": 30}, languages={"en": 40, "de": 20, "fr": 20, "es": 20})
 
@@ -66,7 +70,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_backoff, op2_jaccard_join, op3_ann_search, op5_mix_sources, op6_chat_format, op7_quality_rules, op8_secret_scan, op9_token_counts, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_lm_backoff, op2_jaccard_join, op3_ann_search, op4_piece_codec, op5_mix_sources, op6_chat_format, op7_quality_rules, op8_secret_scan, op9_token_counts, op10_exact_dedup)}
 
 
 OP1_SQL = rf"""
