@@ -34,14 +34,13 @@ from pyspark.sql import functions as F
 
 from . import bytekernel as K
 from .packing import expand, squeeze
-from .storage import shuffle_width
 
 ALPHA = 0.4
 ORDER = 3
 #: Orders that are sent whole, in the first exchange.
 FULL_ORDERS = 2
-#: Blocks for each shuffle partition; more need less memory and repeat more n-grams.
-BLOCKS_A_PART = 2
+#: Words of a block, and of a hash range, on average; smaller blocks need less memory and repeat more n-grams.
+BLOCK_WORDS = 1_300_000
 
 
 class Grams:
@@ -61,24 +60,25 @@ class Grams:
         h[n - 1 :] = K.gram_hashes(self.words, n)
         return h[words]
 
-    def own(self, grams: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """How often the document of each occurrence holds the same n-gram."""
-        _, number = np.unique(grams, return_inverse=True)
-        _, inverse, mine = np.unique(number * max(1, len(self.n_words)) + self.doc[words], return_inverse=True, return_counts=True)
-        return mine[inverse]
-
-    def elsewhere(self, n: int, replies: dict[int, np.ndarray], occurs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """Of every word: its n-gram's count in the corpus, and in other documents. ``replies``: corpus counts of what ``wanted`` gave."""
-        count, other = np.zeros((2, len(self.words)), dtype=np.int64)
-        words = np.flatnonzero(self.place >= n - 1)
+    def tally(self, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the n-grams that end at these places: the number of each among the distinct ones in order, how
+        often its own document has it among them, and the count of each distinct one."""
         grams = self.ending_at(words, n)
-        mine = self.own(grams, words)
-        count[words] = mine
-        sent = self.wanted(n, occurs)
-        asked = self.ending_at(sent, n)
-        count[sent] = replies[n][np.searchsorted(np.unique(asked), asked)]
-        other[words] = count[words] - mine
-        return count, other
+        by = np.argsort(grams)
+        grams = grams[by]
+        first = np.r_[True, grams[1:] != grams[:-1]][: len(grams)]
+        number = np.cumsum(first) - 1
+        counts = np.bincount(number)
+        own = np.ones(len(words), dtype=np.int64)
+        several = np.flatnonzero(counts[number] > 1)
+        key = number[several] * max(1, len(self.n_words)) + self.doc[words[by[several]]]
+        again = np.argsort(key)
+        key = key[again]
+        edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        own[several[again]] = np.repeat(np.diff(np.r_[edge, len(key)]), np.diff(np.r_[edge, len(key)]))
+        out = np.empty((2, len(words)), dtype=np.int64)
+        out[0, by], out[1, by] = number, own
+        return out[0], out[1], counts
 
     def wanted(self, n: int, occurs: np.ndarray | None) -> np.ndarray:
         """Places where an n-gram ends that may be in another document. ``occurs``: of each word, the (n - 1)-gram's count in other documents."""
@@ -87,14 +87,22 @@ class Grams:
             here[1:] &= (occurs[1:] > 0) & (occurs[:-1] > 0)
         return np.flatnonzero(here)
 
-    def all_counts(self, replies: dict[int, np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """By order: counts in the corpus, and in other documents, as far as there are replies."""
-        counts, others = [], []
+    def counts(self, replies: dict[int, np.ndarray], elsewhere: bool = True) -> list[np.ndarray]:
+        """By order, as far as there are replies: of every word, its n-gram's count in other documents (or in the corpus)."""
+        out: list[np.ndarray] = []
+        occurs = None
         for n in range(1, len(replies) + 1):
-            c, o = self.elsewhere(n, replies, others[-1] if others else None)
-            counts.append(c)
-            others.append(o)
-        return counts, others
+            words = self.wanted(n, occurs)
+            number, own, _ = self.tally(words, n)
+            occurs = np.zeros(len(self.words), dtype=np.int64)
+            occurs[words] = replies[n][number] - own
+            count = occurs
+            if not elsewhere:
+                rest = np.flatnonzero(self.place >= n - 1)
+                count = occurs.copy()
+                count[rest] += self.tally(rest, n)[1]
+            out.append(count)
+        return out
 
 
 def _ranges(u: np.ndarray, parts: int) -> np.ndarray:
@@ -127,15 +135,14 @@ def _replies(rows: pa.Table) -> dict[int, np.ndarray]:
 
 def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_out: bool = True) -> DataFrame:
     """doc_id, n_words, score_micro (millionths), mean_score (a word) of every row."""
-    parts = shuffle_width(docs.sparkSession)
-    blocks = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BLOCKS_A_PART * parts)).cast("int").alias("block")
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     word_count = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    n_all = int(blocks.select(word_count.alias("n")).agg(F.sum("n")).first()[0] or 0)
+    n_all = int(rows.select(word_count.alias("n")).agg(F.sum("n")).first()[0] or 0)
+    parts = max(1, -(-n_all // BLOCK_WORDS))
+    blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
 
     def send(block: int, g: Grams, n: int, occurs: np.ndarray | None) -> pa.Table:
-        u, c = np.unique(g.ending_at(g.wanted(n, occurs), n), return_counts=True)
+        u, c = K.distinct(g.ending_at(g.wanted(n, occurs), n))  # in the order of tally's numbers
         edges = _ranges(u, parts)
         rows = [(p, int(edges[p]), int(edges[p + 1])) for p in range(parts) if edges[p + 1] > edges[p]]
         return pa.table({
@@ -151,7 +158,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_o
         g, replies = Grams(left.column("text")), _replies(right)
         if not replies:
             return send(key[0].as_py(), Grams(left.column("text").slice(0, 0)), 1, None)
-        return send(key[0].as_py(), g, len(replies) + 1, g.all_counts(replies)[1][-1])
+        return send(key[0].as_py(), g, len(replies) + 1, g.counts(replies)[-1])
 
     def count(key: tuple, rows: pa.Table) -> pa.Table:
         sent = list(zip(*(rows.column(c).to_pylist() for c in ("block", "size", "grams", "tallies")), strict=True))
@@ -169,9 +176,8 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_o
         g, replies = Grams(left.column("text")), _replies(right)
         for n in range(len(replies) + 1, order + 1):  # no n-gram of this order was sent
             replies[n] = np.zeros(0, np.int64)
-        counts, others = g.all_counts(replies)
         total = n_all - g.n_words[g.doc] if leave_one_out else np.full(len(g.words), n_all)
-        micro = _block_scores(g, others if leave_one_out else counts, total, alpha)
+        micro = _block_scores(g, g.counts(replies, leave_one_out), total, alpha)
         mean = np.where(g.n_words > 0, micro / 1e6 / np.maximum(g.n_words, 1), np.nan)
         return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(g.n_words), "score_micro": pa.array(micro), "mean_score": pa.array(mean, pa.float64(), mask=g.n_words == 0)})
 
