@@ -47,8 +47,8 @@ ORDERS = 3
 ORDER_BITS = 40
 #: From this level on (counts of 128 and more) a token's bucket is dealt in salts.
 HOT_LEVEL = 8
-#: Blocks for each shuffle partition.
-BLOCKS_A_PART = 2
+#: Characters of a block, and of a hash range, on average.
+BLOCK_CHARACTERS = 8_000_000
 #: Members of a centre that one salt verifies.
 SALT_MEMBERS = 256
 
@@ -71,7 +71,7 @@ def _block_tokens(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     different = list({x.tobytes(): x for x in sets if len(x)}.values())
     if not different:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.unique(np.concatenate(different) >> np.uint64(64 - ORDER_BITS), return_counts=True)
+    return K.distinct(np.concatenate(different) >> np.uint64(64 - ORDER_BITS))
 
 
 def _send(key: tuple, rows: pa.Table, parts: int) -> pa.Table:
@@ -212,9 +212,10 @@ def _size_fits(a: Column, b: Column) -> Column:
 
 def join_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every row."""
-    parts = shuffle_width(docs.sparkSession)
-    block = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BLOCKS_A_PART * parts)).cast("int")
-    by_block = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), block.alias("block")).groupBy("block")
+    width = shuffle_width(docs.sparkSession)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    parts = max(1, -(-int(slim.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARACTERS))
+    by_block = slim.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")).groupBy("block")
     sent = by_block.applyInArrow(lambda key, rows: _send(key, rows, parts), "part int, block int, size long, tokens binary, tallies binary")
     replies = sent.groupBy("part").applyInArrow(_reply, "block int, part int, size long, levels binary")
     dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(_deal, "kind string, id long, salt int, signature long, size int, prefixes array<binary>, text string")
@@ -227,7 +228,7 @@ def join_components(docs: DataFrame) -> DataFrame:
     texts = materialise(texts, "jaccard-texts")
 
     tokens = dealt.where("kind = 'token'").select(F.col("id").alias("token"), "salt", "signature", "size")
-    tokens = tokens.repartition(parts, "token", "salt").sortWithinPartitions("token", "salt", "signature", "size")
+    tokens = tokens.repartition(width, "token", "salt").sortWithinPartitions("token", "salt", "signature", "size")
     shared = tokens.mapInArrow(_shared_tokens, "token long, signature long, size int")
     buckets = materialise(shared.join(classes, ["signature", "size"]).select("token", "doc", "size"), "jaccard-buckets")
 
