@@ -81,9 +81,10 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
 
 
 def leaf_columns(docs: DataFrame, domain: Column) -> DataFrame:
-    """``docs`` with the leaf's columns and ``tokens_``, the words of the whole text."""
+    """``row`` (all columns of ``docs``, so no name can clash), doc_id, the leaf's columns and ``tokens_``, the words of the whole text."""
     return docs.select(
-        *docs.columns,
+        F.struct("*").alias("row"),
+        F.col("doc_id"),
         F.coalesce(domain, F.lit("unknown")).alias("domain"),
         F.coalesce(F.col("lang").cast("string"), F.lit("unknown")).alias("language"),
         F.coalesce(F.col("source").cast("string"), F.lit("unknown")).alias("origin"),
@@ -117,8 +118,13 @@ def cuts(docs: DataFrame, domain: Column, mix: Mix) -> DataFrame:
 
 
 def select_mix(docs: DataFrame, domain: Column, mix: Mix) -> DataFrame:
-    """The rows of ``docs`` that are taken, with the leaf's columns, tokens_ and ``copies``, how often each is taken."""
+    """``row``, the rows of ``docs`` that are taken, with the leaf's columns, tokens_ and ``copies``, how often each is taken."""
     chosen = materialise(cuts(docs, domain, mix), "mix-cuts")
     rows = leaf_columns(docs, domain).join(chosen.where("tokens > 0"), LEAF)
     taken = F.col("epochs") + F.coalesce((order_key(mix) <= F.col("cut")).cast("long"), F.lit(0))
-    return rows.withColumn("copies", taken).where("copies > 0").drop("tokens", "quota", "epochs", "cut")
+    return rows.withColumn("copies", taken).where("copies > 0").select("row", *LEAF, "tokens_", "copies")
+
+
+def taken_rows(docs: DataFrame, domain: Column, mix: Mix) -> DataFrame:
+    """The rows of ``docs`` that are taken, each as often as it is taken, with their own columns."""
+    return select_mix(docs, domain, mix).select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -42,7 +42,7 @@ def source_domain() -> Column:
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.select_mix(table(spark, sf_dir, "documents"), source_domain(), MIX)
-    return taken.select("doc_id", *mixing.LEAF, F.col("tokens_").alias("n_tokens"), "copies")
+    return taken.select("row.doc_id", *mixing.LEAF, F.col("tokens_").alias("n_tokens"), "copies")
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

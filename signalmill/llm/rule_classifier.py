@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import bytekernel as K
 
@@ -76,18 +77,28 @@ def statistics(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.column_stack(columns)
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and FEATURES of every row."""
+def _measured(column: pa.Array) -> list[pa.Array]:
+    buf, off = K.text_buffer(column)
+    parts = [statistics(buf[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in K.chunks(off)]
+    x = np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
+    return [pa.array(x[:, k]) for k in range(x.shape[1])]
+
+
+def with_statistics(docs: DataFrame, prefix: str = "") -> DataFrame:
+    """All columns of ``docs`` and FEATURES, whose names begin with ``prefix``."""
+    names = docs.columns
+    at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            buf, off = K.text_buffer(b.column(1))
-            parts = [statistics(buf[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in K.chunks(off)]
-            x = np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x[:, k]) for k in range(x.shape[1]))], names=["doc_id", *FEATURES])
+            yield pa.RecordBatch.from_arrays([*b.columns, *_measured(b.column(at))], names=[*names, *(prefix + f for f in FEATURES)])
+
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(prefix + f, T.DoubleType()) for f in FEATURES)])
+    return docs.mapInArrow(run, schema)
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
+
+def _slim(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 @dataclass(frozen=True)
@@ -102,13 +113,13 @@ class Model:
     intercept: float
     rules: tuple[tuple[float, tuple[Condition, ...]], ...]
 
-    def score(self) -> Column:
-        """The score as a column expression over the statistics."""
+    def score(self, prefix: str = "") -> Column:
+        """The score as a column expression over the statistics, whose columns' names begin with ``prefix``."""
         total = F.lit(self.intercept)
         for weight, conditions in self.rules:
             holds = F.lit(True)
             for c in conditions:
-                holds = holds & ((F.col(c.feature) > c.limit) if c.above else (F.col(c.feature) <= c.limit))
+                holds = holds & ((F.col(prefix + c.feature) > c.limit) if c.above else (F.col(prefix + c.feature) <= c.limit))
             total = total + F.when(holds, F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
@@ -195,8 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, admitted: Column, sample_rows: int
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label")).where(admitted).dropna()
     marked = marked.groupBy("doc_id").agg(F.min("label").alias("label"))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = with_statistics(texts.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")).join(F.broadcast(sample), "doc_id")
+    rows = with_statistics(_slim(docs).join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")).join(F.broadcast(sample), "doc_id")
     got = rows.select("doc_id", *FEATURES, "label").limit(2 * sample_rows).toPandas().sort_values(["doc_id", *FEATURES])
     return fit(got[list(FEATURES)].to_numpy(np.float64), got["label"].to_numpy(np.float64))
 
@@ -208,4 +218,12 @@ def held_out(doc_id: Column) -> Column:
 
 def classify(docs: DataFrame, model: Model, limit: float = 0.3) -> DataFrame:
     """doc_id, score and predicted (1 if score >= limit) of every row."""
-    return with_statistics(docs).select("doc_id", model.score().alias("score")).withColumn("predicted", (F.col("score") >= limit).cast("int"))
+    return with_statistics(_slim(docs)).select("doc_id", model.score().alias("score")).withColumn("predicted", (F.col("score") >= limit).cast("int"))
+
+
+def keep_good(docs: DataFrame, model: Model, limit: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that are predicted 1, with their own columns."""
+    prefix = "statistic_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    return with_statistics(docs, prefix).where(model.score(prefix) >= limit).select(*docs.columns)
