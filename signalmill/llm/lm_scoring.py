@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytekernel as K
-from .packing import expand, squeeze
+from .packing import deal_blocks, expand, squeeze, unpack
 
 ALPHA = 0.4
 ORDER = 3
@@ -52,7 +52,7 @@ class Grams:
         self.n_words = np.concatenate([np.diff(o) for _, o in parts]) if parts else np.zeros(0, np.int64)
         self.words = np.concatenate([w for w, _ in parts]) if parts else np.zeros(0, np.uint64)
         self.doc = np.repeat(np.arange(len(self.n_words), dtype=np.int32), self.n_words)
-        self.place = np.arange(len(self.words)) - np.repeat(np.cumsum(self.n_words) - self.n_words, self.n_words)
+        self.place = (np.arange(len(self.words)) - np.repeat(np.cumsum(self.n_words) - self.n_words, self.n_words)).astype(np.int32)
 
     def ending_at(self, words: np.ndarray, n: int) -> np.ndarray:
         """Hashes of the n-grams that end at these places of ``self.words``."""
@@ -67,16 +67,17 @@ class Grams:
         by = np.argsort(grams)
         grams = grams[by]
         first = np.r_[True, grams[1:] != grams[:-1]][: len(grams)]
-        number = np.cumsum(first) - 1
+        del grams
+        number = np.cumsum(first, dtype=np.int32) - 1
         counts = np.bincount(number)
-        own = np.ones(len(words), dtype=np.int64)
+        own = np.ones(len(words), dtype=np.int32)
         several = np.flatnonzero(counts[number] > 1)
-        key = number[several] * max(1, len(self.n_words)) + self.doc[words[by[several]]]
+        key = number[several].astype(np.int64) * max(1, len(self.n_words)) + self.doc[words[by[several]]]
         again = np.argsort(key)
         key = key[again]
         edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
         own[several[again]] = np.repeat(np.diff(np.r_[edge, len(key)]), np.diff(np.r_[edge, len(key)]))
-        out = np.empty((2, len(words)), dtype=np.int64)
+        out = np.empty((2, len(words)), dtype=np.int32)
         out[0, by], out[1, by] = number, own
         return out[0], out[1], counts
 
@@ -139,7 +140,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_o
     word_count = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     n_all = int(rows.select(word_count.alias("n")).agg(F.sum("n")).first()[0] or 0)
     parts = max(1, -(-n_all // BLOCK_WORDS))
-    blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
+    by_block = deal_blocks(rows, parts).groupBy("block")
 
     def send(block: int, g: Grams, n: int, occurs: np.ndarray | None) -> pa.Table:
         u, c = K.distinct(g.ending_at(g.wanted(n, occurs), n))  # in the order of tally's numbers
@@ -151,13 +152,13 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_o
         })
 
     def explode(key: tuple, rows: pa.Table) -> pa.Table:
-        g = Grams(rows.column("text"))
+        g = Grams(unpack(rows).column("text"))
         return pa.concat_tables([send(key[0].as_py(), g, n, None) for n in range(1, min(order, FULL_ORDERS) + 1)])
 
     def explode_longer(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        g, replies = Grams(left.column("text")), _replies(right)
-        if not replies:
-            return send(key[0].as_py(), Grams(left.column("text").slice(0, 0)), 1, None)
+        g, replies = Grams(unpack(left).column("text")), _replies(right)
+        if not replies:  # a block without words sends nothing
+            return send(key[0].as_py(), g, 1, None)
         return send(key[0].as_py(), g, len(replies) + 1, g.counts(replies)[-1])
 
     def count(key: tuple, rows: pa.Table) -> pa.Table:
@@ -173,17 +174,17 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_o
         })
 
     def join(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        g, replies = Grams(left.column("text")), _replies(right)
+        block = unpack(left)
+        g, replies = Grams(block.column("text")), _replies(right)
         for n in range(len(replies) + 1, order + 1):  # no n-gram of this order was sent
             replies[n] = np.zeros(0, np.int64)
         total = n_all - g.n_words[g.doc] if leave_one_out else np.full(len(g.words), n_all)
         micro = _block_scores(g, g.counts(replies, leave_one_out), total, alpha)
         mean = np.where(g.n_words > 0, micro / 1e6 / np.maximum(g.n_words, 1), np.nan)
-        return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(g.n_words), "score_micro": pa.array(micro), "mean_score": pa.array(mean, pa.float64(), mask=g.n_words == 0)})
+        return pa.table({"doc_id": block.column("doc_id"), "n_words": pa.array(g.n_words), "score_micro": pa.array(micro), "mean_score": pa.array(mean, pa.float64(), mask=g.n_words == 0)})
 
     packed = "part int, block int, n int, size long, grams binary, tallies binary"
     counted = "block int, n int, part int, size long, counts binary"
-    by_block = blocks.groupBy("block")
     replies = by_block.applyInArrow(explode, packed).groupBy("part", "n").applyInArrow(count, counted)
     for _ in range(FULL_ORDERS + 1, order + 1):
         longer = by_block.cogroup(replies.groupBy("block")).applyInArrow(explode_longer, packed)
