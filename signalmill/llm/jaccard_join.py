@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from . import bytekernel as K
 from .components import smallest_labels
-from .packing import expand, squeeze
+from .packing import deal_blocks, expand, squeeze, unpack
 from .storage import materialise, shuffle_width
 
 WORDS = 5
@@ -75,7 +75,7 @@ def _block_tokens(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _send(key: tuple, rows: pa.Table, parts: int) -> pa.Table:
-    u, c = _block_tokens(list(_sets(rows.column("text"))))
+    u, c = _block_tokens(list(_sets(unpack(rows).column("text"))))
     edges = np.r_[0, np.searchsorted(u, np.array([(k << ORDER_BITS) // parts for k in range(1, parts)], dtype=np.uint64)), len(u)]
     sent = [(p, int(edges[p]), int(edges[p + 1])) for p in range(parts) if edges[p + 1] > edges[p]]
     return pa.table({
@@ -104,8 +104,9 @@ _DEALT = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("salt", pa.int32
 def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     """Of a block: a ``set`` row for each document, a ``text`` row for each candidate and a ``token`` row for each shared token of its first prefix."""
     replies = sorted(zip(*(right.column(c).to_pylist() for c in ("part", "size", "levels")), strict=True))
-    sets = list(_sets(left.column("text")))
-    docs, texts = left.column("doc_id").to_pylist(), left.column("text").to_pylist()
+    block = unpack(left)
+    sets = list(_sets(block.column("text")))
+    docs, texts = block.column("doc_id").to_pylist(), block.column("text")
     names = [_signature(s) for s in sets]
     u = _block_tokens(sets)[0]
     levels = np.concatenate([expand(x, n) for _, n, x in replies]) if replies else np.zeros(0, np.uint64)
@@ -136,7 +137,7 @@ def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
 
     return pa.concat_tables([
         rows("set", docs, np.zeros(n, np.int32), np.arange(n), None, None),
-        rows("text", [docs[d] for d in at], np.zeros(m, np.int32), at, [p for _, p in candidates], [texts[d] for d in at]),
+        rows("text", [docs[d] for d in at], np.zeros(m, np.int32), at, [p for _, p in candidates], texts.take(pa.array(at)).to_pylist()),
         rows("token", np.concatenate(tokens) if tokens else [], np.concatenate(salts).astype(np.int32) if salts else [], owner, None, None),
     ])
 
@@ -215,7 +216,7 @@ def join_components(docs: DataFrame) -> DataFrame:
     width = shuffle_width(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = max(1, -(-int(slim.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARACTERS))
-    by_block = slim.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")).groupBy("block")
+    by_block = deal_blocks(slim, parts).groupBy("block")
     sent = by_block.applyInArrow(lambda key, rows: _send(key, rows, parts), "part int, block int, size long, tokens binary, tallies binary")
     replies = sent.groupBy("part").applyInArrow(_reply, "block int, part int, size long, levels binary")
     dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(_deal, "kind string, id long, salt int, signature long, size int, prefixes array<binary>, text string")
