@@ -15,10 +15,12 @@ must pass all of them before it is verified on the whole texts.
 3. Every set has a 64-bit name (with its size), and documents with the same set are one class from here on.
    The candidates' prefix tokens of level 1 or more under the first order are dealt by token, very common ones
    salted, and sorted; a stream over them keeps tokens of two classes or more. These are the buckets.
-4. In each bucket every class is paired with the bucket's smallest one. Verified pairs give
-   components; a group of near copies of any size costs as many pairs as members.
+4. ``ROUNDS`` times every bucket draws one class by hash as its centre, and the classes in other
+   components than the centre's are paired with it. Verified pairs make the components grow; a group of near copies of any size
+   costs as many pairs as members.
 5. Pairs inside a bucket that are still in different components are then all formed, so no
-   link that could change a component is left out.
+   link that could change a component is left out. Each row of a bucket knows the tokens before its own in
+   its document's prefix; a pair that has one of them in common is formed there and not here.
 6. A pair must share a token in the prefixes under every other order too; then its
    intersection is counted on the sets of the whole texts.
 
@@ -43,6 +45,9 @@ from .storage import materialise, shuffle_width
 WORDS = 5
 PERCENT = 80
 ORDERS = 3
+ROUNDS = 3
+#: Tokens before its own that a bucket's row knows.
+BEFORE = 6
 #: Bits of a token by which its level is counted; more tell more tokens apart and take more room in the exchange.
 ORDER_BITS = 40
 #: From this level on (counts of 128 and more) a token's bucket is dealt in salts.
@@ -98,7 +103,7 @@ def _reply(key: tuple, rows: pa.Table) -> pa.Table:
     })
 
 
-_DEALT = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("salt", pa.int32()), ("signature", pa.int64()), ("size", pa.int32()), ("prefixes", pa.list_(pa.binary())), ("text", pa.string())])
+_DEALT = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("salt", pa.int32()), ("signature", pa.int64()), ("size", pa.int32()), ("prefixes", pa.list_(pa.binary())), ("before", pa.list_(pa.int64())), ("text", pa.string())])
 
 
 def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -110,7 +115,7 @@ def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     names = [_signature(s) for s in sets]
     u = _block_tokens(sets)[0]
     levels = np.concatenate([expand(x, n) for _, n, x in replies]) if replies else np.zeros(0, np.uint64)
-    candidates, tokens, salts, owner = [], [], [], []
+    candidates, tokens, salts, owner, before = [], [], [], [], []
     for d, s in enumerate(sets):
         level = levels[np.searchsorted(u, s >> np.uint64(64 - ORDER_BITS))]
         if docs[d] is None or not level.any():
@@ -121,6 +126,7 @@ def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
             first, lv = prefix(s, level, 0)
             first, lv = first[lv > 0], lv[lv > 0].astype(np.int64)
             tokens.append(first.view(np.int64))
+            before += [tokens[-1][max(0, k - BEFORE) : k].tolist() for k in range(len(first))]
             salts.append(np.where(lv >= HOT_LEVEL, 1 + names[d] % (1 << np.clip(lv - HOT_LEVEL + 1, 0, 12)), 0))
             owner.append(np.full(len(first), d))
     n, m = len(sets), len(candidates)
@@ -128,28 +134,27 @@ def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     signature, size = np.array(names, dtype=np.int64), np.array([len(s) for s in sets], dtype=np.int32)
     at = np.array([d for d, _ in candidates], dtype=np.int64)
 
-    def rows(kind: str, ids, salt, index, prefixes, text) -> pa.Table:
+    def rows(kind: str, ids, salt, index, prefixes=None, before=None, text=None) -> pa.Table:
         k = len(index)
         return pa.Table.from_arrays([
             pa.array([kind] * k, pa.string()), pa.array(ids, pa.int64()), pa.array(salt, pa.int32()), pa.array(signature[index]), pa.array(size[index]),
-            pa.array(prefixes or [None] * k, pa.list_(pa.binary())), pa.array(text or [None] * k, pa.string()),
+            pa.array(prefixes or [None] * k, pa.list_(pa.binary())), pa.array(before or [None] * k, pa.list_(pa.int64())), pa.array(text or [None] * k, pa.string()),
         ], schema=_DEALT)
 
     return pa.concat_tables([
-        rows("set", docs, np.zeros(n, np.int32), np.arange(n), None, None),
-        rows("text", [docs[d] for d in at], np.zeros(m, np.int32), at, [p for _, p in candidates], texts.take(pa.array(at)).to_pylist()),
-        rows("token", np.concatenate(tokens) if tokens else [], np.concatenate(salts).astype(np.int32) if salts else [], owner, None, None),
+        rows("set", docs, np.zeros(n, np.int32), np.arange(n)),
+        rows("text", [docs[d] for d in at], np.zeros(m, np.int32), at, prefixes=[p for _, p in candidates], text=texts.take(pa.array(at)).to_pylist()),
+        rows("token", np.concatenate(tokens) if tokens else [], np.concatenate(salts).astype(np.int32) if salts else [], owner, before=before),
     ])
 
 
 def prefix(s: np.ndarray, level: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first tokens of a set under an order, as many as linked sets must share one of, and their levels."""
+    """The first tokens of a set under an order, as many as linked sets must share one of, in that order, and their levels."""
     n = len(s)
     p = n - (PERCENT * n + 99) // 100 + 1
-    if p >= n:
-        return s, level
     key = (level.astype(np.uint64) << np.uint64(56)) | (K.mix64(s ^ np.uint64(0xC2B2AE3D27D4EB4F * (order + 1) % (1 << 64))) >> np.uint64(8))
-    first = np.argpartition(key, p - 1)[:p]
+    first = np.argpartition(key, p - 1)[:p] if p < n else np.arange(n)
+    first = first[np.argsort(key[first])]
     return s[first], level[first]
 
 
@@ -162,24 +167,22 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by token, salt and class: each class once, without tokens of one class; salted tokens all stay."""
-    held: tuple | None = None  # the last distinct row of the batch before, and whether it was emitted
-    names = ["token", "signature", "size"]
+    names = ["token", "signature", "size", "before"]
+    held: pa.RecordBatch | None = None  # the last different row so far, with whether it is out already
+    held_out = False
     for b in batches:
-        token, salt, sig, size = (c.to_numpy(zero_copy_only=False) for c in b.columns)
-        if not len(token):
+        if not b.num_rows:
             continue
-        if held is not None:
-            token, salt, sig, size = (np.r_[np.array([h], dtype=x.dtype), x] for h, x in zip(held, (token, salt, sig, size), strict=False))
-        new_row = np.r_[True, (token[1:] != token[:-1]) | (sig[1:] != sig[:-1]) | (size[1:] != size[:-1])]
-        token, salt, sig, size = token[new_row], salt[new_row], sig[new_row], size[new_row]
-        same = token[1:] == token[:-1]
-        keep = (np.r_[False, same] | np.r_[same, False]) | (salt > 0)
-        first_done = held is not None and held[4]
-        if first_done:
+        rows = pa.Table.from_batches([b] if held is None else [held, b]).combine_chunks()
+        token, salt, sig, size = (rows.column(c).to_numpy() for c in ("token", "salt", "signature", "size"))
+        new = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (sig[1:] != sig[:-1]) | (size[1:] != size[:-1])])
+        same = token[new][1:] == token[new][:-1]
+        keep = (np.r_[False, same] | np.r_[same, False]) | (salt[new] > 0)
+        last_out = bool(keep[-1]) or (held_out and len(new) == 1)
+        if held_out:
             keep[0] = False
-        # the last row may find its partner in the next batch
-        held = (token[-1], salt[-1], sig[-1], size[-1], bool(keep[-1]) or (first_done and len(token) == 1))
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, sig, size)], names=names)
+        yield pa.RecordBatch.from_struct_array(rows.take(pa.array(new[keep])).select(names).to_struct_array().combine_chunks()) if keep.any() else b.slice(0, 0).select(names)
+        held, held_out = rows.slice(int(new[-1]), 1).to_batches()[0], last_out
 
 
 def _verify_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,6 +214,11 @@ def _size_fits(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
+def _placed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the label of their doc's component, at first the doc itself."""
+    return rows.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+
+
 def join_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every row."""
     width = shuffle_width(docs.sparkSession)
@@ -219,7 +227,7 @@ def join_components(docs: DataFrame) -> DataFrame:
     by_block = deal_blocks(slim, parts).groupBy("block")
     sent = by_block.applyInArrow(lambda key, rows: _send(key, rows, parts), "part int, block int, size long, tokens binary, tallies binary")
     replies = sent.groupBy("part").applyInArrow(_reply, "block int, part int, size long, levels binary")
-    dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(_deal, "kind string, id long, salt int, signature long, size int, prefixes array<binary>, text string")
+    dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(_deal, "kind string, id long, salt int, signature long, size int, prefixes array<binary>, before array<long>, text string")
     dealt = materialise(dealt, "jaccard-dealt")
 
     rows = dealt.where("kind = 'set'").select(F.col("id").alias("doc_id"), "signature", "size")
@@ -228,31 +236,31 @@ def join_components(docs: DataFrame) -> DataFrame:
     texts = dealt.where("kind = 'text'").join(classes, ["signature", "size"]).where("id = doc").dropDuplicates(["id"]).select(F.col("id").alias("doc_id"), "prefixes", "text")
     texts = materialise(texts, "jaccard-texts")
 
-    tokens = dealt.where("kind = 'token'").select(F.col("id").alias("token"), "salt", "signature", "size")
+    tokens = dealt.where("kind = 'token'").select(F.col("id").alias("token"), "salt", "signature", "size", "before")
     tokens = tokens.repartition(width, "token", "salt").sortWithinPartitions("token", "salt", "signature", "size")
-    shared = tokens.mapInArrow(_shared_tokens, "token long, signature long, size int")
-    buckets = materialise(shared.join(classes, ["signature", "size"]).select("token", "doc", "size"), "jaccard-buckets")
-
-    least = buckets.groupBy("token").agg(F.min(F.struct("doc", "size")).alias("c")).select("token", F.col("c.doc").alias("centre"), F.col("c.size").alias("centre_size"))
-    star = buckets.join(least, "token").where((F.col("doc") != F.col("centre")) & _size_fits(F.col("size"), F.col("centre_size"))).select("centre", F.col("doc").alias("member")).distinct()
-    star = materialise(star, "jaccard-star")
-    first = smallest_labels(_verified(texts, star))
-
-    placed = buckets.join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    shared = tokens.mapInArrow(_shared_tokens, "token long, signature long, size int, before array<long>")
+    buckets = materialise(shared.join(classes, ["signature", "size"]).select("token", "doc", "size", "before"), "jaccard-buckets")
+
+    labels = classes.select(F.col("doc").alias("node"), F.col("doc").alias("label")).limit(0)
+    for k in range(ROUNDS):
+        placed = _placed(buckets.drop("before"), labels)
+        centre = F.min_by(F.struct("doc", "size", "label"), F.xxhash64("doc", F.lit(k))).alias("c")
+        drawn = placed.groupBy("token").agg(centre).select("token", F.col("c.doc").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.label").alias("centre_label"))
+        pairs = placed.join(drawn, "token").where((F.col("label") != F.col("centre_label")) & _size_fits(F.col("size"), F.col("centre_size")))
+        links = _verified(texts, materialise(pairs.select("centre", F.col("doc").alias("member")).distinct(), "jaccard-pairs"))
+        labels = smallest_labels(links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+
+    placed = _placed(buckets, labels)
     mixed = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
     open_ = materialise(placed.join(mixed, "token"), "jaccard-open")
     left, right = open_.alias("l"), open_.alias("r")
-    rest = left.join(right, F.expr("l.token = r.token and l.doc < r.doc and l.label <> r.label")).where(_size_fits(F.col("l.size"), F.col("r.size")))
-    rest = rest.select(F.col("l.doc").alias("centre"), F.col("r.doc").alias("member")).distinct().join(star, ["centre", "member"], "left_anti")
-    rest = materialise(rest, "jaccard-rest")
-    more = _verified(texts, rest)
-    names = first.withColumnRenamed("label", "to")
-    more = more.join(names.withColumnRenamed("node", "a").withColumnRenamed("to", "la"), "a", "left").join(names.withColumnRenamed("node", "b").withColumnRenamed("to", "lb"), "b", "left")
-    second = smallest_labels(more.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-
-    final = classes.join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    final = final.join(second.select(F.col("node").alias("label"), F.col("label").alias("last")), "label", "left")
-    final = final.select("signature", "size", F.coalesce("last", "label").alias("component"))
+    here = F.expr("l.token = r.token and l.doc < r.doc and l.label <> r.label and not arrays_overlap(l.before, r.before)")
+    rest = left.join(right, here & _size_fits(F.col("l.size"), F.col("r.size")))
+    rest = rest.select(F.col("l.doc").alias("centre"), F.col("r.doc").alias("member")).distinct()
+    links = _verified(texts, materialise(rest, "jaccard-rest"))
+    labels = smallest_labels(links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+
+    final = _placed(classes, labels).select("signature", "size", F.col("label").alias("component"))
     out = rows.join(final, ["signature", "size"], "left")
     return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
