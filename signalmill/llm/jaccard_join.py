@@ -103,7 +103,7 @@ def _reply(key: tuple, rows: pa.Table) -> pa.Table:
     })
 
 
-_DEALT = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("salt", pa.int32()), ("signature", pa.int64()), ("size", pa.int32()), ("prefixes", pa.list_(pa.binary())), ("before", pa.list_(pa.int64())), ("text", pa.string())])
+_DEALT = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("salt", pa.int32()), ("signature", pa.int64()), ("size", pa.int32()), ("prefixes", pa.list_(pa.binary())), ("before", pa.list_(pa.int64())), ("place", pa.int32()), ("text", pa.string())])
 
 
 def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -115,7 +115,7 @@ def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     names = [_signature(s) for s in sets]
     u = _block_tokens(sets)[0]
     levels = np.concatenate([expand(x, n) for _, n, x in replies]) if replies else np.zeros(0, np.uint64)
-    candidates, tokens, salts, owner, before = [], [], [], [], []
+    candidates, tokens, salts, owner, before, places = [], [], [], [], [], []
     for d, s in enumerate(sets):
         level = levels[np.searchsorted(u, s >> np.uint64(64 - ORDER_BITS))]
         if docs[d] is None or not level.any():
@@ -124,6 +124,7 @@ def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if all(len(x) for x in shared):
             candidates.append((d, [np.sort(x).tobytes() for x in shared[1:]]))
             first, lv = prefix(s, level, 0)
+            places.append(np.flatnonzero(lv > 0) + 1)
             first, lv = first[lv > 0], lv[lv > 0].astype(np.int64)
             tokens.append(first.view(np.int64))
             before += [tokens[-1][max(0, k - BEFORE) : k].tolist() for k in range(len(first))]
@@ -134,17 +135,17 @@ def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     signature, size = np.array(names, dtype=np.int64), np.array([len(s) for s in sets], dtype=np.int32)
     at = np.array([d for d, _ in candidates], dtype=np.int64)
 
-    def rows(kind: str, ids, salt, index, prefixes=None, before=None, text=None) -> pa.Table:
+    def rows(kind: str, ids, salt, index, prefixes=None, before=None, place=None, text=None) -> pa.Table:
         k = len(index)
         return pa.Table.from_arrays([
             pa.array([kind] * k, pa.string()), pa.array(ids, pa.int64()), pa.array(salt, pa.int32()), pa.array(signature[index]), pa.array(size[index]),
-            pa.array(prefixes or [None] * k, pa.list_(pa.binary())), pa.array(before or [None] * k, pa.list_(pa.int64())), pa.array(text or [None] * k, pa.string()),
+            pa.array(prefixes or [None] * k, pa.list_(pa.binary())), pa.array(before or [None] * k, pa.list_(pa.int64())), pa.nulls(k, pa.int32()) if place is None else pa.array(place, pa.int32()), pa.array(text or [None] * k, pa.string()),
         ], schema=_DEALT)
 
     return pa.concat_tables([
         rows("set", docs, np.zeros(n, np.int32), np.arange(n)),
         rows("text", [docs[d] for d in at], np.zeros(m, np.int32), at, prefixes=[p for _, p in candidates], text=texts.take(pa.array(at)).to_pylist()),
-        rows("token", np.concatenate(tokens) if tokens else [], np.concatenate(salts).astype(np.int32) if salts else [], owner, before=before),
+        rows("token", np.concatenate(tokens) if tokens else [], np.concatenate(salts).astype(np.int32) if salts else [], owner, before=before, place=np.concatenate(places) if places else None),
     ])
 
 
@@ -167,7 +168,7 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by token, salt and class: each class once, without tokens of one class; salted tokens all stay."""
-    names = ["token", "signature", "size", "before"]
+    names = ["token", "signature", "size", "before", "place"]
     held: pa.RecordBatch | None = None  # the last different row so far, with whether it is out already
     held_out = False
     for b in batches:
@@ -210,8 +211,10 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_verify_rows, "a long, b long")
 
 
-def _size_fits(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _may_link(size: Column, place: Column, other_size: Column, other_place: Column) -> Column:
+    """Whether sets of these sizes can link if their first common token is at these places of their orders."""
+    shared = 1 + F.least(size - place, other_size - other_place)
+    return shared * (100 + PERCENT) >= PERCENT * (size + other_size)
 
 
 def _placed(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -227,7 +230,7 @@ def join_components(docs: DataFrame) -> DataFrame:
     by_block = deal_blocks(slim, parts).groupBy("block")
     sent = by_block.applyInArrow(lambda key, rows: _send(key, rows, parts), "part int, block int, size long, tokens binary, tallies binary")
     replies = sent.groupBy("part").applyInArrow(_reply, "block int, part int, size long, levels binary")
-    dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(_deal, "kind string, id long, salt int, signature long, size int, prefixes array<binary>, before array<long>, text string")
+    dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(_deal, "kind string, id long, salt int, signature long, size int, prefixes array<binary>, before array<long>, place int, text string")
     dealt = materialise(dealt, "jaccard-dealt")
 
     rows = dealt.where("kind = 'set'").select(F.col("id").alias("doc_id"), "signature", "size")
@@ -236,17 +239,19 @@ def join_components(docs: DataFrame) -> DataFrame:
     texts = dealt.where("kind = 'text'").join(classes, ["signature", "size"]).where("id = doc").dropDuplicates(["id"]).select(F.col("id").alias("doc_id"), "prefixes", "text")
     texts = materialise(texts, "jaccard-texts")
 
-    tokens = dealt.where("kind = 'token'").select(F.col("id").alias("token"), "salt", "signature", "size", "before")
+    tokens = dealt.where("kind = 'token'").select(F.col("id").alias("token"), "salt", "signature", "size", "before", "place")
     tokens = tokens.repartition(width, "token", "salt").sortWithinPartitions("token", "salt", "signature", "size")
-    shared = tokens.mapInArrow(_shared_tokens, "token long, signature long, size int, before array<long>")
-    buckets = materialise(shared.join(classes, ["signature", "size"]).select("token", "doc", "size", "before"), "jaccard-buckets")
+    shared = tokens.mapInArrow(_shared_tokens, "token long, signature long, size int, before array<long>, place int")
+    buckets = materialise(shared.join(classes, ["signature", "size"]).select("token", "doc", "size", "before", "place"), "jaccard-buckets")
 
     labels = classes.select(F.col("doc").alias("node"), F.col("doc").alias("label")).limit(0)
     for k in range(ROUNDS):
         placed = _placed(buckets.drop("before"), labels)
-        centre = F.min_by(F.struct("doc", "size", "label"), F.xxhash64("doc", F.lit(k))).alias("c")
-        drawn = placed.groupBy("token").agg(centre).select("token", F.col("c.doc").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.label").alias("centre_label"))
-        pairs = placed.join(drawn, "token").where((F.col("label") != F.col("centre_label")) & _size_fits(F.col("size"), F.col("centre_size")))
+        # at first the class whose token comes earliest, which has the fewest tokens of its own; then by hash
+        order = F.struct(F.col("place") if k == 0 else F.lit(0), F.xxhash64("doc", F.lit(k)))
+        drawn = placed.groupBy("token").agg(F.min_by(F.struct("doc", "size", "label", "place"), order).alias("c"))
+        drawn = drawn.select("token", F.col("c.doc").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.label").alias("centre_label"), F.col("c.place").alias("centre_place"))
+        pairs = placed.join(drawn, "token").where((F.col("label") != F.col("centre_label")) & _may_link(F.col("size"), F.col("place"), F.col("centre_size"), F.col("centre_place")))
         links = _verified(texts, materialise(pairs.select("centre", F.col("doc").alias("member")).distinct(), "jaccard-pairs"))
         labels = smallest_labels(links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
@@ -255,7 +260,7 @@ def join_components(docs: DataFrame) -> DataFrame:
     open_ = materialise(placed.join(mixed, "token"), "jaccard-open")
     left, right = open_.alias("l"), open_.alias("r")
     here = F.expr("l.token = r.token and l.doc < r.doc and l.label <> r.label and not arrays_overlap(l.before, r.before)")
-    rest = left.join(right, here & _size_fits(F.col("l.size"), F.col("r.size")))
+    rest = left.join(right, here & _may_link(F.col("l.size"), F.col("l.place"), F.col("r.size"), F.col("r.place")))
     rest = rest.select(F.col("l.doc").alias("centre"), F.col("r.doc").alias("member")).distinct()
     links = _verified(texts, materialise(rest, "jaccard-rest"))
     labels = smallest_labels(links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
