@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytekernel as K
+from .packing import trim
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
@@ -38,7 +39,7 @@ _BITS = 6  # of an edge's length
 #: Units of more characters are relaxed with a heap, one merge at a time.
 LONG_UNIT = 256
 #: Texts of about so many bytes are a batch, whose units are told apart together.
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 12 << 20
 #: Different units of about so many bytes are indexed together.
 INDEX_BYTES = 1 << 20
 
@@ -354,6 +355,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
         codec = _codec(vocabulary.value)
         for b in batches:
             for i, j in K.chunks(K.text_buffer(b.column(1))[1], BATCH_BYTES):
+                trim()
                 texts = b.column(1).slice(i, j - i).to_pylist()
                 buf, off = codec.prepared(texts)
                 for k, m, ids, toff, back in codec.encode(buf, off):
