@@ -65,11 +65,10 @@ def states(c: Column, cities: bool = False) -> Column:
     """Sorted codes of the states that are named anywhere in the text, or stand in it as codes in capitals."""
     text = F.coalesce(c, F.lit(""))
     names = STATE_NAMES | (CITY_STATES if cities else {})
-    table = F.array(*(F.struct(F.lit(k.lower()).alias("name"), F.lit(v).alias("code")) for k, v in names.items()))
     low = F.lower(text)
-    named = F.transform(F.filter(table, lambda s: low.contains(s["name"])), lambda s: s["code"])
-    codes = F.regexp_extract_all(text, F.lit(r"(?U)\b(" + "|".join(sorted(set(STATE_NAMES.values()))) + r")\b"), F.lit(1))
-    return F.array_sort(F.array_distinct(F.concat(named, codes)))
+    named = F.array(*(F.when(low.contains(name.lower()), F.lit(code)) for name, code in names.items()))
+    pairs = F.filter(F.regexp_extract_all(text, F.lit(r"(?U)\b([A-Z]{2})\b"), F.lit(1)), lambda x: x.isin(*sorted(set(STATE_NAMES.values()))))
+    return F.array_sort(F.array_distinct(F.concat(F.array_compact(named), pairs)))
 
 
 def canonical_url(c: Column) -> Column:

@@ -18,6 +18,10 @@ from pyspark.sql.utils import AnalysisException
 ENCODINGS = ("UTF-8", "windows-1252", "ISO-8859-1")
 
 
+#: Characters of windows-1252 by the ISO-8859-1 character of the same byte. (Spark reads only the latter.)
+_WINDOWS = {chr(i): bytes([i]).decode("cp1252") for i in range(0x80, 0xA0) if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
 def strings(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
@@ -38,11 +42,18 @@ def encoding_of(spark: SparkSession, path: str) -> str:
 
 def read_delimited(spark: SparkSession, path: str, encoding: str | None = None, schema: T.StructType | None = None) -> DataFrame:
     """All columns as text (or by ``schema``), blanks as empty strings, quoted line breaks kept, a byte-order mark and quotes taken off the names."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("emptyValue", "").option("nullValue", "\u0000").option("encoding", encoding or encoding_of(spark, path))
+    encoding = encoding or encoding_of(spark, path)
+    windows = encoding == ENCODINGS[1]
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", ENCODINGS[2] if windows else encoding)
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    out = reader.csv(path)
-    return out.toDF(*(clean_name(c) for c in out.columns))
+        out = reader.schema(schema).csv(path).fillna("")
+    else:
+        out = reader.csv(path)
+        out = out.toDF(*(clean_name(c.translate(str.maketrans(_WINDOWS)) if windows else c) for c in out.columns)).fillna("")
+    if windows:
+        plain, real = "".join(_WINDOWS), "".join(_WINDOWS.values())
+        out = out.select(*(F.translate(F.col(f"`{f.name}`"), plain, real).alias(f.name) if f.dataType == T.StringType() else F.col(f"`{f.name}`") for f in out.schema))
+    return out
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, kind: str = "csv") -> DataFrame:
