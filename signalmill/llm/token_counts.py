@@ -23,6 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import small_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern by which this vocabulary's texts are cut before merging.
@@ -57,7 +58,7 @@ def allocate(ends: np.ndarray, borders: np.ndarray, rule: str = "majority") -> t
     ``ends`` are the tokens' ends, ``borders`` the sections' starts followed by the text's end.
     """
     n = len(borders) - 1
-    starts = np.r_[0, ends[:-1]].astype(np.int64)
+    starts = np.r_[0, ends][: len(ends)].astype(np.int64)
     first = np.searchsorted(borders, starts, "right") - 1
     last = np.searchsorted(borders, ends, "left") - 1
     crossing = np.flatnonzero(first != last)
@@ -100,5 +101,5 @@ def count_tokens(docs: DataFrame, sections: Callable[[str], list[tuple[str, int,
             types = (pa.int64(), pa.string(), *[pa.int64()] * 4)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc_id", "section", "start", "end", "n_tokens", "n_crossing"])
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    slim = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(run, "doc_id long, section string, start long, end long, n_tokens long, n_crossing long")
