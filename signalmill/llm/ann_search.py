@@ -9,7 +9,7 @@ shard's vectors along one random direction. A query opens a window around its ow
 every array and counts for each vector in how many windows it lies. Vectors whose count reaches ``THRESHOLD`` of the arrays
 are verified by their inner product in double precision. Then the windows widen by ``WIDEN``
 (virtual rehashing: the arrays stay, the windows' ends move), until the k-th best verified is nearer by
-``SLACK`` than the distance at which the share of collisions is expected to be the threshold, or all
+``SLACK`` than the distance at which the share of collisions is expected to be the threshold (but not before ``LEAST_VERIFIED`` are), or all
 vectors of the shard are verified. The best of the shards are merged exactly.
 
 Queries go to the shards in blocks; every row is indexed. Vectors that are null, zero, of no
@@ -32,6 +32,8 @@ THRESHOLD = 0.7
 WIDEN = 1.25
 FIRST_WINDOW = 0.15
 SLACK = 1.15
+#: No search of a shard stops before so many vectors are verified.
+LEAST_VERIFIED = 1_000
 #: Vectors of a shard on average; places in its arrays are 16-bit numbers.
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 8_192
@@ -94,7 +96,7 @@ class ShardIndex:
                     done[more] = True
                     rows = np.r_[rows, more]
                     scores = np.r_[scores, self.x[more] @ queries[q]]
-                if len(rows) >= k:
+                if len(rows) >= max(k, LEAST_VERIFIED):
                     kth = np.partition(scores, len(scores) - k)[len(scores) - k]
                     cosine = kth / (self.longest * np.linalg.norm(queries[q]))
                     if np.sqrt(max(0.0, 2 - 2 * cosine)) * SLACK <= width / expected:
