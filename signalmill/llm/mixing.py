@@ -77,7 +77,7 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     languages = _share(languages.join(domains, "domain"), ["domain"], "language", F.col("domain_share")).select("domain", "language", F.col("share").alias("language_share"))
     leaves = leaves.withColumn("weight", _weight(F.col("origin"), mix.sources, mix.default_weight)).join(languages, ["domain", "language"])
     leaves = _share(leaves, ["domain", "language"], "origin", F.col("language_share"))
-    return leaves.select(*LEAF, "tokens", F.floor("share").cast("long").alias("quota"))
+    return leaves.select(*LEAF, "tokens", F.floor(F.round("share", 6)).cast("long").alias("quota"))
 
 
 def leaf_columns(docs: DataFrame, domain: Column) -> DataFrame:

@@ -146,7 +146,7 @@ WITH slim AS (
 ), l AS ({_level_sql(f"SELECT x.*, d.share AS up FROM (SELECT domain, language, sum(capacity) AS capacity, {_cases('language', MIX.languages, MIX.default_weight)} AS weight FROM leaves GROUP BY ALL) x JOIN d USING (domain)", "domain", "language", "up")}
 ), s AS ({_level_sql(f"SELECT x.*, l.share AS up FROM (SELECT *, {_cases('origin', MIX.sources, MIX.default_weight)} AS weight FROM leaves) x JOIN l USING (domain, language)", "domain, language", "origin", "up")}
 ), plan AS (
-  SELECT domain, language, origin, CAST(floor(share) AS BIGINT) // tokens AS epochs, CAST(floor(share) AS BIGINT) % tokens AS rest FROM s WHERE tokens > 0
+  SELECT domain, language, origin, CAST(floor(round(share, 6)) AS BIGINT) // tokens AS epochs, CAST(floor(round(share, 6)) AS BIGINT) % tokens AS rest FROM s WHERE tokens > 0
 ), ordered AS (
   SELECT *, sum(tokens_) OVER (PARTITION BY domain, language, origin ORDER BY md5({MIX.seed} || ':' || epochs || ':' || doc_id)) AS running
   FROM slim JOIN plan USING (domain, language, origin)
