@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .packing import lean_batches, lean_group
+from .storage import materialise, small_batches
 
 DELETED = bytes([0x20, *range(0x09, 0x0E)])
 QUOTIENT_BITS = 16
@@ -51,8 +52,8 @@ def _name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def name_texts(docs: DataFrame) -> DataFrame:
     """doc_id, fp, sha, n_points (code points of the original text) of every row."""
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(_name_rows, "doc_id long, fp long, sha binary, n_points long")
+    slim = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(lean_batches(_name_rows), "doc_id long, fp long, sha binary, n_points long")
 
 
 class QuotientFilter:
@@ -110,8 +111,8 @@ def repeated_fingerprints(named: DataFrame, ranges: int, bits: int = QUOTIENT_BI
         fp = (np.repeat(np.arange(1 << bits, dtype=np.uint64), np.diff(f.runs)) << np.uint64(64 - bits)) | f.remainders
         return pa.table({"fp": pa.array(fp[f.counts > 1].view(np.int64))})
 
-    packed = named.select("fp").mapInArrow(build, "part int, runs binary")
-    return packed.groupBy("part").applyInArrow(merge, "fp long")
+    packed = named.select("fp").mapInArrow(lean_batches(build), "part int, runs binary")
+    return packed.groupBy("part").applyInArrow(lean_group(merge), "fp long")
 
 
 def _distinct_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,8 +135,8 @@ def _distinct_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def verified_groups(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     """sha, keep_id, keep_points, group_size of each group of byte-equal normalised texts with a repeated fingerprint."""
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = slim.mapInArrow(_distinct_in_batch, "fp long, sha binary, body binary, n_points long, doc_id long, n long")
+    slim = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = slim.mapInArrow(lean_batches(_distinct_in_batch), "fp long, sha binary, body binary, n_points long, doc_id long, n long")
     best = F.max(F.struct("n_points", (-F.col("doc_id")).alias("neg_id")))
     return (
         texts.join(repeated, "fp", "left_semi")

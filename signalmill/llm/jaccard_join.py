@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import bytekernel as K
 from .components import smallest_labels
-from .packing import deal_blocks, expand, squeeze, unpack
+from .packing import deal_blocks, expand, lean_batches, lean_cogroup, lean_group, squeeze, unpack
 from .storage import materialise, shuffle_width
 
 WORDS = 5
@@ -208,7 +208,7 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     heads = centres.select("centre", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("centre").alias("doc_id"))
     rows = texts.join(members.unionByName(heads), "doc_id").select("centre", "salt", "doc_id", "prefixes", "text")
     rows = rows.repartition(shuffle_width(pairs.sparkSession), "centre", "salt").sortWithinPartitions("centre", "salt", F.col("doc_id") != F.col("centre"))
-    return rows.mapInArrow(_verify_rows, "a long, b long")
+    return rows.mapInArrow(lean_batches(_verify_rows), "a long, b long")
 
 
 def _may_link(size: Column, place: Column, other_size: Column, other_place: Column) -> Column:
@@ -228,9 +228,9 @@ def join_components(docs: DataFrame) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = max(1, -(-int(slim.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARACTERS))
     by_block = deal_blocks(slim, parts).groupBy("block")
-    sent = by_block.applyInArrow(lambda key, rows: _send(key, rows, parts), "part int, block int, size long, tokens binary, tallies binary")
-    replies = sent.groupBy("part").applyInArrow(_reply, "block int, part int, size long, levels binary")
-    dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(_deal, "kind string, id long, salt int, signature long, size int, prefixes array<binary>, before array<long>, place int, text string")
+    sent = by_block.applyInArrow(lean_group(lambda key, rows: _send(key, rows, parts)), "part int, block int, size long, tokens binary, tallies binary")
+    replies = sent.groupBy("part").applyInArrow(lean_group(_reply), "block int, part int, size long, levels binary")
+    dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(lean_cogroup(_deal), "kind string, id long, salt int, signature long, size int, prefixes array<binary>, before array<long>, place int, text string")
     dealt = materialise(dealt, "jaccard-dealt")
 
     rows = dealt.where("kind = 'set'").select(F.col("id").alias("doc_id"), "signature", "size")
@@ -241,7 +241,7 @@ def join_components(docs: DataFrame) -> DataFrame:
 
     tokens = dealt.where("kind = 'token'").select(F.col("id").alias("token"), "salt", "signature", "size", "before", "place")
     tokens = tokens.repartition(width, "token", "salt").sortWithinPartitions("token", "salt", "signature", "size")
-    shared = tokens.mapInArrow(_shared_tokens, "token long, signature long, size int, before array<long>, place int")
+    shared = tokens.mapInArrow(lean_batches(_shared_tokens), "token long, signature long, size int, before array<long>, place int")
     buckets = materialise(shared.join(classes, ["signature", "size"]).select("token", "doc", "size", "before", "place"), "jaccard-buckets")
 
     labels = classes.select(F.col("doc").alias("node"), F.col("doc").alias("label")).limit(0)

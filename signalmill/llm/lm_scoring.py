@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytekernel as K
-from .packing import deal_blocks, expand, squeeze, unpack
+from .packing import deal_blocks, expand, lean_cogroup, lean_group, squeeze, unpack
 
 ALPHA = 0.4
 ORDER = 3
@@ -185,8 +185,8 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_o
 
     packed = "part int, block int, n int, size long, grams binary, tallies binary"
     counted = "block int, n int, part int, size long, counts binary"
-    replies = by_block.applyInArrow(explode, packed).groupBy("part", "n").applyInArrow(count, counted)
+    replies = by_block.applyInArrow(lean_group(explode), packed).groupBy("part", "n").applyInArrow(lean_group(count), counted)
     for _ in range(FULL_ORDERS + 1, order + 1):
-        longer = by_block.cogroup(replies.groupBy("block")).applyInArrow(explode_longer, packed)
-        replies = replies.unionByName(longer.groupBy("part", "n").applyInArrow(count, counted))
-    return by_block.cogroup(replies.groupBy("block")).applyInArrow(join, "doc_id long, n_words long, score_micro long, mean_score double")
+        longer = by_block.cogroup(replies.groupBy("block")).applyInArrow(lean_cogroup(explode_longer), packed)
+        replies = replies.unionByName(longer.groupBy("part", "n").applyInArrow(lean_group(count), counted))
+    return by_block.cogroup(replies.groupBy("block")).applyInArrow(lean_cogroup(join), "doc_id long, n_words long, score_micro long, mean_score double")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytekernel as K
+from .storage import small_batches
 
 #: Texts of about so many bytes are dealt together.
 DEAL_BYTES = 32 << 20
@@ -54,13 +55,12 @@ def deal_blocks(docs: DataFrame, blocks: int) -> DataFrame:
         if held:
             yield pack(held)
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "block int, packed binary")
+    slim = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(lean_batches(run), "block int, packed binary")
 
 
 def unpack(rows: pa.Table) -> pa.Table:
     """doc_id and text of a block."""
-    trim()
     return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in rows.column("packed").to_pylist()]).combine_chunks()
 
 
@@ -71,3 +71,35 @@ def trim() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except OSError:  # another C library
         pass
+
+
+def lean_batches(f):
+    """``f`` over batches, giving memory back when a task's last batch is done."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        trim()
+
+    return run
+
+
+def lean_group(f):
+    """The same for a function of a key and its rows."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        out = f(key, rows)
+        trim()
+        return out
+
+    return run
+
+
+def lean_cogroup(f):
+    """The same for a function of a key and the rows of two tables."""
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = f(key, left, right)
+        trim()
+        return out
+
+    return run

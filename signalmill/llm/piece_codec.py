@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytekernel as K
-from .packing import trim
+from .packing import lean_batches, trim
+from .storage import small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
@@ -39,9 +40,9 @@ _BITS = 6  # of an edge's length
 #: Units of more characters are relaxed with a heap, one merge at a time.
 LONG_UNIT = 256
 #: Texts of about so many bytes are a batch, whose units are told apart together.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
 #: Different units of about so many bytes are indexed together.
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -369,5 +370,5 @@ def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
                         names=["doc_id", "n_tokens", "ids", "decoded_sha256", "same"],
                     )
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string, same boolean")
+    slim = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(lean_batches(run), "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string, same boolean")

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bytekernel as K
+from .packing import lean_batches
+from .storage import small_batches
 
 #: The bound of the documents that the driver fits on: about 20,000 x 19 numbers.
 SAMPLE_ROWS = 20_000
@@ -94,7 +96,7 @@ def with_statistics(docs: DataFrame, prefix: str = "") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, *_measured(b.column(at))], names=[*names, *(prefix + f for f in FEATURES)])
 
     schema = T.StructType([*docs.schema.fields, *(T.StructField(prefix + f, T.DoubleType()) for f in FEATURES)])
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(lean_batches(run), schema)
 
 
 def _slim(docs: DataFrame) -> DataFrame:

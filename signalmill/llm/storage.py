@@ -39,3 +39,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Bytes of an Arrow batch of texts. Long texts would otherwise make batches of up to Spark's own bound.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's bound on the bytes of an Arrow batch to BATCH_BYTES; a lower one stays."""
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH_CONF, str(2**31 - 1)).rstrip("b") or 0) > BATCH_BYTES:
+        conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    return df
