@@ -49,6 +49,13 @@ def grid_centre(cell: Column) -> tuple[Column, Column]:
     return (_part(cell, 2) + 0.5) * width - 90, (_part(cell, 3) + 0.5) * width - 180
 
 
+def grid_boundary(cell: Column) -> Column:
+    """The corners of a cell as (lat, lon), from the south-west round by the south-east."""
+    lat, lon = grid_centre(cell)
+    half = F.pow(F.lit(2.0), DEGREE - _part(cell, 1)) / 2
+    return F.array(*(F.struct((lat + y * half).alias("lat"), (lon + x * half).alias("lon")) for y, x in ((-1, -1), (-1, 1), (1, 1), (1, -1))))
+
+
 def viewport_zoom(west: Column, south: Column, east: Column, north: Column) -> Column:
     """Zoom that shows a box: 7 less the binary logarithm of its larger span, from 4 to 7."""
     span = F.greatest(east - west, north - south)

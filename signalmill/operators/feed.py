@@ -122,3 +122,18 @@ def drawer(feed: DataFrame, today: Column, days: int = 0, category: str | None =
 def status_order(rows: DataFrame, column: str, order: tuple[str, ...]) -> DataFrame:
     """``place``: the position of a status in a fixed order (0 if it has none)."""
     return rows.withColumn("place", F.array_position(F.array(*(F.lit(s) for s in order)), F.col(column)))
+
+
+def staged_on(staged: DataFrame, day: str) -> DataFrame:
+    """Rows that were staged on a day."""
+    return staged.where(F.to_date("staged_at") == F.lit(day).cast("date"))
+
+
+def value_counts(rows: DataFrame, column: str) -> DataFrame:
+    """Counts by value, most first, ties by value."""
+    return rows.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), column)
+
+
+def first_rows(rows: DataFrame, n: int, order: str = "row_idx") -> DataFrame:
+    """The first n rows in source order."""
+    return rows.orderBy(order).limit(n)

@@ -218,6 +218,13 @@ def cells_in_states(spark: SparkSession, sf: str) -> DataFrame:
     return cells.cells_in_states(_cells(spark, sf), dims.bounds(spark))
 
 
+@query(f"""WITH {_CELLS_SQL}, c AS (SELECT DISTINCT cell, resolution, CAST(split_part(cell, '-', 2) AS BIGINT) AS y, CAST(split_part(cell, '-', 3) AS BIGINT) AS x, pow(2.0, {geo.DEGREE} - resolution) AS w FROM both_)
+SELECT cell, y * w - 90 AS south, (y + 1) * w - 90 AS north, x * w - 180 AS west, (x + 1) * w - 180 AS east FROM c""")
+def cell_boundaries(spark: SparkSession, sf: str) -> DataFrame:
+    corners = _cells(spark, sf).select("cell", geo.grid_boundary(F.col("cell")).alias("p"))
+    return corners.select("cell", F.col("p")[0]["lat"].alias("south"), F.col("p")[2]["lat"].alias("north"), F.col("p")[0]["lon"].alias("west"), F.col("p")[2]["lon"].alias("east"))
+
+
 _H3 = [("85283473fffffff",), ("8528347bfffffff",), ("852a1073fffffff",), ("86283472fffffff",), ("8a2a1072b59ffff",)]
 
 

@@ -118,6 +118,16 @@ def seen_ttl_prune(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("article_id", F.coalesce("cached", F.lit(False)).alias("cached"), F.coalesce("kept", F.lit(False)).alias("kept"))
 
 
+@query(f"WITH {_STAGED_SQL} SELECT extraction_status, count(*) AS n FROM staged WHERE CAST(staged_at AS DATE) = DATE '2024-01-10' GROUP BY 1")
+def staged_on_day(spark: SparkSession, sf: str) -> DataFrame:
+    return feed.value_counts(feed.staged_on(_staged(spark, sf), "2024-01-10"), "extraction_status")
+
+
+@query(f"WITH {b.ARTICLES_SQL} SELECT count(DISTINCT user_id) AS users, count(DISTINCT state) AS states, count(DISTINCT category) AS categories FROM articles")
+def distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return b.articles(spark, sf).agg(F.countDistinct("user_id").alias("users"), F.countDistinct("state").alias("states"), F.countDistinct("category").alias("categories"))
+
+
 # parsers
 
 _NUMBERS = [(1, "240,549"), (2, ""), (3, None), (4, "n/a"), (5, "5d"), (6, " 7.25 "), (7, "-3"), (8, "1e3"), (9, "4.0"), (10, "1,2,3"), (11, "."), (12, "-2.7")]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedup import new_urls
+from ..operators.dedup import new_urls, stacked
 from ..operators.feed import unexpired
 from ..sources.readers import read_or_empty
 
@@ -45,6 +45,21 @@ def ingest(spark: SparkSession, source: str, schema: T.StructType, sink: str, st
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+CACHE = T.StructType([T.StructField("arrival", T.LongType()), T.StructField("title", T.StringType()), T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("published", T.TimestampType())])
+
+
+def mark_batch(rows: DataFrame, cache: DataFrame, now: Column, days: int = CACHE_DAYS, **thresholds: float) -> tuple[DataFrame, DataFrame]:
+    """Duplicates of one batch (arrival, title, v, published) against the cache of the last ``days`` days, and the next cache.
+
+    Arrivals go on from those of the cache. Duplicates never enter it.
+    """
+    old = unexpired(cache, "published", now, days)
+    both = old.withColumn("cached", F.lit(True)).unionByName(rows.select(*CACHE.names).withColumn("cached", F.lit(False)))
+    marks = stacked(both, **thresholds)
+    marked = rows.join(marks, "arrival")
+    return marked, old.unionByName(marked.where(~F.col("is_duplicate")).select(*CACHE.names))
+
+
 def first_in_window(stream: DataFrame, key: str, at: str, days: int = SEEN_DAYS) -> DataFrame:
     """Event-time form of the same for streams of any source: the first of each key within ``days`` days."""
     return stream.withWatermark(at, f"{days} days").dropDuplicatesWithinWatermark([key])

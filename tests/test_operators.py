@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from signalmill import dims
 from signalmill.functions import html, parse, rules, text
-from signalmill.operators import cells, dedup, feed, links, plants
+from signalmill.operators import cells, dedup, feed, links, models, plants
 from signalmill.sources import readers, writers
 from signalmill.streaming import runs
 
@@ -213,3 +213,33 @@ def test_empty_links(spark):
 def test_dates_and_numbers(spark):
     row = spark.sql("SELECT '1/6/2026 7:08 pm' AS d, '1,234.5' AS n, ' TRUE ' AS t").select(parse.any_date(F.col("d")).alias("d"), parse.facility_number(F.col("n")).alias("n"), parse.is_true(F.col("t")).alias("t"), parse.day_label(parse.any_date(F.col("d"))).alias("l")).first()
     assert str(row["d"]) == "2026-01-06 19:08:00" and row["n"] == 1234.5 and row["t"] and row["l"] == "Jan 6, 2026"
+
+
+def test_models_retry_and_stop(spark):
+    def factory():
+        calls = {"n": 0}
+
+        def client(q):
+            calls["n"] += 1
+            if q == "bad" or (q == "flaky" and calls["n"] % 2):
+                raise RuntimeError("no")
+            return "```json\n{\"primary_category\": \"x\", \"relevance_score\": 4}\n```"
+
+        return client
+
+    rows = spark.createDataFrame([(1, "flaky"), (2, "ok"), *[(3 + i, "bad") for i in range(6)], (20, "ok")], "article_id long, prompt string").coalesce(1)
+    got = {int(r["article_id"]): r for r in models.ask(rows, factory).withColumn("d", models.decoded(F.col("answer"))).collect()}
+    assert [got[i]["status"] for i in (1, 2, 3, 7, 8, 20)] == ["success", "success", "failed", "failed", "pending", "pending"]
+    assert got[2]["d"]["relevance_score"] == 4 and got[3]["d"] is None
+
+
+def test_rolling_dedup(spark):
+    day = "CAST('2024-01-{0:02d}' AS TIMESTAMP)"
+    batch = lambda rows: spark.sql(" UNION ALL ".join(f"SELECT CAST({a} AS BIGINT) AS arrival, '{t}' AS title, CAST(NULL AS ARRAY<DOUBLE>) AS v, {day.format(d)} AS published" for a, t, d in rows))
+    now = lambda d: F.lit(f"2024-01-{d:02d}").cast("timestamp")
+    marked, cache = runs.mark_batch(batch([(1, "Acme opens a site", 1), (2, "Acme opens a site!", 1), (3, "Other news of today", 1)]), spark.createDataFrame([], runs.CACHE), now(1))
+    assert values(marked, "arrival", "duplicate_of") == [(1, None), (2, 1), (3, None)]
+    marked, later = runs.mark_batch(batch([(4, "Acme opens a site", 2)]), cache, now(2))
+    assert values(marked, "arrival", "duplicate_of") == [(4, 1)] and later.count() == 2
+    marked, last = runs.mark_batch(batch([(5, "Acme opens a site", 20)]), later, now(20))
+    assert values(marked, "arrival", "duplicate_of") == [(5, None)] and values(last, "arrival") == [(5,)]
