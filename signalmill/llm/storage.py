@@ -1,36 +1,12 @@
-"""Intermediate tables in the shared folder that ``spark.checkpoint.dir`` names."""
+"""Tables of the data sets, and what the session says about folders, exchanges and batches."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set, as in tests."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="signalmill-")
-    return _own[app]
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it again.
+from ..session import materialise, shared_dir
 
-    The lineage is cut, a lost executor costs no recomputation, and later readers
-    prune columns. The table lives as long as the folder.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/signalmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["materialise", "shared_dir", "shuffle_width", "small_batches", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
