@@ -16,6 +16,8 @@ HAYSTACK = 1500
 TOP = 3
 #: Names of one task of the fuzzy match.
 NAME_BLOCK = 2_000
+#: Up to so many names are broadcast; more are shuffled to the articles.
+BROADCAST_NAMES = 100_000
 
 
 def linked(articles: DataFrame) -> DataFrame:
@@ -126,10 +128,11 @@ def candidates(articles: DataFrame, facility_names: DataFrame, threshold: float)
     Names are sent in blocks of bounded size, each of which meets all articles; a block keeps its best by
     article, so what leaves it grows with articles and not with pairs.
     """
-    pieces = facility_names.withColumn("block", F.pmod(F.xxhash64("name"), F.lit(max(1, -(-facility_names.count() // NAME_BLOCK)))).cast("int"))
+    size = facility_names.count()
+    pieces = facility_names.withColumn("block", F.pmod(F.xxhash64("name"), F.lit(max(1, -(-size // NAME_BLOCK)))).cast("int"))
     blocks = pieces.groupBy("block").agg(F.collect_list(F.struct("dc_id", "field", "name")).alias("names"))
     width = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = articles.select("id", "hay").repartition(width, "id").join(F.broadcast(blocks))  # a few thousand names of facilities
+    rows = articles.select("id", "hay").repartition(width, "id").join(F.broadcast(blocks) if size <= BROADCAST_NAMES else blocks)
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -430,10 +430,10 @@ def facility_article_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {_LINKABLE_SQL}, f AS (SELECT 'DC-' || i AS asset_id, 'Site ' || i AS label FROM (SELECT unnest(range(0, 50, 2)) AS i))
-SELECT id, string_agg(coalesce(label, 'Details unavailable'), '; ' ORDER BY pos) AS facility_labels FROM (SELECT id, unnest(dc_ids) AS asset_id, unnest(range(len(dc_ids))) AS pos FROM linkable WHERE id < 500) LEFT JOIN f USING (asset_id) GROUP BY id""")
+SELECT id, string_agg(coalesce(label, 'Details unavailable'), '; ' ORDER BY pos) AS facility_labels FROM (SELECT id, unnest(dc_ids) AS asset_id, unnest(range(len(dc_ids))) AS pos FROM linkable) LEFT JOIN f USING (asset_id) GROUP BY id""")
 def story_facilities(spark: SparkSession, sf: str) -> DataFrame:
     facilities = spark.range(0, 50, 2).select(F.concat(F.lit("DC-"), F.col("id").cast("string")).alias("asset_id"), F.concat(F.lit("Site "), F.col("id").cast("string")).alias("label"), F.col("id").alias("row_idx"))
-    stories = _linkable(spark, sf).where("id < 500 and size(dc_ids) > 0")
+    stories = _linkable(spark, sf).where("size(dc_ids) > 0")
     return links.story_facilities(stories, facilities).select("id", F.array_join("facility_labels", "; ").alias("facility_labels"))
 
 

@@ -34,7 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again."""
+    """``df`` written as Parquet in the shared folder and read again.
+
+    The lineage is cut, a lost executor costs no recomputation, and later readers
+    prune columns. The table lives as long as the folder.
+    """
     path = f"{shared_dir(df.sparkSession)}/signalmill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
