@@ -19,7 +19,9 @@ def plant_rollup(generators: DataFrame, order: str = "row_idx") -> DataFrame:
     at = F.col(order)
 
     def first_but_zero(c: str) -> Column:
-        return F.coalesce(F.min_by(c, F.when(F.col(c).isNull() | (F.col(c) != 0), at)), F.lit(0.0))
+        # a blank one counts as other than 0 and stays blank
+        first = F.min_by(F.struct(c), F.when(F.col(c).isNull() | (F.col(c) != 0), at))
+        return F.when(first.isNull(), F.lit(0.0)).otherwise(first[c])
 
     return generators.where("plant_id is not null").groupBy("plant_id").agg(
         F.min_by("plant_name", at).alias("plant_name"), F.min_by("state", at).alias("state"), F.min_by("county", at).alias("county"),
