@@ -34,7 +34,6 @@ DELETED = bytes([0x20, *range(0x09, 0x0E)])
 QUOTIENT_BITS = 16
 
 
-
 def _fingerprint(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "big", signed=True)
 
