@@ -33,12 +33,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def _tables(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/signalmill/{spark.sparkContext.applicationId}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     The lineage is cut, a lost executor costs no recomputation, and later readers
-    prune columns. The table lives as long as the folder.
+    prune columns. The table lives until ``drop_tables``.
     """
-    path = f"{shared_dir(df.sparkSession)}/signalmill/{name}-{uuid.uuid4().hex}"
+    path = f"{_tables(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete what ``materialise`` wrote in this application; results that were read from it must be written before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

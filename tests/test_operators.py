@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from signalmill import dims
+from signalmill import dims, session
 from signalmill.functions import html, parse, rules, text
 from signalmill.operators import cells, dedup, feed, links, models, plants
 from signalmill.sources import readers, writers
@@ -243,3 +243,11 @@ def test_rolling_dedup(spark):
     assert values(marked, "arrival", "duplicate_of") == [(4, 1)] and later.count() == 2
     marked, last = runs.mark_batch(batch([(5, "Acme opens a site", 20)]), later, now(20))
     assert values(marked, "arrival", "duplicate_of") == [(5, None)] and values(last, "arrival") == [(5,)]
+
+
+def test_tables_are_dropped(spark):
+    kept = session.materialise(spark.range(3), "x")
+    assert kept.count() == 3
+    session.drop_tables(spark)
+    with pytest.raises(Exception, match="(?i)exist"):
+        kept.count()
