@@ -175,6 +175,30 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+def _spans_sql(number: int, rule: secret_scan.Rule) -> str:
+    """The spans of a rule: places are what lies between its matches and the matches before."""
+    pattern = rule.exact.replace("(?ai:", "(?i:").replace("'", "''")
+    return f"""
+  SELECT doc_id, {number} AS number, '{rule.kind}' AS kind, upto - length(m) AS start_, upto AS end_ FROM (
+    SELECT *, CAST(sum(length(pre) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS upto FROM (
+      SELECT doc_id, unnest(m) AS m, unnest(s[1 : len(m)]) AS pre, unnest(g) AS g, unnest(range(len(m))) AS i FROM (
+        SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS s, regexp_extract_all(t, '{pattern}', {rule.group}) AS g
+        FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))))
+  WHERE length(g) >= {rule.least}"""
+
+
+_JOINED_SQL = "string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, number)"
+
+OP8_SQL = f"""
+WITH spans AS ({" UNION ALL ".join(_spans_sql(i, r) for i, r in enumerate(secret_scan.RULES))}),
+digests AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+    {_JOINED_SQL} FILTER (WHERE number < {len(secret_scan.BASE_KINDS)}) AS base, {_JOINED_SQL} AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN digests USING (doc_id)
+"""
+
 OP10_SQL = r"""
 WITH named AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents
@@ -186,4 +210,4 @@ FROM named WINDOW w AS (PARTITION BY body ORDER BY n DESC, doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op3_ann_search": OP3_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op3_ann_search": OP3_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op8_secret_scan": OP8_SQL, "op10_exact_dedup": OP10_SQL}
