@@ -82,10 +82,13 @@ class ShardIndex:
         expected = NormalDist().inv_cdf((1 + THRESHOLD) / 2)  # a window of this width holds THRESHOLD of distance 1
         out: list[tuple[int, np.ndarray, np.ndarray]] = []
         shifted, inside = np.empty_like(self.rank), np.empty(self.rank.shape, dtype=bool)
-        for q in range(len(queries)):
+        last = 0
+        for q in np.argsort(query_ids, kind="stable"):
             done = self.ids == query_ids[q]
             rows, scores = np.zeros(0, np.int64), np.zeros(0)
-            for w, width in enumerate(widths):
+            # two windows before where the last search ended: a wider first window can only verify more
+            for w in range(max(0, last - 2), len(widths)):
+                width, last = widths[w], w
                 # a vector lies in a window if its place in the sorted array lies between the window's ends
                 low, high = ends[0, w, :, q, None], ends[1, w, :, q, None]
                 np.subtract(self.rank, low.astype(np.uint16), out=shifted)
