@@ -65,8 +65,8 @@ def states(c: Column, cities: bool = False) -> Column:
     """Sorted codes of the states that are named anywhere in the text, or stand in it as codes in capitals."""
     text = F.coalesce(c, F.lit(""))
     names = STATE_NAMES | (CITY_STATES if cities else {})
-    low = F.lower(text)
-    named = F.array(*(F.when(low.contains(name.lower()), F.lit(code)) for name, code in names.items()))
+    # as a lambda's variable, the text in lower case is made once and not for every name
+    named = F.get(F.transform(F.array(F.lower(text)), lambda low: F.array(*(F.when(low.contains(name.lower()), F.lit(code)) for name, code in names.items()))), F.lit(0))
     pairs = F.filter(F.regexp_extract_all(text, F.lit(r"(?U)\b([A-Z]{2})\b"), F.lit(1)), lambda x: x.isin(*sorted(set(STATE_NAMES.values()))))
     return F.array_sort(F.array_distinct(F.concat(F.array_compact(named), pairs)))
 
