@@ -174,48 +174,55 @@ def backstop(rows: DataFrame, cached: DataFrame, threshold: float = COSINE) -> D
     return rows.join(near.groupBy(F.col("b").alias("arrival")).agg(F.count("*").alias("n_near")), "arrival", "left").withColumn("is_duplicate", F.col("n_near").isNotNull()).drop("n_near")
 
 
-def greedy(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200) -> DataFrame:
+def greedy(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200, near: DataFrame | None = None) -> DataFrame:
     """Sequential duplicate marking without a sequence.
 
     In arrival order, an article is a duplicate of the first kept article before it that an edge (a < b)
     joins it to; duplicates are compared with nothing. The kept ones are the first independent set in arrival order: in each
     round an article without a kept or undecided earlier neighbour is kept, and one with a kept earlier neighbour is a duplicate. Articles
-    with ``cached`` are kept from the start. Returns arrival, is_duplicate, duplicate_of.
+    with ``cached`` are kept from the start. Where ``nodes`` have a ``key``, articles of one key, or of two keys that ``near`` (a, b) pairs,
+    are joined too; only the earliest kept and the earliest undecided article of each key are looked at, so their pairs are never
+    formed. An empty key is like none. Returns arrival, is_duplicate, duplicate_of.
     """
+    key = F.when(F.col("key") != "", F.col("key")) if "key" in nodes.columns else F.lit(None).cast("string")
+    nodes = materialise(nodes.select("arrival", "cached", key.alias("key")), "greedy-nodes")
     edges = materialise(edges.select("a", "b").where("a < b").distinct(), "greedy-edges")
-    touched = edges.select(F.col("b").alias("arrival")).distinct()
-    open_ = materialise(nodes.where("not cached").join(touched, "arrival", "left_semi").select("arrival"), "greedy-open")
-    kept = materialise(nodes.select("arrival").join(open_, "arrival", "left_anti"), "greedy-kept")
+    meets = nodes.where("key is not null").select("key", F.col("key").alias("other")).distinct()
+    if near is not None:
+        ways = F.array(F.struct(F.col("a").alias("key"), F.col("b").alias("other")), F.struct(F.col("b").alias("key"), F.col("a").alias("other")))
+        meets = meets.unionByName(near.select(F.inline(ways)))
+    meets = materialise(meets, "greedy-meets")
+
+    def earliest(rows: DataFrame, others: DataFrame) -> DataFrame:
+        """arrival, first: the rows that have neighbours before them among the others, and the earliest of those."""
+        by_edge = edges.join(rows.select(F.col("arrival").alias("b")), "b").join(others.select(F.col("arrival").alias("a")), "a").select(F.col("b").alias("arrival"), F.col("a").alias("first"))
+        of_key = others.where("key is not null").groupBy(F.col("key").alias("other")).agg(F.min("arrival").alias("first"))
+        of_key = meets.join(of_key, "other").groupBy("key").agg(F.min("first").alias("first"))
+        by_key = rows.join(of_key, "key").where("first < arrival").select("arrival", "first")
+        return by_edge.unionByName(by_key).groupBy("arrival").agg(F.min("first").alias("first"))
+
+    fresh = nodes.where("not cached").select("arrival", "key")
+    open_ = materialise(fresh.join(earliest(fresh, nodes), "arrival", "left_semi"), "greedy-open")
+    kept = materialise(nodes.select("arrival", "key").join(open_, "arrival", "left_anti"), "greedy-kept")
     gone = open_.limit(0)
     for _ in range(most_rounds):
         if open_.isEmpty():
             break
-        earlier = edges.join(open_.select(F.col("arrival").alias("b")), "b")
-        dup = earlier.join(kept.select(F.col("arrival").alias("a")), "a", "left_semi").select(F.col("b").alias("arrival")).distinct()
-        waits = earlier.join(open_.select(F.col("arrival").alias("a")), "a", "left_semi").select(F.col("b").alias("arrival")).distinct()
-        dup = materialise(dup, "greedy-dup")
-        keep = materialise(open_.join(waits, "arrival", "left_anti").join(dup, "arrival", "left_anti"), "greedy-keep")
+        dup = materialise(open_.join(earliest(open_, kept), "arrival", "left_semi"), "greedy-dup")
+        keep = materialise(open_.join(earliest(open_, open_), "arrival", "left_anti").join(dup, "arrival", "left_anti"), "greedy-keep")
         gone, kept = gone.unionByName(dup), kept.unionByName(keep)
         open_ = materialise(open_.join(dup, "arrival", "left_anti").join(keep, "arrival", "left_anti"), "greedy-open")
     else:
         raise RuntimeError("greedy marking did not settle")
-    first = edges.join(kept.select(F.col("arrival").alias("a")), "a").groupBy(F.col("b").alias("arrival")).agg(F.min("a").alias("duplicate_of"))
-    out = nodes.select("arrival").join(gone.withColumn("is_duplicate", F.lit(True)), "arrival", "left").join(first, "arrival", "left")
-    return out.select("arrival", F.coalesce("is_duplicate", F.lit(False)).alias("is_duplicate"), F.when(F.col("is_duplicate"), F.col("duplicate_of")).alias("duplicate_of"))
+    out = nodes.select("arrival").join(earliest(gone, kept), "arrival", "left")
+    return out.select("arrival", F.col("first").isNotNull().alias("is_duplicate"), F.col("first").alias("duplicate_of"))
 
 
 def stacked(articles: DataFrame, ratio_threshold: float = TITLE_RATIO, cosine_threshold: float = COSINE) -> DataFrame:
-    """Title and vector layers together (arrival, title, v, cached): edges of both, then ``greedy``."""
-    keyed = articles.select("arrival", sorted_tokens(dedup_title(F.col("title"))).alias("key"))
-    pairs = title_pairs(keyed, ratio_threshold).select("a", "b")
-    x, y = keyed.withColumnRenamed("key", "a").withColumnRenamed("arrival", "p"), keyed.withColumnRenamed("key", "b").withColumnRenamed("arrival", "q")
-    fuzzy = pairs.join(x, "a").join(y, "b").select("p", "q")
-    # of equal titles each is joined to the first, which is kept or a duplicate of what the others are duplicates of
-    first = F.min("arrival").over(Window.partitionBy("key"))
-    same = keyed.where("key <> ''").select(first.alias("p"), F.col("arrival").alias("q")).where("p <> q")
-    near = cosine_pairs(articles.where("v is not null").select(F.col("arrival").alias("id"), "v"), cosine_threshold).select(F.col("a").alias("p"), F.col("b").alias("q"))
-    every = fuzzy.unionByName(same).unionByName(near).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-    return greedy(articles.select("arrival", "cached"), every)
+    """Title and vector layers together (arrival, title, v, cached): near titles by key and edges of near vectors, then ``greedy``."""
+    keyed = articles.select("arrival", "cached", sorted_tokens(dedup_title(F.col("title"))).alias("key"))
+    near = cosine_pairs(articles.where("v is not null").select(F.col("arrival").alias("id"), "v"), cosine_threshold).select("a", "b")
+    return greedy(keyed, near, near=title_pairs(keyed, ratio_threshold).select("a", "b"))
 
 
 def backfill(cache: DataFrame, staged: DataFrame, cutoff: Column) -> DataFrame:

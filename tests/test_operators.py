@@ -72,6 +72,49 @@ def test_greedy_is_the_sequential_fold(spark):
     assert values(got, "arrival", "is_duplicate", "duplicate_of") == sorted(want, key=repr)
 
 
+def stacked_fold(rows):
+    """(arrival, is_duplicate, duplicate_of) of rows (arrival, sorted title, v, cached), one after another."""
+    kept, out = [], []
+    for arrival, title, v, cached in sorted(rows):
+        first = None
+        for other, name, w, _ in kept:
+            titles = title and name and 200 * lcs(title, name) / (len(title) + len(name)) >= 88
+            vectors = v and w and sum(x * y for x, y in zip(v, w, strict=True)) >= 0.85 * (sum(x * x for x in v) * sum(x * x for x in w)) ** 0.5
+            if titles or vectors:
+                first = other
+                break
+        if cached or first is None:
+            kept.append((arrival, title, v, cached))
+            first = None
+        out.append((arrival, first is not None, first))
+    return sorted(out, key=repr)
+
+
+def stacked_rows(spark, rows):
+    return values(dedup.stacked(spark.createDataFrame(rows, "arrival long, title string, v array<double>, cached boolean")), "arrival", "is_duplicate", "duplicate_of")
+
+
+def test_stacked_keeps_one_of_a_title_whose_first_row_is_a_vector_duplicate(spark):
+    rows = [(0, "alpha", [1.0, 0.0, 0.0], False), (1, "same title", [1.0, 0.1, 0.0], False), (2, "same title", [0.0, 1.0, 0.0], False), (3, "same title", [0.0, 0.0, 1.0], False)]
+    want = [(0, False, None), (1, True, 0), (2, False, None), (3, True, 2)]
+    assert stacked_fold(rows) == want
+    assert stacked_rows(spark, rows) == want
+
+
+def test_stacked_is_the_sequential_fold(spark):
+    rnd = random.Random(7)
+    base = [" ".join(sorted("".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(4))) for _ in range(12)]
+    titles = base + [t[:-1] + "z" for t in base] + ["y" + t[1:-1] + "z" for t in base] + [""]
+    titles = [" ".join(sorted(t.split())) for t in titles]
+    rows = []
+    for i in range(240):
+        v = [rnd.gauss(0, 1) for _ in range(4)] if rnd.random() < 0.8 else None
+        rows.append((i, rnd.choice(titles), v, i < 12))
+    want = stacked_fold(rows)
+    assert sum(d for _, d, _ in want) > 20 and sum(not d for _, d, _ in want) > 20
+    assert stacked_rows(spark, rows) == want
+
+
 def test_percentile_ties_nulls_and_single(spark):
     rows = [("a", i, float(v)) for i, v in enumerate((0, 0, 0, 5, 7, 7))] + [("a", 9, None), ("b", 0, 3.0)]
     got = cells.percentile(spark.createDataFrame(rows, "g string, k int, v double"), ["g"], ["k"], {"v": "p"})
