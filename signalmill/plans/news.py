@@ -518,9 +518,16 @@ def semantic_backstop(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.backstop(rows.where("arrival % 10 <> 0"), rows.where("arrival % 10 = 0"), LOW_COSINE).select("arrival", "is_duplicate")
 
 
+#: Added to the arrivals of cached documents, so that they come before all others and keep their order.
+CACHED_ARRIVALS = -(1 << 62)
+
+
 @query()
 def greedy_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents with their vectors, by doc_id; those divisible by 50 are in the cache."""
+    """Documents with their vectors, by doc_id; those divisible by 50 are in the cache, which comes before all others. The rows have doc_ids again."""
     vectors = b.table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("v"))
-    rows = _titles(spark, sf).join(vectors, "doc_id", "left").select(F.col("doc_id").alias("arrival"), "title", "v", (F.col("doc_id") % 50 == 0).alias("cached"))
-    return dedup.stacked(rows, cosine_threshold=LOW_COSINE)
+    cached = F.col("doc_id") % 50 == 0
+    arrival = F.col("doc_id") + F.when(cached, CACHED_ARRIVALS).otherwise(0)
+    rows = _titles(spark, sf).join(vectors, "doc_id", "left").select(arrival.alias("arrival"), "title", "v", cached.alias("cached"))
+    marks = dedup.stacked(rows, cosine_threshold=LOW_COSINE)
+    return marks.withColumns({c: F.when(F.col(c) < 0, F.col(c) - CACHED_ARRIVALS).otherwise(F.col(c)) for c in ("arrival", "duplicate_of")})

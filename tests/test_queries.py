@@ -48,3 +48,12 @@ def test_entry_points(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
+
+
+def test_greedy_dedup_compares_with_all_of_the_cache(spark, tmp_path):
+    docs = [(20, "acme opens a site in the north\nx"), (50, "acme opens a site in the north\ny"), (51, "harbour vote moves to tuesday\nz"), (60, "quarterly figures\nx"), (70, "unlike all of these words\ny")]
+    vectors = [(60, [0.0, 1.0]), (100, [1.0, 0.0]), (70, [1.0, 0.0])]
+    spark.createDataFrame([*docs, (100, "nothing much")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["arrival"]: (r["is_duplicate"], r["duplicate_of"]) for r in REGISTRY["greedy_dedup"][0](spark, str(tmp_path)).collect()}
+    assert got == {20: (True, 50), 50: (False, None), 51: (False, None), 60: (False, None), 70: (True, 100), 100: (False, None)}
