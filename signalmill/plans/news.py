@@ -361,6 +361,13 @@ def rule_relevance(spark: SparkSession, sf: str) -> DataFrame:
     return b.inline(spark, _ARTICLES, _ARTICLE_SCHEMA).select("id", rules.relevance(text.states(F.concat_ws(" ", "title", "short", "body"))).alias("relevance"))
 
 
+@query(f"""SELECT id, CASE WHEN len(states) = 0 THEN 3 WHEN {_has(dims.CORE)} THEN 5 WHEN {_has(dims.EXPANSION + dims.ADJACENT)} THEN 4 ELSE 2 END AS relevance
+FROM (SELECT id, {_STATES_SQL.replace("coalesce(s, '')", "concat_ws(' ', title, short, body)")} AS states FROM {_ALL_SQL})""")
+def rule_relevance_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``rule_relevance``, over the inline articles and all documents."""
+    return _doc_articles(spark, sf).select("id", rules.relevance(text.states(F.concat_ws(" ", "title", "short", "body"))).alias("relevance"))
+
+
 @query(f"""SELECT id, CASE WHEN {_match('lower(title)', rules._any(dims.OPERATORS))} THEN 0.9 WHEN {_match('lower(head)', rules._any(dims.OPERATORS))} THEN 0.7 WHEN {_match('lower(body)', rules._any(dims.OPERATORS))} THEN 0.5 ELSE 0.0 END::DOUBLE AS confidence
 FROM (SELECT id, title, body, CASE WHEN len(s) > 0 THEN array_to_string(s[1:3], ' ') ELSE substr(trim(body), 1, 500) END AS head FROM (SELECT id, title, body, {_SENTENCES_SQL.replace('trim(text,', 'trim(body,')} AS s FROM {_ALL_SQL}))""")
 def rule_mention(spark: SparkSession, sf: str) -> DataFrame:

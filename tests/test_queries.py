@@ -57,3 +57,10 @@ def test_greedy_dedup_compares_with_all_of_the_cache(spark, tmp_path):
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     got = {r["arrival"]: (r["is_duplicate"], r["duplicate_of"]) for r in REGISTRY["greedy_dedup"][0](spark, str(tmp_path)).collect()}
     assert got == {20: (True, 50), 50: (False, None), 51: (False, None), 60: (False, None), 70: (True, 100), 100: (False, None)}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_every_document_has_a_relevance(spark):
+    ids = {r["id"] for r in REGISTRY["rule_relevance_documents"][0](spark, SF).collect()}
+    docs = {r["doc_id"] + 1000 for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
+    assert docs and ids == docs | set(range(1, 8))
