@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import materialise, shared_dir
 
-__all__ = ["materialise", "shared_dir", "shuffle_width", "small_batches", "table"]
+__all__ = ["join_sized", "materialise", "shared_dir", "shuffle_width", "small_batches", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,3 +29,19 @@ def small_batches(df: DataFrame) -> DataFrame:
     if int(conf.get(_BATCH_CONF, str(2**31 - 1)).rstrip("b") or 0) > BATCH_BYTES:
         conf.set(_BATCH_CONF, str(BATCH_BYTES))
     return df
+
+
+#: A key is hot when it has more than one in so many rows; there are fewer hot keys than this.
+HOT_PARTS = 1_000
+
+
+def join_sized(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` left-joined by ``key`` with ``groups`` (one row a key), whose ``size`` says how many rows have it.
+
+    Rows of hot keys meet a broadcast of fewer than HOT_PARTS groups and aren't shuffled; the others are joined by key. Both
+    tables are read twice, so they should be written ones.
+    """
+    limit = max(1, rows.count() // HOT_PARTS)
+    hot, cold = F.broadcast(groups.where(F.col(size) > limit)), groups.where(F.col(size) <= limit)
+    rest = rows.join(hot, key, "left_anti").join(cold, key, "left")
+    return rest.unionByName(rows.join(hot, key))

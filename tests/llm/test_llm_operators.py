@@ -355,17 +355,43 @@ def test_a_repeated_row_stays_once(spark):
     assert rows(exact_dedup.keep_first_copies(docs), "doc_id") == [(1,)]
 
 
-@given(st.lists(st.integers(0, 40), max_size=80), st.integers(1, 5))
-@settings(max_examples=60, deadline=None)
-def test_filters_merge_without_loss(values, parts):
-    fps = np.array(values, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    bits, cuts = 6, [0, 20, 64]
-    merged = Counter()
-    for a, b in zip(cuts, cuts[1:]):
-        got = [exact_dedup.QuotientFilter.unpack(exact_dedup.QuotientFilter(f, np.ones(len(f), np.int64), bits).pack(a, b), a, b, bits) for f in np.array_split(fps, parts)]
-        for x, c in got:
-            merged.update(dict(zip(x.tolist(), c.tolist())))
-    assert merged == Counter(fps.tolist())
+def test_rows_that_share_a_doc_id_are_different_documents(spark):
+    kept = lambda data: rows(exact_dedup.keep_first_copies(spark.createDataFrame(data, "doc_id long, text string, sha string, row string")), "doc_id", "text")
+    x = ("same names", "as inside")
+    assert kept([(5, "alpha", *x), (5, "alpha", *x), (5, "beta", *x)]) == [(5, "alpha"), (5, "beta")]
+    assert kept([(1, "same text", *x), (2, "same text", *x), (2, "unique text of id two", *x)]) == [(1, "same text"), (2, "unique text of id two")]
+    assert kept([(None, "a", *x), (None, "a", *x), (None, "b", *x), (3, "b", *x), (3, "b ", *x)]) == [(3, "b "), (None, "a")]
+    assert kept([(None, None, *x), (None, "", *x), (7, " ", *x), (-(2**63), "c", *x), (2**63 - 1, "c", *x)]) == [(-(2**63), "c"), (7, " ")]
+    # copies of a row whose other columns differ
+    assert len(kept([(1, "a", "p", "q"), (1, "a", "r", "s"), (1, "a", None, None)])) == 1
+
+
+def test_exact_groups_with_a_hot_one(spark, monkeypatch):
+    from signalmill.llm import storage
+
+    monkeypatch.setattr(storage, "HOT_PARTS", 10)
+    texts = ["hot copy"] * 300 + ["cold copy"] * 20 + [f"own {i}" for i in range(300)]
+    got = rows(exact_dedup.dedup(documents(spark, texts)), "doc_id", "keep_id", "group_size", "kept")
+    assert got == sorted(((i, 0, 300, i == 0) if i < 300 else (i, 300, 20, i == 300) if i < 320 else (i, i, 1, True) for i in range(620)), key=repr)
+
+
+@given(st.lists(st.lists(st.integers(0, 2**10 - 1), max_size=60), min_size=1, max_size=4), st.sampled_from([1, 10, 64]))
+@settings(max_examples=80, deadline=None)
+def test_filters_merge_without_loss(partitions, bits):
+    """Fingerprints of few bits fill whole runs; those of 64 have remainders."""
+    spread = (lambda v: v % 2) if bits == 1 else (lambda v: v) if bits == 10 else lambda v: v * 0x9E3779B97F4A7C15 % 2**64
+    partitions = [[spread(v) for v in p] for p in partitions]
+    sent = [exact_dedup.QuotientFilter(np.array(p, dtype=np.uint64), np.ones(len(p), np.int64), bits).pack() for p in partitions]
+    fp, counts = exact_dedup.QuotientFilter.merged([exact_dedup.QuotientFilter.unpack(x) for x in sent]).entries()
+    assert fp.tolist() == sorted(fp.tolist()) and dict(zip(fp.tolist(), counts.tolist())) == Counter(v for p in partitions for v in p)
+
+
+def test_repeated_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "FILTER_ENTRIES", 8)
+    values = [i * 0x9E3779B97F4A7C15 % 2**64 - 2**63 for i in [*range(300), *range(100, 180), 7, 7]]
+    named = spark.createDataFrame([(v,) for v in values], "fp long").repartition(5)
+    for ranges in (1, 3, 8):
+        assert rows(exact_dedup.repeated_fingerprints(named, ranges)) == sorted(((v,) for v, n in Counter(values).items() if n > 1), key=repr)
 
 
 # all
