@@ -5,25 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .storage import join_sized, materialise
 
 
-def smallest_labels(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node, label (the smallest node of its component) of every node of ``edges`` (a, b).
+def smallest_labels(edges: DataFrame) -> DataFrame:
+    """node, label (the smallest node of its component) of every node of ``edges`` (a, b); without edges, no row.
 
     A round takes the least label among a node and its neighbours and then the label's own
-    label, so the distance to the smallest node at least halves where labels form chains. It stops when no label has changed.
+    label, so the distance to the smallest node at least halves where labels form chains: rounds grow with the logarithm of
+    the longest chain. It stops when no label has changed. A node with very many neighbours, or a label of very many nodes, is joined by broadcast.
     """
     both = edges.where("a <> b").select("a", "b").distinct()
     both = materialise(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))), "cc-edges")
-    labels = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "cc-labels")
-    for _ in range(most_rounds):
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near")).withColumnRenamed("a", "node")
-        low = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        nxt = materialise(low.join(jump, "label").select("node", "old", F.least("label", "further").alias("label")), "cc-labels")
-        changed = nxt.where("label <> old").limit(1).count()
-        labels = nxt.select("node", "label")
-        if not changed:
-            return labels
-    raise RuntimeError("components did not settle")
+    labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"), F.count("*").alias("degree"))
+    labels = materialise(labels.withColumnRenamed("a", "node"), "cc-labels")
+    while True:
+        near = join_sized(both, labels.withColumnRenamed("node", "b"), "b", "degree").groupBy("a").agg(F.min("label").alias("near")).withColumnRenamed("a", "node")
+        low = materialise(labels.join(near, "node").select("node", "degree", F.col("label").alias("old"), F.least("label", "near").alias("label")), "cc-low")
+        used = low.groupBy("label").agg(F.count("*").alias("nodes"))
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further")).join(used, "label")
+        nxt = join_sized(low, jump, "label", "nodes").select("node", "degree", "old", F.least("label", "further").alias("label"))
+        labels = materialise(nxt, "cc-labels")
+        if labels.where("label <> old").isEmpty():
+            return labels.select("node", "label")

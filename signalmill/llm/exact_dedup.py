@@ -32,11 +32,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import lean_batches, lean_group
-from .storage import join_sized, materialise, shuffle_width, small_batches
+from .storage import join_sized, materialise, shuffle_width, small_batches, without_rows
 
 DELETED = bytes([0x20, *range(0x09, 0x0E)])
 #: Entries of a partition's filters at most; then they are sent and new ones begun, so memory doesn't follow the partition.
@@ -196,24 +196,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     )
 
 
-def _identity(text: Column) -> list[Column]:
-    """What tells the rows of one doc_id apart, as built-in functions."""
-    whole = F.coalesce(text.cast("string"), F.lit(""))
-    return [F.unhex(F.sha2(F.translate(whole, DELETED.decode(), ""), 256)).alias("sha"), F.length(whole).cast("long").alias("n_points")]
-
-
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    key = ["doc_id", "sha", "n_points"]
-    marks = _marked(docs).where("group_size is not null").groupBy(*key).agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    identity = {"doc_id": F.col("doc_id").cast("long"), "sha": F.unhex(F.sha2(F.translate(text, DELETED.decode(), ""), 256)), "n_points": F.length(text).cast("long")}
+    marks = _marked(docs).where("group_size is not null").groupBy(*identity).agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
     marks = materialise(marks.where("not stays or n > 1"), "exact-marks")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *_identity(F.col("text")))
-
-    def of(marks: DataFrame, how: str, rows: DataFrame) -> DataFrame:
-        m = marks.select(*(F.col(c).alias(f"{c}_") for c in key))
-        return rows.join(m, (rows["sha"] == m["sha_"]) & (rows["n_points"] == m["n_points_"]) & rows["doc_id"].eqNullSafe(m["doc_id_"]), how)
-
-    stay = of(marks.where("not stays"), "left_anti", rows)
-    again = marks.where("stays")  # rows that are repeated whole: one of each
-    single, one = of(again, "left_anti", stay), of(again, "left_semi", stay).groupBy(*key).agg(F.first("row").alias("row"))
-    return single.select("row.*").unionByName(one.select("row.*"))
+    return without_rows(docs, identity, marks.where("not stays"), marks.where("stays"))

@@ -3,17 +3,17 @@
 A document is the set of its distinct 5-word shingles. Two documents link when
 100 * |intersection| >= 80 * |union|. Under any total order of the tokens, the first
 |x| - ceil(0.8 |x|) + 1 tokens of linked sets share one. Each order gives such a filter, and a pair
-must pass all of them before it is verified on the whole texts.
+must pass all of them before its texts are brought together and it is verified on them whole.
 
-1. Documents are dealt into blocks by hash of doc_id. Blocks send hash ranges their distinct
+1. Documents are dealt into blocks by hash of doc_id and text. Blocks send hash ranges their distinct
    tokens (the first ``ORDER_BITS`` bits, sorted and packed) with counts of sets, and get back the level of each:
    0 for a token of one set, else 1 + the whole log2 of its count.
 2. The orders put tokens of low level first, then go by a hash that differs from order to
    order. Any order is right; two tokens that share their first bits only share a level.
    A document whose prefix under some order has no token of level 1 or more links with no other set. The others
    are candidates: their texts and prefixes go to a table of their own.
-3. Every set has a 64-bit name (with its size), and documents with the same set are one class from here on.
-   The candidates' prefix tokens of level 1 or more under the first order are dealt by token, very common ones
+3. Every set has a 64-bit name (with its size), and documents with the same set are one class from here on, with a number
+   of its own (its node). The candidates' prefix tokens of level 1 or more under the first order are dealt by token, very common ones
    salted, and sorted; a stream over them keeps tokens of two classes or more. These are the buckets.
 4. ``ROUNDS`` times every bucket draws one class by hash as its centre, and the classes in other
    components than the centre's are paired with it. Verified pairs make the components grow; a group of near copies of any size
@@ -21,11 +21,17 @@ must pass all of them before it is verified on the whole texts.
 5. Pairs inside a bucket that are still in different components are then all formed, so no
    link that could change a component is left out. Each row of a bucket knows the tokens before its own in
    its document's prefix; a pair that has one of them in common is formed there and not here.
-6. A pair must share a token in the prefixes under every other order too; then its
-   intersection is counted on the sets of the whole texts.
+6. A pair must share a token in the prefixes under every other order too. That is looked up in slim rows of 16 bits a
+   token, which may let a pair pass but never stop one that shares a token. Texts move only for pairs that pass all filters;
+   their intersection is counted on the sets of the whole texts.
 
-Null texts and texts without words have an empty set and link with nothing. Repeated rows are
-members of one class. Rows without doc_id take part in nothing and keep a null component. Extra columns take no part.
+Two different sets with one name and one size would count as one class; among n classes of a size that has odds of n^2 / 2^65 (for
+a billion of them 0.03). Two shingles with one 64-bit hash change an intersection by one.
+
+A document is a row: rows that share a doc_id but not the text are nodes of their own, which aren't linked by their doc_id. Null texts
+and texts without words have an empty set and link with nothing. Repeated rows and copies are
+members of one class. Rows without doc_id take part in nothing and keep a null component. Ties can't arise: a component is named by
+its smallest doc_id. An empty table gives no rows. A very long text is a block of its own. Extra columns take no part.
 """
 
 from __future__ import annotations
@@ -39,8 +45,8 @@ from pyspark.sql import functions as F
 
 from . import bytekernel as K
 from .components import smallest_labels
-from .packing import deal_blocks, expand, lean_batches, lean_cogroup, lean_group, squeeze, unpack
-from .storage import materialise, shuffle_width
+from .packing import deal_blocks, expand, lean_batches, lean_cogroup, lean_group, squeeze, text_digest, unpack
+from .storage import join_sized, materialise, shuffle_width, without_rows
 
 WORDS = 5
 PERCENT = 80
@@ -54,8 +60,8 @@ ORDER_BITS = 40
 HOT_LEVEL = 8
 #: Characters of a block, and of a hash range, on average.
 BLOCK_CHARACTERS = 8_000_000
-#: Members of a centre that one salt verifies.
-SALT_MEMBERS = 256
+#: Members of a centre that one salt verifies, and the most salts of a centre; a salt is a stream, so its members may be any number.
+SALT_MEMBERS, MOST_SALTS = 256, 4096
 
 
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -103,11 +109,12 @@ def _reply(key: tuple, rows: pa.Table) -> pa.Table:
     })
 
 
-_DEALT = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("salt", pa.int32()), ("signature", pa.int64()), ("size", pa.int32()), ("prefixes", pa.list_(pa.binary())), ("before", pa.list_(pa.int64())), ("place", pa.int32()), ("text", pa.string())])
+_DEALT = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("digest", pa.int64()), ("salt", pa.int32()), ("signature", pa.int64()), ("size", pa.int32()), ("tags", pa.list_(pa.list_(pa.int16()))), ("before", pa.list_(pa.int64())), ("place", pa.int32()), ("text", pa.string())])
 
 
 def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    """Of a block: a ``set`` row for each document, a ``text`` row for each candidate and a ``token`` row for each shared token of its first prefix."""
+    """Of a block: a ``set`` row for each document, a ``token`` row for each shared token of a candidate's first prefix, and of each
+    class of candidates a ``text`` row for the smallest doc_id."""
     replies = sorted(zip(*(right.column(c).to_pylist() for c in ("part", "size", "levels")), strict=True))
     block = unpack(left)
     sets = list(_sets(block.column("text")))
@@ -115,14 +122,19 @@ def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     names = [_signature(s) for s in sets]
     u = _block_tokens(sets)[0]
     levels = np.concatenate([expand(x, n) for _, n, x in replies]) if replies else np.zeros(0, np.uint64)
-    candidates, tokens, salts, owner, before, places = [], [], [], [], [], []
+    firsts: dict[tuple, int] = {}
     for d, s in enumerate(sets):
+        if docs[d] is not None and len(s) and docs[d] <= docs[firsts.setdefault((names[d], len(s)), d)]:
+            firsts[names[d], len(s)] = d
+    candidates, tokens, salts, owner, before, places = [], [], [], [], [], []
+    for d in firsts.values():
+        s = sets[d]
         level = levels[np.searchsorted(u, s >> np.uint64(64 - ORDER_BITS))]
-        if docs[d] is None or not level.any():
+        if not level.any():
             continue
         shared = [x[lv > 0] for x, lv in (prefix(s, level, k) for k in range(ORDERS))]
         if all(len(x) for x in shared):
-            candidates.append((d, [np.sort(x).tobytes() for x in shared[1:]]))
+            candidates.append((d, [np.unique(x.astype(np.uint16)).view(np.int16).tolist() for x in shared[1:]]))
             first, lv = prefix(s, level, 0)
             places.append(np.flatnonzero(lv > 0) + 1)
             first, lv = first[lv > 0], lv[lv > 0].astype(np.int64)
@@ -135,16 +147,16 @@ def _deal(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     signature, size = np.array(names, dtype=np.int64), np.array([len(s) for s in sets], dtype=np.int32)
     at = np.array([d for d, _ in candidates], dtype=np.int64)
 
-    def rows(kind: str, ids, salt, index, prefixes=None, before=None, place=None, text=None) -> pa.Table:
+    def rows(kind: str, ids, salt, index, digest=None, tags=None, before=None, place=None, text=None) -> pa.Table:
         k = len(index)
         return pa.Table.from_arrays([
-            pa.array([kind] * k, pa.string()), pa.array(ids, pa.int64()), pa.array(salt, pa.int32()), pa.array(signature[index]), pa.array(size[index]),
-            pa.array(prefixes or [None] * k, pa.list_(pa.binary())), pa.array(before or [None] * k, pa.list_(pa.int64())), pa.nulls(k, pa.int32()) if place is None else pa.array(place, pa.int32()), pa.array(text or [None] * k, pa.string()),
+            pa.array([kind] * k, pa.string()), pa.array(ids, pa.int64()), pa.nulls(k, pa.int64()) if digest is None else digest, pa.array(salt, pa.int32()), pa.array(signature[index]), pa.array(size[index]),
+            pa.array(tags or [None] * k, _DEALT.field("tags").type), pa.array(before or [None] * k, pa.list_(pa.int64())), pa.nulls(k, pa.int32()) if place is None else pa.array(place, pa.int32()), pa.array(text or [None] * k, pa.string()),
         ], schema=_DEALT)
 
     return pa.concat_tables([
-        rows("set", docs, np.zeros(n, np.int32), np.arange(n)),
-        rows("text", [docs[d] for d in at], np.zeros(m, np.int32), at, prefixes=[p for _, p in candidates], text=texts.take(pa.array(at)).to_pylist()),
+        rows("set", docs, np.zeros(n, np.int32), np.arange(n), digest=block.column("digest").combine_chunks()),
+        rows("text", [docs[d] for d in at], np.zeros(m, np.int32), at, tags=[t for _, t in candidates], text=texts.take(pa.array(at)).to_pylist()),
         rows("token", np.concatenate(tokens) if tokens else [], np.concatenate(salts).astype(np.int32) if salts else [], owner, before=before, place=np.concatenate(places) if places else None),
     ])
 
@@ -188,26 +200,30 @@ def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _verify_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The links of each centre, whose own row comes first."""
-    now, centre, filters = None, None, []
+    now, centre = None, None
     for b in batches:
         out: list[tuple[int, int]] = []
-        for c, salt, doc, prefixes, s in zip(*(b.column(k).to_pylist() for k in range(4)), _sets(b.column(4)), strict=True):
-            mine = [np.frombuffer(x, dtype=np.uint64) for x in prefixes]
-            if doc == c:
-                now, centre, filters = (c, salt), s, mine
-            elif now == (c, salt) and all(np.isin(x, f, assume_unique=True, kind="sort").any() for x, f in zip(mine, filters, strict=True)) and linked(centre, s):
-                out.append((c, doc))
+        for c, salt, node, s in zip(*(b.column(k).to_pylist() for k in range(3)), _sets(b.column(3)), strict=True):
+            if node == c:
+                now, centre = (c, salt), s
+            elif now == (c, salt) and linked(centre, s):
+                out.append((c, node))
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
 
-def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The linked pairs among ``pairs`` (centre, member). A centre with many members is verified in salts."""
-    salts = F.ceil(F.col("members") / SALT_MEMBERS).cast("int")
-    centres = materialise(pairs.groupBy("centre").agg(F.count("*").alias("members")).select("centre", salts.alias("salts")), "jaccard-centres")
-    members = pairs.join(centres, "centre").select("centre", F.pmod(F.xxhash64("member"), F.col("salts")).cast("int").alias("salt"), F.col("member").alias("doc_id"))
-    heads = centres.select("centre", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("centre").alias("doc_id"))
-    rows = texts.join(members.unionByName(heads), "doc_id").select("centre", "salt", "doc_id", "prefixes", "text")
-    rows = rows.repartition(shuffle_width(pairs.sparkSession), "centre", "salt").sortWithinPartitions("centre", "salt", F.col("doc_id") != F.col("centre"))
+def _verified(texts: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """The linked pairs among ``pairs`` (centre, member), which needn't differ. A centre with many members is verified in salts."""
+    pairs = materialise(pairs.distinct(), f"jaccard-{name}-pairs")
+    tags = texts.select("node", "tags")
+    centres = materialise(pairs.groupBy("centre").agg(F.count("*").alias("members")).join(tags.withColumnsRenamed({"node": "centre", "tags": "centre_tags"}), "centre"), f"jaccard-{name}-centres")
+    both = join_sized(pairs, centres, "centre", "members").join(tags.withColumnRenamed("node", "member"), "member")
+    for k in range(ORDERS - 1):
+        both = both.where(F.arrays_overlap(F.col("tags")[k], F.col("centre_tags")[k]))
+    salts = F.least(F.ceil(F.col("members") / SALT_MEMBERS), F.lit(MOST_SALTS))
+    members = materialise(both.select("centre", F.pmod(F.xxhash64("member"), salts).cast("int").alias("salt"), F.col("member").alias("node")), f"jaccard-{name}-members")
+    heads = members.select("centre", "salt", F.col("centre").alias("node")).distinct()
+    rows = texts.select("node", "text").join(members.unionByName(heads), "node").select("centre", "salt", "node", "text")
+    rows = rows.repartition(shuffle_width(pairs.sparkSession), "centre", "salt").sortWithinPartitions("centre", "salt", F.col("node") != F.col("centre"))
     return rows.mapInArrow(lean_batches(_verify_rows), "a long, b long")
 
 
@@ -218,60 +234,80 @@ def _may_link(size: Column, place: Column, other_size: Column, other_place: Colu
 
 
 def _placed(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """``rows`` with the label of their doc's component, at first the doc itself."""
-    return rows.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    """``rows`` with the label of their node's component, at first the node itself."""
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def join_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every row."""
+def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Written rows, doc_id, digest, signature, size of every row, and written classes: signature, size, node, doc (the smallest doc_id), n (rows) and label of every set that isn't empty."""
     width = shuffle_width(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = max(1, -(-int(slim.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARACTERS))
     by_block = deal_blocks(slim, parts).groupBy("block")
     sent = by_block.applyInArrow(lean_group(lambda key, rows: _send(key, rows, parts)), "part int, block int, size long, tokens binary, tallies binary")
     replies = sent.groupBy("part").applyInArrow(lean_group(_reply), "block int, part int, size long, levels binary")
-    dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(lean_cogroup(_deal), "kind string, id long, salt int, signature long, size int, prefixes array<binary>, before array<long>, place int, text string")
+    dealt = by_block.cogroup(replies.groupBy("block")).applyInArrow(lean_cogroup(_deal), "kind string, id long, digest long, salt int, signature long, size int, tags array<array<short>>, before array<long>, place int, text string")
     dealt = materialise(dealt, "jaccard-dealt")
 
-    rows = dealt.where("kind = 'set'").select(F.col("id").alias("doc_id"), "signature", "size")
-    classes = materialise(rows.where("size > 0 and doc_id is not null").groupBy("signature", "size").agg(F.min("doc_id").alias("doc")), "jaccard-classes")
-    # of copies, and of rows that share a doc_id, the text of the class's own document
-    texts = dealt.where("kind = 'text'").join(classes, ["signature", "size"]).where("id = doc").dropDuplicates(["id"]).select(F.col("id").alias("doc_id"), "prefixes", "text")
-    texts = materialise(texts, "jaccard-texts")
-
-    tokens = dealt.where("kind = 'token'").select(F.col("id").alias("token"), "salt", "signature", "size", "before", "place")
-    tokens = tokens.repartition(width, "token", "salt").sortWithinPartitions("token", "salt", "signature", "size")
+    name = ["signature", "size"]
+    rows = dealt.where("kind = 'set'").select(F.col("id").alias("doc_id"), "digest", *name)
+    classes = rows.where("size > 0 and doc_id is not null").groupBy(*name).agg(F.min("doc_id").alias("doc"), F.count("*").alias("n"))
+    classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
+    nodes = classes.select(*name, "node")
+    # blocks that hold copies of a class send a text each; one of them is the class's
+    texts = dealt.where("kind = 'text'").groupBy(*name).agg(F.min_by(F.struct("tags", "text"), "id").alias("of"))
+    texts = materialise(texts.join(nodes, name).select("node", "of.tags", "of.text"), "jaccard-texts")
+
+    tokens = dealt.where("kind = 'token'").select(F.col("id").alias("token"), "salt", *name, "before", "place")
+    tokens = tokens.repartition(width, "token", "salt").sortWithinPartitions("token", "salt", *name)
     shared = tokens.mapInArrow(lean_batches(_shared_tokens), "token long, signature long, size int, before array<long>, place int")
-    buckets = materialise(shared.join(classes, ["signature", "size"]).select("token", "doc", "size", "before", "place"), "jaccard-buckets")
+    buckets = materialise(shared.join(nodes, name).select("token", "node", "size", "before", "place"), "jaccard-buckets")
 
-    labels = classes.select(F.col("doc").alias("node"), F.col("doc").alias("label")).limit(0)
+    labels = nodes.select("node", F.col("node").alias("label")).limit(0)
     for k in range(ROUNDS):
         placed = _placed(buckets.drop("before"), labels)
         # at first the class whose token comes earliest, which has the fewest tokens of its own; then by hash
-        order = F.struct(F.col("place") if k == 0 else F.lit(0), F.xxhash64("doc", F.lit(k)))
-        drawn = placed.groupBy("token").agg(F.min_by(F.struct("doc", "size", "label", "place"), order).alias("c"))
-        drawn = drawn.select("token", F.col("c.doc").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.label").alias("centre_label"), F.col("c.place").alias("centre_place"))
+        order = F.struct(F.col("place") if k == 0 else F.lit(0), F.xxhash64("node", F.lit(k)))
+        drawn = placed.groupBy("token").agg(F.min_by(F.struct("node", "size", "label", "place"), order).alias("c"))
+        drawn = drawn.select("token", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.label").alias("centre_label"), F.col("c.place").alias("centre_place"))
         pairs = placed.join(drawn, "token").where((F.col("label") != F.col("centre_label")) & _may_link(F.col("size"), F.col("place"), F.col("centre_size"), F.col("centre_place")))
-        links = _verified(texts, materialise(pairs.select("centre", F.col("doc").alias("member")).distinct(), "jaccard-pairs"))
+        links = _verified(texts, pairs.select("centre", F.col("node").alias("member")), str(k))
         labels = smallest_labels(links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
     placed = _placed(buckets, labels)
     mixed = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
     open_ = materialise(placed.join(mixed, "token"), "jaccard-open")
     left, right = open_.alias("l"), open_.alias("r")
-    here = F.expr("l.token = r.token and l.doc < r.doc and l.label <> r.label and not arrays_overlap(l.before, r.before)")
+    here = F.expr("l.token = r.token and l.node < r.node and l.label <> r.label and not arrays_overlap(l.before, r.before)")
     rest = left.join(right, here & _may_link(F.col("l.size"), F.col("l.place"), F.col("r.size"), F.col("r.place")))
-    rest = rest.select(F.col("l.doc").alias("centre"), F.col("r.doc").alias("member")).distinct()
-    links = _verified(texts, materialise(rest, "jaccard-rest"))
+    links = _verified(texts, rest.select(F.col("l.node").alias("centre"), F.col("r.node").alias("member")), "rest")
     labels = smallest_labels(links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+    return rows, materialise(_placed(classes, labels), "jaccard-labelled")
 
-    final = _placed(classes, labels).select("signature", "size", F.col("label").alias("component"))
-    out = rows.join(final, ["signature", "size"], "left")
-    return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+def _components(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` with their class's doc, label and component (the smallest doc_id of the label), null without a class."""
+    components = materialise(classes.groupBy("label").agg(F.min("doc").alias("component"), F.count("*").alias("classes")), "jaccard-components")
+    named = join_sized(classes, components, "label", "classes").select("signature", "size", "doc", "n", "label", "component")
+    named = materialise(named, "jaccard-named")
+    some = F.expr("size > 0 and doc_id is not null")
+    joined = join_sized(rows.where(some), named, ["signature", "size"], "n")
+    return joined.unionByName(rows.where(F.expr("size = 0 or doc_id is null")), allowMissingColumns=True)
+
+
+def join_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every row."""
+    out = _components(*join_classes(docs))
+    return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, with all their columns."""
-    found = join_components(docs)
-    gone = materialise(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "jaccard-gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+    """The rows of ``docs`` without a component, with all their columns, and one row of each component: with its smallest doc_id, and of
+    several such texts the one with the least digest."""
+    found = materialise(_components(*join_classes(docs)).where("component is not null"), "jaccard-found")
+    first = found.where("doc_id = component").groupBy("label", "doc_id", "digest").agg(F.count("*").alias("n"))
+    several = materialise(first.groupBy("label").agg(F.min("digest").alias("keep"), F.sum("n").alias("rows")).where("rows > 1"), "jaccard-several")
+    first = materialise(first.join(several, "label"), "jaccard-first")
+    gone = found.where("doc_id <> component").select("doc_id", "digest").unionByName(first.where("digest <> keep").select("doc_id", "digest"))
+    identity = {"doc_id": F.col("doc_id").cast("long"), "digest": text_digest(F.col("text"))}
+    return without_rows(docs, identity, materialise(gone.distinct(), "jaccard-gone"), first.where("digest = keep and n > 1"))

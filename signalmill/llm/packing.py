@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytekernel as K
@@ -27,12 +27,18 @@ def expand(blob: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(8, n).T).view(np.uint64).reshape(-1)
 
 
+def text_digest(text: Column) -> Column:
+    """64 bits of a text, by which rows of one doc_id are told apart; a null text has those of an empty one."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def deal_blocks(docs: DataFrame, blocks: int) -> DataFrame:
-    """block, packed: the documents' doc_id and text, dealt into blocks by hash of doc_id and compressed."""
+    """block, packed: the documents' doc_id, text and digest, dealt into blocks by hash of doc_id and digest and compressed."""
     def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks()
         ids = rows.column("doc_id").fill_null(0).to_numpy().astype(np.int64).view(np.uint64)
-        block = (K.mix64(ids + np.uint64(1)) % np.uint64(blocks)).astype(np.int64)
+        named = K.mix64(ids + np.uint64(1)) ^ rows.column("digest").to_numpy().view(np.uint64)
+        block = (K.mix64(named) % np.uint64(blocks)).astype(np.int64)
         by = np.argsort(block, kind="stable")
         numbers, counts = np.unique(block, return_counts=True)
         out = []
@@ -47,7 +53,7 @@ def deal_blocks(docs: DataFrame, blocks: int) -> DataFrame:
         held, size = [], 0
         for b in batches:
             for i, j in K.chunks(K.text_buffer(b.column(1))[1], DEAL_BYTES):
-                held.append(pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i)], names=["doc_id", "text"]))
+                held.append(b.slice(i, j - i))
                 size += held[-1].nbytes
                 if size >= DEAL_BYTES:
                     yield pack(held)
@@ -55,12 +61,12 @@ def deal_blocks(docs: DataFrame, blocks: int) -> DataFrame:
         if held:
             yield pack(held)
 
-    slim = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    slim = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_digest(F.col("text")).alias("digest"))
     return slim.mapInArrow(lean_batches(run), "block int, packed binary")
 
 
 def unpack(rows: pa.Table) -> pa.Table:
-    """doc_id and text of a block."""
+    """doc_id, text and digest of a block."""
     return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in rows.column("packed").to_pylist()]).combine_chunks()
 
 

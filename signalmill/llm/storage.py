@@ -1,13 +1,13 @@
-"""Tables of the data sets, and what the session says about folders, exchanges and batches."""
+"""Tables of the data sets, what the session says about folders, exchanges and batches, and joins that no hot key holds up."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, shared_dir
 
-__all__ = ["join_sized", "materialise", "shared_dir", "shuffle_width", "small_batches", "table"]
+__all__ = ["join_sized", "materialise", "shared_dir", "shuffle_width", "small_batches", "table", "without_rows"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +35,7 @@ def small_batches(df: DataFrame) -> DataFrame:
 HOT_PARTS = 1_000
 
 
-def join_sized(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+def join_sized(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str) -> DataFrame:
     """``rows`` left-joined by ``key`` with ``groups`` (one row a key), whose ``size`` says how many rows have it.
 
     Rows of hot keys meet a broadcast of fewer than HOT_PARTS groups and aren't shuffled; the others are joined by key. Both
@@ -45,3 +45,17 @@ def join_sized(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataF
     hot, cold = F.broadcast(groups.where(F.col(size) > limit)), groups.where(F.col(size) <= limit)
     rest = rows.join(hot, key, "left_anti").join(cold, key, "left")
     return rest.unionByName(rows.join(hot, key))
+
+
+def without_rows(docs: DataFrame, identity: dict[str, Column], gone: DataFrame, again: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with their own columns, whose ``identity`` (named columns) isn't in ``gone``, and of each in ``again`` one. Nulls are equal to each other."""
+    rows = docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in identity.items()))
+
+    def of(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        keys = keys.select(*(F.col(name).alias(f"{name}_") for name in identity))
+        same = [rows[name].eqNullSafe(keys[f"{name}_"]) for name in identity]
+        return rows.join(keys, same, how)
+
+    stay = of(gone, "left_anti", rows)
+    one = of(again, "left_semi", stay).groupBy(*identity).agg(F.first("row").alias("row"))
+    return of(again, "left_anti", stay).select("row.*").unionByName(one.select("row.*"))

@@ -148,6 +148,29 @@ def test_jaccard_components(spark, monkeypatch, seed):
     assert sorted(got) == components(texts)
 
 
+def test_near_copies_are_dropped_by_row(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    kept = lambda data: rows(jaccard_join.keep_one_of_each(spark.createDataFrame(data, "doc_id long, text string, digest string, label string")), "doc_id", "text")
+    x = ("same names", "as inside")
+    assert kept([(5, a, *x), (5, a, *x), (5, b, *x)]) == sorted([(5, a), (5, b)])
+    assert kept([(1, a, *x), (2, a, *x), (2, b, *x), (3, b + " z", *x)]) == sorted([(1, a), (2, b)])
+    assert kept([(None, a, *x), (None, a, *x), (4, None, *x), (4, "", *x), (4, None, *x), (6, a, *x)]) == sorted([(None, a), (None, a), (4, None), (4, ""), (4, None), (6, a)], key=repr)
+    # two texts of one doc_id in one component: one of them stays
+    assert len(kept([(7, c, *x), (7, c + " z", *x), (8, c + " y", *x), (9, a, *x)])) == 2
+    got = rows(jaccard_join.join_components(spark.createDataFrame([(1, a), (2, a), (2, b), (3, b + " z"), (0, b + " y")], "doc_id long, text string")))
+    assert sorted(got) == [(0, 37, 0), (1, 36, 1), (2, 36, 0), (2, 36, 1), (3, 37, 0)]
+
+
+def test_jaccard_components_with_hot_keys(spark, monkeypatch):
+    from signalmill.llm import storage
+
+    monkeypatch.setattr(storage, "HOT_PARTS", 4)
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(50)]
+    texts = [" ".join([*base[:25], f"x{rnd.randint(0, 40)}", *base[25:]]) for _ in range(60)] + [" ".join(base)] * 40 + [f"own words of {i} are few" for i in range(30)] + [""] * 40
+    assert sorted(rows(jaccard_join.join_components(documents(spark, texts)), "doc_id", "n_shingles", "component_id")) == components(texts)
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)]
     got = dict(rows(smallest_labels(spark.createDataFrame(edges, "a long, b long")), "node", "label"))
