@@ -8,14 +8,17 @@ Vectors are dealt into shards. A shard's index is ``PROJECTIONS`` sorted arrays,
 shard's vectors along one random direction. A query opens a window around its own place in
 every array and counts for each vector in how many windows it lies. Vectors whose count reaches ``THRESHOLD`` of the arrays
 are verified by their inner product in double precision. Then the windows widen by ``WIDEN``
-(virtual rehashing: the arrays stay, the windows' ends move), until the k-th best verified is nearer by
-``SLACK`` than the distance at which the share of collisions is expected to be the threshold (but not before ``LEAST_VERIFIED`` are), or all
-vectors of the shard are verified. The best of the shards are merged exactly.
+(virtual rehashing: the arrays stay, the windows' ends move along them, and only the vectors that they pass are counted anew), until
+the k-th best verified is nearer by ``SLACK`` than the distance at which the share of collisions is expected to be the
+threshold, or the windows hold the whole arrays. A first window that holds more than half of its arrays is counted by what
+lies outside of it. The best of the shards are merged exactly. No shard is searched exhaustively by rule, however small;
+the result is approximate at every size.
 
 Queries go to the shards in blocks; every row is indexed. Vectors that are null, zero, of no
 component, or with null or non-finite components take no part; vectors of different lengths are
-never compared. Rows with the query's own vec_id are not its candidates; a repeated query counts once. Ties go to
-the smaller vec_id. Scores are sums in the order of the components. Extra columns take no part.
+never compared. Rows with the query's own vec_id are not its candidates; of a repeated query the least vector counts. Repeated rows are
+candidates each. Ties go to the smaller vec_id. Scores are sums in the order of the components. An empty table gives no
+rows. There are no texts here; vectors of any length do. Extra columns take no part.
 """
 
 from __future__ import annotations
@@ -28,15 +31,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PROJECTIONS = 64
-THRESHOLD = 0.7
-WIDEN = 1.25
+THRESHOLD = 0.9
+WIDEN = 1.2
 FIRST_WINDOW = 0.15
-SLACK = 1.15
-#: No search of a shard stops before so many vectors are verified.
-LEAST_VERIFIED = 1_000
-#: Vectors of a shard on average; places in its arrays are 16-bit numbers.
+SLACK = 1.17
+#: Steps below the end of the last search at which a search begins; a wider first window can only verify more.
+STEPS_BACK = 2
+#: Vectors of a shard on average.
 SHARD_ROWS = 16_384
-BLOCK_QUERIES = 8_192
+BLOCK_QUERIES = 2_048
 SEED = 20
 
 
@@ -51,70 +54,74 @@ class ShardIndex:
     """Sorted arrays of projections of a shard's vectors."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, longest: float):
-        if len(ids) >= 1 << 16:
-            raise ValueError("a shard holds at most 65535 vectors")
-        self.ids, self.x = ids, x
+        self.ids, self.x, self.longest, n = ids, x, longest, len(ids)
         unit = x / longest
         lift = np.sqrt(np.maximum(0.0, 1.0 - (unit**2).sum(axis=1)))
         self.directions = np.random.default_rng(SEED).standard_normal((x.shape[1] + 1, PROJECTIONS))
-        at = np.column_stack([unit, lift]) @ self.directions
-        order = np.argsort(at, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(at, order, axis=0).T.copy()
-        #: of each projection and vector, its place in the sorted array
-        self.rank = np.argsort(order, axis=0, kind="stable").T.astype(np.uint16).copy()
-        self.longest = longest
+        at = (np.column_stack([unit, lift]) @ self.directions).T
+        order = np.argsort(at, axis=1, kind="stable")
+        self.reach = float(np.abs(at).max())
+        # one after another, each array moved beyond the one before, so that one search finds the places in all of them
+        self.step = 4 * max(self.reach, float(np.linalg.norm(self.directions, axis=0).max())) + 1
+        self.arrays = (np.take_along_axis(at, order, axis=1) + self.step * np.arange(PROJECTIONS)[:, None]).ravel()
+        self.rows = order.astype(np.int32).ravel()
+        self.borders = np.arange(PROJECTIONS + 1) * n
+        #: vectors verified in all searches
+        self.verified = 0
+
+    def _passed(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """How often each vector stands in these slices of the arrays."""
+        return np.bincount(np.concatenate([self.rows[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]), minlength=len(self.ids))
+
+    def _nearest(self, own: np.ndarray, query: np.ndarray, place: np.ndarray, k: int, width: float) -> tuple[np.ndarray, float]:
+        """Rows that may be among the k nearest verified of one query, and the last window's width. ``own`` aren't candidates."""
+        need, expected = int(np.ceil(THRESHOLD * PROJECTIONS)), NormalDist().inv_cdf((1 + THRESHOLD) / 2)
+        length, whole = np.linalg.norm(query), self.reach + float(np.abs(place).max())
+        at = place + self.step * np.arange(PROJECTIONS)
+        done = own.copy()
+        rows, scores = np.zeros(0, np.int64), np.zeros(0)
+        low = high = counts = None
+        while True:
+            a, b = np.searchsorted(self.arrays, at - width, "left"), np.searchsorted(self.arrays, at + width, "right")
+            a, b = np.maximum(a, self.borders[:-1]), np.minimum(b, self.borders[1:])
+            if counts is not None:
+                counts += self._passed(np.r_[a, high], np.r_[low, b])
+            elif 2 * int((b - a).sum()) > len(self.rows):
+                counts = PROJECTIONS - self._passed(np.r_[self.borders[:-1], b], np.r_[a, self.borders[1:]])
+            else:
+                counts = self._passed(a, b)
+            low, high = a, b
+            more = np.flatnonzero((counts >= need) & ~done)
+            if len(more):
+                done[more] = True
+                rows, scores = np.r_[rows, more], np.r_[scores, self.x[more] @ query]
+            kth = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else -np.inf
+            distance = np.sqrt(max(0.0, 2 - 2 * kth / (self.longest * length)))
+            enough = distance * SLACK * expected
+            if enough <= width or width >= whole:
+                break
+            width = min(enough, width * WIDEN)
+        self.verified += len(rows)
+        return rows[scores >= kth - 1e-9 * max(1.0, abs(kth))] if np.isfinite(kth) else rows, width
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """query position, row and score of the k nearest verified of each query (ties at the end included)."""
-        n, need = len(self.ids), int(np.ceil(THRESHOLD * PROJECTIONS))
+        """query position, row and score of the k nearest found of each query."""
         unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
-        place = np.column_stack([unit, np.zeros(len(unit))]) @ self.directions
-        reach = float(max(np.abs(self.sorted).max(), np.abs(place).max())) * 2 + 1
-        widths = [FIRST_WINDOW]
-        while widths[-1] < reach:
-            widths.append(widths[-1] * WIDEN)
-        # lower and upper ends of all windows: width, projection, query
-        ends = np.empty((2, len(widths), PROJECTIONS, len(queries)), dtype=np.int32)
-        for w, width in enumerate(widths):
-            for j in range(PROJECTIONS):
-                ends[0, w, j] = np.searchsorted(self.sorted[j], place[:, j] - width, "left")
-                ends[1, w, j] = np.searchsorted(self.sorted[j], place[:, j] + width, "right")
-        expected = NormalDist().inv_cdf((1 + THRESHOLD) / 2)  # a window of this width holds THRESHOLD of distance 1
-        out: list[tuple[int, np.ndarray, np.ndarray]] = []
-        shifted, inside = np.empty_like(self.rank), np.empty(self.rank.shape, dtype=bool)
-        last = 0
-        for q in np.argsort(query_ids, kind="stable"):
-            done = self.ids == query_ids[q]
-            rows, scores = np.zeros(0, np.int64), np.zeros(0)
-            # two windows before where the last search ended: a wider first window can only verify more
-            for w in range(max(0, last - 2), len(widths)):
-                width, last = widths[w], w
-                # a vector lies in a window if its place in the sorted array lies between the window's ends
-                low, high = ends[0, w, :, q, None], ends[1, w, :, q, None]
-                np.subtract(self.rank, low.astype(np.uint16), out=shifted)
-                np.less(shifted, (high - low).astype(np.uint16), out=inside)
-                counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
-                more = np.flatnonzero((counts >= need) & ~done)
-                if len(more):
-                    done[more] = True
-                    rows = np.r_[rows, more]
-                    scores = np.r_[scores, self.x[more] @ queries[q]]
-                if len(rows) >= max(k, LEAST_VERIFIED):
-                    kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                    cosine = kth / (self.longest * np.linalg.norm(queries[q]))
-                    if np.sqrt(max(0.0, 2 - 2 * cosine)) * SLACK <= width / expected:
-                        break
-                if done.all():
-                    break
-            if len(rows) > k:
-                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                rows = rows[scores >= kth - 1e-9 * max(1.0, abs(kth))]
-            exact = np.zeros(len(rows))
-            for j in range(self.x.shape[1]):
-                exact += self.x[rows, j] * queries[q, j]
-            best = np.lexsort((self.ids[rows], -exact))[:k]
-            out.append((q, rows[best], exact[best]))
-        return np.repeat([q for q, _, _ in out], [len(r) for _, r, _ in out]).astype(np.int64), np.concatenate([r for _, r, _ in out]).astype(np.int64), np.concatenate([s for _, _, s in out])
+        places = np.column_stack([unit, np.zeros(len(unit))]) @ self.directions
+        by = np.argsort(query_ids, kind="stable")
+        found, width = [], FIRST_WINDOW
+        for q in by.tolist():
+            rows, last = self._nearest(self.ids == query_ids[q], queries[q], places[q], k, width)
+            found.append(rows)
+            width = max(FIRST_WINDOW, last / WIDEN**STEPS_BACK)
+        q, rows = np.repeat(by, [len(r) for r in found]), np.concatenate([np.zeros(0, np.int64), *found])
+        exact = np.zeros(len(rows))
+        for j in range(self.x.shape[1]):
+            exact += self.x[rows, j] * queries[q, j]
+        best = np.lexsort((self.ids[rows], -exact, q))
+        q, rows, exact = q[best], rows[best], exact[best]
+        rank = np.arange(len(q)) - np.searchsorted(q, q, "left")
+        return q[rank < k], rows[rank < k], exact[rank < k]
 
 
 def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
@@ -127,8 +134,8 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     # every shard meets every block of queries: the smaller side of each is repeated
-    data = rows.withColumn("dim", F.size("v")).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).withColumn("block", numbers(blocks))
-    asked = rows.where(is_query).dropDuplicates(["vec_id"]).withColumn("dim", F.size("v"))
+    data = rows.withColumn("dim", F.size("v")).withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")).withColumn("block", numbers(blocks))
+    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")).withColumn("shard", numbers(shards))
 
     def matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +147,7 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
         if left.num_rows and right.num_rows:
             ids, x = matrix(left)
             query_ids, queries = matrix(right)
-            for i in range(0, len(ids), 2 * SHARD_ROWS):  # a shard is larger only where rows repeat a vec_id
+            for i in range(0, len(ids), 2 * SHARD_ROWS):  # a shard is larger only where whole rows repeat
                 own = slice(i, i + 2 * SHARD_ROWS)
                 q, r, s = ShardIndex(ids[own], x[own], longest).search(query_ids, queries, k)
                 found.append((query_ids[q], ids[own][r], s))
