@@ -15,8 +15,11 @@ escaped, and the turn is rendered and parsed again until both are the same.
 
 A parsed turn ends where its closing string ends, so turns can be rendered, parsed and
 digested one after another: rows are sorted by conversation and turn, and a conversation of
-any length passes in constant memory. Null texts and roles are empty strings; rows with equal
-turn go by role, then text, and repeated rows are turns of their own. Extra columns take no part.
+any length passes in constant memory. Rows that come in another order, as from a table that was written and read again, are
+noticed and refused; ``read_back`` sorts them if told so.
+
+Null texts and roles are empty strings; a null turn comes first, and rows without conv_id are one conversation. Rows with equal
+turn go by role, then text, and repeated rows are turns of their own. An empty table gives no rows. A very long text is one value of a row. Extra columns take no part.
 """
 
 from __future__ import annotations
@@ -158,8 +161,14 @@ class _Digest:
         return self.conv, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """A digest of each conversation, parsed from the rows of ``format_turns`` as they come (by conversation and seq)."""
+class OrderError(ValueError):
+    """The rows don't come by conversation and seq."""
+
+
+def read_back(formatted: DataFrame, sort: bool = False) -> DataFrame:
+    """A digest of each conversation, parsed from the rows of ``format_turns`` as they come, or dealt and sorted by conversation and seq."""
+    if sort:
+        formatted = formatted.repartition(shuffle_width(formatted.sparkSession), "conv_id").sortWithinPartitions("conv_id", "seq")
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
     names = [x.split()[0] for x in schema.split(", ")]
@@ -169,13 +178,15 @@ def read_back(formatted: DataFrame) -> DataFrame:
         for b in batches:
             done = []
             for conv, seq, s, x, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if now is None or seq == 0:
+                if seq == 0:
                     if now is not None:
                         done.append(now.row())
                     now = _Digest(conv)
+                if now is None or (conv, seq) != (now.conv, now.turns):
+                    raise OrderError(f"turn {seq} of conversation {conv} is out of its place")
                 now.read(s, (x, y))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in done], t) for k, t in enumerate(types)], names=names)
         if now is not None:
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(now.row(), types, strict=True)], names=names)
 
-    return formatted.mapInArrow(run, schema)
+    return formatted.select("conv_id", "seq", "formatted", "loss_start", "loss_end").mapInArrow(run, schema)

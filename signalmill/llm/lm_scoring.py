@@ -22,7 +22,9 @@ sums don't depend on their order.
 
 A very common n-gram is one entry a block, so no key is hot; only the corpus's number of words goes to the driver.
 Words are runs outside ``[\\x20\\x09-\\x0D]`` with A-Z in lower case. Null and empty texts have no words, a
-score sum of 0 and no mean. Each row is a document of its own, repeated rows too. Extra columns take no part.
+score sum of 0 and no mean; an empty table gives no rows. Each row is a document of its own, repeated rows and rows that share a doc_id or
+have none too. Ties don't arise, as sums are of integers. A very long text is a block of its own, in memory in proportion to it.
+N-grams are told apart by 64-bit hashes: among n different ones n^2 / 2^65 pairs are expected to share one. Extra columns take no part.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ and selection is a filter on it: texts are not shuffled.
 
 Null languages and sources form the node ``unknown``; nodes without a given weight have
 ``default_weight``. Null and empty texts have no tokens and come with the prefix they fall in, a
-leaf without tokens is not taken; rows that repeat a ``doc_id`` in a leaf are taken or left together. Extra columns take no part.
+leaf without tokens is not taken; rows that repeat a ``doc_id`` in a leaf, or have none, tie in the order and are taken or left together. An empty
+table gives no rows. Very long texts are counted whole where they are. Extra columns take no part and keep their names.
 """
 
 from __future__ import annotations

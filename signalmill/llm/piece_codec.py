@@ -14,7 +14,8 @@ each unit contracts the best edge that covers exactly two neighbours, until no s
 
 Decoding concatenates the pieces' bytes and takes off the mark in front. Null and empty texts have
 no tokens. A word mark (U+2581) in a text is read as a space, which is the only thing that decoding doesn't give back.
-Each row is encoded for itself, repeated rows too. Extra columns take no part.
+Each row is encoded for itself, repeated rows too; an empty table gives no rows. Ties between merges go to the leftmost. A text of any length is encoded
+whole; a unit without a break is relaxed with a heap. Extra columns take no part.
 """
 
 from __future__ import annotations

@@ -9,8 +9,10 @@
 
 The fit takes at most ``sample_rows`` labelled documents, chosen by hash of doc_id, and only those that
 ``train`` admits; labels are never read for scoring. Null and empty texts have zeros as statistics
-and are scored like others. Labels that are null are left out; a document that is labelled twice counts with its least label.
-Without labels of both kinds the score is their share (0.5 without any). Extra columns take no part.
+and are scored like others, and so are repeated rows. Labels that are null are left out; a document that is labelled twice counts with its least label, and
+of rows that share a doc_id the one with the least statistics is fitted on. Without labels of both kinds, or statistics that tell them apart, the score is the share of good ones (0.5 without labels).
+A null doc_id isn't held out, and has no label. Ties between splits go to the first statistic and limit. An empty table gives no rows. A very long text
+is measured whole, in memory in proportion to it. Extra columns take no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -176,10 +178,10 @@ def _holds(x: np.ndarray, path: tuple[Condition, ...]) -> np.ndarray:
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 16, depth: int = 3, penalty: float = 4e-4, rounds: int = 400) -> Model:
     """Rules of boosted trees with lasso logistic weights, by accelerated proximal gradient steps."""
-    if not len(y) or y.min() == y.max():
-        share = float(np.clip(y.mean(), 1e-6, 1 - 1e-6)) if len(y) else 0.5
+    share = float(np.clip(y.mean(), 1e-6, 1 - 1e-6)) if len(y) else 0.5
+    paths = _paths(x, y, trees, depth) if len(y) and y.min() < y.max() else []
+    if not paths:  # no labels of both kinds, or no statistic that tells them apart
         return Model(float(np.log(share / (1 - share))), ())
-    paths = _paths(x, y, trees, depth)
     r = np.column_stack([_holds(x, p) for p in paths]).astype(np.float32)
     kept = np.unique(r, axis=1, return_index=True)[1]  # rules that hold for the same rows count once
     paths, r = [paths[k] for k in sorted(kept)], r[:, sorted(kept)]
@@ -208,14 +210,15 @@ def train(docs: DataFrame, labels: DataFrame, admitted: Column, sample_rows: int
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label")).where(admitted).dropna()
     marked = marked.groupBy("doc_id").agg(F.min("label").alias("label"))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = with_statistics(_slim(docs).join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")).join(F.broadcast(sample), "doc_id")
-    got = rows.select("doc_id", *FEATURES, "label").limit(2 * sample_rows).toPandas().sort_values(["doc_id", *FEATURES])
+    rows = with_statistics(_slim(docs).join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi"))
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct(*FEATURES)).alias("x")).join(F.broadcast(sample), "doc_id")
+    got = rows.select("doc_id", "x.*", "label").toPandas().sort_values("doc_id")
     return fit(got[list(FEATURES)].to_numpy(np.float64), got["label"].to_numpy(np.float64))
 
 
 def held_out(doc_id: Column) -> Column:
-    """Whether labels of this document are kept from the fit."""
-    return F.crc32(doc_id.cast("string")) % 5 == 0
+    """Whether labels of this document are kept from the fit; not of one without doc_id."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
 def classify(docs: DataFrame, model: Model, limit: float = 0.3) -> DataFrame:

@@ -9,7 +9,7 @@ borders. A token that lies in several sections is allocated by an explicit rule:
 
 Sections are given in code points, ascending, and cover the text; so the counts of a
 document's sections add up to its tokens. Null and empty texts have every section with no tokens.
-Each row gives its own rows, repeated ones too. Extra columns take no part.
+Each row gives its own rows, repeated ones too, and an empty table none. A text of any length is encoded whole. Extra columns take no part.
 """
 
 from __future__ import annotations

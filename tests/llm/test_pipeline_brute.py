@@ -95,3 +95,43 @@ def test_pipeline_is_the_plain_one(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=piece_codec.MODEL)
     got = {r["doc_id"]: r["ids"] for r in corpus_pipeline.run(spark, SF).collect()}
     assert got == {d: sp.encode(r["text"] or "") for d, r in docs.items()} and len(got) > 50
+
+
+def written(df, path, name):
+    df.write.parquet(f"{path}/{name}.parquet")
+
+
+DOCS, LABELS = "doc_id long, text string, lang string, source string, n_chars long", "doc_id long, quality int, toxic int"
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    written(spark.createDataFrame([], DOCS), tmp_path, "documents")
+    written(spark.createDataFrame([], LABELS), tmp_path, "labels")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, shared doc_ids and columns of the stages' own names; without labels all documents are good."""
+    import corpus_pipeline
+
+    a, b = (" ".join(f"{k}{i}" for i in range(60)) for k in "ab")
+    data = [
+        (1, None, None, None, None), (2, "", "en", "src1", 0), (3, "wörd " * 30_000, "de", "src0", 1), (3, "wörd " * 30_000, "de", "src0", 1), (None, "no id", "en", None, 3), (5, " \n\t", "fr", "odd", 4),
+        (6, a, "en", "src0", 0), (6, b, "en", "src0", 0), (7, a + " ", "en", "src0", 0), (8, b + " z", "en", "src12", 0), (9, "own words", "es", "src3", 0),
+    ]
+    docs = spark.createDataFrame(data, DOCS).withColumn("digest", F.lit("x")).withColumn("row", F.lit(1)).withColumn("label", F.lit(None).cast("string")).withColumn("copies", F.array(F.lit(0)))
+    written(docs, tmp_path, "documents")
+    written(spark.createDataFrame([], LABELS), tmp_path, "labels")
+    kept = docs
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        kept = stage(spark, kept, str(tmp_path))
+        assert kept.columns == docs.columns
+        ids = sorted((r["doc_id"] or 0, (r["text"] or "")[:3]) for r in kept.collect())
+        if k == 1:  # of the empty ones the longest, of a's copies the longer, of the repeated row one
+            assert ids == [(0, "no "), (3, "wör"), (5, " \n\t"), (6, "b0 "), (7, "a0 "), (8, "b0 "), (9, "own")]
+        if k == 2:
+            assert ids == [(0, "no "), (3, "wör"), (5, " \n\t"), (6, "b0 "), (7, "a0 "), (9, "own")]
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in kept.collect()} and out.where("not same").count() == 0
