@@ -11,11 +11,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..dims import ACTION_VERBS, ADJACENT, CATEGORIES, CORE, EXPANSION, INFRASTRUCTURE_TERMS, INVESTMENT_TERMS, OPERATORS
-from .text import first_sentences
+from .text import bound, factored, first_sentences, summary
 
 #: A score that a secondary category needs, and its least part of the top score in hundredths.
 SECONDARY_SCORE, SECONDARY_PERCENT = 2, 40
 LOW_CONFIDENCE = 0.4
+#: Characters of a text that the strategy score reads beside title and summary.
+OPENING = 800
 # Patterns of strong signals.
 SIGNALS = (
     r"\$\s?[0-9][0-9,.]*\s?(billion|million|bn|mn)\b",
@@ -31,14 +33,9 @@ def word_pattern(term: str) -> str:
     return r"(^|[^a-z0-9])" + re.sub(r"([^a-z0-9 ])", r"\\\1", term.lower()) + r"($|[^a-z0-9])"
 
 
-def _any(terms: tuple[str, ...]) -> str:
-    return r"(^|[^a-z0-9])(" + "|".join(re.sub(r"([^a-z0-9 ])", r"\\\1", t.lower()) for t in terms) + r")($|[^a-z0-9])"
-
-
-def summary(text: Column, description: Column) -> Column:
-    """The first three sentences of the text; of a text of fewer than two sentences, the description."""
-    sentences = F.filter(F.split(F.trim(F.coalesce(text, F.lit(""))), r"(?<=[.!?])\s+"), lambda s: F.length(F.trim(s)) > 25)
-    return F.when(F.size(sentences) >= 2, first_sentences(text, 3)).otherwise(F.coalesce(description, F.lit("")))
+def any_of(terms: tuple[str, ...]) -> str:
+    """A regular expression that finds any of the terms as whole words, in lower-case text."""
+    return r"(?<![a-z0-9])" + factored([t.lower() for t in terms]) + r"(?![a-z0-9])"
 
 
 def category_scores(low: Column) -> Column:
@@ -69,17 +66,25 @@ def categories(scores: Column) -> Column:
     )
 
 
+def categorised(title: Column, text: Column, description: Column) -> Column:
+    """``categories`` of an article by its title and summary."""
+    low = F.lower(F.concat_ws(" ", title, summary(text, description)))
+    return bound(bound(low, category_scores), categories)
+
+
 def strategy(title: Column, text: Column, short: Column) -> Column:
     """1 to 5 by strong signals in the title, the first 800 characters and the summary."""
-    low = F.lower(F.concat_ws(" ", title, F.substring(text, 1, 800), short))
-    signals = F.lit(0)
-    for pattern in SIGNALS:
-        signals = signals + low.rlike(pattern).cast("int")
-    operator = low.rlike(_any(OPERATORS))
-    return (
-        F.when(low.rlike(_any(INVESTMENT_TERMS)), 1).when(signals >= 4, 5).when((signals >= 2) | ((signals == 1) & operator), 4)
-        .when(signals == 1, 3).when(low.rlike(_any(INFRASTRUCTURE_TERMS)), 2).otherwise(1)
-    )
+    def score(low: Column) -> Column:
+        signals = F.lit(0)
+        for pattern in SIGNALS:
+            signals = signals + low.rlike(pattern).cast("int")
+        operator = low.rlike(any_of(OPERATORS))
+        by_signals = bound(signals, lambda n: (
+            F.when(n >= 4, 5).when((n >= 2) | ((n == 1) & operator), 4).when(n == 1, 3).when(low.rlike(any_of(INFRASTRUCTURE_TERMS)), 2).otherwise(1)
+        ))
+        return F.when(low.rlike(any_of(INVESTMENT_TERMS)), 1).otherwise(by_signals)
+
+    return bound(F.lower(F.concat_ws(" ", title, F.substring(text, 1, OPENING), short)), score)
 
 
 def relevance(states: Column) -> Column:
@@ -92,7 +97,7 @@ def relevance(states: Column) -> Column:
 
 def mention(title: Column, text: Column) -> Column:
     """Confidence that a known operator is meant: 0.9 in the title, 0.7 in the first three sentences, 0.5 elsewhere, else 0."""
-    pattern = _any(OPERATORS)
+    pattern = any_of(OPERATORS)
     return (
         F.when(F.lower(title).rlike(pattern), 0.9).when(F.lower(first_sentences(text, 3)).rlike(pattern), 0.7).when(F.lower(F.coalesce(text, F.lit(""))).rlike(pattern), 0.5).otherwise(0.0)
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,12 +38,52 @@ def title_fingerprint(c: Column) -> Column:
     return F.sha2(normalised_title(c), 256)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` worked out once, as a lambda's variable, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def factored(terms: Iterable[str]) -> str:
+    """A regular expression for any of the terms, the longest first, with their common beginnings written once."""
+    heads: dict[str, list[str]] = {}
+    for t in terms:
+        if t:
+            heads.setdefault(t[0], []).append(t[1:])
+    parts = [re.escape(c) + factored(rest) for c, rest in sorted(heads.items())]
+    body = parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+    return body if "" not in terms else f"(?:{body})?" if heads else ""
+
+
+#: Sentences that are cut off a text at first; only texts in which these don't suffice are cut to the end.
+FIRST_PIECES = 12
+
+
+def _sentences(text: Column, n: int, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the sentences of more than 25 characters: of the first ones if there are ``n`` among them, else of all."""
+    def kept(pieces: Column) -> Column:
+        return F.filter(F.transform(pieces, strip), lambda s: F.length(s) > 25)
+
+    def all_of(text: Column) -> Column:
+        few = kept(F.slice(F.split(text, r"(?<=[.!?])\s+", FIRST_PIECES + 1), 1, FIRST_PIECES))
+        return bound(few, lambda x: F.when(F.size(x) >= n, x).otherwise(kept(F.split(text, r"(?<=[.!?])\s+"))))
+
+    return bound(all_of(text), use)
+
+
 def first_sentences(c: Column, n: int, fallback: Column | None = None) -> Column:
     """The first n sentences of more than 25 characters; without one the first 500 characters; of an empty text the fallback."""
-    text = strip(F.coalesce(c, F.lit("")))
-    kept = F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+"), strip), lambda s: F.length(s) > 25)
-    joined = F.when(F.size(kept) > 0, F.array_join(F.slice(kept, 1, n), " ")).otherwise(F.substring(text, 1, 500))
-    return F.when(text == "", F.coalesce(fallback if fallback is not None else F.lit(""), F.lit(""))).otherwise(joined)
+    empty = F.coalesce(fallback if fallback is not None else F.lit(""), F.lit(""))
+
+    def of(text: Column) -> Column:
+        return F.when(text == "", empty).otherwise(_sentences(text, n, lambda s: F.when(F.size(s) > 0, F.array_join(F.slice(s, 1, n), " ")).otherwise(F.substring(text, 1, 500))))
+
+    return bound(strip(F.coalesce(c, F.lit(""))), of)
+
+
+def summary(c: Column, description: Column, n: int = 3) -> Column:
+    """The first n sentences of more than 25 characters; of a text with fewer than two, the description."""
+    short = F.coalesce(description, F.lit(""))
+    return bound(strip(F.coalesce(c, F.lit(""))), lambda text: _sentences(text, n, lambda s: F.when(F.size(s) >= 2, F.array_join(F.slice(s, 1, n), " ")).otherwise(short)))
 
 
 def snippet(c: Column) -> Column:
@@ -64,11 +107,13 @@ def body_lines(c: Column) -> Column:
 def states(c: Column, cities: bool = False) -> Column:
     """Sorted codes of the states that are named anywhere in the text, or stand in it as codes in capitals."""
     text = F.coalesce(c, F.lit(""))
-    names = STATE_NAMES | (CITY_STATES if cities else {})
-    # as a lambda's variable, the text in lower case is made once and not for every name
-    named = F.get(F.transform(F.array(F.lower(text)), lambda low: F.array(*(F.when(low.contains(name.lower()), F.lit(code)) for name, code in names.items()))), F.lit(0))
+    names = {name.lower(): code for name, code in (STATE_NAMES | (CITY_STATES if cities else {})).items()}
+    # one pass: at every place the longest name that begins there, which stands for all names that it begins with
+    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"(?=({factored(list(names))}))"), F.lit(1)))
+    codes = F.create_map(*(F.lit(x) for name in names for x in (name, ",".join(sorted({code for other, code in names.items() if name.startswith(other)})))))
+    named = F.flatten(F.transform(found, lambda x: F.split(codes[x], ",")))
     pairs = F.filter(F.regexp_extract_all(text, F.lit(r"(?U)\b([A-Z]{2})\b"), F.lit(1)), lambda x: x.isin(*sorted(set(STATE_NAMES.values()))))
-    return F.array_sort(F.array_distinct(F.concat(F.array_compact(named), pairs)))
+    return F.array_sort(F.array_distinct(F.concat(named, pairs)))
 
 
 def canonical_url(c: Column) -> Column:

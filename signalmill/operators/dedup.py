@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..dims import BLOCKED_URLS
 from ..functions.text import dedup_title, title_fingerprint
 from ..session import materialise
+from .components import join_sized, smallest_labels
 
 TITLE_RATIO = 88.0
 COSINE = 0.85
@@ -174,19 +175,25 @@ def backstop(rows: DataFrame, cached: DataFrame, threshold: float = COSINE) -> D
     return rows.join(near.groupBy(F.col("b").alias("arrival")).agg(F.count("*").alias("n_near")), "arrival", "left").withColumn("is_duplicate", F.col("n_near").isNotNull()).drop("n_near")
 
 
-def greedy(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200, near: DataFrame | None = None) -> DataFrame:
+#: Rounds in which all open articles are looked at at once, before what is left is followed article by article within its component.
+GREEDY_ROUNDS = 4
+
+
+def greedy(nodes: DataFrame, edges: DataFrame, near: DataFrame | None = None) -> DataFrame:
     """Sequential duplicate marking without a sequence.
 
     In arrival order, an article is a duplicate of the first kept article before it that an edge (a < b)
     joins it to; duplicates are compared with nothing. The kept ones are the first independent set in arrival order: in each
-    round an article without a kept or undecided earlier neighbour is kept, and one with a kept earlier neighbour is a duplicate. Articles
+    round an article without a kept or undecided earlier neighbour is kept, and one with a kept earlier neighbour is a duplicate. A chain
+    of articles, each near the one before only, would take a round a link, so after ``GREEDY_ROUNDS`` the open articles' components are
+    followed in arrival order, each as a stream of sorted rows. Articles
     with ``cached`` are kept from the start. Where ``nodes`` have a ``key``, articles of one key, or of two keys that ``near`` (a, b) pairs,
     are joined too; only the earliest kept and the earliest undecided article of each key are looked at, so their pairs are never
     formed. An empty key is like none. Returns arrival, is_duplicate, duplicate_of.
     """
     key = F.when(F.col("key") != "", F.col("key")) if "key" in nodes.columns else F.lit(None).cast("string")
-    nodes = materialise(nodes.select("arrival", "cached", key.alias("key")), "greedy-nodes")
-    edges = materialise(edges.select("a", "b").where("a < b").distinct(), "greedy-edges")
+    nodes = materialise(nodes.select(F.col("arrival").cast("long").alias("arrival"), "cached", key.alias("key")), "greedy-nodes")
+    edges = materialise(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a < b").distinct(), "greedy-edges")
     meets = nodes.where("key is not null").select("key", F.col("key").alias("other")).distinct()
     if near is not None:
         ways = F.array(F.struct(F.col("a").alias("key"), F.col("b").alias("other")), F.struct(F.col("b").alias("key"), F.col("a").alias("other")))
@@ -205,19 +212,69 @@ def greedy(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200, near: Dat
     open_ = materialise(fresh.join(earliest(fresh, nodes), "arrival", "left_semi"), "greedy-open")
     kept = materialise(nodes.select("arrival", "key").join(open_, "arrival", "left_anti"), "greedy-kept")
     gone = open_.limit(0)
-    for _ in range(most_rounds):
+    for _ in range(GREEDY_ROUNDS):
         if open_.isEmpty():
             break
         dup = materialise(open_.join(earliest(open_, kept), "arrival", "left_semi"), "greedy-dup")
         keep = materialise(open_.join(earliest(open_, open_), "arrival", "left_anti").join(dup, "arrival", "left_anti"), "greedy-keep")
         gone, kept = gone.unionByName(dup), kept.unionByName(keep)
         open_ = materialise(open_.join(dup, "arrival", "left_anti").join(keep, "arrival", "left_anti"), "greedy-open")
-    else:
-        raise RuntimeError("greedy marking did not settle")
+    if not open_.isEmpty():
+        dup = materialise(open_.join(earliest(open_, kept), "arrival", "left_semi"), "greedy-dup")
+        open_ = materialise(open_.join(dup, "arrival", "left_anti"), "greedy-open")
+        keep = materialise(_followed(open_, edges, meets), "greedy-keep")
+        gone = gone.unionByName(dup).unionByName(open_.join(keep, "arrival", "left_anti"))
+        kept = kept.unionByName(open_.join(keep, "arrival", "left_semi"))
     out = nodes.select("arrival").join(earliest(gone, kept), "arrival", "left")
     return out.select("arrival", F.col("first").isNotNull().alias("is_duplicate"), F.col("first").alias("duplicate_of"))
 
 
+def _followed(open_: DataFrame, edges: DataFrame, meets: DataFrame) -> DataFrame:
+    """The arrivals that are kept of open articles without kept neighbours, decided in arrival order within each component.
+
+    A component's rows pass as a sorted stream: its pairs of keys, then by arrival each article's earlier neighbours and the article itself. The
+    stream remembers the arrivals and keys that are kept, and the pairs of keys.
+    """
+    first = materialise(open_.where("key is not null").groupBy("key").agg(F.min("arrival").alias("first"), F.count("*").alias("n")), "greedy-first")
+    inner = edges.join(open_.select(F.col("arrival").alias("a")), "a", "left_semi").join(open_.select(F.col("arrival").alias("b")), "b", "left_semi")
+    inner = materialise(inner.select("a", "b"), "greedy-inner")
+    paired = meets.join(first.select("key", "first"), "key").join(first.select(F.col("key").alias("other"), F.col("first").alias("other_first")), "other")
+    paired = materialise(paired.where("key <> other").select("key", "other", "first", "other_first"), "greedy-paired")
+    of_key = join_sized(materialise(open_.where("key is not null"), "greedy-keyed"), first, "key", "n").select(F.col("first").alias("a"), F.col("arrival").alias("b"))
+    labels = smallest_labels(inner.unionByName(of_key).unionByName(paired.select(F.col("first").alias("a"), F.col("other_first").alias("b"))))
+    # an open article without neighbours among the open ones is its own component
+    nodes = open_.join(labels.withColumnRenamed("node", "arrival"), "arrival", "left").withColumn("label", F.coalesce("label", "arrival"))
+    nothing, no_key = F.lit(None).cast("long"), F.lit(None).cast("string")
+    rows = nodes.select("label", F.lit(1).alias("phase"), "arrival", nothing.alias("a"), "key", no_key.alias("other"))
+    before = inner.join(labels.withColumnRenamed("node", "b"), "b").select("label", F.lit(1).alias("phase"), F.col("b").alias("arrival"), "a", no_key.alias("key"), no_key.alias("other"))
+    pairs = paired.join(labels.withColumnRenamed("node", "first"), "first").select("label", F.lit(0).alias("phase"), nothing.alias("arrival"), nothing.alias("a"), "key", "other")
+    rows = rows.unionByName(before).unionByName(pairs)
+    width = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(width, "label").sortWithinPartitions("label", "phase", "arrival", F.col("a").asc_nulls_last())
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, kept, keys, meeting, near = None, set(), set(), {}, False
+        for b in batches:
+            out = []
+            for label, phase, arrival, a, key, other in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if label != now:
+                    now, kept, keys, meeting, near = label, set(), set(), {}, False
+                if phase == 0:
+                    meeting.setdefault(key, []).append(other)
+                elif a is not None:
+                    near = near or a in kept
+                else:
+                    near = near or (key is not None and (key in keys or any(k in keys for k in meeting.get(key, ()))))
+                    if not near:
+                        kept.add(arrival)
+                        keys |= {key} - {None}
+                        out.append(arrival)
+                    near = False
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["arrival"])
+
+    return rows.mapInArrow(follow, "arrival long")
+
+
 def stacked(articles: DataFrame, ratio_threshold: float = TITLE_RATIO, cosine_threshold: float = COSINE) -> DataFrame:
     """Title and vector layers together (arrival, title, v, cached): near titles by key and edges of near vectors, then ``greedy``."""
     keyed = articles.select("arrival", "cached", sorted_tokens(dedup_title(F.col("title"))).alias("key"))

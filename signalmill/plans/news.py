@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -321,12 +323,17 @@ def _match(column: str, pattern: str) -> str:
     return f"regexp_matches({column}, '" + pattern.replace("'", "''") + "')"
 
 
+def _any_sql(terms: tuple[str, ...]) -> str:
+    return r"(^|[^a-z0-9])(" + "|".join(re.sub(r"([^a-z0-9 ])", r"\\\1", t.lower()) for t in terms) + r")($|[^a-z0-9])"
+
+
 def _hits_sql(terms: tuple[str, ...]) -> str:
     return " + ".join(f"CAST({_match('low', rules.word_pattern(t))} AS INT)" for t in terms)
 
 
 _SCORES_SQL = " UNION ALL ".join(f"SELECT id, {i} AS place, '{name}' AS name, {_hits_sql(k)} + 2 * ({_hits_sql(s)}) AS score FROM low" for i, (name, (k, s)) in enumerate(dims.CATEGORIES.items()))
-_CATEGORY_SQL = f"""WITH low AS (SELECT id, lower(concat_ws(' ', title, short, body)) AS low FROM {_ALL_SQL}), scores AS ({_SCORES_SQL}),
+_SUMMARY_SQL = f"""SELECT id, title, CASE WHEN len(s) >= 2 THEN array_to_string(s[1:3], ' ') ELSE coalesce(short, '') END AS summary FROM (SELECT id, title, short, {_SENTENCES_SQL.replace('trim(text,', 'trim(body,')} AS s FROM {_ALL_SQL})"""
+_CATEGORY_SQL = f"""WITH low AS (SELECT id, lower(concat_ws(' ', title, summary)) AS low FROM ({_SUMMARY_SQL})), scores AS ({_SCORES_SQL}),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, place) AS k FROM scores),
 tops AS (SELECT id, max(CASE WHEN k = 1 THEN name END) AS primary_category, max(CASE WHEN k = 1 THEN score END) AS top, max(CASE WHEN k = 2 THEN score END) AS second FROM ranked GROUP BY id)
 SELECT t.id, primary_category, coalesce((SELECT string_agg(name, '; ' ORDER BY k) FROM (SELECT r.name, r.k FROM ranked r WHERE r.id = t.id AND r.k > 1 AND r.score >= 2 AND 100 * r.score >= 40 * t.top ORDER BY r.k LIMIT 2)), '') AS secondary,
@@ -335,10 +342,8 @@ SELECT t.id, primary_category, coalesce((SELECT string_agg(name, '; ' ORDER BY k
 
 @query(_CATEGORY_SQL)
 def rule_category(spark: SparkSession, sf: str) -> DataFrame:
-    low = F.lower(F.concat_ws(" ", "title", "short", "body"))
     # exploding a one-item array keeps the optimizer from writing the expression out at each use
-    rows = _doc_articles(spark, sf).select("id", F.explode(F.array(low)).alias("low")).select("id", F.explode(F.array(rules.category_scores(F.col("low")))).alias("scores"))
-    c = rows.select("id", rules.categories(F.col("scores")).alias("c"))
+    c = _doc_articles(spark, sf).select("id", F.explode(F.array(rules.categorised(F.col("title"), F.col("body"), F.col("short")))).alias("c"))
     return c.select("id", F.col("c.primary").alias("primary_category"), parse.joined_list(F.col("c.secondary")).alias("secondary"), F.round("c.confidence", 9).alias("confidence"))
 
 
@@ -346,7 +351,7 @@ _SIGNALS_SQL = " + ".join(f"CAST({_match('low', p)} AS INT)" for p in rules.SIGN
 
 
 @query(f"""WITH s AS (SELECT id, low, {_SIGNALS_SQL} AS n FROM (SELECT id, lower(concat_ws(' ', title, substr(body, 1, 800), short)) AS low FROM {_ALL_SQL}))
-SELECT id, CASE WHEN {_match('low', rules._any(dims.INVESTMENT_TERMS))} THEN 1 WHEN n >= 4 THEN 5 WHEN n >= 2 OR (n = 1 AND {_match('low', rules._any(dims.OPERATORS))}) THEN 4 WHEN n = 1 THEN 3 WHEN {_match('low', rules._any(dims.INFRASTRUCTURE_TERMS))} THEN 2 ELSE 1 END AS strategy FROM s""")
+SELECT id, CASE WHEN {_match('low', _any_sql(dims.INVESTMENT_TERMS))} THEN 1 WHEN n >= 4 THEN 5 WHEN n >= 2 OR (n = 1 AND {_match('low', _any_sql(dims.OPERATORS))}) THEN 4 WHEN n = 1 THEN 3 WHEN {_match('low', _any_sql(dims.INFRASTRUCTURE_TERMS))} THEN 2 ELSE 1 END AS strategy FROM s""")
 def rule_strategy(spark: SparkSession, sf: str) -> DataFrame:
     return _doc_articles(spark, sf).select("id", rules.strategy(F.col("title"), F.col("body"), F.col("short")).alias("strategy"))
 
@@ -368,13 +373,13 @@ def rule_relevance_documents(spark: SparkSession, sf: str) -> DataFrame:
     return _doc_articles(spark, sf).select("id", rules.relevance(text.states(F.concat_ws(" ", "title", "short", "body"))).alias("relevance"))
 
 
-@query(f"""SELECT id, CASE WHEN {_match('lower(title)', rules._any(dims.OPERATORS))} THEN 0.9 WHEN {_match('lower(head)', rules._any(dims.OPERATORS))} THEN 0.7 WHEN {_match('lower(body)', rules._any(dims.OPERATORS))} THEN 0.5 ELSE 0.0 END::DOUBLE AS confidence
+@query(f"""SELECT id, CASE WHEN {_match('lower(title)', _any_sql(dims.OPERATORS))} THEN 0.9 WHEN {_match('lower(head)', _any_sql(dims.OPERATORS))} THEN 0.7 WHEN {_match('lower(body)', _any_sql(dims.OPERATORS))} THEN 0.5 ELSE 0.0 END::DOUBLE AS confidence
 FROM (SELECT id, title, body, CASE WHEN len(s) > 0 THEN array_to_string(s[1:3], ' ') ELSE substr(trim(body), 1, 500) END AS head FROM (SELECT id, title, body, {_SENTENCES_SQL.replace('trim(text,', 'trim(body,')} AS s FROM {_ALL_SQL}))""")
 def rule_mention(spark: SparkSession, sf: str) -> DataFrame:
     return _doc_articles(spark, sf).select("id", rules.mention(F.col("title"), F.col("body")).alias("confidence"))
 
 
-@query(f"""SELECT id, CASE WHEN len(s) >= 2 THEN array_to_string(s[1:3], ' ') ELSE coalesce(short, '') END AS summary FROM (SELECT id, short, {_SENTENCES_SQL.replace('trim(text,', 'trim(body,')} AS s FROM {_ALL_SQL})""")
+@query(f"SELECT id, summary FROM ({_SUMMARY_SQL})")
 def rule_summary(spark: SparkSession, sf: str) -> DataFrame:
     return _doc_articles(spark, sf).select("id", rules.summary(F.col("body"), F.col("short")).alias("summary"))
 

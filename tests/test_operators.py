@@ -147,6 +147,41 @@ def test_states(spark):
     assert spark.sql("SELECT 'Phoenix' AS s").select(text.states(F.col("s"), cities=True)).first()[0] == ["AZ"]
 
 
+def plain_greedy(nodes, edges, meets):
+    """Arrival order, article by article; ``nodes``: arrival, cached, key."""
+    near = {k: {k} for _, _, k in nodes if k}
+    for x, y in meets:
+        near.setdefault(x, {x}).add(y)
+        near.setdefault(y, {y}).add(x)
+    pairs, kept, out = {(min(e), max(e)) for e in edges}, [], {}
+    key = {a: k for a, _, k in nodes}
+    for a, cached, k in sorted(nodes):
+        of = None if cached else next((b for b in kept if (b, a) in pairs or (k and key[b] and key[b] in near[k])), None)
+        out[a] = of
+        if of is None:
+            kept = sorted([*kept, a])
+    return out
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 4])
+def test_greedy_follows_what_rounds_leave(spark, monkeypatch, rounds):
+    monkeypatch.setattr(dedup, "GREEDY_ROUNDS", rounds)
+    rnd = random.Random(rounds)
+    nodes = [(i, rnd.random() < 0.1, rnd.choice([None, "", *(f"k{j}" for j in range(25))])) for i in range(120)]
+    edges = [(min(e), max(e)) for e in (rnd.sample(range(120), 2) for _ in range(90))]
+    meets = [(f"k{i}", f"k{i + 1}") for i in range(0, 25, 2)]
+    marked = dedup.greedy(spark.createDataFrame(nodes, "arrival long, cached boolean, key string"), spark.createDataFrame(edges, "a long, b long"), near=spark.createDataFrame(meets, "a string, b string"))
+    assert {r["arrival"]: r["duplicate_of"] for r in marked.collect()} == plain_greedy(nodes, edges, meets)
+
+
+def test_greedy_of_a_long_chain_and_a_star(spark):
+    nodes = spark.range(2000).select(F.col("id").alias("arrival"), F.lit(False).alias("cached"))
+    chain, star = [(i, i + 1) for i in range(1000)], [(1500, i) for i in range(1501, 2000)]
+    got = {r["arrival"]: r["duplicate_of"] for r in dedup.greedy(nodes, spark.createDataFrame([*chain, *star], "a long, b long")).collect()}
+    assert all(got[i] == (i - 1 if i % 2 else None) for i in range(1001))
+    assert all(got[i] == 1500 for i in range(1501, 2000)) and got[1500] is None and got[1200] is None
+
+
 def test_partial_ratio():
     rnd = random.Random(4)
     for _ in range(150):
