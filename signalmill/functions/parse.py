@@ -77,6 +77,20 @@ def article_list(c: Column) -> Column:
     return F.when(c.isNull() | strip(c).isin("", "[]", "None", "nan"), empty).otherwise(F.coalesce(items, _split_list(c), empty))
 
 
+def issue_list(c: Column) -> Column:
+    """Facility ids of an issue's stories: the items of a JSON list as text, blank ones left out; other text is cut at commas and keeps brackets and quotes.
+
+    A JSON text is cut into its characters, as a list of them, and a JSON object gives its keys; ``nan``, ``None`` and ``[]`` are empty lists.
+    """
+    text = strip(c)
+    listed = F.when(text.rlike(r"(?s)^\[.*\]$"), F.transform(F.from_json(text, "array<string>"), lambda x: F.coalesce(x, F.lit("None"))))
+    lettered = F.when(text.rlike(r'(?s)^"([^"\\]|\\.)*"$'), F.split(F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), "x string")["x"], ""))
+    keyed = F.when(text.rlike(r"(?s)^\{.*\}$"), F.map_keys(F.from_json(text, "map<string, string>")))
+    items = F.coalesce(listed, lettered, keyed, F.split(text, ","))
+    empty = F.array().cast("array<string>")
+    return F.when(c.isNull() | text.isin("", "[]", "None", "nan"), empty).otherwise(F.filter(F.transform(items, strip), lambda x: x != ""))
+
+
 def encode_list(c: Column) -> Column:
     return F.to_json(c)
 

@@ -63,20 +63,43 @@ def with_cost(cells: DataFrame, cost: DataFrame) -> DataFrame:
     return out.withColumn("bc_unit_cost_ft", F.coalesce("bc_unit_cost_ft", "median_")).drop("median_")
 
 
+#: Ranges of values in each doubling of their size.
+RANGES_A_DOUBLING = 256
+
+
+def _range_of(value: Column) -> Column:
+    """A whole number that doesn't fall where the value rises: ranges that are finer for small values. NaN is above all others."""
+    step = F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * RANGES_A_DOUBLING)
+    return F.when(F.isnan(value), F.lit(1 << 40)).when(F.abs(value) > 1e300, F.signum(value).cast("long") * (1 << 39)).otherwise(step)
+
+
+def with_running(rows: DataFrame, group: list[str], value: str, n: str) -> DataFrame:
+    """``rows`` (distinct values of a group, with ``n``) with ``below_``, the sum of n of the group's smaller values, and ``total_``.
+
+    Values are cut into ranges; the sums of ranges are cumulated and the values in one range sorted, so a group is spread over many tasks.
+    """
+    by = [*group, "range_"]
+    cut = rows.withColumn("range_", _range_of(F.col(value)))
+    sums = cut.groupBy(*by).agg(F.sum(n).alias("sum_"))
+    ranges = Window.partitionBy(*group).orderBy("range_").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = sums.select(*by, (F.sum("sum_").over(ranges) - F.col("sum_")).alias("before_"), F.sum("sum_").over(Window.partitionBy(*group)).alias("total_"))
+    inside = F.sum(n).over(Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(n)
+    return cut.withColumn("below_", inside).join(sums, by).withColumn("below_", F.col("below_") + F.col("before_")).drop("range_", "before_")
+
+
 def percentile(rows: DataFrame, group: list[str], key: list[str], values: dict[str, str]) -> DataFrame:
     """``rows`` with a column for each of ``values`` (value column: name): (average rank - 1) / (n - 1) among those of the
     group that aren't null; 0.5 where there is one; null stays null. ``key`` tells the rows of a group apart.
 
     All columns are ranked in one go: ranks come from the counts of distinct values (pre-aggregated, then
-    cumulated), so no task sorts the rows of a group, only its distinct values.
+    cumulated by ``with_running``), so no task sorts the rows of a group or all of its distinct values.
     """
     pairs = F.explode(F.array(*(F.struct(F.lit(n).alias("name_"), F.col(c).cast("double").alias("value_")) for c, n in values.items())))
     long = rows.select(*group, *key, pairs.alias("p_")).select(*group, *key, "p_.*").where("value_ is not null")
     counts = long.groupBy(*group, "name_", "value_").agg(F.count("*").alias("n_"))
-    whole = Window.partitionBy(*group, "name_")
-    below = F.sum("n_").over(whole.orderBy("value_")) - F.col("n_")
-    total = F.sum("n_").over(whole)
-    ranks = counts.select(*group, "name_", "value_", F.when(total == 1, F.lit(0.5)).otherwise((below + (F.col("n_") - 1) / 2) / (total - 1)).alias("rank_"))
+    running = with_running(counts, [*group, "name_"], "value_", "n_")
+    rank = F.when(F.col("total_") == 1, F.lit(0.5)).otherwise((F.col("below_") + (F.col("n_") - 1) / 2) / (F.col("total_") - 1))
+    ranks = running.select(*group, "name_", "value_", rank.alias("rank_"))
     wide = long.join(ranks, [*group, "name_", "value_"]).groupBy(*group, *key).agg(*(F.max(F.when(F.col("name_") == n, F.col("rank_"))).alias(n) for n in values.values()))
     return rows.join(wide, [*group, *key], "left")
 

@@ -28,9 +28,15 @@ def tagged_stories(articles: DataFrame, end: str) -> DataFrame:
 
 
 def other_stories(articles: DataFrame, end: str) -> DataFrame:
-    """The ten best of what ``tagged_stories`` leaves, its eleventh and later included."""
+    """The ten best with a score of 7 or more of what ``tagged_stories`` leaves, its eleventh and later included."""
     shown = tagged_stories(articles, end).select("id")
-    return _top(week(articles, end).join(shown, "id", "left_anti"), DIGEST_ROWS)
+    return _top(week(articles, end).where(F.col("score") >= DIGEST_SCORE).join(shown, "id", "left_anti"), DIGEST_ROWS)
+
+
+def by_priority(articles: DataFrame, order: str = "row_idx") -> DataFrame:
+    """All articles with a category, by falling priority (both scores, cut to hundredths), ties in source order."""
+    rows = articles.where(F.trim(F.coalesce("category", F.lit(""))) != "").withColumn("priority", F.round(F.col("strategy") + F.col("relevance"), 2))
+    return rows.orderBy(F.col("priority").desc(), order)
 
 
 def pending(staged: DataFrame, stage: str) -> DataFrame:

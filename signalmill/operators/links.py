@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import strip
+from .cells import with_running
 from .dedup import _lcs
 
 HAYSTACK = 1500
@@ -154,19 +155,32 @@ def candidates(articles: DataFrame, facility_names: DataFrame, threshold: float)
     return found.withColumn("rank", place).where(F.col("rank") <= TOP).withColumn("match_method", F.concat(F.lit("fuzzy_"), "field"))
 
 
+#: Characters of a name's beginning by which it meets articles.
+HEAD = 6
+
+
 def contained(articles: DataFrame, facility_names: DataFrame) -> DataFrame:
-    """id, dc_id, name of names that stand literally in an article."""
-    return articles.join(facility_names, articles["hay"].contains(facility_names["name"])).select("id", "dc_id", "field", "name")
+    """id, dc_id, name of names that stand literally in an article.
+
+    A name meets only the articles in which its first characters (``HEAD``, or all of a shorter name) stand. An article's text is a
+    haystack of bounded length, as every piece of it of up to so many characters becomes a row; its id is its own.
+    """
+    named = facility_names.where(F.length("name") > 0).withColumn("head_", F.substring("name", 1, HEAD))
+    size = F.length("hay")
+    pieces = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(HEAD)), lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.col("hay").substr(i, n))).otherwise(F.array().cast("array<string>"))))
+    heads = articles.select("id", F.explode(F.array_distinct(pieces)).alias("head_"))
+    met = heads.join(named, "head_").join(articles.select("id", "hay"), "id")
+    return met.where(F.col("hay").contains(F.col("name"))).select("id", "dc_id", "field", "name")
 
 
 def review_queue(found: DataFrame, cap: int) -> DataFrame:
     """``queue`` or ``overflow`` by falling confidence; ties by id and facility.
 
-    Places are counted from sums over distinct confidences, so only ties at the border are ordered.
+    Places are counted from sums over ranges of distinct confidences, so only ties at the border are ordered.
     """
     counts = found.groupBy("confidence").agg(F.count("*").alias("n_"))
-    before = F.coalesce(F.sum("n_").over(Window.orderBy(F.col("confidence").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    at = found.join(counts.withColumn("before_", before), "confidence")
+    running = with_running(counts, [], "confidence", "n_").withColumn("before_", F.col("total_") - F.col("below_") - F.col("n_"))
+    at = found.join(running.select("confidence", "n_", "before_"), "confidence")
     place = F.when((F.col("before_") < cap) & (F.col("before_") + F.col("n_") > cap), F.row_number().over(Window.partitionBy("confidence").orderBy("id", "dc_id")) + F.col("before_"))
     return at.withColumn("destination", F.when(F.coalesce(place, F.col("before_") + 1) <= cap, "queue").otherwise("overflow")).drop("n_", "before_")
 

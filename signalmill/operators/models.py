@@ -1,19 +1,20 @@
 """Summaries and classifications by a model that the caller brings, inside ``mapInPandas``.
 
-The client is made once a task by ``factory`` and called with a row's prompt. A failed call is tried again;
-after ``breaker`` failures in a row the task makes no more calls and marks what is left as pending, so
-that a later run takes it up. Without a client the rules in ``functions.rules`` do the same work.
+The client is made once a task by ``factory`` and called with a row's prompt. A failed call is tried again after a
+wait that doubles; a client that says its quota is used up is replaced by the ``fallback``'s, once a task. After ``BREAKER`` failures in a row
+the task makes no more calls and marks what is left as pending, so that a later run takes it up. Without a client the rules in ``functions.rules`` do the same work.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import unfenced
+from ..functions.text import bound, unfenced
 
 PROMPT_CHARACTERS, FEED_CHARACTERS, BODY_CHARACTERS = 3000, 2000, 8000
 TRIES, BREAKER = 3, 5
@@ -22,26 +23,37 @@ ANSWER = "primary_category string, secondary_categories array<string>, states ar
 Client = Callable[[str], str]
 
 
+class QuotaExceeded(Exception):
+    """Raised by a client that will answer no more."""
+
+
 def prompt(title: Column, text: Column, description: Column) -> Column:
     """Title and the first 3,000 characters of the text, or of the description where there is no text."""
     body = F.when(F.trim(F.coalesce(text, F.lit(""))) != "", text).otherwise(F.coalesce(description, F.lit("")))
     return F.concat_ws("\n\n", title, F.substring(body, 1, PROMPT_CHARACTERS))
 
 
-def ask(rows: DataFrame, factory: Callable[[], Client], question: str = "prompt", key: str = "article_id") -> DataFrame:
-    """key, answer and status (success, failed or pending) of each row."""
+def ask(rows: DataFrame, factory: Callable[[], Client], question: str = "prompt", key: str = "article_id", fallback: Callable[[], Client] | None = None, wait: float = 1.0) -> DataFrame:
+    """key, answer and status (success, failed or pending) of each row. ``wait``: seconds before the second try."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client, in_a_row = factory(), 0
+        client, other, in_a_row = factory(), fallback, 0
         for b in batches:
             out = []
             for k, q in zip(b["key"], b["question"], strict=True):
                 answer, status = None, "pending"
-                for _ in range(TRIES if in_a_row < BREAKER else 0):
+                tries = 0
+                while tries < TRIES and in_a_row < BREAKER:
                     try:
                         answer, status = client(q), "success"
                         break
+                    except QuotaExceeded:
+                        status, tries = "failed", TRIES if other is None else tries
+                        if other is not None:
+                            client, other = other(), None
                     except Exception:  # any failure of a client counts as one
-                        status = "failed"
+                        status, tries = "failed", tries + 1
+                        if tries < TRIES:
+                            time.sleep(wait * 2 ** (tries - 1))
                 if status != "pending":
                     in_a_row = 0 if status == "success" else in_a_row + 1
                 out.append((k, answer, status))
@@ -54,3 +66,9 @@ def ask(rows: DataFrame, factory: Callable[[], Client], question: str = "prompt"
 def decoded(answer: Column) -> Column:
     """The fields of a model's JSON answer, with or without Markdown fences; null if it is none."""
     return F.from_json(unfenced(answer), ANSWER)
+
+
+def complete(answer: Column) -> Column:
+    """Whether an answer has every field of the contract."""
+    fields = [x.split()[0] for x in ANSWER.split(", ")]
+    return bound(decoded(answer), lambda d: d.isNotNull() & F.forall(F.array(*(d[f].isNotNull() for f in fields)), lambda x: x))

@@ -35,7 +35,7 @@ def weekly_digest_tagged(spark: SparkSession, sf: str) -> DataFrame:
     return feed.tagged_stories(b.articles(spark, sf), END).select("id", "day", "category", F.col("score").cast("long").alias("score"))
 
 
-@query(f"WITH {_WEEK_SQL} SELECT id, day, category, CAST(score AS BIGINT) AS score FROM week WHERE id NOT IN (SELECT id FROM tagged_) ORDER BY score DESC, published DESC, id LIMIT {feed.DIGEST_ROWS}")
+@query(f"WITH {_WEEK_SQL} SELECT id, day, category, CAST(score AS BIGINT) AS score FROM week WHERE score >= {feed.DIGEST_SCORE} AND id NOT IN (SELECT id FROM tagged_) ORDER BY score DESC, published DESC, id LIMIT {feed.DIGEST_ROWS}")
 def weekly_digest_rest(spark: SparkSession, sf: str) -> DataFrame:
     return feed.other_stories(b.articles(spark, sf), END).select("id", "day", "category", F.col("score").cast("long").alias("score"))
 
@@ -144,17 +144,34 @@ def lenient_number(spark: SparkSession, sf: str) -> DataFrame:
     return b.inline(spark, _NUMBERS, "id long, s string").select("id", parse.facility_number(s).alias("facility"), parse.generator_number(s).alias("generator"), parse.integer_or_zero(s).alias("whole"))
 
 
-#: raw text, items by the facility rule, items by the article rule, first status, first type
 _LISTS = [
-    (1, '["DC-1","DC-2"]', "DC-1;DC-2", "DC-1;DC-2"), (2, "DC-1, DC-2", "DC-1;DC-2", "DC-1;DC-2"), (3, "DC-1", "DC-1", "DC-1"), (4, "12", "12", "12"), (5, "", "", ""), (6, None, "", ""), (7, "[]", "", ""),
-    (8, '["VA", null]', "VA", "VA;None"), (9, '[" TX ", ""]', "TX", "TX"), (10, "[VA, PA", "VA;PA", "VA;PA"), (11, "None", "None", ""), (12, '"x"', "x", "x"), (13, "nan", "nan", ""),
+    (1, '["DC-1","DC-2"]'), (2, "DC-1, DC-2"), (3, "DC-1"), (4, "12"), (5, ""), (6, None), (7, "[]"), (8, '["VA", null]'), (9, '[" TX ", ""]'), (10, "[VA, PA"), (11, "None"), (12, '"x"'), (13, "nan"),
 ]
+#: The lists of customers: JSON, cut at commas, broken JSON, or a JSON text.
+_MADE_LISTS_SQL = """SELECT 1000 + c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN '["' || c_name || '", " x", "", null]' WHEN 1 THEN c_name || ', x ,' WHEN 2 THEN '[' || c_name || ', "x' WHEN 3 THEN '"' || c_name || '"' ELSE ' ' END AS s FROM customer"""
 
 
-@query("SELECT id, facility, article FROM " + b.values_sql([(i, f, a) for i, _, f, a in _LISTS], "id long, facility string, article string"))
+def _made_lists(spark: SparkSession, sf: str) -> DataFrame:
+    k, name = F.col("c_custkey"), F.col("c_name")
+    text_ = F.when(k % 5 == 0, F.concat(F.lit('["'), name, F.lit('", " x", "", null]'))).when(k % 5 == 1, F.concat(name, F.lit(", x ,"))).when(k % 5 == 2, F.concat(F.lit("["), name, F.lit(', "x')))
+    return b.table(spark, sf, "customer").select((k + 1000).alias("id"), text_.when(k % 5 == 3, F.concat(F.lit('"'), name, F.lit('"'))).otherwise(" ").alias("s"))
+
+
+def _list_sql(column: str, empty: str, null: str, dropped: str) -> str:
+    """A list from a cell: a JSON list or scalar, else cut at commas without brackets and quotes."""
+    items = f"""CASE WHEN {column} IS NULL OR trim({column}) IN ({empty}) THEN [] WHEN json_valid({column}) AND json_type({column}) = 'ARRAY' THEN list_transform(from_json({column}, '["VARCHAR"]'), lambda x: {null})
+      WHEN json_valid({column}) AND json_type({column}) = 'VARCHAR' THEN [{column} ->> '$'] WHEN regexp_matches({column}, {_NUM_SQL}) THEN [{column}] ELSE string_split(regexp_replace({column}, '[\\[\\]"]', '', 'g'), ',') END"""
+    return f"list_filter(list_transform({items}, lambda x: trim(x)), lambda x: x IS NOT NULL AND x NOT IN ({dropped}))"
+
+
+_FACILITY_LIST_SQL = _list_sql("s", "''", "x", "'', '0', 'false'")
+
+
+@query(f"""SELECT id, array_to_string({_FACILITY_LIST_SQL}, ';') AS facility, array_to_string({_list_sql("s", "'', '[]', 'None', 'nan'", "coalesce(x, 'None')", "''")}, ';') AS article
+FROM (SELECT * FROM {b.values_sql(_LISTS, "id long, s string")} UNION ALL {_MADE_LISTS_SQL})""")
 def json_list_parse(spark: SparkSession, sf: str) -> DataFrame:
     s = F.col("s")
-    rows = b.inline(spark, [(i, s) for i, s, _, _ in _LISTS], "id long, s string")
+    rows = b.inline(spark, _LISTS, "id long, s string").unionByName(_made_lists(spark, sf))
     return rows.select("id", F.array_join(parse.facility_list(s), ";").alias("facility"), F.array_join(parse.article_list(s), ";").alias("article"))
 
 
@@ -163,12 +180,17 @@ def event_property(spark: SparkSession, sf: str) -> DataFrame:
     return b.table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
-_STATUS_LISTS = [(1, '["Planned","Under Construction"]', '["Hyperscale"]', "Planned", "Hyperscale"), (2, "Planned", "", "Planned", "Unclassified"), (3, "[]", "[]", "Unknown", "Unclassified"), (4, "", '[""]', "Unknown", "Unclassified"), (5, '["Odd","Closed"]', "Miner", "Closed", "Miner"), (6, '["Odd"]', None, "Unknown", "Unclassified")]
+_STATUS_LISTS = [(1, '["Planned","Under Construction"]', '["Hyperscale"]'), (2, "Planned", ""), (3, "[]", "[]"), (4, "", '[""]'), (5, '["Odd","Closed"]', "Miner"), (6, '["Odd"]', None)]
+_MADE_STATUS_SQL = f"""SELECT 1000 + c_custkey AS id, '["Odd", "' || {list(dims.STATUSES)}[CAST(c_custkey % {len(dims.STATUSES)} AS INT) + 1] || '", "Planned"]' AS s, CASE WHEN c_custkey % 3 = 0 THEN '[" ", "x"]' ELSE c_mktsegment || ', Other' END AS t FROM customer"""
 
 
-@query("SELECT id, status, kind FROM " + b.values_sql([(i, st, k) for i, _, _, st, k in _STATUS_LISTS], "id long, status string, kind string"))
+@query(f"""SELECT id, coalesce(list_filter(list_, lambda x: x IN {dims.STATUSES})[1], '{dims.UNKNOWN_STATUS}') AS status, coalesce(nullif(trim(kinds[1]), ''), '{dims.UNCLASSIFIED}') AS kind
+FROM (SELECT id, {_FACILITY_LIST_SQL} AS list_, {_FACILITY_LIST_SQL.replace("(s", "(t").replace(" s ", " t ").replace("[s", "[t")} AS kinds FROM (SELECT * FROM {b.values_sql(_STATUS_LISTS, "id long, s string, t string")} UNION ALL {_MADE_STATUS_SQL}))""")
 def status_resolve(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.inline(spark, [x[:3] for x in _STATUS_LISTS], "id long, s string, t string")
+    k = F.col("c_custkey")
+    status = F.get(F.array(*(F.lit(s) for s in dims.STATUSES)), (k % len(dims.STATUSES)).cast("int"))
+    made = b.table(spark, sf, "customer").select((k + 1000).alias("id"), F.concat(F.lit('["Odd", "'), status, F.lit('", "Planned"]')).alias("s"), F.when(k % 3 == 0, '[" ", "x"]').otherwise(F.concat("c_mktsegment", F.lit(", Other"))).alias("t"))
+    rows = b.inline(spark, _STATUS_LISTS, "id long, s string, t string").unionByName(made)
     return rows.select("id", parse.first_status(parse.facility_list(F.col("s")), dims.STATUSES, dims.UNKNOWN_STATUS).alias("status"), parse.first_type(parse.facility_list(F.col("t")), dims.UNCLASSIFIED).alias("kind"))
 
 
@@ -180,12 +202,16 @@ def multi_format_date(spark: SparkSession, sf: str) -> DataFrame:
     return b.inline(spark, _DATES, "id long, s string").select("id", parse.any_date(F.col("s")).alias("at"))
 
 
-_FEED_DATES = [(1, "Mon, 26 Jan 2026 19:08:00 +0000", None, "01/26/2026 07:08 PM"), (2, None, "Tue, 27 Jan 2026 01:00:00 -0500", "01/27/2026 06:00 AM"), (3, "2026-01-26T19:08:00Z", None, "02/01/2026 12:00 AM"), (4, None, None, "02/01/2026 12:00 AM")]
+_FEED_DATES = [(1, "Mon, 26 Jan 2026 19:08:00 +0000", None), (2, None, "Tue, 27 Jan 2026 01:00:00 -0500"), (3, "2026-01-26T19:08:00Z", None), (4, None, None)]
+_MAIL_SQL = "try_strptime(regexp_replace(trim({0}), '^[A-Za-z]{{3}},\\s*', ''), '%d %b %Y %H:%M:%S %z')"
 
 
-@query("SELECT id, label FROM " + b.values_sql([(i, at) for i, _, _, at in _FEED_DATES], "id long, label string"))
+@query(f"""SELECT id, strftime(coalesce(make_timestamp(epoch_us({_MAIL_SQL.format("a")})), make_timestamp(epoch_us({_MAIL_SQL.format("b")})), TIMESTAMP '2026-02-01 00:00:00'), '%m/%d/%Y %I:%M %p') AS label
+FROM (SELECT * FROM {b.values_sql(_FEED_DATES, "id long, a string, b string")} UNION ALL SELECT 1000 + event_id, CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' +0200' END, CASE WHEN event_id % 3 = 0 THEN strftime(ts, '%d %b %Y %H:%M:%S') || ' +0000' END FROM events)""")
 def feed_dates(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.inline(spark, [x[:3] for x in _FEED_DATES], "id long, a string, b string")
+    i = F.col("event_id")
+    made = b.table(spark, sf, "events").select((i + 1000).alias("id"), F.when(i % 2 == 0, F.concat(F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0200"))).alias("a"), F.when(i % 3 == 0, F.concat(F.date_format("ts", "dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))).alias("b"))
+    rows = b.inline(spark, _FEED_DATES, "id long, a string, b string").unionByName(made)
     return rows.select("id", parse.feed_date(F.lit("2026-02-01 00:00:00").cast("timestamp"), F.col("a"), F.col("b")).alias("label"))
 
 
@@ -204,12 +230,16 @@ def normalize_title(spark: SparkSession, sf: str) -> DataFrame:
     return _titles(spark, sf).select("doc_id", text.normalised_title(F.col("title")).alias("title"))
 
 
-_TITLES = [(1, "Acme opens 40 MW site - Daily Wire", "acme opens 40 mw site"), (2, "A - B | The Post", "a b"), (3, "One - two - three", "one two"), (4, "No suffix", "no suffix"), (5, None, ""), (6, "Kept | " + "x" * 61, "kept " + "x" * 61), (7, "Zoë’s  Über—title!", "zoë s über title")]
+_TITLES = [(1, "Acme opens 40 MW site - Daily Wire"), (2, "A - B | The Post"), (3, "One - two - three"), (4, "No suffix"), (5, None), (6, "Kept | " + "x" * 61), (7, "Zoë’s  Über—title!")]
+_CUT_SQL = "CASE WHEN length(trim(regexp_extract(t, '(?s).*{1}(.*)$', 1))) <= 60 THEN regexp_extract(t, '(?s)(.*){1}.*$', 1) ELSE t END"
 
 
-@query("SELECT id, title FROM " + b.values_sql([(i, t) for i, _, t in _TITLES], "id long, title string"))
+@query(f"""SELECT id, {_NORMAL_SQL.format("bare")} AS title FROM (SELECT id, CASE WHEN contains(t, ' | ') THEN {_CUT_SQL.format("", " [|] ")} WHEN contains(t, ' - ') THEN {_CUT_SQL.format("", " - ")} ELSE t END AS bare
+FROM (SELECT id, coalesce(s, '') AS t FROM {b.values_sql(_TITLES, "id long, s string")} UNION ALL SELECT 1000 + doc_id, split_part(text, chr(10), 1) || CASE doc_id % 3 WHEN 0 THEN ' | Wire' WHEN 1 THEN ' - The Post' ELSE '' END FROM documents))""")
 def dedup_titles(spark: SparkSession, sf: str) -> DataFrame:
-    return b.inline(spark, [x[:2] for x in _TITLES], "id long, s string").select("id", text.dedup_title(F.col("s")).alias("title"))
+    i = F.col("doc_id")
+    made = _titles(spark, sf).select((i + 1000).alias("id"), F.concat("title", F.when(i % 3 == 0, " | Wire").when(i % 3 == 1, " - The Post").otherwise("")).alias("s"))
+    return b.inline(spark, _TITLES, "id long, s string").unionByName(made).select("id", text.dedup_title(F.col("s")).alias("title"))
 
 
 @query(f"WITH {_DOC_TITLES_SQL} SELECT doc_id, sha256({_NORMAL_SQL.format('title')}) AS fingerprint FROM titles")
@@ -260,12 +290,18 @@ def canonical_url(spark: SparkSession, sf: str) -> DataFrame:
     return b.table(spark, sf, "pages").select("page_id", text.canonical_url(F.col("url")).alias("url"))
 
 
-_URLS = [(1, "HTTP://X.com/A/?utm_source=a&b=2&c=&b=3&d=4#top", "http://x.com/a/?b=2&b=3&d=4"), (2, "https://x.com/a/", "https://x.com/a"), (3, "https://x.com/?ref=1", "https://x.com"), (4, "https://x.com/?a=1&b=2&a=3", "https://x.com/?a=1&a=3&b=2")]
+_URLS = [(1, "HTTP://X.com/A/?utm_source=a&b=2&c=&b=3&d=4#top"), (2, "https://x.com/a/"), (3, "https://x.com/?ref=1"), (4, "https://x.com/?a=1&b=2&a=3")]
+# pairs go by the first place of their key, then by their own
+_GROUPED_SQL = """list_transform(list_sort(list_transform(range(1, len(pairs) + 1), lambda i: {'first': list_position(keys, keys[i]), 'own': i})), lambda x: pairs[x.own])"""
 
 
-@query("SELECT id, url FROM " + b.values_sql([(i, u) for i, _, u in _URLS], "id long, url string"))
+@query(f"""SELECT id, regexp_replace(lower(CASE WHEN len(pairs) = 0 THEN base ELSE base || '?' || array_to_string({_GROUPED_SQL}, '&') END), '/+$', '') AS url
+FROM (SELECT *, list_transform(pairs, lambda p: string_split(p, '=')[1]) AS keys FROM (SELECT id, regexp_extract(trim(s), '^([^?#]*)', 1) AS base,
+  list_filter(string_split(regexp_extract(trim(s), '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: regexp_matches(p, '^[^=]+=.+$') AND NOT list_contains({list(dims.TRACKING)}, lower(string_split(p, '=')[1]))) AS pairs
+FROM (SELECT * FROM {b.values_sql(_URLS, "id long, s string")} UNION ALL SELECT 1000 + page_id, url || '?z=1&a=' || page_id || '&z=2&UTM_Medium=x&b=#f' FROM pages)))""")
 def canonical_url_cases(spark: SparkSession, sf: str) -> DataFrame:
-    return b.inline(spark, [x[:2] for x in _URLS], "id long, s string").select("id", text.canonical_url(F.col("s")).alias("url"))
+    made = b.table(spark, sf, "pages").select((F.col("page_id") + 1000).alias("id"), F.concat("url", F.lit("?z=1&a="), "page_id", F.lit("&z=2&UTM_Medium=x&b=#f")).alias("s"))
+    return b.inline(spark, _URLS, "id long, s string").unionByName(made).select("id", text.canonical_url(F.col("s")).alias("url"))
 
 
 @query(r"""SELECT page_id, trim(regexp_replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'), '&amp;', '&'), '&quot;', '"'), '&#\d+;', '', 'g'), ' ' || chr(9) || chr(10) || chr(13)) AS snippet FROM pages""")
@@ -278,19 +314,29 @@ def page_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return b.table(spark, sf, "pages").select("page_id", text.body_lines(html.page_text(F.col("html"))).alias("body"))
 
 
-_LABELS = [(1, 1234.56, "1,234.6 MW", "1,235 sqft", "1.2K", "1.2GW"), (2, 0.0, "", "", "0", ""), (3, None, "", "", None, ""), (4, 999.4, "999.4 MW", "999 sqft", "999", "999MW"), (5, 2.5e6, "2,500,000.0 MW", "2,500,000 sqft", "2.5M", "2500.0GW"), (6, 3.1e9, "3,100,000,000.0 MW", "3,100,000,000 sqft", "3.1B", "3100000.0GW")]
+_LABELS = [(1, 1234.56), (2, 0.0), (3, None), (4, 999.4), (5, 2.5e6), (6, 3.1e9)]
+
+
+def _part_sql(limit: str, unit: str) -> str:
+    return f"printf('%.1f', round(v / {limit}, 1)) || '{unit}'"
 
 
-@query("SELECT id, mw, sqft, scaled, power FROM " + b.values_sql([(i, *x) for i, _, *x in _LABELS], "id long, mw string, sqft string, scaled string, power string"))
+@query(f"""SELECT id, CASE WHEN v > 0 THEN format('{{:,.1f}}', v) || ' MW' ELSE '' END AS mw, CASE WHEN v > 0 THEN format('{{:,.0f}}', round_even(v, 0)) || ' sqft' ELSE '' END AS sqft,
+  CASE WHEN v >= 1e9 THEN {_part_sql("1e9", "B")} WHEN v >= 1e6 THEN {_part_sql("1e6", "M")} WHEN v >= 1e3 THEN {_part_sql("1e3", "K")} ELSE CAST(CAST(floor(v + 0.5) AS BIGINT) AS VARCHAR) END AS scaled,
+  CASE WHEN v IS NULL OR v = 0 THEN '' WHEN v >= 1000 THEN {_part_sql("1000", "GW")} ELSE CAST(CAST(floor(v + 0.5) AS BIGINT) AS VARCHAR) || 'MW' END AS power
+FROM (SELECT * FROM {b.values_sql(_LABELS, "id long, v double")} UNION ALL SELECT 1000 + c_custkey, abs(CAST(c_acctbal AS DOUBLE)) * 7.3 FROM customer)""")
 def number_labels(spark: SparkSession, sf: str) -> DataFrame:
     v = F.col("v")
-    rows = b.inline(spark, [x[:2] for x in _LABELS], "id long, v double")
+    made = b.table(spark, sf, "customer").select((F.col("c_custkey") + 1000).alias("id"), (F.abs(F.col("c_acctbal").cast("double")) * 7.3).alias("v"))
+    rows = b.inline(spark, _LABELS, "id long, v double").unionByName(made)
     return rows.select("id", text.mw_label(v).alias("mw"), text.sqft_label(v).alias("sqft"), text.scaled_number(v).alias("scaled"), text.power_label(v).alias("power"))
 
 
-@query("SELECT c_custkey, replace(replace(replace(replace(c_name, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS name, translate(lower(c_mktsegment || ' / x'), ' /', '__') AS slug, '804CB2FE' AS kml, '254,178,76' AS rgb FROM customer")
+@query("""SELECT c_custkey, replace(replace(replace(replace(c_name, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS name, translate(lower(c_mktsegment || ' / x'), ' /', '__') AS slug,
+  '80' || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2) AS kml, CAST(CAST('0x' || substr(h, 1, 2) AS INT) AS VARCHAR) || ',' || CAST('0x' || substr(h, 3, 2) AS INT) || ',' || CAST('0x' || substr(h, 5, 2) AS INT) AS rgb
+FROM (SELECT *, upper(substr(md5(c_name), 1, 6)) AS h FROM customer)""")
 def markup_labels(spark: SparkSession, sf: str) -> DataFrame:
-    colour = F.lit("#FEB24C")
+    colour = F.concat(F.lit("#"), F.substring(F.md5(F.col("c_name").cast("binary")), 1, 6))
     return b.table(spark, sf, "customer").select(
         "c_custkey", text.xml_escaped(F.col("c_name")).alias("name"), text.slug(F.concat("c_mktsegment", F.lit(" / x"))).alias("slug"), text.kml_colour(colour).alias("kml"), F.array_join(text.rgb(colour).cast("array<string>"), ",").alias("rgb"),
     )
@@ -482,10 +528,20 @@ _FACILITIES = [(1, "DC-1", "Acme North", "Acme One", "Acme"), (2, "DC-2", "Borea
 _HAYS = [(1, "Acme North opens a hall"), (2, "the Boreal Campus grows, says Boreal Power Group"), (3, "Delta Yrad and Cedr"), (4, "nothing at all"), (5, "")]
 
 
-@query("""SELECT * FROM (VALUES (1, 'DC-4', 'Acme North'), (2, 'DC-2', 'Boreal Campus'), (2, 'DC-2', 'Boreal Power Group'), (1, 'DC-1', 'Acme')) AS t(id, dc_id, name)""".replace("SELECT *", "SELECT CAST(id AS BIGINT) AS id, dc_id, name"))
+_THREE_WORDS_SQL = "array_to_string(regexp_split_to_array(text, '\\s+')[1:3], ' ')"
+
+
+@query(f"""WITH f AS (SELECT * FROM {b.values_sql(_FACILITIES, "row_idx long, asset_id string, canonical_name string, alias string, operator string")} UNION ALL SELECT 1000 + item_id, 'DC-' || (1000 + item_id), {_THREE_WORDS_SQL}, NULL, '' FROM benchmark),
+named AS (SELECT row_idx, asset_id AS dc_id, 'canonical_name' AS field, trim(canonical_name) AS name FROM f UNION ALL SELECT row_idx, asset_id, 'alias', trim(alias) FROM f WHERE alias IS DISTINCT FROM canonical_name UNION ALL SELECT row_idx, asset_id, 'operator', trim(operator) FROM f WHERE length(trim(operator)) > 3),
+last_ AS (SELECT * FROM named WHERE coalesce(name, '') <> '' QUALIFY row_number() OVER (PARTITION BY name ORDER BY row_idx DESC, field) = 1),
+hays AS (SELECT * FROM {b.values_sql(_HAYS, "id long, hay string")} UNION ALL SELECT 1000 + doc_id, substr(text, 1, {links.HAYSTACK}) FROM documents)
+SELECT id, dc_id, name FROM hays JOIN last_ ON contains(hay, name)""")
 def candidates_contained(spark: SparkSession, sf: str) -> DataFrame:
-    facilities = b.inline(spark, _FACILITIES, "row_idx long, asset_id string, canonical_name string, alias string, operator string")
-    return links.contained(b.inline(spark, _HAYS, "id long, hay string"), links.names(facilities)).select("id", "dc_id", "name")
+    schema = "row_idx long, asset_id string, canonical_name string, alias string, operator string"
+    i, words = F.col("item_id") + 1000, F.split("text", r"\s+")
+    made = b.table(spark, sf, "benchmark").select(i.alias("row_idx"), F.concat(F.lit("DC-"), i).alias("asset_id"), F.array_join(F.slice(words, 1, 3), " ").alias("canonical_name"), F.lit(None).cast("string").alias("alias"), F.lit("").alias("operator"))
+    hays = b.inline(spark, _HAYS, "id long, hay string").unionByName(b.table(spark, sf, "documents").select((F.col("doc_id") + 1000).alias("id"), F.substring("text", 1, links.HAYSTACK).alias("hay")))
+    return links.contained(hays, links.names(b.inline(spark, _FACILITIES, schema).unionByName(made))).select("id", "dc_id", "name")
 
 
 @query()

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..dims import STATUSES, UNCLASSIFIED, UNKNOWN_STATUS, centroids
 from ..functions import parse
 from ..operators import cells, links, plants
+from ..sources.readers import ORDER
+
+
+def _place(raw: DataFrame) -> Column:
+    """The place of a row in its source: the reader's, else the order in which a single file's rows come."""
+    return F.col(ORDER) if ORDER in raw.columns else F.monotonically_increasing_id()
 
 
 def facility_points(raw: DataFrame) -> DataFrame:
@@ -24,7 +30,7 @@ def facility_points(raw: DataFrame) -> DataFrame:
 def generator_table(raw: DataFrame) -> DataFrame:
     """A sheet's generators with source order, numbers (blank: null) and technology groups; blank plant ids are null."""
     schemas.require(raw.columns, list(schemas.GENERATOR), "the generator sheet")
-    out = raw.select(*(F.col(f"`{c}`").alias(name) for c, name in schemas.GENERATOR.items()), F.monotonically_increasing_id().alias("row_idx"))
+    out = raw.select(*(F.col(f"`{c}`").alias(name) for c, name in schemas.GENERATOR.items()), _place(raw).alias(ORDER))
     for c in ("mw", "lat", "lon"):
         out = out.withColumn(c, parse.generator_number(F.col(c)))
     return out.withColumn("plant_id", F.nullif(parse.strip(F.col("plant_id")), F.lit(""))).withColumn("tech_group", plants.tech_group(F.coalesce("technology", F.lit(""))))
@@ -47,7 +53,7 @@ def typed_feed(raw: DataFrame) -> DataFrame:
         F.col("ID").alias("id"), F.col("Title").alias("title"), F.col("CleanURL").alias("url"), F.col("Source").alias("source"), parse.any_date(F.col("PublishedDate")).alias("published"), F.col("Summary_AI").alias("summary"),
         F.col("Primary_Category").alias("category"), F.filter(F.transform(F.split("Secondary_Categories", ";"), parse.strip), lambda x: x != "").alias("secondary"), parse.article_list(F.col("States")).alias("states"), parse.article_list(F.col("DC_ID")).alias("dc_ids"),
         parse.is_true(F.col("Is_Duplicate")).alias("is_duplicate"), F.col("Duplicate_Of").alias("duplicate_of"), parse.integer_or_zero(F.col("Strategy_Alignment_Score")).alias("strategy"), parse.integer_or_zero(F.col("Relevance_Score")).alias("relevance"),
-        parse.is_true(F.col("Mentions_Specific_DC")).alias("mentions"), F.col("Article_Text").alias("text"), F.monotonically_increasing_id().alias("row_idx"),
+        parse.is_true(F.col("Mentions_Specific_DC")).alias("mentions"), F.col("Article_Text").alias("text"), _place(raw).alias(ORDER),
     ).withColumn("tagged", F.size("dc_ids") > 0)
 
 

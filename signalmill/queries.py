@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from .plans import market, news
+from .plans import files, market, news
 
-REGISTRY = {**news.REGISTRY, **market.REGISTRY}
+REGISTRY = {**news.REGISTRY, **market.REGISTRY, **files.REGISTRY}

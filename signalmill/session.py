@@ -23,17 +23,23 @@ def session(app: str = "signalmill", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one where none is set, as in tests."""
+    """The folder that spark.checkpoint.dir names; where none is set, a temporary one in local mode, as in tests.
+
+    On a cluster each machine would write to its own temporary folder, so there one must be set.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="signalmill-")
     return _own[app]
 
 
-def _tables(spark: SparkSession) -> str:
+def tables_dir(spark: SparkSession) -> str:
+    """Where this application's intermediate tables and files are."""
     return f"{shared_dir(spark)}/signalmill/{spark.sparkContext.applicationId}"
 
 
@@ -43,12 +49,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     The lineage is cut, a lost executor costs no recomputation, and later readers
     prune columns. The table lives until ``drop_tables``.
     """
-    path = f"{_tables(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{tables_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_tables(spark: SparkSession) -> None:
     """Delete what ``materialise`` wrote in this application; results that were read from it must be written before."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path = spark._jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

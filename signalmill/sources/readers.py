@@ -9,11 +9,10 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.utils import AnalysisException
 
 ENCODINGS = ("UTF-8", "windows-1252", "ISO-8859-1")
 
@@ -40,30 +39,48 @@ def encoding_of(spark: SparkSession, path: str) -> str:
     return ENCODINGS[2] if row["odd"] else ENCODINGS[1]
 
 
-def read_delimited(spark: SparkSession, path: str, encoding: str | None = None, schema: T.StructType | None = None) -> DataFrame:
-    """All columns as text (or by ``schema``), blanks as empty strings, quoted line breaks kept, a byte-order mark and quotes taken off the names."""
+#: Column of a row's place in its source: file, block and number, which sorts as the files were written, whatever Spark's splits are.
+ORDER = "row_idx"
+
+
+def source_block() -> Column:
+    """Of a scan of files: file and block of a row."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def source_order(block: Column | None = None) -> Column:
+    """Of a scan of files, or of rows with their block: what ORDER holds."""
+    return F.struct((source_block() if block is None else block).alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
+def read_delimited(spark: SparkSession, path: str, encoding: str | None = None, schema: T.StructType | None = None, order: bool = False) -> DataFrame:
+    """All columns as text (or by ``schema``), blanks as empty strings, quoted line breaks kept, a byte-order mark and quotes taken off the names; with ``order``, ORDER beside them."""
     encoding = encoding or encoding_of(spark, path)
     windows = encoding == ENCODINGS[1]
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", ENCODINGS[2] if windows else encoding)
-    if schema is not None:
-        out = reader.schema(schema).csv(path).fillna("")
-    else:
-        out = reader.csv(path)
-        out = out.toDF(*(clean_name(c.translate(str.maketrans(_WINDOWS)) if windows else c) for c in out.columns)).fillna("")
+    out = (reader if schema is None else reader.schema(schema)).csv(path)
+    names = out.columns if schema is not None else [clean_name(c.translate(str.maketrans(_WINDOWS)) if windows else c) for c in out.columns]
+    if order:
+        out, names = out.withColumn(ORDER, source_order()), [*names, ORDER]
+    out = out.toDF(*names).fillna("")
     if windows:
         plain, real = "".join(_WINDOWS), "".join(_WINDOWS.values())
         out = out.select(*(F.translate(F.col(f"`{f.name}`"), plain, real).alias(f.name) if f.dataType == T.StringType() else F.col(f"`{f.name}`") for f in out.schema))
     return out
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file, folder or match of a pattern."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return found is not None and len(found) > 0
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, kind: str = "csv") -> DataFrame:
-    """A table, or none of its rows where there is no file."""
-    try:
-        if kind == "csv":
-            return read_delimited(spark, path, "UTF-8", schema)
-        return spark.read.schema(schema).format(kind).load(path)
-    except AnalysisException:
+    """A table, or none of its rows where there is no file. What is there and can't be read raises."""
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    return read_delimited(spark, path, "UTF-8", schema) if kind == "csv" else spark.read.schema(schema).format(kind).load(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -84,10 +101,9 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 def read_map(spark: SparkSession, path: str, value: str) -> DataFrame:
     """key and value of a JSON object in a file; nothing from a missing or broken file."""
-    try:
-        text = spark.read.option("wholetext", True).text(path)
-    except AnalysisException:
+    if not exists(spark, path):
         return spark.createDataFrame([], f"key string, value {value}")
+    text = spark.read.option("wholetext", True).text(path)
     return text.select(F.explode(F.from_json("value", f"map<string, {value}>")).alias("key", "value"))
 
 

@@ -12,6 +12,26 @@ from ..functions.text import kml_colour, mw_label, slug, sqft_label, xml_escaped
 from .readers import read_or_empty
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def put(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write one small file, whole, into any store that Spark can write."""
+    fs, at = _file_system(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -54,6 +74,16 @@ def recent_snapshots(archive: DataFrame, now: Column, days: int = 7) -> DataFram
     return archive.where(F.to_timestamp("snapshot_ts", "yyyyMMdd_HHmmss") >= now - F.make_dt_interval(days=F.lit(days)))
 
 
+def prune_snapshots(spark: SparkSession, archive: str, now: Column, days: int = 7) -> list[str]:
+    """Delete the snapshots older than ``days`` days; their stamps. A folder whose stamp is no time stays."""
+    old = spark.read.parquet(archive).select(F.col("snapshot_ts").cast("string").alias("snapshot_ts")).distinct()
+    at = F.try_to_timestamp("snapshot_ts", F.lit("yyyyMMdd_HHmmss"))
+    stamps = sorted(r["snapshot_ts"] for r in old.where(at < now - F.make_dt_interval(days=F.lit(days))).collect())
+    for stamp in stamps:
+        delete(spark, f"{archive}/snapshot_ts={stamp}")
+    return stamps
+
+
 def json_rows(df: DataFrame) -> DataFrame:
     """One JSON text a row, for a data file that a page loads."""
     return df.select(F.to_json(F.struct("*")).alias("json"))
@@ -70,15 +100,6 @@ def page(title: str, datasets: dict[str, DataFrame], most_rows: int = 100_000) -
     return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{title}</title></head><body><script>\n" + "\n".join(parts) + "\n</script></body></html>"
 
 
-def story_cards(stories: DataFrame) -> str:
-    """Newsletter section of the (ten or so) stories, escaped."""
-    card = F.format_string(
-        '<div class="card"><span class="badge">%s</span><h3><a href="%s">%s</a></h3><p>%s</p><small>%s</small></div>',
-        xml_escaped(F.col("category")), xml_escaped(F.col("url")), xml_escaped(F.col("title")), xml_escaped(F.col("summary")), F.date_format("day", "MMM d, yyyy"),
-    )
-    return "\n".join(r["card"] for r in stories.limit(100).select(card.alias("card")).collect())
-
-
 def placemarks(facilities: DataFrame, colours: dict[str, str]) -> DataFrame:
     """status, name and KML placemark of each facility."""
     label = F.concat_ws(", ", F.nullif(mw_label(F.col("mw")), F.lit("")), F.nullif(sqft_label(F.col("sqft")), F.lit("")))

@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 
 from ..operators.dedup import new_urls, stacked
 from ..operators.feed import unexpired
-from ..sources.readers import read_or_empty
+from ..sources.readers import ORDER, read_or_empty, source_block, source_order
+from ..sources.writers import delete
 
 SEEN_DAYS, CACHE_DAYS = 30, 14
+KEPT_VERSIONS = 3
 SEEN = T.StructType([T.StructField("url", T.StringType()), T.StructField("first_seen", T.TimestampType())])
 
 
@@ -28,20 +30,20 @@ def ingest(spark: SparkSession, source: str, schema: T.StructType, sink: str, st
     """Take up all new files of ``source`` once: urls that weren't seen in the last 30 days and aren't in the sink are appended to it.
 
     A batch that is run again writes the same versions again, so each article is appended once. A hit doesn't
-    renew an entry; an expired entry still blocks in the batch that drops it.
+    renew an entry; an expired entry still blocks in the batch that drops it. Of the state only the last ``KEPT_VERSIONS`` versions stay.
     """
     def batch(rows: DataFrame, number: int) -> None:
         s = rows.sparkSession
         seen = latest(s, state, SEEN)
         staged = read_or_empty(s, sink, T.StructType([*schema.fields, T.StructField("batch", T.LongType())]), "parquet").where(F.col("batch") != number)
-        ordered = rows.withColumn("arrival_", F.monotonically_increasing_id())
-        fresh = new_urls(ordered, seen, staged, "arrival_").select(*schema.names)
+        fresh = new_urls(rows.withColumn(ORDER, source_order(F.col(ORDER))), seen, staged, ORDER).select(*schema.names)
         fresh.write.mode("overwrite").parquet(f"{sink}/batch={number}")
         written = s.read.schema(schema).parquet(f"{sink}/batch={number}")
         kept = unexpired(seen, "first_seen", now(), SEEN_DAYS, strict=True).unionByName(written.select(F.col("raw_url").alias("url"), now().alias("first_seen")))
         kept.write.mode("overwrite").parquet(f"{state}/version={number}")
+        delete(s, f"{state}/version={number - KEPT_VERSIONS}")
 
-    stream = spark.readStream.schema(schema).parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source).withColumn(ORDER, source_block())
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
