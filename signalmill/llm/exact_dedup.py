@@ -19,7 +19,7 @@ smallest doc_id (a null one comes last), and of rows that agree in these too one
    have (a thousand at most) are broadcast, so that no task receives the rows of one group.
 
 A document is a row: rows that share a doc_id but not the text are different documents, and
-both filters tell rows apart by doc_id, digest and length. Null texts are empty, and empty texts are
+the filter tells rows apart by doc_id and 64 bits of the original text. Null texts are empty, and empty texts are
 equal to each other. A repeated row (same doc_id, same text) is kept once, whatever its other columns hold; which of
 them is not said. An empty table gives no rows. A text of any length is one value of a batch of bounded bytes. Extra columns take no part
 and may have any names.
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import lean_batches, lean_group
-from .storage import join_sized, materialise, shuffle_width, small_batches, without_rows
+from .storage import join_sized, materialise, shuffle_width, small_batches, text_digest, without_rows
 
 DELETED = bytes([0x20, *range(0x09, 0x0E)])
 #: Entries of a partition's filters at most; then they are sent and new ones begun, so memory doesn't follow the partition.
@@ -52,7 +52,7 @@ def _name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = raw or ""
             sha.append(hashlib.sha256(raw.encode().translate(None, DELETED)).digest())
             size.append(len(raw))
-        yield pa.RecordBatch.from_arrays([b.column(0), _fingerprints(sha), pa.array(sha, pa.binary()), pa.array(size, pa.int64())], names=["doc_id", "fp", "sha", "n_points"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), _fingerprints(sha), pa.array(sha, pa.binary()), pa.array(size, pa.int64())], names=["doc_id", "digest", "fp", "sha", "n_points"])
 
 
 def _fingerprints(sha: list[bytes]) -> pa.Array:
@@ -60,12 +60,12 @@ def _fingerprints(sha: list[bytes]) -> pa.Array:
 
 
 def _slim(docs: DataFrame) -> DataFrame:
-    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_digest(F.col("text")).alias("digest"))
 
 
 def name_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, fp, sha, n_points (code points of the original text) of every row."""
-    return _slim(docs).mapInArrow(lean_batches(_name_rows), "doc_id long, fp long, sha binary, n_points long")
+    """doc_id, digest of the original text, fp, sha, n_points (code points of the original text) of every row."""
+    return _slim(docs).mapInArrow(lean_batches(_name_rows), "doc_id long, digest long, fp long, sha binary, n_points long")
 
 
 class QuotientFilter:
@@ -172,7 +172,7 @@ def verified_groups(docs: DataFrame, repeated: DataFrame) -> DataFrame:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """doc_id, sha and n_points of every row, and of rows of groups keep_id, group_size and whether it is the row that stays."""
+    """doc_id, digest and sha of every row, and of rows of groups keep_id, group_size and whether it is the row that stays."""
     named = materialise(name_texts(docs).withColumn("row", F.monotonically_increasing_id()), "exact-named")
     repeated = materialise(repeated_fingerprints(named, shuffle_width(docs.sparkSession)), "exact-repeated")
     # the greatest of lengths, then of complements: the smallest doc_id, null last, and the smallest number
@@ -181,7 +181,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     groups = verified_groups(docs, repeated).where("group_size > 1").join(first, "sha")
     groups = materialise(groups.select("sha", "group_size", F.bitwise_not("best.doc").alias("keep_id"), F.bitwise_not("best.row").alias("keep_row")), "exact-groups")
     joined = join_sized(named, groups, "sha", "group_size")
-    return joined.select("doc_id", "sha", "n_points", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("stays"))
+    return joined.select("doc_id", "digest", "sha", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("stays"))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -198,8 +198,6 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    identity = {"doc_id": F.col("doc_id").cast("long"), "sha": F.unhex(F.sha2(F.translate(text, DELETED.decode(), ""), 256)), "n_points": F.length(text).cast("long")}
-    marks = _marked(docs).where("group_size is not null").groupBy(*identity).agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+    marks = _marked(docs).where("group_size is not null").groupBy("doc_id", "digest").agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
     marks = materialise(marks.where("not stays or n > 1"), "exact-marks")
-    return without_rows(docs, identity, marks.where("not stays"), marks.where("stays"))
+    return without_rows(docs, marks.where("not stays"), marks.where("stays"))

@@ -43,9 +43,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import smallest_labels
 from . import bytekernel as K
-from .components import smallest_labels
-from .packing import deal_blocks, expand, lean_batches, lean_cogroup, lean_group, squeeze, text_digest, unpack
+from .packing import deal_blocks, expand, lean_batches, lean_cogroup, lean_group, squeeze, unpack
 from .storage import join_sized, materialise, shuffle_width, without_rows
 
 WORDS = 5
@@ -309,5 +309,4 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     several = materialise(first.groupBy("label").agg(F.min("digest").alias("keep"), F.sum("n").alias("rows")).where("rows > 1"), "jaccard-several")
     first = materialise(first.join(several, "label"), "jaccard-first")
     gone = found.where("doc_id <> component").select("doc_id", "digest").unionByName(first.where("digest <> keep").select("doc_id", "digest"))
-    identity = {"doc_id": F.col("doc_id").cast("long"), "digest": text_digest(F.col("text"))}
-    return without_rows(docs, identity, materialise(gone.distinct(), "jaccard-gone"), first.where("digest = keep and n > 1"))
+    return without_rows(docs, materialise(gone.distinct(), "jaccard-gone"), first.where("digest = keep and n > 1"))

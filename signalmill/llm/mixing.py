@@ -12,8 +12,8 @@ common level is its maximum and a child's share is min(c, w * level). That is tw
 
 A leaf with quota q takes all its documents floor(q / tokens) times, and of the next epoch the
 longest prefix, in the order of md5(seed:epoch:doc_id), that fits in the rest. The cut is
-found from token sums over ``2 ** 12`` ranges of that hash; only the range in which the rest runs out is
-sorted, so a leaf that holds a third of all rows is never in one task. The cut is one hash a leaf,
+found from token sums over 256 ranges of that hash, then over 256 ranges of the one in which the rest runs out; only
+what is left of that is sorted, so a leaf that holds a third of all rows is never in one task. The cut is one hash a leaf,
 and selection is a filter on it: texts are not shuffled.
 
 Null languages and sources form the node ``unknown``; nodes without a given weight have
@@ -33,7 +33,8 @@ from .storage import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEAF = ["domain", "language", "origin"]
-RANGE_DIGITS = 3
+#: Digits of the order key by which each of the levels cuts.
+RANGE_DIGITS, RANGE_LEVELS = 2, 2
 
 
 @dataclass(frozen=True)
@@ -104,14 +105,17 @@ def cuts(docs: DataFrame, domain: Column, mix: Mix) -> DataFrame:
     plan = budgets(leaves, mix).withColumn("epochs", F.coalesce(F.try_divide("quota", "tokens").cast("long"), F.lit(0)))
     plan = materialise(plan.withColumn("rest", F.col("quota") - F.col("epochs") * F.col("tokens")), "mix-plan")
 
-    keyed = slim.join(plan.where("tokens > 0"), LEAF).withColumn("key", order_key(mix)).withColumn("range", F.substring("key", 1, RANGE_DIGITS))
-    sums = keyed.groupBy(*LEAF, "range").agg(F.sum("tokens_").alias("in_range"), F.first("rest").alias("rest"))
-    upto = F.sum("in_range").over(Window.partitionBy(*LEAF).orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    crossing = sums.withColumn("upto", upto).where("upto > rest")
-    crossing = crossing.groupBy(*LEAF).agg(F.min_by(F.struct("range", (F.col("upto") - F.col("in_range")).alias("base")), "range").alias("x")).select(*LEAF, "x.range", "x.base")
-
-    inside = keyed.select(*LEAF, "range", "key", "tokens_", "rest").join(crossing, [*LEAF, "range"])
-    running = F.col("base") + F.sum("tokens_").over(Window.partitionBy(*LEAF, "range").orderBy("key"))  # rows of one key count together
+    keyed = slim.join(plan.where("tokens > 0"), LEAF).withColumn("key", order_key(mix)).select(*LEAF, "key", "tokens_", "rest")
+    inside = keyed.withColumn("base", F.lit(0))
+    for level in range(1, RANGE_LEVELS + 1):
+        sums = inside.groupBy(*LEAF, F.substring("key", 1, level * RANGE_DIGITS).alias("range")).agg(F.sum("tokens_").alias("in_range"), F.first("rest").alias("rest"), F.first("base").alias("base"))
+        upto = F.col("base") + F.sum("in_range").over(Window.partitionBy(*LEAF).orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        crossing = sums.withColumn("upto", upto).where("upto > rest")
+        crossing = crossing.groupBy(*LEAF).agg(F.min_by(F.struct("range", (F.col("upto") - F.col("in_range")).alias("base")), "range").alias("x")).select(*LEAF, "x.range", "x.base")
+        crossing = materialise(crossing, f"mix-crossing-{level}")
+        inside = keyed.join(crossing, LEAF).where(F.col("key").startswith(F.col("range")))
+    inside = inside.groupBy(*LEAF, "key").agg(F.sum("tokens_").alias("tokens_"), F.first("rest").alias("rest"), F.first("base").alias("base"))  # rows of one key count together
+    running = F.col("base") + F.sum("tokens_").over(Window.partitionBy(*LEAF).orderBy("key"))
     last = inside.withColumn("running", running).where("running <= rest").groupBy(*LEAF).agg(F.max("key").alias("last_key"))
     # without a document of the crossing range, the range's own name lies between the ranges before and its keys
     cut = crossing.join(last, LEAF, "left").select(*LEAF, F.coalesce("last_key", "range").alias("cut"))

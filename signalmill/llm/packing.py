@@ -7,11 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytekernel as K
-from .storage import small_batches
+from .storage import small_batches, text_digest
 
 #: Texts of about so many bytes are dealt together.
 DEAL_BYTES = 32 << 20
@@ -27,11 +27,6 @@ def expand(blob: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(8, n).T).view(np.uint64).reshape(-1)
 
 
-def text_digest(text: Column) -> Column:
-    """64 bits of a text, by which rows of one doc_id are told apart; a null text has those of an empty one."""
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
-
-
 def deal_blocks(docs: DataFrame, blocks: int) -> DataFrame:
     """block, packed: the documents' doc_id, text and digest, dealt into blocks by hash of doc_id and digest and compressed."""
     def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import join_sized
 from ..session import materialise, shared_dir
 
-__all__ = ["join_sized", "materialise", "shared_dir", "shuffle_width", "small_batches", "table", "without_rows"]
+__all__ = ["join_sized", "materialise", "shared_dir", "shuffle_width", "small_batches", "table", "text_digest", "without_rows"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,31 +32,41 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-#: A key is hot when it has more than one in so many rows; there are fewer hot keys than this.
-HOT_PARTS = 1_000
+def text_digest(text: Column) -> Column:
+    """64 bits of a text, by which rows of one doc_id are told apart; a null text has those of an empty one."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def join_sized(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str) -> DataFrame:
-    """``rows`` left-joined by ``key`` with ``groups`` (one row a key), whose ``size`` says how many rows have it.
+def identity() -> dict[str, Column]:
+    """What a row of documents is known by: doc_id and digest."""
+    return {"doc_id": F.col("doc_id").cast("long"), "digest": text_digest(F.col("text"))}
 
-    Rows of hot keys meet a broadcast of fewer than HOT_PARTS groups and aren't shuffled; the others are joined by key. Both
-    tables are read twice, so they should be written ones.
-    """
-    limit = max(1, rows.count() // HOT_PARTS)
-    hot, cold = F.broadcast(groups.where(F.col(size) > limit)), groups.where(F.col(size) <= limit)
-    rest = rows.join(hot, key, "left_anti").join(cold, key, "left")
-    return rest.unionByName(rows.join(hot, key))
+
+#: Bits of the bitmap of rows that may go, in pieces of PIECE_BITS: 4 MB at most, whatever the tables' sizes.
+BITMAP_BITS, PIECE_BITS = 1 << 25, 1 << 15
 
 
-def without_rows(docs: DataFrame, identity: dict[str, Column], gone: DataFrame, again: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with their own columns, whose ``identity`` (named columns) isn't in ``gone``, and of each in ``again`` one. Nulls are equal to each other."""
-    rows = docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in identity.items()))
+def without_rows(docs: DataFrame, gone: DataFrame, again: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with their own columns, whose ``identity`` isn't in ``gone``, and of each in ``again`` one. Null doc_ids are equal to each other.
+
+    Rows whose bit isn't set in a bitmap of both tables, which is broadcast, stay where they are; only the others meet the tables.
+    """
+    place = F.pmod(F.xxhash64(*identity()), F.lit(BITMAP_BITS))
+    bits = gone.select(*identity()).unionByName(again.select(*identity())).select(place.alias("place"))
+    piece, bit = F.floor(F.col("place") / PIECE_BITS).alias("piece"), (F.col("place") % PIECE_BITS).alias("bit")
+    pieces = bits.select(piece, bit).groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    pieces = F.broadcast(materialise(pieces, "rows-bitmap"))
+    rows = docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in identity().items())).withColumn("place", place)
+    met = rows.select("*", piece, bit).join(pieces, "piece", "left")
+    byte = "cast(conv(hex(substring(bitmap, cast(bit div 8 AS int) + 1, 1)), 16, 10) AS int)"
+    may = F.expr(f"coalesce(shiftright({byte}, cast(bit % 8 AS int)) & 1 = 1, false)")
+    open_ = met.where(may).select("row", "doc_id", "digest")
 
     def of(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
-        keys = keys.select(*(F.col(name).alias(f"{name}_") for name in identity))
-        same = [rows[name].eqNullSafe(keys[f"{name}_"]) for name in identity]
-        return rows.join(keys, same, how)
+        keys = keys.select(F.col("doc_id").alias("doc_id_"), F.col("digest").alias("digest_"))
+        return rows.join(keys, (rows["digest"] == keys["digest_"]) & rows["doc_id"].eqNullSafe(keys["doc_id_"]), how)
 
-    stay = of(gone, "left_anti", rows)
-    one = of(again, "left_semi", stay).groupBy(*identity).agg(F.first("row").alias("row"))
-    return of(again, "left_anti", stay).select("row.*").unionByName(one.select("row.*"))
+    stay = of(gone, "left_anti", open_)
+    one = of(again, "left_semi", stay).groupBy("doc_id", "digest").agg(F.first("row").alias("row"))
+    rest = of(again, "left_anti", stay).select("row.*").unionByName(one.select("row.*"))
+    return met.where(~may).select("row.*").unionByName(rest)
