@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, scratch
 
 #: A key is hot when it has more than one in so many rows; there are fewer hot keys than this.
 HOT_PARTS = 1_000
@@ -30,16 +30,17 @@ def smallest_labels(edges: DataFrame) -> DataFrame:
     label, so the distance to the smallest node at least halves where labels form chains: rounds grow with the logarithm of
     the longest chain. It stops when no label has changed. A node with very many neighbours, or a label of very many nodes, is joined by broadcast.
     """
-    both = edges.where("a <> b").select("a", "b").distinct()
-    both = materialise(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))), "cc-edges")
-    labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"), F.count("*").alias("degree"))
-    labels = materialise(labels.withColumnRenamed("a", "node"), "cc-labels")
-    while True:
-        near = join_sized(both, labels.withColumnRenamed("node", "b"), "b", "degree").groupBy("a").agg(F.min("label").alias("near")).withColumnRenamed("a", "node")
-        low = materialise(labels.join(near, "node").select("node", "degree", F.col("label").alias("old"), F.least("label", "near").alias("label")), "cc-low")
-        used = low.groupBy("label").agg(F.count("*").alias("nodes"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further")).join(used, "label")
-        nxt = join_sized(low, jump, "label", "nodes").select("node", "degree", "old", F.least("label", "further").alias("label"))
-        labels = materialise(nxt, "cc-labels")
-        if labels.where("label <> old").isEmpty():
-            return labels.select("node", "label")
+    with scratch(edges.sparkSession) as keep:
+        both = edges.where("a <> b").select("a", "b").distinct()
+        both = materialise(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))), "cc-edges")
+        labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"), F.count("*").alias("degree"))
+        labels = materialise(labels.withColumnRenamed("a", "node"), "cc-labels")
+        while True:
+            near = join_sized(both, labels.withColumnRenamed("node", "b"), "b", "degree").groupBy("a").agg(F.min("label").alias("near")).withColumnRenamed("a", "node")
+            low = materialise(labels.join(near, "node").select("node", "degree", F.col("label").alias("old"), F.least("label", "near").alias("label")), "cc-low")
+            used = low.groupBy("label").agg(F.count("*").alias("nodes"))
+            jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further")).join(used, "label")
+            nxt = join_sized(low, jump, "label", "nodes").select("node", "degree", "old", F.least("label", "further").alias("label"))
+            labels = materialise(nxt, "cc-labels")
+            if labels.where("label <> old").isEmpty():
+                return keep(labels.select("node", "label"), "cc-components")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..dims import BLOCKED_URLS
 from ..functions.text import dedup_title, title_fingerprint
-from ..session import materialise
+from ..session import materialise, scratch
 from .components import join_sized, smallest_labels
 
 TITLE_RATIO = 88.0
@@ -191,6 +191,11 @@ def greedy(nodes: DataFrame, edges: DataFrame, near: DataFrame | None = None) ->
     are joined too; only the earliest kept and the earliest undecided article of each key are looked at, so their pairs are never
     formed. An empty key is like none. Returns arrival, is_duplicate, duplicate_of.
     """
+    with scratch(nodes.sparkSession) as keep_table:
+        return keep_table(_marks(nodes, edges, near), "greedy-marks")
+
+
+def _marks(nodes: DataFrame, edges: DataFrame, near: DataFrame | None) -> DataFrame:
     key = F.when(F.col("key") != "", F.col("key")) if "key" in nodes.columns else F.lit(None).cast("string")
     nodes = materialise(nodes.select(F.col("arrival").cast("long").alias("arrival"), "cached", key.alias("key")), "greedy-nodes")
     edges = materialise(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a < b").distinct(), "greedy-edges")

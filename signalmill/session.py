@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+#: Names of the scratch folders that tables go to now, the innermost last.
+_scratch: ContextVar[tuple[str, ...]] = ContextVar("scratch", default=())
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,18 +48,43 @@ def tables_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/signalmill/{spark.sparkContext.applicationId}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     The lineage is cut, a lost executor costs no recomputation, and later readers
-    prune columns. The table lives until ``drop_tables``.
+    prune columns. The table lives until the end of the ``scratch`` that it is written in, or until ``drop_tables``.
     """
-    path = f"{tables_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = "/".join([tables_dir(df.sparkSession), *_scratch.get(), f"{name}-{uuid.uuid4().hex}"])
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that are written inside are deleted at the end, but for those written by the function that this gives."""
+    outer = _scratch.get()
+    folder = f"scratch-{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        inner = _scratch.set(outer)
+        try:
+            return materialise(df, name)
+        finally:
+            _scratch.reset(inner)
+
+    token = _scratch.set((*outer, folder))
+    try:
+        yield keep
+    finally:
+        _scratch.reset(token)
+        _delete(spark, "/".join([tables_dir(spark), *outer, folder]))
+
+
 def drop_tables(spark: SparkSession) -> None:
     """Delete what ``materialise`` wrote in this application; results that were read from it must be written before."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, tables_dir(spark))
