@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from ..operators.components import smallest_labels
 from . import bytekernel as K
 from .packing import deal_blocks, expand, lean_batches, lean_cogroup, lean_group, squeeze, unpack
-from .storage import join_sized, materialise, shuffle_width, without_rows
+from .storage import join_sized, materialise, scratch, shuffle_width, without_rows
 
 WORDS = 5
 PERCENT = 80
@@ -239,7 +239,14 @@ def _placed(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Written rows, doc_id, digest, signature, size of every row, and written classes: signature, size, node, doc (the smallest doc_id), n (rows) and label of every set that isn't empty."""
+    """Written rows, doc_id, digest, signature, size of every row, and written classes (see ``_classes``); nothing else that was written stays."""
+    with scratch(docs.sparkSession) as keep:
+        rows, classes = _classes(docs)
+        return keep(rows, "jaccard-rows"), keep(classes, "jaccard-labelled")
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows, doc_id, digest, signature, size of every row, and classes: signature, size, node, doc (the smallest doc_id), n (rows) and label of every set that isn't empty."""
     width = shuffle_width(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = max(1, -(-int(slim.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARACTERS))
@@ -282,7 +289,7 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = left.join(right, here & _may_link(F.col("l.size"), F.col("l.place"), F.col("r.size"), F.col("r.place")))
     links = _verified(texts, rest.select(F.col("l.node").alias("centre"), F.col("r.node").alias("member")), "rest")
     labels = smallest_labels(links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
-    return rows, materialise(_placed(classes, labels), "jaccard-labelled")
+    return rows, _placed(classes, labels)
 
 
 def _components(rows: DataFrame, classes: DataFrame) -> DataFrame:

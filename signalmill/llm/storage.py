@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.components import join_sized
-from ..session import materialise, shared_dir
+from ..session import materialise, scratch, shared_dir
 
-__all__ = ["join_sized", "materialise", "shared_dir", "shuffle_width", "small_batches", "table", "text_digest", "without_rows"]
+__all__ = ["join_sized", "materialise", "scratch", "shared_dir", "shuffle_width", "small_batches", "table", "text_digest", "without_rows"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
