@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir); ``run`` writes its rows as Parquet in the shared folder and
 reads them again as the next stage's documents.
+
+A document is a row. Null texts are empty texts: they are scored by the classifier like others, are copies of each other for the exact
+dedup, link with nothing, have no tokens in the mix and come with the prefix they fall in, and encode to no pieces. Rows
+without doc_id are documents too; they link with nothing, and share one place in the mix's order. A row that is repeated whole stays once, and rows that share a
+doc_id but not the text are told apart. Of copies the longest text stays, then the smallest doc_id; of a component of near copies its smallest
+doc_id; ties in the mix go together. Texts of any length pass whole. Extra columns come along, whatever their names, up to the last stage. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from pyspark.sql import functions as F
 
 from signalmill.llm import exact_dedup, jaccard_join, mixing, piece_codec, rule_classifier
 from signalmill.llm.queries import source_domain
-from signalmill.llm.storage import materialise, table
+from signalmill.llm.storage import scratch, table
 
 #: The corpus takes no document twice: shortages are made up by siblings only.
 MIX = mixing.Mix(share=0.85, max_epochs=1, seed=17, domains={"crawl": 35, "library": 35, "forum": 30}, languages={"en": 40, "de": 20, "fr": 20, "es": 20})
@@ -56,9 +62,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another. What a stage writes for itself is deleted when its rows are written; the last one's rows are given as they come."""
     docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = materialise(docs, f"pipeline-{k}")
-    return docs
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        with scratch(spark) as keep:
+            docs = keep(stage(spark, docs, sf_dir), f"pipeline-{k}")
+    return STAGES[-1][1](spark, docs, sf_dir)
