@@ -2,6 +2,7 @@
 
 import random
 import zipfile
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -311,6 +312,56 @@ def test_models_retry_and_stop(spark):
     assert got[2]["d"]["relevance_score"] == 4 and got[3]["d"] is None
 
 
+def test_models_fall_back_once(spark):
+    def spent():
+        def client(q):
+            raise models.QuotaExceeded("no more")
+
+        return client
+
+    def other():
+        return lambda q: "{}" if q != "spent" else spent()(q)
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "spent"), (4, "c")], "article_id long, prompt string").coalesce(1)
+    got = models.ask(rows, spent, fallback=other, wait=0.0)
+    assert values(got.withColumn("full", models.complete(F.col("answer"))), "article_id", "status", "full") == [("1", "success", False), ("2", "success", False), ("3", "failed", False), ("4", "success", False)]
+    assert values(models.ask(rows, spent, wait=0.0), "status") == [("failed",)] * 4
+
+
+def test_a_folder_is_needed_on_a_cluster():
+    def fake(master, folder=None):
+        context = SimpleNamespace(master=master, applicationId="app-of-a-test", getConf=lambda: {})
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
+
+    assert session.shared_dir(fake("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
+    assert session.shared_dir(fake("local[2]")).startswith("file://")
+    with pytest.raises(ValueError):
+        session.shared_dir(fake("spark://host:7077"))
+
+
+def test_scratch_tables_go_and_kept_ones_stay(spark):
+    with session.scratch(spark) as keep:
+        inner = session.materialise(spark.range(3), "inner")
+        with session.scratch(spark) as keep_inside:
+            middle = keep_inside(session.materialise(inner, "innermost"), "middle")
+        assert middle.count() == 3
+        kept = keep(inner, "kept")
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="(?i)exist"):
+        middle.count()
+
+
+def test_running_sums_over_ranges(spark):
+    rnd = random.Random(6)
+    data = {(g, v): rnd.randint(1, 5) for g in "ab" for v in [rnd.choice([rnd.uniform(-3, 3), rnd.uniform(-1e6, 1e6), 0.0, 1e-9, -1e-9, 1e308, -1e308, float("inf"), float("nan")]) for _ in range(200)] if v == v}
+    data |= {(g, float("nan")): 2 for g in "ab"}
+    rows = spark.createDataFrame([(g, v, n) for (g, v), n in data.items()], "g string, v double, n long")
+    order = lambda v: (v != v, v if v == v else 0)
+    for r in cells.with_running(rows, ["g"], "v", "n").collect():
+        same = [(order(v), n) for (g, v), n in data.items() if g == r["g"]]
+        assert r["below_"] == sum(n for v, n in same if v < order(r["v"])) and r["total_"] == sum(n for _, n in same)
+
+
 def test_rolling_dedup(spark):
     day = "CAST('2024-01-{0:02d}' AS TIMESTAMP)"
     batch = lambda rows: spark.sql(" UNION ALL ".join(f"SELECT CAST({a} AS BIGINT) AS arrival, '{t}' AS title, CAST(NULL AS ARRAY<DOUBLE>) AS v, {day.format(d)} AS published" for a, t, d in rows))

@@ -43,6 +43,56 @@ def test_runs(spark, name):
     assert REGISTRY[name][0](spark, SF).count() > 0
 
 
+def plain_partial_ratio(a, b):
+    """Best ratio of the shorter text with any window of its length in the longer one, windows over the ends included."""
+    def lcs(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            last = 0
+            for j, d in enumerate(y, 1):
+                last, row[j] = row[j], last + 1 if c == d else max(row[j], row[j - 1])
+        return row[-1]
+
+    a, b = sorted((a, b), key=len)
+    windows = {b[max(0, i) : i + len(a)] for i in range(1 - len(a), len(b))} if a else set()
+    return max((200 * lcs(a, w) / (len(a) + len(w)) for w in windows), default=0.0)
+
+
+def test_facility_candidates_are_the_best_three(spark, tmp_path):
+    names = ["acme north hall and more", "boreal yard two", "cedar one two three", "acme south hall", "acme north mall", "delta"]
+    texts = ["the acme north hall opens", "near boreal yrad two", "no name at all", "cedr one two, acme north hall", "", "acme north ball"]
+    spark.createDataFrame(list(enumerate(names)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = set()
+    for i, t in enumerate(texts):
+        scored = sorted((-plain_partial_ratio(" ".join(n.split()[:3]), "  " + t), f"DC-{k}") for k, n in enumerate(names))
+        want |= {(i, dc, round(-s / 100, 3), r) for r, (s, dc) in enumerate([x for x in scored if x[0] <= -85][:3], 1)}
+    got = REGISTRY["facility_candidates"][0](spark, str(tmp_path)).collect()
+    assert want and {(r["id"], r["dc_id"], r["confidence"], r["rank"]) for r in got} == want
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_articles_by_priority_come_in_order(spark):
+    got = [(-r["priority"], r["id"]) for r in REGISTRY["all_by_priority"][0](spark, SF).collect()]
+    assert got == sorted(got) and len(got) > 100
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_reports(spark):
+    from signalmill.operators import feed
+    from signalmill.plans import files
+    from signalmill.sources import reports
+
+    articles = files._story_articles(spark, SF)
+    facilities = spark.createDataFrame([("1", "A & B", "Op", "City", "VA", 1234.5, 1), ("1", "A <2>", "Op", "City", "VA", None, 2)], "asset_id string, name string, operator string, city string, state string, mw double, row_idx long")
+    page = reports.issue(articles, facilities, files.END)
+    assert page.count('class="card"') == feed.tagged_stories(articles, files.END).count() + feed.other_stories(articles, files.END).count() and "Jan 24, 2024 – Jan 30, 2024" in page
+    nothing = reports.issue(articles.limit(0), facilities, files.END)
+    assert nothing.count(reports.NO_STORIES) == 2
+    html, plain = reports.summary_mail(reports.summary_lines(files._staged(spark, SF), articles), "Run <1>".replace("<", "of ").replace(">", ""))
+    assert "HIGH SIGNAL" in plain and "more" in plain and "<h3>categories</h3>" in html and "&lt;" in html
+
+
 def test_entry_points(spark):
     import __spark_entry__ as entry
 
