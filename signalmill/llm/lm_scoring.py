@@ -7,8 +7,8 @@ taken off, so a text doesn't vouch for itself; ``leave_one_out=False`` keeps the
                      alpha * S(w | context without its first word)   otherwise;
     S(w) = count(w) / N, or alpha / (N + 1) for a word that doesn't occur.
 
-A document's score is the sum of ln S over its words, each rounded to a millionth, so that
-sums don't depend on their order.
+A document's total is the sum of ln S over its words, each rounded to a millionth, so that
+sums don't depend on their order; its score is the mean a word, so that long and short texts compare.
 
 1. Documents are dealt into blocks by hash of doc_id. A block explodes its documents into
    words and pairs, aggregates them, and sends each hash range its distinct n-grams with counts, sorted
@@ -22,7 +22,7 @@ sums don't depend on their order.
 
 A very common n-gram is one entry a block, so no key is hot; only the corpus's number of words goes to the driver.
 Words are runs outside ``[\\x20\\x09-\\x0D]`` with A-Z in lower case. Null and empty texts have no words, a
-score sum of 0 and no mean; an empty table gives no rows. Each row is a document of its own, repeated rows and rows that share a doc_id or
+total of 0 and no score; an empty table gives no rows. Each row is a document of its own, repeated rows and rows that share a doc_id or
 have none too. Ties don't arise, as sums are of integers. A very long text is a block of its own, in memory in proportion to it.
 N-grams are told apart by 64-bit hashes: among n different ones n^2 / 2^65 pairs are expected to share one. Extra columns take no part.
 """
@@ -137,7 +137,7 @@ def _replies(rows: pa.Table) -> dict[int, np.ndarray]:
 
 
 def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_out: bool = True) -> DataFrame:
-    """doc_id, n_words, score_micro (millionths), mean_score (a word) of every row."""
+    """doc_id, n_words, total_micro (the sum over the words, in millionths) and score (the mean a word) of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     word_count = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     n_all = int(rows.select(word_count.alias("n")).agg(F.sum("n")).first()[0] or 0)
@@ -183,7 +183,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_o
         total = n_all - g.n_words[g.doc] if leave_one_out else np.full(len(g.words), n_all)
         micro = _block_scores(g, g.counts(replies, leave_one_out), total, alpha)
         mean = np.where(g.n_words > 0, micro / 1e6 / np.maximum(g.n_words, 1), np.nan)
-        return pa.table({"doc_id": block.column("doc_id"), "n_words": pa.array(g.n_words), "score_micro": pa.array(micro), "mean_score": pa.array(mean, pa.float64(), mask=g.n_words == 0)})
+        return pa.table({"doc_id": block.column("doc_id"), "n_words": pa.array(g.n_words), "total_micro": pa.array(micro), "score": pa.array(mean, pa.float64(), mask=g.n_words == 0)})
 
     packed = "part int, block int, n int, size long, grams binary, tallies binary"
     counted = "block int, n int, part int, size long, counts binary"
@@ -191,4 +191,4 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_o
     for _ in range(FULL_ORDERS + 1, order + 1):
         longer = by_block.cogroup(replies.groupBy("block")).applyInArrow(lean_cogroup(explode_longer), packed)
         replies = replies.unionByName(longer.groupBy("part", "n").applyInArrow(lean_group(count), counted))
-    return by_block.cogroup(replies.groupBy("block")).applyInArrow(lean_cogroup(join), "doc_id long, n_words long, score_micro long, mean_score double")
+    return by_block.cogroup(replies.groupBy("block")).applyInArrow(lean_cogroup(join), "doc_id long, n_words long, total_micro long, score double")

@@ -90,8 +90,8 @@ WITH words AS (
   SELECT doc_id, CASE WHEN c3 > 0 THEN c3 / d2 WHEN c2 > 0 THEN pow({lm_scoring.ALPHA}, most - 1) * (c2 / d1)
     WHEN c1 > 0 THEN pow({lm_scoring.ALPHA}, most) * (c1 / n) ELSE pow({lm_scoring.ALPHA}, most + 1) / (n + 1) END AS s
   FROM context
-), summed AS (SELECT doc_id, count(*) AS n_words, CAST(sum(CAST(round(ln(s) * 1e6) AS BIGINT)) AS BIGINT) AS score_micro FROM scored GROUP BY doc_id)
-SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(score_micro, 0) AS score_micro, score_micro / 1e6 / n_words AS mean_score
+), summed AS (SELECT doc_id, count(*) AS n_words, CAST(sum(CAST(round(ln(s) * 1e6) AS BIGINT)) AS BIGINT) AS total_micro FROM scored GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(total_micro, 0) AS total_micro, total_micro / 1e6 / n_words AS score
 FROM documents LEFT JOIN summed USING (doc_id)
 """
 

@@ -102,12 +102,12 @@ def test_backoff_scores(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", 60)  # many blocks and ranges
     rnd = random.Random(1)
     texts = [" ".join(rnd.choice("the of And x y z. q".split()) for _ in range(rnd.randint(0, 40))) for _ in range(40)] + ["the of and x"] * 3 + [None, ""]
-    got = {r["doc_id"]: (r["n_words"], r["score_micro"]) for r in lm_scoring.score(documents(spark, texts)).collect()}
+    got = {r["doc_id"]: (r["n_words"], r["total_micro"]) for r in lm_scoring.score(documents(spark, texts)).collect()}
     assert [got[i] for i in range(len(texts))] == backoff(texts)
-    four = {r["doc_id"]: (r["n_words"], r["score_micro"]) for r in lm_scoring.score(documents(spark, texts), order=4).collect()}
+    four = {r["doc_id"]: (r["n_words"], r["total_micro"]) for r in lm_scoring.score(documents(spark, texts), order=4).collect()}
     assert [four[i] for i in range(len(texts))] == backoff(texts, 4)
     plain = lm_scoring.score(documents(spark, ["a b a b"]), leave_one_out=False).first()
-    assert plain["score_micro"] == sum(round(math.log(x) * 1e6) for x in (2 / 4, 2 / 2, 1 / 2, 1 / 1))
+    assert plain["total_micro"] == sum(round(math.log(x) * 1e6) for x in (2 / 4, 2 / 2, 1 / 2, 1 / 1))
 
 
 # 2
