@@ -17,7 +17,7 @@ HAYSTACK = 1500
 TOP = 3
 #: Names of one task of the fuzzy match.
 NAME_BLOCK = 2_000
-#: Up to so many names are broadcast; more are shuffled to the articles.
+#: Up to so many names, some MB, are broadcast; more are shuffled to the articles.
 BROADCAST_NAMES = 100_000
 
 
@@ -123,32 +123,51 @@ def partial_ratio(needle: str, hay: str, least: float = 0.0) -> float:
     return best if best >= least else 0.0
 
 
+def _best_names(names: list, hay: str, threshold: float) -> list[tuple]:
+    """dc_id, field, name and share of the TOP facilities of a text, best first, ties by dc_id."""
+    best: dict[str, tuple] = {}
+    for dc_id, field, name in names:
+        score = partial_ratio(name, hay, threshold)
+        if score >= threshold and score > best.get(dc_id, (0.0,))[0]:
+            best[dc_id] = (score, field, name)
+    top = sorted(best.items(), key=lambda x: (-x[1][0], x[0]))[:TOP]
+    return [(d, field, name, round(score / 100, 3)) for d, (score, field, name) in top]
+
+
 def candidates(articles: DataFrame, facility_names: DataFrame, threshold: float) -> DataFrame:
     """id, dc_id, field, name, confidence of the three best facilities of each article with a partial ratio of ``threshold`` or more.
 
-    Names are sent in blocks of bounded size, each of which meets all articles; a block keeps its best by
-    article, so what leaves it grows with articles and not with pairs.
+    Every article is compared with every name. Up to BROADCAST_NAMES names go to the articles' tasks as they are; more meet the articles in blocks of
+    bounded size, by block and salt, so that articles are spread. Of each meeting only an article's best leave, so what comes out grows with
+    articles and not with pairs.
     """
-    size = facility_names.count()
-    pieces = facility_names.withColumn("block", F.pmod(F.xxhash64("name"), F.lit(max(1, -(-size // NAME_BLOCK)))).cast("int"))
-    blocks = pieces.groupBy("block").agg(F.collect_list(F.struct("dc_id", "field", "name")).alias("names"))
-    width = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = articles.select("id", "hay").repartition(width, "id").join(F.broadcast(blocks) if size <= BROADCAST_NAMES else blocks)
-
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for i, hay, block in zip(b["id"], b["hay"], b["names"], strict=True):
-                best: dict[str, tuple] = {}
-                for n in block:
-                    score = partial_ratio(n["name"], hay, threshold)
-                    if score >= threshold and score > best.get(n["dc_id"], (0.0,))[0]:
-                        best[n["dc_id"]] = (score, n["field"], n["name"])
-                top = sorted(best.items(), key=lambda x: (-x[1][0], x[0]))[:TOP]
-                out += [(i, d, field, name, round(score / 100, 3)) for d, (score, field, name) in top]
-            yield pd.DataFrame(out, columns=["id", "dc_id", "field", "name", "confidence"])
-
-    found = rows.mapInPandas(match, "id long, dc_id string, field string, name string, confidence double")
+    spark = articles.sparkSession
+    size, width = facility_names.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = "id long, dc_id string, field string, name string, confidence double"
+    columns = schema.replace(" long", "").replace(" string", "").replace(" double", "").split(", ")
+    if size <= BROADCAST_NAMES:
+        held = spark.sparkContext.broadcast([tuple(r) for r in facility_names.select("dc_id", "field", "name").collect()])
+
+        def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                out = [(i, *x) for i, hay in zip(b["id"], b["hay"], strict=True) for x in _best_names(held.value, hay, threshold)]
+                yield pd.DataFrame(out, columns=columns)
+
+        found = articles.select("id", "hay").repartition(width).mapInPandas(alone, schema)
+    else:
+        blocks = -(-size // NAME_BLOCK)
+
+        def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                out = [(i, *x) for i, hay, names in zip(b["id"], b["hay"], b["names"], strict=True) for x in _best_names([(n["dc_id"], n["field"], n["name"]) for n in names], hay, threshold)]
+                yield pd.DataFrame(out, columns=columns)
+
+        def numbers(n: int) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+        dealt = facility_names.groupBy(F.pmod(F.xxhash64("name"), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(F.struct("dc_id", "field", "name")).alias("names"))
+        rows = articles.select("id", "hay", F.pmod(F.xxhash64("id"), F.lit(width)).cast("int").alias("salt")).withColumn("block", numbers(blocks))
+        found = rows.join(dealt.withColumn("salt", numbers(width)), ["block", "salt"]).select("id", "hay", "names").mapInPandas(meet, schema)
     best = F.row_number().over(Window.partitionBy("id", "dc_id").orderBy(F.col("confidence").desc(), "field"))
     found = found.withColumn("n_", best).where("n_ = 1").drop("n_")
     place = F.row_number().over(Window.partitionBy("id").orderBy(F.col("confidence").desc(), "dc_id"))
