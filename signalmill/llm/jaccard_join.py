@@ -61,7 +61,7 @@ HOT_LEVEL = 8
 #: Characters of a block, and of a hash range, on average.
 BLOCK_CHARACTERS = 8_000_000
 #: Members of a centre that one salt verifies, and the most salts of a centre; a salt is a stream, so its members may be any number.
-SALT_MEMBERS, MOST_SALTS = 256, 4096
+SALT_MEMBERS, MOST_SALTS = 64, 4096
 
 
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
