@@ -43,13 +43,20 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+#: First letters that an expression tries together.
+GROUPED = 5
+
+
 def factored(terms: Iterable[str]) -> str:
-    """A regular expression for any of the terms, the longest first, with their common beginnings written once."""
+    """A regular expression for any of the terms, the longest first, with their common beginnings written once; many beginnings are tried in groups."""
     heads: dict[str, list[str]] = {}
     for t in terms:
         if t:
             heads.setdefault(t[0], []).append(t[1:])
     parts = [re.escape(c) + factored(rest) for c, rest in sorted(heads.items())]
+    if len(parts) > 2 * GROUPED:
+        letters = [re.escape(c) for c in sorted(heads)]
+        parts = [f"(?=[{''.join(letters[i : i + GROUPED])}])(?:{'|'.join(parts[i : i + GROUPED])})" for i in range(0, len(parts), GROUPED)]
     body = parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
     return body if "" not in terms else f"(?:{body})?" if heads else ""
 
@@ -112,7 +119,7 @@ def states(c: Column, cities: bool = False) -> Column:
     found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"(?=({factored(list(names))}))"), F.lit(1)))
     codes = F.create_map(*(F.lit(x) for name in names for x in (name, ",".join(sorted({code for other, code in names.items() if name.startswith(other)})))))
     named = F.flatten(F.transform(found, lambda x: F.split(codes[x], ",")))
-    pairs = F.filter(F.regexp_extract_all(text, F.lit(r"(?U)\b([A-Z]{2})\b"), F.lit(1)), lambda x: x.isin(*sorted(set(STATE_NAMES.values()))))
+    pairs = F.filter(F.regexp_extract_all(text, F.lit(r"(?U)(?=[A-Z]{2})\b([A-Z]{2})\b"), F.lit(1)), lambda x: x.isin(*sorted(set(STATE_NAMES.values()))))
     return F.array_sort(F.array_distinct(F.concat(named, pairs)))
 
 
