@@ -81,6 +81,12 @@ def names(facilities: DataFrame) -> DataFrame:
     return rows.withColumn("n_", last).where("n_ = 1").drop("n_", "row_idx")
 
 
+def queued_ids(queue: DataFrame, overflow: DataFrame) -> DataFrame:
+    """article_id of all that wait for review, each once."""
+    ids = queue.select("article_id").unionByName(overflow.select("article_id"))
+    return ids.where(strip(F.coalesce("article_id", F.lit(""))) != "").distinct()
+
+
 def eligible(articles: DataFrame) -> DataFrame:
     """Articles without facility that mention one and are no duplicates."""
     return articles.where((F.size("dc_ids") == 0) & F.col("mentions") & ~F.coalesce(F.col("is_duplicate"), F.lit(False)))

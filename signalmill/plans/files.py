@@ -387,6 +387,31 @@ def cache_backfill(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.backfill(cache, staged, F.lit("2024-01-10 00:00:00").cast("timestamp")).select("article_id")
 
 
+@query("SELECT DISTINCT 'a' || user_id AS article_id FROM events WHERE user_id % 4 <> 1")
+def queued_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of two queues that overlap and hold blanks."""
+    k = F.col("user_id")
+    ids = b.table(spark, sf, "events").select(k, F.when(k % 4 != 1, F.concat(F.lit("a"), k)).otherwise(" ").alias("article_id"))
+    return links.queued_ids(ids.where(k % 3 != 0), ids.where(k % 2 == 0).unionByName(ids.where(k % 3 == 0)))
+
+
+@query("""SELECT r_name AS stage, CASE WHEN r_regionkey < 2 THEN 'done' WHEN r_regionkey = 2 THEN 'failed: no ' || r_name ELSE 'not run' END AS gated, CASE WHEN r_regionkey = 0 THEN 'skipped' WHEN r_regionkey = 2 THEN 'failed: no ' || r_name ELSE 'done' END AS collected FROM region""")
+def stage_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """Stages of which the third fails: with a stop at the first failure, and as a slice that goes on."""
+    names = [r["r_name"] for r in b.table(spark, sf, "region").orderBy("r_regionkey").select("r_name").collect()]  # five rows at any scale
+
+    def stage(k: int, name: str):
+        def run() -> None:
+            if k == 2:
+                raise RuntimeError(f"no {name}")
+
+        return run
+
+    stages = {name: stage(k, name) for k, name in enumerate(names)}
+    gated, collected = runs.slices(stages), runs.slices(stages, names[1:], stop_at_failure=False)
+    return spark.createDataFrame([(n, gated[n], collected[n]) for n in names], "stage string, gated string, collected string")
+
+
 @query("SELECT event_id AS id FROM events WHERE event_id % 3 <> 0 AND event_id % 2 = 0 AND event_id % 5 <> 0")
 def candidate_articles(spark: SparkSession, sf: str) -> DataFrame:
     i = F.col("event_id")
