@@ -310,7 +310,7 @@ def test_models_retry_and_stop(spark):
         return client
 
     rows = spark.createDataFrame([(1, "flaky"), (2, "ok"), *[(3 + i, "bad") for i in range(6)], (20, "ok")], "article_id long, prompt string").coalesce(1)
-    got = {int(r["article_id"]): r for r in models.ask(rows, factory).withColumn("d", models.decoded(F.col("answer"))).collect()}
+    got = {int(r["article_id"]): r for r in models.ask(rows, factory, wait=0.0).withColumn("d", models.decoded(F.col("answer"))).collect()}
     assert [got[i]["status"] for i in (1, 2, 3, 7, 8, 20)] == ["success", "success", "failed", "failed", "pending", "pending"]
     assert got[2]["d"]["relevance_score"] == 4 and got[3]["d"] is None
 
