@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 
 from ..session import materialise, scratch
 
-#: A key is hot when it has more than one in so many rows; there are fewer hot keys than this.
-HOT_PARTS = 1_000
+#: A key is hot when it has more than one in so many rows, and more rows than any task minds; there are fewer hot keys than the first.
+HOT_PARTS, HOT_ROWS = 1_000, 200
 
 
 def join_sized(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str) -> DataFrame:
     """``rows`` left-joined by ``key`` with ``groups`` (one row a key), whose ``size`` says how many rows have it.
 
     Rows of hot keys meet a broadcast of fewer than HOT_PARTS groups and aren't shuffled; the others are joined by key. Both
-    tables are read twice, so they should be written ones.
+    tables are read more than once, so they should be written ones.
     """
-    limit = max(1, rows.count() // HOT_PARTS)
+    limit = max(HOT_ROWS, rows.count() // HOT_PARTS)
+    if groups.where(F.col(size) > limit).isEmpty():
+        return rows.join(groups, key, "left")
     hot, cold = F.broadcast(groups.where(F.col(size) > limit)), groups.where(F.col(size) <= limit)
     rest = rows.join(hot, key, "left_anti").join(cold, key, "left")
     return rest.unionByName(rows.join(hot, key))
