@@ -14,7 +14,7 @@ from . import bytekernel as K
 from .storage import small_batches, text_digest
 
 #: Texts of about so many bytes are dealt together.
-DEAL_BYTES = 32 << 20
+DEAL_BYTES = 16 << 20
 
 
 def squeeze(x: np.ndarray) -> bytes:

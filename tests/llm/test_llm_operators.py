@@ -163,7 +163,7 @@ def test_near_copies_are_dropped_by_row(spark):
 
 
 def test_jaccard_components_with_hot_keys(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_PARTS", 4)
+    monkeypatch.setattr(joins, "HOT_ROWS", 2)
     rnd = random.Random(5)
     base = [f"w{i}" for i in range(50)]
     texts = [" ".join([*base[:25], f"x{rnd.randint(0, 40)}", *base[25:]]) for _ in range(60)] + [" ".join(base)] * 40 + [f"own words of {i} are few" for i in range(30)] + [""] * 40
@@ -581,7 +581,7 @@ def test_rows_that_share_a_doc_id_are_different_documents(spark):
 
 
 def test_exact_groups_with_a_hot_one(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_PARTS", 10)
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
     texts = ["hot copy"] * 300 + ["cold copy"] * 20 + [f"own {i}" for i in range(300)]
     got = rows(exact_dedup.dedup(documents(spark, texts)), "doc_id", "keep_id", "group_size", "kept")
     assert got == sorted(((i, 0, 300, i == 0) if i < 300 else (i, 300, 20, i == 300) if i < 320 else (i, i, 1, True) for i in range(620)), key=repr)
