@@ -191,9 +191,9 @@ def contained(articles: DataFrame, facility_names: DataFrame) -> DataFrame:
     haystack of bounded length, as every piece of it of up to so many characters becomes a row; its id is its own.
     """
     named = facility_names.where(F.length("name") > 0).withColumn("head_", F.substring("name", 1, HEAD))
-    size = F.length("hay")
-    pieces = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(HEAD)), lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.col("hay").substr(i, n))).otherwise(F.array().cast("array<string>"))))
-    heads = articles.select("id", F.explode(F.array_distinct(pieces)).alias("head_"))
+    lengths = sorted(r[0] for r in named.select(F.length("head_")).distinct().collect())  # HEAD at most
+    parts = [F.regexp_extract_all("hay", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]  # the pieces of this length at every place
+    heads = articles.select("id", F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *parts))).alias("head_"))
     met = heads.join(named, "head_").join(articles.select("id", "hay"), "id")
     return met.where(F.col("hay").contains(F.col("name"))).select("id", "dc_id", "field", "name")
 
