@@ -41,7 +41,7 @@ _BITS = 6  # of an edge's length
 #: Units of more characters are relaxed with a heap, one merge at a time.
 LONG_UNIT = 256
 #: Texts of about so many bytes are a batch, whose units are told apart together.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 4 << 20
 #: Different units of about so many bytes are indexed together.
 INDEX_BYTES = 1 << 19
 
