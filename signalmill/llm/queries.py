@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, and DuckDB SQL where it can say the same."""
+"""The operators as queries over whole tables, and DuckDB SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_search, chat, exact_dedup, jaccard_join, lm_scoring, mixing, piece_codec, rule_classifier, secret_scan, token_counts
+from . import ann_search, chat, exact_dedup, jaccard_join, lm_scoring, mixing, piece_codec, rule_classifier, secret_scan, token_counts, vector_codes
 from .storage import table
 
 #: The conversation that is added to the table, both turns with this text.
@@ -69,8 +69,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents")).drop("n_points")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_backoff, op2_jaccard_join, op3_ann_search, op4_piece_codec, op5_mix_sources, op6_chat_format, op7_quality_rules, op8_secret_scan, op9_token_counts, op10_exact_dedup)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_lm_backoff, op2_jaccard_join, op3_ann_search, op4_piece_codec, op5_mix_sources, op6_chat_format, op7_quality_rules,
+            op8_secret_scan, op9_token_counts, op10_exact_dedup, op13_vector_codes,
+        )
+    }
 
 
 OP1_SQL = rf"""
@@ -201,6 +211,48 @@ FROM named WINDOW w AS (PARTITION BY body ORDER BY n DESC, doc_id)
 """
 
 
+def _rounds_sql() -> str:
+    """Book 0, and of every round the assignment and the next book. A distance and its entry are one number, so that the least is the nearest entry of lowest index."""
+    parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
+    out = []
+    for k in range(vector_codes.ROUNDS + 1):
+        out.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT vec_id, p, CAST(least_ % {entries} AS BIGINT) AS e, CAST(least_ // {entries} AS BIGINT) AS distance FROM (
+    SELECT vec_id, parts.p AS p, min(CAST(list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * {entries} + e) AS least_
+    FROM parts JOIN b{k} USING (p) GROUP BY vec_id, parts.p)
+)""")
+        if k < vector_codes.ROUNDS:
+            out.append(f"""
+b{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m, y) AS y FROM b{k} LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY d) AS m FROM (
+      SELECT p, e, d, CAST(sum(c) AS BIGINT) AS s, count(*) AS n
+      FROM (SELECT p, e, unnest(x) AS c, unnest(range(len(x))) AS d FROM parts JOIN a{k} USING (vec_id, p)) GROUP BY p, e, d)
+    GROUP BY p, e) USING (p, e)
+)""")
+    return ",".join(out)
+
+
+OP13_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (SELECT unnest(range({vector_codes.PARTS})) AS p
+), parts AS MATERIALIZED (
+  SELECT vec_id, p, v[p * (len(v) // {vector_codes.PARTS}) + 1 : (p + 1) * (len(v) // {vector_codes.PARTS})] AS x FROM kept, p
+), b0 AS MATERIALIZED (
+  SELECT p, e, x AS y FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < {vector_codes.ENTRIES}) USING (vec_id)
+),{_rounds_sql()},
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(distance) AS BIGINT) AS error FROM a{vector_codes.ROUNDS} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) FROM b{vector_codes.ROUNDS}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Without op3, whose search is approximate at every size, and op4, op7 and op9, which SQL can't express; their tests are in tests/llm."""
-    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op8_secret_scan": OP8_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op8_secret_scan": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op13_vector_codes": OP13_SQL}
