@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_search, chat, exact_dedup, jaccard_join, lm_scoring, mixing, piece_codec, rule_classifier, secret_scan, token_counts, vector_codes
+from . import ann_search, chat, conversation_repair, exact_dedup, jaccard_join, lm_scoring, mixing, piece_codec, rule_classifier, secret_scan, token_counts, vector_codes
 from .storage import table
 
 #: The conversation that is added to the table, both turns with this text.
@@ -69,6 +69,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents")).drop("n_points")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.audit_digests(rows, conversation_repair.damage(rows))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -78,7 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_lm_backoff, op2_jaccard_join, op3_ann_search, op4_piece_codec, op5_mix_sources, op6_chat_format, op7_quality_rules,
-            op8_secret_scan, op9_token_counts, op10_exact_dedup, op13_vector_codes,
+            op8_secret_scan, op9_token_counts, op10_exact_dedup, op12_conversation_repair, op13_vector_codes,
         )
     }
 
