@@ -153,3 +153,26 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, n: int = 5) -> tuple[np.ndarr
         sets.append(s)
         sizes[d + 1] = len(s)
     return (np.concatenate(sets) if sets else np.zeros(0, np.uint64)), np.cumsum(sizes)
+
+
+def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each run of n consecutive words, as ``gram_hashes`` but by prefix sums, whose work doesn't grow with n."""
+    m = len(words) - n + 1
+    if m <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(words) + 1, dtype=np.uint64)
+        np.cumsum(words * _power_table("up", _BASE, len(words)), out=total[1:])
+        h = (total[n:] - total[:m]) * _power_table("down", _BASE_INV, m)
+        h += np.uint64(n) * np.uint64(0xA0761D6478BD642F)
+    return mix64(h)
+
+
+def sliding(x: np.ndarray, n: int, f: np.ufunc) -> np.ndarray:
+    """``f`` (minimum or maximum) over each n consecutive values."""
+    if len(x) < n:
+        return x[:0]
+    out, span = x, 1
+    while 2 * span <= n:
+        out, span = f(out[:-span], out[span:]), 2 * span
+    return f(out[: len(out) - (n - span)], out[n - span :]) if span < n else out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_search, chat, conversation_repair, exact_dedup, jaccard_join, lm_scoring, mixing, piece_codec, rule_classifier, secret_scan, token_counts, vector_codes
+from . import ann_search, chat, conversation_repair, exact_dedup, jaccard_join, lm_scoring, mixing, piece_codec, rule_classifier, secret_scan, substring_dedup, token_counts, vector_codes
 from .storage import table
 
 #: The conversation that is added to the table, both turns with this text.
@@ -69,6 +69,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents")).drop("n_points")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removal_digest(substring_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return conversation_repair.audit_digests(rows, conversation_repair.damage(rows))
@@ -83,7 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_lm_backoff, op2_jaccard_join, op3_ann_search, op4_piece_codec, op5_mix_sources, op6_chat_format, op7_quality_rules,
-            op8_secret_scan, op9_token_counts, op10_exact_dedup, op12_conversation_repair, op13_vector_codes,
+            op8_secret_scan, op9_token_counts, op10_exact_dedup, op11_substring_dedup, op12_conversation_repair, op13_vector_codes,
         )
     }
 
@@ -216,6 +220,22 @@ FROM named WINDOW w AS (PARTITION BY body ORDER BY n DESC, doc_id)
 """
 
 
+OP11_SQL = rf"""
+WITH words AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT row, i, md5(array_to_string(w[i : i + {substring_dedup.WINDOW - 1}], ' ')) AS s FROM (SELECT row, w, unnest(range(1, len(w) - {substring_dedup.WINDOW - 2})) AS i FROM words)
+), covered AS (
+  SELECT DISTINCT row, j FROM (SELECT row, unnest(range(i, i + {substring_dedup.WINDOW})) AS j FROM windows QUALIFY count(*) OVER (PARTITION BY s) > 1)
+), marked AS (
+  SELECT row, each.w AS word, each.j AS j, covered.j IS NOT NULL AS gone FROM (SELECT row, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS j FROM words) each LEFT JOIN covered USING (row, j)
+), digests AS (
+  SELECT row, count(*) FILTER (WHERE gone) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM marked GROUP BY row
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM words LEFT JOIN digests USING (row)
+"""
+
+
 def _rounds_sql() -> str:
     """Book 0, and of every round the assignment and the next book. A distance and its entry are one number, so that the least is the nearest entry of lowest index."""
     parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
@@ -260,4 +280,4 @@ FROM coded JOIN kept USING (vec_id)
 
 def oracle_sql() -> dict[str, str]:
     """Without op3, whose search is approximate at every size, and op4, op7 and op9, which SQL can't express; their tests are in tests/llm."""
-    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op8_secret_scan": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op13_vector_codes": OP13_SQL}
+    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op8_secret_scan": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op11_substring_dedup": OP11_SQL, "op13_vector_codes": OP13_SQL}
