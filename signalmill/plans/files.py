@@ -285,15 +285,17 @@ def first_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT DISTINCT 'http://x/' || event_id % 700 AS raw_url, 'k' || event_id % 700 AS title FROM events")
 def ingest_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """Two deliveries of files with repeated urls, and a third run without any: each url is taken up once."""
-    source, sink, state, checkpoint = (_folder(spark, f"ingest-{x}") for x in ("in", "out", "state", "checkpoint"))
+    """Three deliveries of files with repeated urls, of which two are run again as after a crash before their commit: each url is taken up once."""
+    source, sink, checkpoint = (_folder(spark, f"ingest-{x}") for x in ("in", "out", "checkpoint"))
     k = F.col("event_id") % 700
     rows = b.table(spark, sf, "events").select("event_id", F.concat(F.lit("http://x/"), k).alias("raw_url"), F.concat(F.lit("k"), k).alias("title"))
     schema = rows.drop("event_id").schema
-    for part in (0, 1, None):
+    for part in (0, 1, None, 2, None):
         if part is not None:
-            rows.where(F.col("event_id") % 2 == part).drop("event_id").write.mode("append").parquet(source)
-        runs.ingest(spark, source, schema, sink, state, checkpoint)
+            rows.where(F.col("event_id") % 3 == part).drop("event_id").write.mode("append").parquet(source)
+        else:
+            runs.forget_commit(spark, checkpoint)
+        runs.ingest(spark, source, schema, sink, checkpoint)
     return spark.read.schema(schema).parquet(sink).select("raw_url", "title")
 
 

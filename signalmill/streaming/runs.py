@@ -1,50 +1,107 @@
-"""Incremental runs: micro-batches over files with keyed state tables that expire."""
+"""Incremental runs: micro-batches over files with keyed state that expires, rolling marks and stages."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
-from ..operators.dedup import new_urls, stacked
+from ..operators.dedup import blocked, stacked
 from ..operators.feed import unexpired
-from ..sources.readers import ORDER, read_or_empty, source_block, source_order
+from ..sources.readers import exists
 from ..sources.writers import delete
 
 SEEN_DAYS, CACHE_DAYS = 30, 14
-KEPT_VERSIONS = 3
-SEEN = T.StructType([T.StructField("url", T.StringType()), T.StructField("first_seen", T.TimestampType())])
+DAY_MS = 86_400_000
 
 
-def latest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of the newest version of a state table; none before the first."""
-    whole = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
-    table = read_or_empty(spark, path, whole, "parquet")
-    newest = table.agg(F.max("version")).first()[0]
-    return table.where(F.col("version") == newest).drop("version") if newest is not None else table.drop("version")
+class FirstSeen(StatefulProcessor):
+    """Of each key the first row, and none again until ``days`` days of processing time after it.
 
+    State is the time of a key's first row, and a timer that drops it. Timers run after a batch's rows, so an entry that
+    has expired still blocks in the batch that drops it; a hit doesn't renew an entry.
+    """
 
-def ingest(spark: SparkSession, source: str, schema: T.StructType, sink: str, state: str, checkpoint: str, now: Callable[[], Column] = F.current_timestamp) -> None:
-    """Take up all new files of ``source`` once: urls that weren't seen in the last 30 days and aren't in the sink are appended to it.
-
-    A batch that is run again writes the same versions again, so each article is appended once. A hit doesn't
-    renew an entry; an expired entry still blocks in the batch that drops it. Of the state only the last ``KEPT_VERSIONS`` versions stay.
+    def __init__(self, days: float, columns: list[str]):
+        self.ms, self.columns = max(1, int(days * DAY_MS)), columns
+
+    def init(self, handle) -> None:
+        self.handle, self.seen = handle, handle.getValueState("seen", "first_seen long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        first = None
+        for part in rows:  # one row is held, however many a key has
+            head = part.sort_values(["file_", "row_"]).head(1)
+            first = head if first is None else pd.concat([first, head]).sort_values(["file_", "row_"]).head(1)
+        if first is None or self.seen.exists():
+            return
+        now = timerValues.getCurrentProcessingTimeInMs()
+        self.seen.update((now,))
+        self.handle.registerTimer(now + self.ms)
+        yield first[self.columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        self.seen.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+#: Keyed state lives in RocksDB beside the tasks, with its changes in the checkpoint. Timers of processing time would ask for batches without rows for ever.
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
+
+@contextmanager
+def _state_conf(spark: SparkSession) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in _STATE_CONF}
+    try:
+        for k, v in _STATE_CONF.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def ingest(spark: SparkSession, source: str, schema: T.StructType, sink: str, checkpoint: str, days: float = SEEN_DAYS, against_sink: bool = True) -> None:
+    """Take up all new files of ``source`` once: urls that weren't seen in the last ``days`` days and (with ``against_sink``) aren't in the sink are appended to it.
+
+    What was seen is keyed state (``FirstSeen``), so a batch reads and writes its own urls only, and expired ones go. A batch that is run again, as
+    after a lost commit, starts from the state before it, and the sink's log of batches keeps it from being appended twice. Of a url's rows the
+    first by file and place stays; empty and blocked urls are left out.
     """
-    def batch(rows: DataFrame, number: int) -> None:
-        s = rows.sparkSession
-        seen = latest(s, state, SEEN)
-        staged = read_or_empty(s, sink, T.StructType([*schema.fields, T.StructField("batch", T.LongType())]), "parquet").where(F.col("batch") != number)
-        fresh = new_urls(rows.withColumn(ORDER, source_order(F.col(ORDER))), seen, staged, ORDER).select(*schema.names)
-        fresh.write.mode("overwrite").parquet(f"{sink}/batch={number}")
-        written = s.read.schema(schema).parquet(f"{sink}/batch={number}")
-        kept = unexpired(seen, "first_seen", now(), SEEN_DAYS, strict=True).unionByName(written.select(F.col("raw_url").alias("url"), now().alias("first_seen")))
-        kept.write.mode("overwrite").parquet(f"{state}/version={number}")
-        delete(s, f"{state}/version={number - KEPT_VERSIONS}")
-
-    stream = spark.readStream.schema(schema).parquet(source).withColumn(ORDER, source_block())
-    stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    columns = schema.names
+    stream = spark.readStream.schema(schema).parquet(source)
+    rows = stream.select(*columns, F.col("_metadata.file_path").alias("file_"), F.col("_metadata.row_index").alias("row_"))
+    rows = rows.where((F.trim(F.coalesce("raw_url", F.lit(""))) != "") & ~blocked(F.col("raw_url")))
+    if against_sink and exists(spark, sink):
+        rows = rows.join(spark.read.schema(schema).parquet(sink).select("raw_url"), "raw_url", "left_anti").select(*columns, "file_", "row_")
+    with _state_conf(spark):
+        first = rows.groupBy("raw_url").transformWithStateInPandas(FirstSeen(days, columns), schema, "Append", "ProcessingTime")
+        first.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def forget_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Take away a query's last commit, as a crash before it would have: its last batch is run again by the next start."""
+    newest = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select(F.max(F.element_at(F.split("path", "/"), -1).try_cast("long"))).first()[0]
+    for name in (f"{newest}", f".{newest}.crc"):
+        delete(spark, f"{checkpoint}/commits/{name}")
+
+
+def seen(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """raw_url and first_seen (milliseconds) of the entries in the state of ``ingest``."""
+    with _state_conf(spark):
+        state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "seen").load()
+    return state.select("key.raw_url", "value.first_seen")
 
 
 CACHE = T.StructType([T.StructField("arrival", T.LongType()), T.StructField("title", T.StringType()), T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("published", T.TimestampType())])

@@ -1,6 +1,7 @@
 """Order-dependent and edge cases against plain Python."""
 
 import random
+import time
 import zipfile
 from types import SimpleNamespace
 
@@ -257,16 +258,41 @@ def test_writers(spark, tmp_path):
     assert kml.index("Operational") < kml.index("P &amp; Q") and "ff4cb2fe" in kml.lower()
 
 
-def test_ingest_twice_appends_once(spark, tmp_path):
+def deliver(spark, where, *rows):
     schema = spark.createDataFrame([], "raw_url string, title string").schema
-    where = [str(tmp_path / x) for x in ("in", "out", "state", "check")]
-    spark.createDataFrame([("u1", "a"), ("u1", "b"), ("u2", "c"), ("http://youtu.be/x", "d"), ("", "e")], schema).coalesce(1).write.mode("append").parquet(where[0])
-    runs.ingest(spark, where[0], schema, *where[1:])
-    spark.createDataFrame([("u2", "again"), ("u3", "new")], schema).coalesce(1).write.mode("append").parquet(where[0])
-    runs.ingest(spark, where[0], schema, *where[1:])
-    runs.ingest(spark, where[0], schema, *where[1:])
-    assert values(spark.read.parquet(where[1]), "raw_url", "title") == [("u1", "a"), ("u2", "c"), ("u3", "new")]
-    assert values(runs.latest(spark, where[2], runs.SEEN), "url") == [("u1",), ("u2",), ("u3",)]
+    if rows:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(where[0])
+    return lambda **options: runs.ingest(spark, where[0], schema, *where[1:], **options)
+
+
+@pytest.mark.parametrize("lost", ["nothing", "commit", "commit and sink"])
+def test_ingest_appends_once_whatever_is_run_again(spark, tmp_path, lost):
+    where = [str(tmp_path / x) for x in ("in", "out", "check")]
+    deliver(spark, where, ("u1", "a"), ("u1", "b"), ("u2", "c"), ("http://youtu.be/x", "d"), ("", "e"), (None, "f"))()
+    deliver(spark, where, ("u2", "again"), ("u3", "new"), ("u3", "newer"))()
+    if lost != "nothing":
+        newest = max(int(p.name) for p in (tmp_path / "check/commits").iterdir() if p.name.isdigit())
+        runs.forget_commit(spark, where[2])
+        assert not (tmp_path / f"check/commits/{newest}").exists()
+        if lost == "commit and sink":
+            (tmp_path / f"out/_spark_metadata/{newest}").unlink()
+            (tmp_path / f"out/_spark_metadata/.{newest}.crc").unlink(missing_ok=True)
+    deliver(spark, where)()
+    deliver(spark, where, ("u1", "late"), ("u4", "last"))()
+    assert values(spark.read.parquet(where[1]), "raw_url", "title") == [("u1", "a"), ("u2", "c"), ("u3", "new"), ("u4", "last")]
+    assert values(runs.seen(spark, where[2]), "raw_url") == [("u1",), ("u2",), ("u3",), ("u4",)]
+
+
+def test_seen_urls_expire(spark, tmp_path):
+    where = [str(tmp_path / x) for x in ("in", "out", "check")]
+    day = 1 / 86_400  # a second
+    deliver(spark, where, *[(f"u{k}", "x") for k in range(20)])(days=day, against_sink=False)
+    time.sleep(1.5)
+    deliver(spark, where, ("u1", "in the batch that drops it"), ("v", "y"))(days=day, against_sink=False)
+    assert values(runs.seen(spark, where[2]), "raw_url") == [("v",)]
+    deliver(spark, where, ("u1", "again"), ("u2", "again"))(days=day, against_sink=False)
+    titles = values(spark.read.parquet(where[1]).where("title <> 'x'"), "raw_url", "title")
+    assert titles == [("u1", "again"), ("u2", "again"), ("v", "y")]
 
 
 def test_slices():
