@@ -17,7 +17,7 @@ from .components import join_sized, smallest_labels
 
 TITLE_RATIO = 88.0
 COSINE = 0.85
-#: Rows of one block of vectors.
+#: Rows of one block of vectors or titles.
 BLOCK_ROWS = 4096
 
 
@@ -45,16 +45,27 @@ def sorted_tokens(title: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(title, " "), lambda w: w != "")), " ")
 
 
-def _lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, a bit for each character of ``a``."""
+def _places(a: str) -> dict[str, int]:
     places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return places
+
+
+#: Characters after which the bound of a common subsequence is looked at again.
+LCS_STEP = 24
+
+
+def _lcs(a: str, b: str, least: int = 0, places: dict[str, int] | None = None) -> int:
+    """Length of the longest common subsequence, a bit for each character of ``a``; if it is below ``least`` it may come out lower."""
+    places, full = places if places is not None else _places(a), (1 << len(a)) - 1
     row = full
-    for c in b:
-        hit = row & places.get(c, 0)
-        row = ((row + hit) | (row - hit)) & full
+    for at in range(0, len(b), LCS_STEP):
+        for c in b[at : at + LCS_STEP]:
+            hit = row & places.get(c, 0)
+            row = ((row + hit) | (row - hit)) & full
+        if len(a) - row.bit_count() + len(b) - at - LCS_STEP < least:
+            break
     return len(a) - row.bit_count()
 
 
@@ -63,109 +74,210 @@ def ratio(a: str, b: str) -> float:
     return 200.0 * _lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
 
 
-def _meetings(rows: DataFrame, band: str, blocks: int, key: str) -> DataFrame:
-    """Rows repeated for the meetings (band, i, j, i <= j) of blocks within a band and with the next band's.
+#: Width of the counts of characters that strings are first compared by.
+LETTERS = 32
+#: Characters of the strings of one block.
+BLOCK_CHARACTERS = 4 << 20
 
-    ``side`` says which of the two bands a row comes from. Of a meeting within a band each pair of blocks meets once.
-    """
-    own = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    rows = rows.withColumn("own", own).withColumn("other", other)
-    inside = rows.select("*", F.col(band).alias("meet"), F.lit(0).alias("step"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    lower = rows.select("*", F.col(band).alias("meet"), F.lit(1).alias("step"), F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"))
-    upper = rows.select("*", (F.col(band) - 1).alias("meet"), F.lit(1).alias("step"), F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"))
-    return inside.unionByName(lower).unionByName(upper)
 
-
-#: Width of the counts of three neighbouring characters that a string is first compared by.
-GRAM_COUNTS = 1024
-
-
-def _gram_counts(keys: list[str]) -> np.ndarray:
-    out = np.zeros((len(keys), GRAM_COUNTS), dtype=np.uint8)
+def _letter_counts(keys: list[str]) -> np.ndarray:
+    out = np.zeros((len(keys), LETTERS), dtype=np.int32)
     for row, key in zip(out, keys, strict=True):
-        codes = np.frombuffer(key.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-        grams = (codes[:-2] * np.uint64(0x9E3779B1) + codes[1:-1] * np.uint64(0x85EBCA77) + codes[2:] * np.uint64(0xC2B2AE3D)) >> np.uint64(7)
-        row[:] = np.minimum(np.bincount((grams % np.uint64(GRAM_COUNTS)).astype(np.int64), minlength=GRAM_COUNTS), 255)
+        row[:] = np.bincount(np.frombuffer(key.encode("utf-32-le"), dtype=np.uint32) % LETTERS, minlength=LETTERS)
     return out
 
 
 def _near_titles(left: list[str], right: list[str], same: bool, threshold: float) -> list[tuple[str, str, float]]:
     """Pairs of different keys with a ratio of the threshold or more.
 
-    A common subsequence of L characters leaves (m - L) to delete and (n - L) to insert; of the m - 2 runs of
-    three characters each deletion breaks three at most and each insertion two. So a pair over the threshold t
-    shares 5 L - 2 (m + n) - 2 runs or more with L = t (m + n) / 2, and its hashed counts share as many.
+    A common subsequence of L characters takes L of each string's characters, so strings of m and n over the threshold t share t (m + n) / 2 characters
+    or more, whatever their order. Only keys whose lengths allow it are compared by their characters, and of these only those
+    that share enough by their sequence.
     """
     t = threshold / 100
-    x, y = _gram_counts(left), _gram_counts(right)
-    size = np.array([len(k) for k in right])
+    left, right = sorted(left, key=len), sorted(right, key=len)
+    x, y = _letter_counts(left), _letter_counts(right)
+    size = np.array([len(k) for k in right], dtype=np.int64)
     out = []
     for i, a in enumerate(left):
-        start = i + 1 if same else 0
-        both = len(a) + size[start:]
-        near = (np.minimum(len(a), size[start:]) * (2 - t) >= t * np.maximum(len(a), size[start:]) - 1e-6)
-        full = (x[i] == 255).any()  # a count that was cut off can't bound anything
-        shared = np.minimum(y[start:], x[i]).sum(axis=1, dtype=np.int64)
-        if not full:
-            near &= shared >= (2.5 * t - 2) * both - 2 - 1e-6
-        for k in np.flatnonzero(near):
-            b = right[start + int(k)]
-            if a != b and (score := ratio(a, b)) >= threshold:
+        m = len(a)
+        first, last = np.searchsorted(size, m * t / (2 - t) - 1e-6), np.searchsorted(size, m * (2 - t) / t + 1e-6, "right")
+        first = max(first, i + 1) if same else first
+        if first >= last:
+            continue
+        shared = np.minimum(y[first:last], x[i]).sum(axis=1)
+        places = None
+        for k in np.flatnonzero(shared >= t * (m + size[first:last]) / 2 - 1e-6):
+            b = right[first + int(k)]
+            if a == b:
+                continue
+            places = places or _places(a)
+            score = 200.0 * _lcs(a, b, int(np.ceil(t * (m + len(b)) / 2 - 1e-6)), places) / (m + len(b))
+            if score >= threshold:
                 out.append((min(a, b), max(a, b), score))
     return out
 
 
+def _length_blocks(counts: list[tuple[int, int]], t: float) -> list[tuple[int, int, int, int, int]]:
+    """Of each length with its number of keys, ascending: length, first block, its blocks, and the first and last block that it meets.
+
+    Short lengths share a block; one of many keys has several of its own. A block has BLOCK_ROWS keys or BLOCK_CHARACTERS characters on average.
+    """
+    spans: list[tuple[int, int]] = []  # lengths of a block, least and most
+    at, fill = [], 0.0
+    for length, n in counts:
+        weight = n * max(1 / BLOCK_ROWS, length / BLOCK_CHARACTERS)
+        if spans and fill + weight <= 1:
+            spans[-1], fill = (spans[-1][0], length), fill + weight
+            at.append((length, len(spans) - 1, 1))
+        else:
+            blocks = max(1, int(np.ceil(weight)))
+            at.append((length, len(spans), blocks))
+            spans += [(length, length)] * blocks
+            fill = weight if blocks == 1 else 1.0
+    low, high = np.array([a for a, _ in spans]), np.array([b for _, b in spans])
+    last = np.searchsorted(low, high * (2 - t) / t + 1e-6, "right") - 1
+    first = np.searchsorted(last, np.arange(len(spans)))
+    return [(length, block, n, int(first[block]), int(last[block])) for length, block, n in at]
+
+
 def title_pairs(titles: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
     """a, b, score of all pairs a < b of different keys (strings of sorted tokens) with a ratio of ``threshold`` or more.
 
-    A ratio of the threshold's share t needs lengths within t / (2 - t) of each other, so keys are put into
-    bands of that width and meet only within a band and with the next one, in blocks of bounded size. A
-    meeting compares counts first and sequences only where those allow it; only pairs leave it.
+    A ratio of the threshold's share t needs lengths within t / (2 - t) of each other. Keys are dealt into blocks of bounded size by length (and by
+    hash where many have one length), and a block meets only those whose lengths it allows. Within a meeting lengths, then counts of
+    characters, then sequences are compared; only pairs leave it. The table of lengths that the driver looks at has a row a different length.
+
+    Blocks that meet grow with the square of the keys of like length: no signature that a ratio of 88 guarantees is longer than four characters, and
+    titles share those in any case.
     """
     t = threshold / 100
-    keys = titles.select("key").where("key <> ''").distinct().withColumn("band", F.floor(F.log(F.length("key").cast("double")) / F.lit(float(np.log((2 - t) / t))) + 1e-9))
-    blocks = max(1, -(-keys.count() // BLOCK_ROWS))
-
-    def meet(key: tuple, rows: pa.Table) -> pa.Table:
-        names, side = rows.column("key").to_pylist(), rows.column("side").to_pylist()
-        same = key[1].as_py() == 0 and key[2].as_py() == key[3].as_py()
+    keys = titles.select("key").where("key <> ''").distinct()
+    counts = [(r[0], r[1]) for r in keys.groupBy(F.length("key").alias("n")).agg(F.count("*")).orderBy("n").collect()]
+    blocks = keys.sparkSession.createDataFrame(_length_blocks(counts, t), "size int, block int, blocks int, first int, last int")
+    rows = keys.join(F.broadcast(blocks), F.length("key") == F.col("size")).withColumn("own", F.col("block") + F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    upper = rows.select("key", F.explode(F.sequence("own", "last")).alias("j"), F.col("own").alias("i"), F.lit(0).alias("side"))
+    lower = rows.where("first < own").select("key", F.col("own").alias("j"), F.explode(F.sequence(F.col("first"), F.col("own") - 1)).alias("i"), F.lit(1).alias("side"))
+
+    def meet(key: tuple, found: pa.Table) -> pa.Table:
+        names, side = found.column("key").to_pylist(), found.column("side").to_pylist()
+        same = key[0].as_py() == key[1].as_py()
         left, right = ([n for n, s in zip(names, side, strict=True) if s == k] for k in (0, 1))
-        found = _near_titles(left, left if same else right, same, threshold)
-        return pa.table({"a": pa.array([a for a, _, _ in found], pa.string()), "b": pa.array([b for _, b, _ in found], pa.string()), "score": pa.array([s for _, _, s in found], pa.float64())})
+        pairs = _near_titles(left, left if same else right, same, threshold)
+        return pa.table({"a": pa.array([a for a, _, _ in pairs], pa.string()), "b": pa.array([b for _, b, _ in pairs], pa.string()), "score": pa.array([s for _, _, s in pairs], pa.float64())})
+
+    return upper.unionByName(lower).groupBy("i", "j").applyInArrow(meet, "a string, b string, score double")
+
+
+#: Pivots of the cosine join at most. They, and some numbers of each, are held by the driver and every task.
+PIVOTS = 256
+#: Radians that rounding may add to an angle.
+SLACK = 1e-6
+
+
+def _unit(rows: list) -> np.ndarray:
+    x = np.array(rows, dtype=np.float64).reshape(len(rows), -1)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0 up to each count, one after another."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
-    return _meetings(keys, "band", blocks, "key").groupBy("meet", "step", "i", "j").applyInArrow(meet, "a string, b string, score double")
+
+def _nonzero(vectors: DataFrame) -> DataFrame:
+    rows = vectors.select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"))
+    return rows.where(F.exists("v", lambda x: x != 0))
+
+
+def cosine_meetings(vectors: DataFrame, threshold: float) -> DataFrame | None:
+    """id, v, cell, i, j and side of each vector for each meeting that it takes part in; None without vectors.
+
+    Vectors belong to the nearest of some pivots. By the triangle inequality on the sphere, a vector can only be near one of another pivot's if its angle to
+    that pivot is no more than the threshold's angle and the largest angle of that pivot's own vectors together; then it visits the later of the two pivots. A pivot's
+    own vectors and its visitors are dealt into blocks. Own blocks i and j meet (i <= j), and own blocks with visiting ones, whose numbers follow those of its own.
+    """
+    rows = _nonzero(vectors)
+    most = min(PIVOTS, -(-rows.count() // (BLOCK_ROWS // 2)))
+    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(most).collect() if most else []
+    if not drawn:
+        return None
+    pivots, near = _unit([r["v"] for r in drawn]), float(np.arccos(min(1.0, threshold)))
+
+    def placed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Of vectors the angles to all pivots, and the nearest pivot's number, the first of equal ones."""
+        vs = column.to_pylist()
+        angles = np.arccos(np.clip(_unit(vs) @ pivots.T, -1.0, 1.0)) if vs else np.zeros((0, len(pivots)))
+        return angles, np.argmin(angles, axis=1)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            angles, cell = placed(b.column(1))
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(angles[np.arange(len(cell)), cell])], names=["cell", "angle"])
+
+    radius, own, guests = np.full(len(pivots), -np.inf), np.zeros(len(pivots), np.int64), np.zeros(len(pivots), np.int64)
+    for cell, angle, n in rows.mapInArrow(measure, "cell int, angle double").groupBy("cell").agg(F.max("angle"), F.count("*")).collect():
+        radius[cell], own[cell] = angle, -(-n // BLOCK_ROWS)
+
+    def visits(angles: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of rows, and of the pivots that they visit."""
+        return np.nonzero((angles <= near + radius + SLACK) & (np.arange(len(pivots)) > cell[:, None]))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cells, n = np.unique(visits(*placed(b.column(1)))[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(n, pa.int64())], names=["cell", "n"])
+
+    for cell, n in rows.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n")).collect():
+        guests[cell] = -(-n // BLOCK_ROWS)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            angles, cell = placed(b.column(1))
+            draw = b.column(2).to_numpy().astype(np.int64)
+            mine, all_rows = draw % own[cell], np.arange(len(cell))
+            row, other = visits(angles, cell)
+            guest = draw[row] % guests[other]
+            parts = []
+            for k, c, times, i, j, side in (
+                (all_rows, cell, own[cell] - mine, mine, None, 0), (all_rows, cell, mine, None, mine, 1),
+                (all_rows, cell, guests[cell], mine, None, 0), (row, other, own[other], None, own[other] + guest, 1),
+            ):
+                step, first = _within(times), own[cell] if len(parts) == 2 else mine
+                i_, j_ = (np.repeat(i, times) if i is not None else step), (np.repeat(j, times) if j is not None else np.repeat(first, times) + step)
+                parts.append((np.repeat(k, times), np.repeat(c, times), i_, j_, np.full(len(step), side)))
+            take, *numbers = (np.concatenate(x) for x in zip(*parts, strict=True))
+            take = pa.array(take)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *(pa.array(x, pa.int32()) for x in numbers)], names=["id", "v", "cell", "i", "j", "side"])
+
+    return rows.withColumn("draw", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).mapInArrow(deal, "id long, v array<double>, cell int, i int, j int, side int")
 
 
 def cosine_pairs(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
-    """a, b, cosine of all pairs a < b (id, v) with a cosine of ``threshold`` or more; a zero vector is like none.
+    """a, b, cosine of all pairs a < b (id, v) with a cosine of ``threshold`` (above 0) or more; a zero vector is like none.
 
-    Blocks of vectors meet each other once; only pairs over the threshold leave a block. All pairs are
-    looked at, which a rolling window of days keeps in bounds.
+    Vectors in clusters meet few of the others; where there are no clusters, blocks of bounded size all meet each other once. Only
+    pairs over the threshold leave a block.
     """
-    size = vectors.count()
-    blocks = max(1, -(-size // BLOCK_ROWS))
-    rows = vectors.select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("own"))
-    # a row goes to the meetings (i, j), i <= j, of its block with every block
-    meets = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    if threshold <= 0:
+        raise ValueError("a threshold above 0 is needed")
+    schema = "a long, b long, cosine double"
+    meetings = cosine_meetings(vectors, threshold)
+    if meetings is None:
+        return vectors.sparkSession.createDataFrame([], schema)
 
     def meet(key: tuple, t: pa.Table) -> pa.Table:
-        i, j = key[0].as_py(), key[1].as_py()
-        ids, own = t.column("id").to_numpy(), t.column("own").to_numpy()
-        x = np.array(t.column("v").to_pylist(), dtype=np.float64).reshape(len(ids), -1)
-        norm = np.linalg.norm(x, axis=1, keepdims=True)
-        x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        if len(left) and len(right):
-            c = x[left] @ x[right].T
-            p, q = np.nonzero(c >= threshold)
-            a, b = ids[left[p]], ids[right[q]]
-            keep = (a < b) if i == j else np.ones(len(a), dtype=bool)
-            found = [np.minimum(a, b)[keep], np.maximum(a, b)[keep], c[p, q][keep]]
+        ids, side, x = t.column("id").to_numpy(), t.column("side").to_numpy(), _unit(t.column("v").to_pylist())
+        same = key[1].as_py() == key[2].as_py()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
+        c = x[left] @ x[right].T
+        p, q = np.nonzero(c >= threshold)
+        a, b = ids[left[p]], ids[right[q]]
+        keep = (a < b) if same else np.ones(len(a), dtype=bool)
+        found = (np.minimum(a, b)[keep], np.maximum(a, b)[keep], c[p, q][keep])
         return pa.table(dict(zip(("a", "b", "cosine"), map(pa.array, found), strict=True)))
 
-    return meets.groupBy("i", "j").applyInArrow(meet, "a long, b long, cosine double")
+    return meetings.groupBy("cell", "i", "j").applyInArrow(meet, schema)
 
 
 def backstop(rows: DataFrame, cached: DataFrame, threshold: float = COSINE) -> DataFrame:
@@ -175,116 +287,168 @@ def backstop(rows: DataFrame, cached: DataFrame, threshold: float = COSINE) -> D
     return rows.join(near.groupBy(F.col("b").alias("arrival")).agg(F.count("*").alias("n_near")), "arrival", "left").withColumn("is_duplicate", F.col("n_near").isNotNull()).drop("n_near")
 
 
-#: Rounds in which all open articles are looked at at once, before what is left is followed article by article within its component.
+#: Rounds before the components of what is left are looked at.
 GREEDY_ROUNDS = 4
+#: Articles and links of a component that one task may follow.
+FOLLOWED = 1_000_000
 
 
 def greedy(nodes: DataFrame, edges: DataFrame, near: DataFrame | None = None) -> DataFrame:
     """Sequential duplicate marking without a sequence.
 
     In arrival order, an article is a duplicate of the first kept article before it that an edge (a < b)
-    joins it to; duplicates are compared with nothing. The kept ones are the first independent set in arrival order: in each
-    round an article without a kept or undecided earlier neighbour is kept, and one with a kept earlier neighbour is a duplicate. A chain
-    of articles, each near the one before only, would take a round a link, so after ``GREEDY_ROUNDS`` the open articles' components are
-    followed in arrival order, each as a stream of sorted rows. Articles
-    with ``cached`` are kept from the start. Where ``nodes`` have a ``key``, articles of one key, or of two keys that ``near`` (a, b) pairs,
-    are joined too; only the earliest kept and the earliest undecided article of each key are looked at, so their pairs are never
-    formed. An empty key is like none. Returns arrival, is_duplicate, duplicate_of.
+    joins it to; duplicates are compared with nothing. Articles with ``cached`` are kept from the start. Where ``nodes`` have a ``key``,
+    articles of one key, or of two keys that ``near`` (a, b) pairs, are joined too; only the earliest articles of each key are looked at, so their
+    pairs are never formed. An empty key is like none. Returns arrival, is_duplicate, duplicate_of.
+
+    The kept ones are the first independent set in arrival order. In each round an article with a kept earlier neighbour is a duplicate, and one without
+    an earlier undecided neighbour is kept. One with a single earlier undecided neighbour is kept if that one isn't: such articles form trees, in which by pointer
+    jumping each finds its root and whether it is an even number of steps away, so a chain of any length is decided with its first article, in rounds of
+    the logarithm of its length. After GREEDY_ROUNDS, components of up to FOLLOWED articles and links are followed in arrival order, each as a stream of
+    sorted rows; larger ones go on in rounds, so no task's work grows with the largest component.
     """
     with scratch(nodes.sparkSession) as keep_table:
-        return keep_table(_marks(nodes, edges, near), "greedy-marks")
+        keyed = nodes.select("arrival", "key") if "key" in nodes.columns else nodes.select("arrival", F.lit(None).cast("string").alias("key"))
+        return keep_table(_marks(nodes, edges, keyed, near), "greedy-marks")
 
 
-def _marks(nodes: DataFrame, edges: DataFrame, near: DataFrame | None) -> DataFrame:
-    key = F.when(F.col("key") != "", F.col("key")) if "key" in nodes.columns else F.lit(None).cast("string")
-    nodes = materialise(nodes.select(F.col("arrival").cast("long").alias("arrival"), "cached", key.alias("key")), "greedy-nodes")
+def _marks(nodes: DataFrame, edges: DataFrame, keyed: DataFrame, near: DataFrame | None) -> DataFrame:
+    """``keyed`` has a row for each key of an article."""
+    nodes = materialise(nodes.select(F.col("arrival").cast("long").alias("arrival"), "cached"), "greedy-nodes")
+    keyed = materialise(keyed.where("key <> ''").select(F.col("arrival").cast("long").alias("arrival"), "key"), "greedy-keyed")
     edges = materialise(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a < b").distinct(), "greedy-edges")
-    meets = nodes.where("key is not null").select("key", F.col("key").alias("other")).distinct()
+    meets = keyed.select("key", F.col("key").alias("other")).distinct()
     if near is not None:
         ways = F.array(F.struct(F.col("a").alias("key"), F.col("b").alias("other")), F.struct(F.col("b").alias("key"), F.col("a").alias("other")))
         meets = meets.unionByName(near.select(F.inline(ways)))
     meets = materialise(meets, "greedy-meets")
 
+    def of(rows: DataFrame) -> DataFrame:
+        return keyed.join(rows.select("arrival"), "arrival")
+
+    def before(rows: DataFrame, others: DataFrame) -> DataFrame:
+        """arrival, first, last: of rows that have neighbours before them among the others the earliest, and the last of those that each edge, and each key by its first two, shows."""
+        by_edge = edges.join(rows.select(F.col("arrival").alias("b")), "b").join(others.select(F.col("arrival").alias("a")), "a").select(F.col("b").alias("arrival"), F.col("a").alias("first"), F.col("a").alias("last"))
+        first = of(others).groupBy(F.col("key").alias("other")).agg(F.min("arrival").alias("first"))
+        second = of(others).withColumnRenamed("key", "other").join(first, "other").where("arrival > first").groupBy("other").agg(F.min("arrival").alias("second"))
+        of_key = meets.join(first, "other").join(second, "other", "left").select("key", "first", "second")
+        by_key = of(rows).join(of_key, "key").where("first < arrival").select("arrival", "first", F.when(F.col("second") < F.col("arrival"), F.col("second")).otherwise(F.col("first")).alias("last"))
+        return by_edge.unionByName(by_key).groupBy("arrival").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
     def earliest(rows: DataFrame, others: DataFrame) -> DataFrame:
-        """arrival, first: the rows that have neighbours before them among the others, and the earliest of those."""
         by_edge = edges.join(rows.select(F.col("arrival").alias("b")), "b").join(others.select(F.col("arrival").alias("a")), "a").select(F.col("b").alias("arrival"), F.col("a").alias("first"))
-        of_key = others.where("key is not null").groupBy(F.col("key").alias("other")).agg(F.min("arrival").alias("first"))
-        of_key = meets.join(of_key, "other").groupBy("key").agg(F.min("first").alias("first"))
-        by_key = rows.join(of_key, "key").where("first < arrival").select("arrival", "first")
+        first = of(others).groupBy(F.col("key").alias("other")).agg(F.min("arrival").alias("first"))
+        of_key = meets.join(first, "other").groupBy("key").agg(F.min("first").alias("first"))
+        by_key = of(rows).join(of_key, "key").where("first < arrival").select("arrival", "first")
         return by_edge.unionByName(by_key).groupBy("arrival").agg(F.min("first").alias("first"))
 
-    fresh = nodes.where("not cached").select("arrival", "key")
+    fresh = nodes.where("not cached").select("arrival")
     open_ = materialise(fresh.join(earliest(fresh, nodes), "arrival", "left_semi"), "greedy-open")
-    kept = materialise(nodes.select("arrival", "key").join(open_, "arrival", "left_anti"), "greedy-kept")
+    kept = materialise(nodes.select("arrival").join(open_, "arrival", "left_anti"), "greedy-kept")
     gone = open_.limit(0)
-    for _ in range(GREEDY_ROUNDS):
-        if open_.isEmpty():
-            break
-        dup = materialise(open_.join(earliest(open_, kept), "arrival", "left_semi"), "greedy-dup")
-        keep = materialise(open_.join(earliest(open_, open_), "arrival", "left_anti").join(dup, "arrival", "left_anti"), "greedy-keep")
-        gone, kept = gone.unionByName(dup), kept.unionByName(keep)
-        open_ = materialise(open_.join(dup, "arrival", "left_anti").join(keep, "arrival", "left_anti"), "greedy-open")
-    if not open_.isEmpty():
+    done = 0
+    while not open_.isEmpty():
         dup = materialise(open_.join(earliest(open_, kept), "arrival", "left_semi"), "greedy-dup")
         open_ = materialise(open_.join(dup, "arrival", "left_anti"), "greedy-open")
-        keep = materialise(_followed(open_, edges, meets), "greedy-keep")
-        gone = gone.unionByName(dup).unionByName(open_.join(keep, "arrival", "left_anti"))
-        kept = kept.unionByName(open_.join(keep, "arrival", "left_semi"))
+        waits = materialise(before(open_, open_), "greedy-waits")
+        keep = open_.join(waits, "arrival", "left_anti")
+        told = _told(waits.where("first = last").select("arrival", F.col("first").alias("root")), keep)
+        keep = materialise(keep.unionByName(told.where("keeps").select("arrival")), "greedy-keep")
+        dup_too = materialise(told.where("not keeps").select("arrival"), "greedy-dup")
+        gone, kept = gone.unionByName(dup).unionByName(dup_too), kept.unionByName(keep)
+        open_ = materialise(open_.join(keep, "arrival", "left_anti").join(dup_too, "arrival", "left_anti"), "greedy-open")
+        done += 1
+        if done >= GREEDY_ROUNDS and not open_.isEmpty():
+            dup = materialise(open_.join(earliest(open_, kept), "arrival", "left_semi"), "greedy-dup")
+            open_ = materialise(open_.join(dup, "arrival", "left_anti"), "greedy-open")
+            small, keep = (materialise(t, f"greedy-{name}") for name, t in zip(("small", "keep"), _followed(open_, edges, materialise(of(open_), "greedy-open-keys"), meets), strict=True))
+            gone, kept = gone.unionByName(dup).unionByName(small.join(keep, "arrival", "left_anti")), kept.unionByName(keep)
+            open_ = materialise(open_.join(small, "arrival", "left_anti"), "greedy-open")
     out = nodes.select("arrival").join(earliest(gone, kept), "arrival", "left")
     return out.select("arrival", F.col("first").isNotNull().alias("is_duplicate"), F.col("first").alias("duplicate_of"))
 
 
-def _followed(open_: DataFrame, edges: DataFrame, meets: DataFrame) -> DataFrame:
-    """The arrivals that are kept of open articles without kept neighbours, decided in arrival order within each component.
+def _told(single: DataFrame, keep: DataFrame) -> DataFrame:
+    """arrival, keeps: of articles with a single undecided neighbour (``root``) before them, those whose tree's root is kept."""
+    way = materialise(single.withColumn("odd", F.lit(True)), "greedy-way")
+    while True:
+        up = way.select(F.col("arrival").alias("root"), F.col("root").alias("above"), F.col("odd").alias("odd_above"))
+        further = way.join(up, "root", "left")
+        if further.where("above is not null").isEmpty():
+            break
+        odd = F.when(F.col("above").isNull(), F.col("odd")).otherwise(F.col("odd") != F.col("odd_above"))
+        way = materialise(further.select("arrival", F.coalesce("above", "root").alias("root"), odd.alias("odd")), "greedy-way")
+    return way.join(keep.select(F.col("arrival").alias("root")), "root").select("arrival", (~F.col("odd")).alias("keeps"))
+
+
+def _followed(open_: DataFrame, edges: DataFrame, keyed: DataFrame, meets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The open articles (without kept neighbours) of components that aren't too large, and those of them that are kept, decided in arrival order.
 
-    A component's rows pass as a sorted stream: its pairs of keys, then by arrival each article's earlier neighbours and the article itself. The
+    A component's rows pass as a sorted stream: its pairs of keys, then by arrival each article's earlier neighbours, its keys, and the article itself. The
     stream remembers the arrivals and keys that are kept, and the pairs of keys.
     """
-    first = materialise(open_.where("key is not null").groupBy("key").agg(F.min("arrival").alias("first"), F.count("*").alias("n")), "greedy-first")
+    first = materialise(keyed.groupBy("key").agg(F.min("arrival").alias("first"), F.count("*").alias("n")), "greedy-first")
     inner = edges.join(open_.select(F.col("arrival").alias("a")), "a", "left_semi").join(open_.select(F.col("arrival").alias("b")), "b", "left_semi")
     inner = materialise(inner.select("a", "b"), "greedy-inner")
     paired = meets.join(first.select("key", "first"), "key").join(first.select(F.col("key").alias("other"), F.col("first").alias("other_first")), "other")
     paired = materialise(paired.where("key <> other").select("key", "other", "first", "other_first"), "greedy-paired")
-    of_key = join_sized(materialise(open_.where("key is not null"), "greedy-keyed"), first, "key", "n").select(F.col("first").alias("a"), F.col("arrival").alias("b"))
+    of_key = join_sized(keyed, first, "key", "n").select(F.col("first").alias("a"), F.col("arrival").alias("b"))
     labels = smallest_labels(inner.unionByName(of_key).unionByName(paired.select(F.col("first").alias("a"), F.col("other_first").alias("b"))))
     # an open article without neighbours among the open ones is its own component
     nodes = open_.join(labels.withColumnRenamed("node", "arrival"), "arrival", "left").withColumn("label", F.coalesce("label", "arrival"))
     nothing, no_key = F.lit(None).cast("long"), F.lit(None).cast("string")
-    rows = nodes.select("label", F.lit(1).alias("phase"), "arrival", nothing.alias("a"), "key", no_key.alias("other"))
-    before = inner.join(labels.withColumnRenamed("node", "b"), "b").select("label", F.lit(1).alias("phase"), F.col("b").alias("arrival"), "a", no_key.alias("key"), no_key.alias("other"))
-    pairs = paired.join(labels.withColumnRenamed("node", "first"), "first").select("label", F.lit(0).alias("phase"), nothing.alias("arrival"), nothing.alias("a"), "key", "other")
-    rows = rows.unionByName(before).unionByName(pairs)
+    by_arrival = nodes.select("label", "arrival")
+    rows = nodes.select("label", F.lit(3).alias("phase"), "arrival", nothing.alias("a"), no_key.alias("key"), no_key.alias("other"))
+    links = inner.withColumnRenamed("b", "arrival").join(by_arrival, "arrival").select("label", F.lit(1).alias("phase"), "arrival", "a", no_key.alias("key"), no_key.alias("other"))
+    keys = keyed.join(by_arrival, "arrival").select("label", F.lit(2).alias("phase"), "arrival", nothing.alias("a"), "key", no_key.alias("other"))
+    pairs = paired.withColumnRenamed("first", "arrival").join(by_arrival, "arrival").select("label", F.lit(0).alias("phase"), nothing.alias("arrival"), nothing.alias("a"), "key", "other")
+    rows = materialise(rows.unionByName(links).unionByName(keys).unionByName(pairs), "greedy-rows")
+    small = materialise(rows.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") <= FOLLOWED), "greedy-small")
     width = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(width, "label").sortWithinPartitions("label", "phase", "arrival", F.col("a").asc_nulls_last())
+    stream = rows.join(small.select("label"), "label", "left_semi").repartition(width, "label")
+    stream = stream.sortWithinPartitions("label", F.col("arrival").asc_nulls_first(), "phase", F.col("a").asc_nulls_last(), "key")
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, kept, keys, meeting, near = None, set(), set(), {}, False
+        now, kept, keys, meeting, near, mine = None, set(), set(), {}, False, []
         for b in batches:
             out = []
             for label, phase, arrival, a, key, other in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if label != now:
-                    now, kept, keys, meeting, near = label, set(), set(), {}, False
+                    now, kept, keys, meeting, near, mine = label, set(), set(), {}, False, []
                 if phase == 0:
                     meeting.setdefault(key, []).append(other)
-                elif a is not None:
+                elif phase == 1:
                     near = near or a in kept
+                elif phase == 2:
+                    mine.append(key)
+                    near = near or key in keys or any(k in keys for k in meeting.get(key, ()))
                 else:
-                    near = near or (key is not None and (key in keys or any(k in keys for k in meeting.get(key, ()))))
                     if not near:
                         kept.add(arrival)
-                        keys |= {key} - {None}
+                        keys.update(mine)
                         out.append(arrival)
-                    near = False
+                    near, mine = False, []
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["arrival"])
 
-    return rows.mapInArrow(follow, "arrival long")
+    return nodes.join(small.select("label"), "label", "left_semi").select("arrival"), stream.mapInArrow(follow, "arrival long")
 
 
 def stacked(articles: DataFrame, ratio_threshold: float = TITLE_RATIO, cosine_threshold: float = COSINE) -> DataFrame:
-    """Title and vector layers together (arrival, title, v, cached): near titles by key and edges of near vectors, then ``greedy``."""
-    keyed = articles.select("arrival", "cached", sorted_tokens(dedup_title(F.col("title"))).alias("key"))
-    near = cosine_pairs(articles.where("v is not null").select(F.col("arrival").alias("id"), "v"), cosine_threshold).select("a", "b")
-    return greedy(keyed, near, near=title_pairs(keyed, ratio_threshold).select("a", "b"))
+    """Title and vector layers together (arrival, title, v, cached): near titles and near vectors as keys that meet, then as ``greedy``.
+
+    Titles of the same sorted words are one key, and equal vectors one key, so pairs within such groups are never formed.
+    """
+    with scratch(articles.sparkSession) as keep_table:
+        rows = materialise(articles.select("arrival", "cached", sorted_tokens(dedup_title(F.col("title"))).alias("key"), F.col("v").cast("array<double>").alias("v")), "stacked-rows")
+        vectors = rows.where(F.exists("v", lambda x: x != 0))
+        of_vector = materialise(vectors.groupBy("v").agg(F.min("arrival").alias("id"), F.count("*").alias("n")).withColumn("digest", F.xxhash64("v")), "stacked-vectors")
+        slim = materialise(vectors.select("arrival", "v", F.xxhash64("v").alias("digest")), "stacked-slim")
+        same = join_sized(slim, of_vector.withColumnRenamed("v", "w"), "digest", "n").where("v = w").select("arrival", F.concat(F.lit("v"), "id").alias("key"))
+        titled = rows.where("key <> ''").select("arrival", F.concat(F.lit("t"), "key").alias("key"))
+        near = cosine_pairs(of_vector.select("id", "v"), cosine_threshold).select(F.concat(F.lit("v"), "a").alias("a"), F.concat(F.lit("v"), "b").alias("b"))
+        alike = title_pairs(rows.select("key"), ratio_threshold).select(F.concat(F.lit("t"), "a").alias("a"), F.concat(F.lit("t"), "b").alias("b"))
+        none = rows.sparkSession.createDataFrame([], "a long, b long")
+        return keep_table(_marks(rows.select("arrival", "cached"), none, titled.unionByName(same), near.unionByName(alike)), "stacked-marks")
 
 
 def backfill(cache: DataFrame, staged: DataFrame, cutoff: Column) -> DataFrame:
