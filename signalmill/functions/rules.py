@@ -72,7 +72,7 @@ def categorised(title: Column, text: Column, description: Column) -> Column:
     return bound(bound(low, category_scores), categories)
 
 
-def strategy(title: Column, text: Column, short: Column) -> Column:
+def strategy(title: Column, text: Column, summary: Column) -> Column:
     """1 to 5 by strong signals in the title, the first 800 characters and the summary."""
     def score(low: Column) -> Column:
         signals = F.lit(0)
@@ -84,7 +84,7 @@ def strategy(title: Column, text: Column, short: Column) -> Column:
         ))
         return F.when(low.rlike(any_of(INVESTMENT_TERMS)), 1).otherwise(by_signals)
 
-    return bound(F.lower(F.concat_ws(" ", title, F.substring(text, 1, OPENING), short)), score)
+    return bound(F.lower(F.concat_ws(" ", title, F.substring(text, 1, OPENING), summary)), score)
 
 
 def relevance(states: Column) -> Column:

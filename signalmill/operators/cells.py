@@ -58,7 +58,7 @@ def parent_cost(fine: DataFrame) -> DataFrame:
 
 def with_cost(cells: DataFrame, cost: DataFrame) -> DataFrame:
     """Cells with their cost; where there is none, the median over all cells of the cost table at that resolution."""
-    median = cost.groupBy("resolution").agg(F.percentile("bc_unit_cost_ft", 0.5).alias("median_"))
+    median = medians(cost, ["resolution"], "bc_unit_cost_ft", "median_")
     out = cells.join(cost, ["resolution", "cell"], "left").join(median, "resolution", "left")
     return out.withColumn("bc_unit_cost_ft", F.coalesce("bc_unit_cost_ft", "median_")).drop("median_")
 
@@ -87,6 +87,44 @@ def with_running(rows: DataFrame, group: list[str], value: str, n: str) -> DataF
     return cut.withColumn("below_", inside).join(sums, by).withColumn("below_", F.col("below_") + F.col("before_")).drop("range_", "before_")
 
 
+#: Parts into which a range of values is cut when the middle is looked for in it.
+PARTS_OF_A_RANGE = 1024
+
+
+def _part_of(value: Column, low: Column, high: Column) -> Column:
+    """A whole number that doesn't fall where the value rises, from 0 at ``low`` to PARTS_OF_A_RANGE - 1 at ``high``; infinite ends are parts of their own."""
+    inner = F.nanvl((value - low) / F.nullif(high - low, F.lit(0.0)), F.lit(0.5)) * (PARTS_OF_A_RANGE - 3) + 1
+    middle = F.least(F.lit(PARTS_OF_A_RANGE - 2.0), F.floor(F.coalesce(inner, F.lit(1.0))))
+    return F.when((value == low) | F.isnan(value), 0).when(value == high, PARTS_OF_A_RANGE - 1).otherwise(middle.cast("int"))
+
+
+def _around_middle(counts: DataFrame, by: list[str], step: str, before: Column) -> DataFrame:
+    """Of ``counts`` (by, step, n_, total_) the steps that hold a middle row, with the number of rows below them (``before``, and those of smaller steps)."""
+    order = Window.partitionBy(*by).orderBy(step).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below = before + F.sum("n_").over(order) - F.col("n_")
+    low, high = F.floor((F.col("total_") - 1) / 2), F.floor(F.col("total_") / 2)
+    return counts.withColumn("below_", below).where((F.col("below_") <= high) & (F.col("below_") + F.col("n_") > low))
+
+
+def medians(rows: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
+    """The exact median of each group's values that aren't null (mean of the middle two of an even number; NaN is above all others).
+
+    Rows are counted by range of values, the range that holds the middle is counted by part, and only the part that holds the middle is
+    counted by value and sorted. All three are partial aggregates, so neither a group nor its distinct values meet in one buffer.
+    """
+    at = rows.select(*group, F.col(value).cast("double").alias("value_")).where("value_ is not null").withColumn("range_", _range_of(F.col("value_")))
+    by = [*group, "range_"]
+    ranges = at.groupBy(*by).agg(F.count("*").alias("n_"), F.min("value_").alias("low_"), F.max("value_").alias("high_"))
+    ranges = ranges.withColumn("total_", F.sum("n_").over(Window.partitionBy(*group)))
+    first = _around_middle(ranges, group, "range_", F.lit(0)).select(*by, "low_", "high_", "total_", F.col("below_").alias("before_"))
+    inside = at.join(first, by).withColumn("part_", _part_of(F.col("value_"), F.col("low_"), F.col("high_")))
+    parts = inside.groupBy(*by, "part_", "total_", "before_").agg(F.count("*").alias("n_"))
+    second = _around_middle(parts, by, "part_", F.col("before_")).select(*by, "part_", F.col("below_").alias("within_"))
+    values = inside.join(second, [*by, "part_"]).groupBy(*by, "part_", "value_", "total_", "within_").agg(F.count("*").alias("n_"))
+    middle = _around_middle(values, [*by, "part_"], "value_", F.col("within_"))
+    return middle.groupBy(*group).agg(((F.min("value_") + F.max("value_")) / 2).alias(name))
+
+
 def percentile(rows: DataFrame, group: list[str], key: list[str], values: dict[str, str]) -> DataFrame:
     """``rows`` with a column for each of ``values`` (value column: name): (average rank - 1) / (n - 1) among those of the
     group that aren't null; 0.5 where there is one; null stays null. ``key`` tells the rows of a group apart.

@@ -65,14 +65,19 @@ def encoded_scan(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_delimited(spark, _messy(spark, sf, "encoded", "ISO-8859-1"))
 
 
-@query("""SELECT c_custkey AS id, c_acctbal AS balance, row_number() OVER (ORDER BY c_custkey) AS place FROM customer WHERE c_custkey <= 100""")
+_FILE_ROWS = 500
+
+
+@query(f"""SELECT c_custkey AS id, c_acctbal AS balance, row_number() OVER (PARTITION BY c_custkey // {_FILE_ROWS} ORDER BY c_custkey) AS place FROM customer""")
 def typed_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """By a schema, in the order in which the rows stand in their file."""
-    path = _folder(spark, "typed")
-    b.table(spark, sf, "customer").where("c_custkey <= 100").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance")).orderBy("id").coalesce(1).write.option("header", True).csv(path)
+    """By a schema, with each row's place in its file."""
+    path, k = _folder(spark, "typed"), F.col("c_custkey")
+    rows = b.table(spark, sf, "customer").select(k.alias("id"), F.col("c_acctbal").alias("balance"), F.floor(k / _FILE_ROWS).alias("part"))
+    rows.repartition("part").sortWithinPartitions("part", "id").write.option("header", True).partitionBy("part").csv(path)
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("balance", T.DoubleType())])
     rows = readers.read_delimited(spark, path, schema=schema, order=True)
-    return rows.selectExpr("id", "balance", f"rank() OVER (ORDER BY {readers.ORDER}) AS place").withColumn("place", F.col("place").cast("long"))
+    place = f"row_number() OVER (PARTITION BY {readers.ORDER}.block.file ORDER BY {readers.ORDER})"
+    return rows.selectExpr("id", "balance", f"{place} AS place").withColumn("place", F.col("place").cast("long"))
 
 
 def _workbook(rows: list[tuple], columns: list[str]) -> bytes:
@@ -397,21 +402,30 @@ def queued_ids(spark: SparkSession, sf: str) -> DataFrame:
     return links.queued_ids(ids.where(k % 3 != 0), ids.where(k % 2 == 0).unionByName(ids.where(k % 3 == 0)))
 
 
-@query("""SELECT r_name AS stage, CASE WHEN r_regionkey < 2 THEN 'done' WHEN r_regionkey = 2 THEN 'failed: no ' || r_name ELSE 'not run' END AS gated, CASE WHEN r_regionkey = 0 THEN 'skipped' WHEN r_regionkey = 2 THEN 'failed: no ' || r_name ELSE 'done' END AS collected FROM region""")
+@query("""WITH ok AS (SELECT * FROM lineitem WHERE l_quantity > 10), flags AS (SELECT l_returnflag, l_linestatus FROM ok GROUP BY ALL)
+SELECT run, stage, outcome, CASE WHEN outcome = 'done' THEN n END AS n FROM (VALUES ('gated', 'clean', 'done'), ('gated', 'flags', 'done'), ('gated', 'broken', 'failed'), ('gated', 'parts', 'not run'),
+  ('collected', 'clean', 'skipped'), ('collected', 'flags', 'done'), ('collected', 'broken', 'failed'), ('collected', 'parts', 'done')) AS t(run, stage, outcome)
+LEFT JOIN (SELECT 'clean' AS stage, (SELECT count(*) FROM ok) AS n UNION ALL SELECT 'flags', (SELECT count(*) FROM flags) UNION ALL SELECT 'parts', (SELECT count(DISTINCT l_partkey) FROM ok)) USING (stage)""")
 def stage_slices(spark: SparkSession, sf: str) -> DataFrame:
-    """Stages of which the third fails: with a stop at the first failure, and as a slice that goes on."""
-    names = [r["r_name"] for r in b.table(spark, sf, "region").orderBy("r_regionkey").select("r_name").collect()]  # five rows at any scale
-
-    def stage(k: int, name: str):
-        def run() -> None:
-            if k == 2:
-                raise RuntimeError(f"no {name}")
-
-        return run
-
-    stages = {name: stage(k, name) for k, name in enumerate(names)}
-    gated, collected = runs.slices(stages), runs.slices(stages, names[1:], stop_at_failure=False)
-    return spark.createDataFrame([(n, gated[n], collected[n]) for n in names], "stage string, gated string, collected string")
+    """Stages that write tables, of which the third fails: with a stop at the first failure, then as a slice that goes on from the tables that are there. What each came to, and the rows of its table."""
+    path = _folder(spark, "stages")
+
+    def table(name: str) -> DataFrame:
+        return spark.read.parquet(f"{path}/{name}")
+
+    stages = {
+        "clean": lambda: writers.overwrite(b.table(spark, sf, "lineitem").where("l_quantity > 10"), f"{path}/clean"),
+        "flags": lambda: writers.overwrite(table("clean").groupBy("l_returnflag", "l_linestatus").count(), f"{path}/flags"),
+        "broken": lambda: writers.overwrite(table("missing"), f"{path}/broken"),
+        "parts": lambda: writers.overwrite(table("clean").select("l_partkey").where("l_partkey is not null").distinct(), f"{path}/parts"),
+    }
+    columns = ["run", "stage", "outcome", "n"]
+    for run, chosen, stop in (("gated", None, True), ("collected", ["flags", "broken", "parts"], False)):
+        for stage, said in runs.slices(stages, chosen, stop_at_failure=stop).items():
+            row = table(stage).agg(F.count("*").alias("n")) if said == "done" else spark.range(1).select(F.lit(None).cast("long").alias("n"))
+            row = row.select(F.lit(run).alias("run"), F.lit(stage).alias("stage"), F.lit(said.split(":")[0]).alias("outcome"), "n")
+            writers.append(row, f"{path}/log", columns)
+    return table("log")
 
 
 @query("SELECT event_id AS id FROM events WHERE event_id % 3 <> 0 AND event_id % 2 = 0 AND event_id % 5 <> 0")

@@ -133,9 +133,10 @@ def bore_cost(spark: SparkSession, sf: str) -> DataFrame:
   round(min(unit_cost_ft), 6) AS least_cost, round(max(unit_cost_ft), 6) AS most_cost FROM bore GROUP BY 1""")
 def bore_cost_by_class(spark: SparkSession, sf: str) -> DataFrame:
     c = "unit_cost_ft"
-    return _bore(spark, sf).groupBy(F.coalesce("rock", F.lit("none")).alias("rock")).agg(
-        F.count("*").alias("n"), F.round(F.avg(c), 6).alias("mean_cost"), F.round(F.median(c), 6).alias("median_cost"), F.round(F.min(c), 6).alias("least_cost"), F.round(F.max(c), 6).alias("most_cost"),
-    )
+    rows = _bore(spark, sf).withColumn("rock", F.coalesce("rock", F.lit("none")))
+    rest = rows.groupBy("rock").agg(F.count("*").alias("n"), F.round(F.avg(c), 6).alias("mean_cost"), F.round(F.min(c), 6).alias("least_cost"), F.round(F.max(c), 6).alias("most_cost"))
+    median = cells.medians(rows, ["rock"], c, "median_cost").withColumn("median_cost", F.round("median_cost", 6))
+    return rest.join(median, "rock").select("rock", "n", "mean_cost", "median_cost", "least_cost", "most_cost")
 
 
 @query(f"WITH {_SOIL_SQL}, {_PARENT_SQL} SELECT * FROM cost")
@@ -228,17 +229,36 @@ def cell_boundaries(spark: SparkSession, sf: str) -> DataFrame:
 _H3 = [("85283473fffffff",), ("8528347bfffffff",), ("852a1073fffffff",), ("86283472fffffff",), ("8a2a1072b59ffff",)]
 
 
-@query("SELECT cell, r AS resolution, lower(printf('%x', (CAST(concat('0x', cell) AS BIGINT) & ~(15::BIGINT << 52)) | (r::BIGINT << 52) | ((1::BIGINT << ((15 - r) * 3)) - 1))) AS parent FROM " + b.values_sql(_H3, "cell string") + ", (SELECT unnest([3, 4]) AS r)")
+#: Ids made from customers' keys: resolutions 5 to 10, all base cells, digits 0 to 3.
+_DIGITS = int("3" * 15, 8)
+_MADE_H3_SQL = f"""SELECT lower(printf('%x', (1::BIGINT << 59) | (r << 52) | ((c_custkey % 122) << 45) | ((c_custkey * 1000003) & {_DIGITS}) | ((1::BIGINT << ((15 - r) * 3)) - 1))) AS cell FROM (SELECT *, 5 + c_custkey % 6 AS r FROM customer)"""
+
+
+def _h3_ids(spark: SparkSession, sf: str) -> DataFrame:
+    k, r = F.col("c_custkey"), F.col("r")
+    fine = F.expr("shiftleft(1L, cast((15 - r) * 3 AS int)) - 1")
+    parts = F.lit(1 << 59).bitwiseOR(r * (1 << 52)).bitwiseOR(k % 122 * (1 << 45)).bitwiseOR((k * 1000003).bitwiseAND(F.lit(_DIGITS))).bitwiseOR(fine)
+    made = b.table(spark, sf, "customer").select(k, (k % 6 + 5).alias("r")).select(F.lower(F.hex(parts)).alias("cell"))
+    return b.inline(spark, _H3, "cell string").unionByName(made)
+
+
+@query("SELECT cell, r AS resolution, lower(printf('%x', (CAST(concat('0x', cell) AS BIGINT) & ~(15::BIGINT << 52)) | (r::BIGINT << 52) | ((1::BIGINT << ((15 - r) * 3)) - 1))) AS parent FROM (SELECT * FROM " + b.values_sql(_H3, "cell string") + " UNION ALL " + _MADE_H3_SQL + "), (SELECT unnest([3, 4]) AS r)")
 def h3_parent_bits(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.inline(spark, _H3, "cell string")
+    rows = _h3_ids(spark, sf)
     three, four = (rows.select("cell", F.lit(r).alias("resolution"), geo.h3_parent(F.col("cell"), r).alias("parent")) for r in (3, 4))
     return three.unionByName(four)
 
 
-@query("SELECT state, round(greatest(4, least(7, 7 - log2(greatest(east - west, north - south)))), 6) AS zoom, round((west + east) / 2, 6) AS lon, round((south + north) / 2, 6) AS lat FROM " + _BOUNDS_SQL)
+_EXTENTS_SQL = "SELECT 'facilities in ' || state AS state, min(lon) AS west, min(lat) AS south, max(lon) AS east, max(lat) AS north FROM facilities WHERE NOT (lat = 0 AND lon = 0) GROUP BY state"
+
+
+@query(f"WITH {b.FACILITIES_SQL} SELECT state, round(greatest(4, least(7, 7 - log2(greatest(east - west, north - south)))), 6) AS zoom, round((west + east) / 2, 6) AS lon, round((south + north) / 2, 6) AS lat FROM (SELECT * FROM {_BOUNDS_SQL} UNION ALL {_EXTENTS_SQL})")
 def state_viewports(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the states' boxes, and of the boxes that facilities fill in each state."""
     box = [F.col(c) for c in ("west", "south", "east", "north")]
-    return dims.bounds(spark).select("state", F.round(geo.viewport_zoom(*box), 6).alias("zoom"), F.round((F.col("west") + F.col("east")) / 2, 6).alias("lon"), F.round((F.col("south") + F.col("north")) / 2, 6).alias("lat"))
+    filled = cells.with_coordinates(b.facilities(spark, sf)).groupBy(F.concat(F.lit("facilities in "), "state").alias("state"))
+    filled = filled.agg(F.min("lon").alias("west"), F.min("lat").alias("south"), F.max("lon").alias("east"), F.max("lat").alias("north"))
+    return dims.bounds(spark).select("state", "west", "south", "east", "north").unionByName(filled).select("state", F.round(geo.viewport_zoom(*box), 6).alias("zoom"), F.round((F.col("west") + F.col("east")) / 2, 6).alias("lon"), F.round((F.col("south") + F.col("north")) / 2, 6).alias("lat"))
 
 
 _CHOSEN = {"status": ["Operational", "Planned", "Under Construction"], "company_type": ["BUILDING", "MACHINERY", "AUTOMOBILE"]}

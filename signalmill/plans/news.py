@@ -133,15 +133,20 @@ def distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
 # parsers
 
 _NUMBERS = [(1, "240,549"), (2, ""), (3, None), (4, "n/a"), (5, "5d"), (6, " 7.25 "), (7, "-3"), (8, "1e3"), (9, "4.0"), (10, "1,2,3"), (11, "."), (12, "-2.7")]
+#: Customers' keys as numbers with separators, blanks, letters, exponents and without digits before the point, as blanks and as nulls.
+_MADE_NUMBERS_SQL = """SELECT 1000 + c_custkey, CASE c_custkey % 7 WHEN 0 THEN c_custkey || ',000' WHEN 1 THEN ' ' || c_custkey || '.5 ' WHEN 2 THEN c_custkey || 'd' WHEN 3 THEN '-' || c_custkey % 1000 || 'e2' WHEN 4 THEN '.' || c_custkey WHEN 5 THEN ' ' END FROM customer"""
 _NUM_SQL = r"'^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$'"
 
 
 @query(f"""SELECT id, CASE WHEN regexp_matches(replace(s, ',', ''), {_NUM_SQL}) THEN CAST(trim(replace(s, ',', '')) AS DOUBLE) ELSE 0 END AS facility,
   CASE WHEN s IS NULL OR trim(s) = '' THEN NULL WHEN regexp_matches(s, {_NUM_SQL}) THEN CAST(trim(s) AS DOUBLE) ELSE 0 END AS generator, CASE WHEN regexp_matches(s, {_NUM_SQL}) THEN CAST(trunc(CAST(trim(s) AS DOUBLE)) AS INT) ELSE 0 END AS whole
-FROM {b.values_sql(_NUMBERS, 'id long, s string')}""")
+FROM (SELECT * FROM {b.values_sql(_NUMBERS, 'id long, s string')} UNION ALL {_MADE_NUMBERS_SQL})""")
 def lenient_number(spark: SparkSession, sf: str) -> DataFrame:
-    s = F.col("s")
-    return b.inline(spark, _NUMBERS, "id long, s string").select("id", parse.facility_number(s).alias("facility"), parse.generator_number(s).alias("generator"), parse.integer_or_zero(s).alias("whole"))
+    s, k = F.col("s"), F.col("c_custkey")
+    made = F.when(k % 7 == 0, F.concat(k, F.lit(",000"))).when(k % 7 == 1, F.concat(F.lit(" "), k, F.lit(".5 "))).when(k % 7 == 2, F.concat(k, F.lit("d"))).when(k % 7 == 3, F.concat(F.lit("-"), k % 1000, F.lit("e2")))
+    made = made.when(k % 7 == 4, F.concat(F.lit("."), k)).when(k % 7 == 5, " ")
+    rows = b.inline(spark, _NUMBERS, "id long, s string").unionByName(b.table(spark, sf, "customer").select((k + 1000).alias("id"), made.alias("s")))
+    return rows.select("id", parse.facility_number(s).alias("facility"), parse.generator_number(s).alias("generator"), parse.integer_or_zero(s).alias("whole"))
 
 
 _LISTS = [
@@ -194,12 +199,20 @@ def status_resolve(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("id", parse.first_status(parse.facility_list(F.col("s")), dims.STATUSES, dims.UNKNOWN_STATUS).alias("status"), parse.first_type(parse.facility_list(F.col("t")), dims.UNCLASSIFIED).alias("kind"))
 
 
+#: Events' times in all forms, and every sixth in none.
+_WRITTEN_DATES = [("M/d/yyyy h:mm a", "%-m/%-d/%Y %-I:%M %p"), ("MM/dd/yyyy HH:mm", "%m/%d/%Y %H:%M"), ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"), ("' 'yyyy-MM-dd' '", " %Y-%m-%d "), ("M/d/yyyy", "%-m/%-d/%Y")]
+_MADE_DATES_SQL = "SELECT 1000 + event_id, CASE event_id % 6 " + " ".join(f"WHEN {n} THEN strftime(ts, '{f}')" for n, (_, f) in enumerate(_WRITTEN_DATES)) + " ELSE 'no date' END FROM events"
 _DATES = [(1, "01/26/2026 07:08 PM"), (2, "1/6/2026 7:08 PM"), (3, "1/26/2026 19:08"), (4, "2/3/2026"), (5, "2026-01-26 19:08:01"), (6, " 2026-01-26 "), (7, ""), (8, None), (9, "garbage"), (10, "13/45/2026")]
 
 
-@query(f"SELECT id, coalesce({', '.join(f'''try_strptime(trim(s), '{f}')''' for f in ('%m/%d/%Y %I:%M %p', '%m/%d/%Y %H:%M', '%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%m/%d/%Y'))}) AS at FROM {b.values_sql(_DATES, 'id long, s string')}")
+@query(f"SELECT id, coalesce({', '.join(f'''try_strptime(trim(s), '{f}')''' for f in ('%m/%d/%Y %I:%M %p', '%m/%d/%Y %H:%M', '%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%m/%d/%Y'))}) AS at FROM (SELECT * FROM {b.values_sql(_DATES, 'id long, s string')} UNION ALL {_MADE_DATES_SQL})")
 def multi_format_date(spark: SparkSession, sf: str) -> DataFrame:
-    return b.inline(spark, _DATES, "id long, s string").select("id", parse.any_date(F.col("s")).alias("at"))
+    i = F.col("event_id")
+    made = F.lit("no date")
+    for n, (pattern, _) in enumerate(_WRITTEN_DATES):
+        made = F.when(i % 6 == n, F.date_format("ts", pattern)).otherwise(made)
+    rows = b.inline(spark, _DATES, "id long, s string").unionByName(b.table(spark, sf, "events").select((i + 1000).alias("id"), made.alias("s")))
+    return rows.select("id", parse.any_date(F.col("s")).alias("at"))
 
 
 _FEED_DATES = [(1, "Mon, 26 Jan 2026 19:08:00 +0000", None), (2, None, "Tue, 27 Jan 2026 01:00:00 -0500"), (3, "2026-01-26T19:08:00Z", None), (4, None, None)]
@@ -353,6 +366,9 @@ _ARTICLES = [
     (6, "Laws and output", "Colorado laws on output of basic steps.", ""),
     (7, "Google data center", "Google cloud region grows in Oregon with a PPA from the utility.", "Power purchase signed."),
 ]
+#: Customers as articles about sites in these places.
+_SITE_STATES = (*dims.STATE_NAMES, "no state", "Reston, VA", "an odd place")
+_MADE_SITES_SQL = f"SELECT 1000 + c_custkey, c_name || ' plans a site', 'It lies in ' || {list(_SITE_STATES)}[c_custkey % {len(_SITE_STATES)} + 1] || '.', CASE WHEN c_custkey % 2 = 0 THEN 'Near ' || {list(_SITE_STATES)}[c_custkey % 5 + 1] END FROM customer"
 _ARTICLE_SCHEMA = "id long, title string, body string, short string"
 _INLINE_SQL = b.values_sql(_ARTICLES, _ARTICLE_SCHEMA)
 
@@ -396,10 +412,10 @@ def rule_category(spark: SparkSession, sf: str) -> DataFrame:
 _SIGNALS_SQL = " + ".join(f"CAST({_match('low', p)} AS INT)" for p in rules.SIGNALS)
 
 
-@query(f"""WITH s AS (SELECT id, low, {_SIGNALS_SQL} AS n FROM (SELECT id, lower(concat_ws(' ', title, substr(body, 1, 800), short)) AS low FROM {_ALL_SQL}))
+@query(f"""WITH s AS (SELECT id, low, {_SIGNALS_SQL} AS n FROM (SELECT a.id, lower(concat_ws(' ', a.title, substr(body, 1, {rules.OPENING}), summary)) AS low FROM {_ALL_SQL} a JOIN ({_SUMMARY_SQL}) USING (id)))
 SELECT id, CASE WHEN {_match('low', _any_sql(dims.INVESTMENT_TERMS))} THEN 1 WHEN n >= 4 THEN 5 WHEN n >= 2 OR (n = 1 AND {_match('low', _any_sql(dims.OPERATORS))}) THEN 4 WHEN n = 1 THEN 3 WHEN {_match('low', _any_sql(dims.INFRASTRUCTURE_TERMS))} THEN 2 ELSE 1 END AS strategy FROM s""")
 def rule_strategy(spark: SparkSession, sf: str) -> DataFrame:
-    return _doc_articles(spark, sf).select("id", rules.strategy(F.col("title"), F.col("body"), F.col("short")).alias("strategy"))
+    return _doc_articles(spark, sf).select("id", rules.strategy(F.col("title"), F.col("body"), rules.summary(F.col("body"), F.col("short"))).alias("strategy"))
 
 
 def _has(codes: tuple[str, ...]) -> str:
@@ -407,9 +423,12 @@ def _has(codes: tuple[str, ...]) -> str:
 
 
 @query(f"""SELECT id, CASE WHEN len(states) = 0 THEN 3 WHEN {_has(dims.CORE)} THEN 5 WHEN {_has(dims.EXPANSION + dims.ADJACENT)} THEN 4 ELSE 2 END AS relevance
-FROM (SELECT id, {_STATES_SQL.replace("coalesce(s, '')", "concat_ws(' ', title, short, body)")} AS states FROM {_INLINE_SQL})""")
+FROM (SELECT id, {_STATES_SQL.replace("coalesce(s, '')", "concat_ws(' ', title, short, body)")} AS states FROM (SELECT * FROM {_INLINE_SQL} UNION ALL {_MADE_SITES_SQL}))""")
 def rule_relevance(spark: SparkSession, sf: str) -> DataFrame:
-    return b.inline(spark, _ARTICLES, _ARTICLE_SCHEMA).select("id", rules.relevance(text.states(F.concat_ws(" ", "title", "short", "body"))).alias("relevance"))
+    k, names_ = F.col("c_custkey"), F.array(*(F.lit(n) for n in _SITE_STATES))
+    place = F.get(names_, (k % len(_SITE_STATES)).cast("int"))
+    made = b.table(spark, sf, "customer").select((k + 1000).alias("id"), F.concat("c_name", F.lit(" plans a site")).alias("title"), F.concat(F.lit("It lies in "), place, F.lit(".")).alias("body"), F.when(k % 2 == 0, F.concat(F.lit("Near "), F.get(names_, (k % 5).cast("int")))).alias("short"))
+    return b.inline(spark, _ARTICLES, _ARTICLE_SCHEMA).unionByName(made).select("id", rules.relevance(text.states(F.concat_ws(" ", "title", "short", "body"))).alias("relevance"))
 
 
 @query(f"""SELECT id, CASE WHEN len(states) = 0 THEN 3 WHEN {_has(dims.CORE)} THEN 5 WHEN {_has(dims.EXPANSION + dims.ADJACENT)} THEN 4 ELSE 2 END AS relevance

@@ -13,8 +13,10 @@ from ..sources.readers import ORDER
 
 
 def _place(raw: DataFrame) -> Column:
-    """The place of a row in its source: the reader's, else the order in which a single file's rows come."""
-    return F.col(ORDER) if ORDER in raw.columns else F.monotonically_increasing_id()
+    """The place of a row in its source, which the reader gives."""
+    if ORDER not in raw.columns:
+        raise ValueError(f"the order of the rows is needed: read them with {ORDER}")
+    return F.col(ORDER)
 
 
 def facility_points(raw: DataFrame) -> DataFrame:

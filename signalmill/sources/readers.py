@@ -12,7 +12,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 ENCODINGS = ("UTF-8", "windows-1252", "ISO-8859-1")
 
@@ -29,14 +28,18 @@ def clean_name(name: str) -> str:
     return name.replace("﻿", "").strip().strip('"').strip()
 
 
-def encoding_of(spark: SparkSession, path: str) -> str:
-    """UTF-8 if all of the files' bytes are, else windows-1252 if it defines all of them, else ISO-8859-1. Whole files are looked at, on the executors."""
+def encodings_of(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of a path by encoding, each on its own: UTF-8 if all of its bytes are, else windows-1252 if it defines all of them, else ISO-8859-1.
+
+    Whole files are looked at, on the executors; the driver gets their names.
+    """
     files = spark.read.format("binaryFile").load(path)
     undefined = F.hex("content").rlike("^(..)*(81|8D|8F|90|9D)")
-    row = files.agg(F.min(F.is_valid_utf8(F.col("content").cast("string")).cast("int")).alias("utf8"), F.max(undefined.cast("int")).alias("odd")).first()
-    if row["utf8"] is None or row["utf8"]:
-        return ENCODINGS[0]
-    return ENCODINGS[2] if row["odd"] else ENCODINGS[1]
+    encoding = F.when(F.is_valid_utf8(F.col("content").cast("string")), ENCODINGS[0]).when(undefined, ENCODINGS[2]).otherwise(ENCODINGS[1])
+    out: dict[str, list[str]] = {}
+    for name, file in sorted(files.select(encoding, "path").collect()):
+        out.setdefault(name, []).append(file)
+    return out
 
 
 #: Column of a row's place in its source: file, block and number, which sorts as the files were written, whatever Spark's splits are.
@@ -55,7 +58,19 @@ def source_order(block: Column | None = None) -> Column:
 
 def read_delimited(spark: SparkSession, path: str, encoding: str | None = None, schema: T.StructType | None = None, order: bool = False) -> DataFrame:
     """All columns as text (or by ``schema``), blanks as empty strings, quoted line breaks kept, a byte-order mark and quotes taken off the names; with ``order``, ORDER beside them."""
-    encoding = encoding or encoding_of(spark, path)
+    if encoding is None:
+        found = encodings_of(spark, path)
+        if len(found) > 1:  # a file at a time
+            each = [_read_as(spark, files, encoding, schema, order) for encoding, files in found.items()]
+            out = each[0]
+            for other in each[1:]:
+                out = out.unionByName(other)
+            return out
+        encoding = next(iter(found), ENCODINGS[0])
+    return _read_as(spark, path, encoding, schema, order)
+
+
+def _read_as(spark: SparkSession, path: str | list[str], encoding: str, schema: T.StructType | None, order: bool) -> DataFrame:
     windows = encoding == ENCODINGS[1]
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", ENCODINGS[2] if windows else encoding)
     out = (reader if schema is None else reader.schema(schema)).csv(path)
@@ -114,11 +129,6 @@ def newsletters(spark: SparkSession, path: str, pattern: str = r"(\d{4}-\d{2}-\d
     return files.withColumn("day", day).where("day is not null").withColumn("from_day", F.date_sub("day", 6)).orderBy(F.col("day").desc())
 
 
-class _Sheet(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
@@ -156,35 +166,6 @@ def table_of(rows: list[list[str | None]], marker: str) -> pd.DataFrame:
     return frame[[n for n in names if n]]
 
 
-class WorkbookSource(DataSource):
-    """``spark.read.format("workbook").option("sheet", ...).schema(...).load(path)``: one sheet, its header row found by ``marker``."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "workbook"
-
-    def schema(self) -> str:
-        raise ValueError("a workbook needs a schema")
-
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _WorkbookReader(schema, self.options)
-
-
-class _WorkbookReader(DataSourceReader):
-    def __init__(self, schema: T.StructType, options: dict):
-        self.columns, self.path = schema.names, options["path"]
-        self.sheet, self.marker = options["sheet"], options.get("marker", "Plant ID")
-
-    def partitions(self) -> list[InputPartition]:
-        return [_Sheet(self.path)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with open(partition.path.removeprefix("file://"), "rb") as f:
-            frame = table_of(list(sheet_rows(f.read(), self.sheet)), self.marker)
-        for row in frame.reindex(columns=self.columns).itertuples(index=False):
-            yield tuple(None if pd.isna(x) else str(x) for x in row)
-
-
 def read_workbook(spark: SparkSession, path: str, sheet: str, columns: list[str], marker: str = "Plant ID") -> DataFrame:
     """A sheet read through Spark's binary files, so a path may be in any store; all columns are text."""
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -64,9 +64,9 @@ def swap(df: DataFrame, path: str, version: str) -> str:
 
 
 def snapshot(spark: SparkSession, inputs: str, archive: str, stamp: str) -> None:
-    """Copies of the input files' bytes under a snapshot's partition."""
+    """Copies of the input files' bytes under a snapshot's partition. The same stamp again takes the place of its first copies."""
     files = spark.read.format("binaryFile").load(inputs).select("path", "modificationTime", "content")
-    files.withColumn("snapshot_ts", F.lit(stamp)).write.mode("append").partitionBy("snapshot_ts").parquet(archive)
+    files.withColumn("snapshot_ts", F.lit(stamp)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_ts").parquet(archive)
 
 
 def recent_snapshots(archive: DataFrame, now: Column, days: int = 7) -> DataFrame:

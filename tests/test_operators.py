@@ -237,9 +237,6 @@ def _workbook(path):
 def test_workbook(spark, tmp_path):
     _workbook(tmp_path / "w.xlsx")
     assert values(readers.read_workbook(spark, str(tmp_path / "w.xlsx"), "Operating", ["Plant ID", "State"]), "Plant ID", "State") == [("7", "VA"), ("8", None)]
-    spark.dataSource.register(readers.WorkbookSource)
-    direct = spark.read.format("workbook").option("sheet", "Operating").schema(readers.strings(["Plant ID"])).load(str(tmp_path / "w.xlsx"))
-    assert values(direct, "Plant ID") == [("7",), ("8",)]
     with pytest.raises(ValueError):
         readers.table_of([["a"]], "Plant ID")
 
