@@ -15,7 +15,9 @@ smallest doc_id (a null one comes last), and of rows that agree in these too one
    are one entry with a count already, so a group of copies of any size sends one entry a filter.
 4. Only texts whose fingerprint counts above one are read again and compared byte by byte:
    normalised texts are a grouping key, after copies inside a batch have been joined.
-5. Groups go back to their rows by digest. Digests that more than a thousandth of the rows
+5. Only rows with a repeated fingerprint are grouped by digest, which gives each group's row that stays: a broadcast bitmap of the repeated
+   fingerprints leaves the others where they are.
+6. Groups go back to their rows by digest. Digests that more than a thousandth of the rows
    have (a thousand at most) are broadcast, so that no task receives the rows of one group.
 
 A document is a row: rows that share a doc_id but not the text are different documents, and
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import lean_batches, lean_group
-from .storage import join_sized, materialise, shuffle_width, small_batches, text_digest, without_rows
+from .storage import join_sized, materialise, only_with, shuffle_width, small_batches, text_digest, without_rows
 
 DELETED = bytes([0x20, *range(0x09, 0x0E)])
 #: Entries of a partition's filters at most; then they are sent and new ones begun, so memory doesn't follow the partition.
@@ -168,7 +170,7 @@ def _distinct_in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 def verified_groups(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     """sha and group_size of each group of byte-equal normalised texts with a repeated fingerprint."""
     texts = _slim(docs).select("text").mapInArrow(lean_batches(_distinct_in_batch), "fp long, sha binary, body binary, n long")
-    return texts.join(repeated, "fp", "left_semi").groupBy("fp", "sha", "body").agg(F.sum("n").alias("group_size")).select("sha", "group_size")
+    return only_with(texts, repeated, "fp").groupBy("fp", "sha", "body").agg(F.sum("n").alias("group_size")).select("sha", "group_size")
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -177,7 +179,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     repeated = materialise(repeated_fingerprints(named, shuffle_width(docs.sparkSession)), "exact-repeated")
     # the greatest of lengths, then of complements: the smallest doc_id, null last, and the smallest number
     best = F.max(F.struct("n_points", F.bitwise_not("doc_id").alias("doc"), F.bitwise_not("row").alias("row"))).alias("best")
-    first = named.groupBy("sha").agg(best, F.count("*").alias("n")).where("n > 1")
+    first = only_with(named, repeated, "fp").groupBy("sha").agg(best, F.count("*").alias("n")).where("n > 1")
     groups = verified_groups(docs, repeated).where("group_size > 1").join(first, "sha")
     groups = materialise(groups.select("sha", "group_size", F.bitwise_not("best.doc").alias("keep_id"), F.bitwise_not("best.row").alias("keep_row")), "exact-groups")
     joined = join_sized(named, groups, "sha", "group_size")

@@ -196,7 +196,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 16, depth: int = 3, penalty:
     w, bias = np.zeros(r.shape[1], dtype=np.float32), float(np.log(y.mean() / (1 - y.mean())))
     z, t = w.copy(), 1.0
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-(r @ z + bias)))
+        p = 0.5 * (1 + np.tanh((r @ z + bias) / 2))  # the logistic function, which can't overflow so
         bias += 4 * float((y - p).mean())
         nxt = z + rate * (r.T @ (y - p).astype(np.float32)) / len(y)
         nxt = np.sign(nxt) * np.maximum(np.abs(nxt) - rate * penalty, 0)

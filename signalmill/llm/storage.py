@@ -46,21 +46,38 @@ def identity() -> dict[str, Column]:
 BITMAP_BITS, PIECE_BITS = 1 << 25, 1 << 15
 
 
+def _place(*columns: Column) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(BITMAP_BITS))
+
+
+def _bitmap(places: DataFrame) -> DataFrame:
+    """A broadcast bitmap of a column ``place``: of bounded size, whatever the table's."""
+    pieces = places.select(F.floor(F.col("place") / PIECE_BITS).alias("piece"), (F.col("place") % PIECE_BITS).alias("bit")).groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    return F.broadcast(materialise(pieces, "rows-bitmap"))
+
+
+def _with_bit(rows: DataFrame, bitmap: DataFrame) -> DataFrame:
+    """``rows`` with ``may_``: whether the bit of their ``place`` is set."""
+    met = rows.withColumns({"piece": F.floor(F.col("place") / PIECE_BITS), "bit": F.col("place") % PIECE_BITS}).join(bitmap, "piece", "left")
+    byte = "cast(conv(hex(substring(bitmap, cast(bit div 8 AS int) + 1, 1)), 16, 10) AS int)"
+    return met.withColumn("may_", F.expr(f"coalesce(shiftright({byte}, cast(bit % 8 AS int)) & 1 = 1, false)")).drop("piece", "bit", "bitmap", "place")
+
+
+def only_with(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The ``rows`` whose ``key`` is in ``keys``. Those whose bit isn't set in a bitmap of the keys are left out where they are; only the others are exchanged."""
+    may = _with_bit(rows.withColumn("place", _place(F.col(key))), _bitmap(keys.select(_place(F.col(key)).alias("place")))).where("may_").drop("may_")
+    return may.join(keys.select(key), key, "left_semi")
+
+
 def without_rows(docs: DataFrame, gone: DataFrame, again: DataFrame) -> DataFrame:
     """The rows of ``docs``, with their own columns, whose ``identity`` isn't in ``gone``, and of each in ``again`` one. Null doc_ids are equal to each other.
 
     Rows whose bit isn't set in a bitmap of both tables, which is broadcast, stay where they are; only the others meet the tables.
     """
-    place = F.pmod(F.xxhash64(*identity()), F.lit(BITMAP_BITS))
-    bits = gone.select(*identity()).unionByName(again.select(*identity())).select(place.alias("place"))
-    piece, bit = F.floor(F.col("place") / PIECE_BITS).alias("piece"), (F.col("place") % PIECE_BITS).alias("bit")
-    pieces = bits.select(piece, bit).groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
-    pieces = F.broadcast(materialise(pieces, "rows-bitmap"))
-    rows = docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in identity().items())).withColumn("place", place)
-    met = rows.select("*", piece, bit).join(pieces, "piece", "left")
-    byte = "cast(conv(hex(substring(bitmap, cast(bit div 8 AS int) + 1, 1)), 16, 10) AS int)"
-    may = F.expr(f"coalesce(shiftright({byte}, cast(bit % 8 AS int)) & 1 = 1, false)")
-    open_ = met.where(may).select("row", "doc_id", "digest")
+    place = _place(*identity())
+    bitmap = _bitmap(gone.select(*identity()).unionByName(again.select(*identity())).select(place.alias("place")))
+    met = _with_bit(docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in identity().items())).withColumn("place", place), bitmap)
+    open_ = met.where("may_").select("row", "doc_id", "digest")
 
     def of(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
         keys = keys.select(F.col("doc_id").alias("doc_id_"), F.col("digest").alias("digest_"))
@@ -69,4 +86,4 @@ def without_rows(docs: DataFrame, gone: DataFrame, again: DataFrame) -> DataFram
     stay = of(gone, "left_anti", open_)
     one = of(again, "left_semi", stay).groupBy("doc_id", "digest").agg(F.first("row").alias("row"))
     rest = of(again, "left_anti", stay).select("row.*").unionByName(one.select("row.*"))
-    return met.where(~may).select("row.*").unionByName(rest)
+    return met.where("not may_").select("row.*").unionByName(rest)

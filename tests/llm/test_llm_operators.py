@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from signalmill.llm import ann_search, bytekernel, chat, exact_dedup, jaccard_join, lm_scoring, mixing, packing, piece_codec, rule_classifier, secret_scan, token_counts
+from signalmill.llm import ann_search, bytekernel, chat, exact_dedup, jaccard_join, lm_scoring, mixing, packing, piece_codec, rule_classifier, secret_scan, storage, token_counts
 from signalmill.operators import components as joins
 from signalmill.operators.components import smallest_labels
 
@@ -632,3 +632,13 @@ def test_empty_table_and_odd_rows(spark, name):
 def test_filters_keep_the_columns(spark):
     for f in (jaccard_join.keep_one_of_each, exact_dedup.keep_first_copies, lambda d: mixing.taken_rows(d, F.lit("x"), mixing.Mix(max_epochs=1))):
         assert f(odd(spark)).columns == odd(spark).columns and f(empty(spark)).count() == 0
+
+
+def test_only_rows_with_a_repeated_fingerprint_are_grouped(spark):
+    df = documents(spark, [f"text {i}" for i in range(300)] + ["a copy"] * 9 + [" text 7"])
+    named = exact_dedup.materialise(exact_dedup.name_texts(df), "test-named")
+    repeated = exact_dedup.materialise(exact_dedup.repeated_fingerprints(named, 4), "test-repeated")
+    assert exact_dedup.only_with(named, repeated, "fp").count() == 11
+    bitmap = storage._bitmap(repeated.select(storage._place(F.col("fp")).alias("place")))
+    met = storage._with_bit(named.withColumn("place", storage._place(F.col("fp"))), bitmap)
+    assert met.where("may_").count() == 11 and met.count() == 310  # before anything is exchanged
