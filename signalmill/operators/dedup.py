@@ -80,6 +80,10 @@ LETTERS = 32
 BLOCK_CHARACTERS = 4 << 20
 
 
+#: Tasks of the meetings of titles, in times the session's shuffle partitions, at most.
+MEETING_TASKS = 16
+
+
 def _letter_counts(keys: list[str]) -> np.ndarray:
     out = np.zeros((len(keys), LETTERS), dtype=np.int32)
     for row, key in zip(out, keys, strict=True):
@@ -154,7 +158,8 @@ def title_pairs(titles: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
     t = threshold / 100
     keys = titles.select("key").where("key <> ''").distinct()
     counts = [(r[0], r[1]) for r in keys.groupBy(F.length("key").alias("n")).agg(F.count("*")).orderBy("n").collect()]
-    blocks = keys.sparkSession.createDataFrame(_length_blocks(counts, t), "size int, block int, blocks int, first int, last int")
+    table = _length_blocks(counts, t)
+    blocks = keys.sparkSession.createDataFrame(table, "size int, block int, blocks int, first int, last int")
     rows = keys.join(F.broadcast(blocks), F.length("key") == F.col("size")).withColumn("own", F.col("block") + F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     upper = rows.select("key", F.explode(F.sequence("own", "last")).alias("j"), F.col("own").alias("i"), F.lit(0).alias("side"))
     lower = rows.where("first < own").select("key", F.col("own").alias("j"), F.explode(F.sequence(F.col("first"), F.col("own") - 1)).alias("i"), F.lit(1).alias("side"))
@@ -166,7 +171,10 @@ def title_pairs(titles: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
         pairs = _near_titles(left, left if same else right, same, threshold)
         return pa.table({"a": pa.array([a for a, _, _ in pairs], pa.string()), "b": pa.array([b for _, b, _ in pairs], pa.string()), "score": pa.array([s for _, _, s in pairs], pa.float64())})
 
-    return upper.unionByName(lower).groupBy("i", "j").applyInArrow(meet, "a string, b string, score double")
+    # meetings are small in bytes and dear in time, so they aren't left to a plan that goes by bytes
+    width = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = sum((last - first + 1) * n for _, _, n, first, last in table)
+    return upper.unionByName(lower).repartition(max(width, min(met, MEETING_TASKS * width)), "i", "j").groupBy("i", "j").applyInArrow(meet, "a string, b string, score double")
 
 
 #: Pivots of the cosine join at most. They, and some numbers of each, are held by the driver and every task.
