@@ -17,7 +17,7 @@ from .. import dims, schemas
 from ..functions import parse, text
 from ..operators import dedup, feed, links, models
 from ..session import tables_dir
-from ..sources import readers, reports, writers
+from ..sources import keyed, readers, reports, writers
 from ..streaming import runs
 from . import bindings as b
 from . import transforms
@@ -190,6 +190,20 @@ def updated_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(exported)
 
 
+@query("""SELECT c_custkey, CASE WHEN c_custkey = 77 THEN 'ONE' WHEN c_custkey % 5 = 0 THEN 'FIVE' ELSE c_mktsegment END AS c_mktsegment, c_acctbal FROM customer
+UNION ALL SELECT 10000000 + c_custkey, 'ADDED', NULL FROM customer WHERE c_custkey % 50 = 0""")
+def keyed_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """Three updates of a bucketed table: of a fifth of the keys, of one, and of some that aren't there yet; then older versions are dropped."""
+    path, rows = _folder(spark, "keyed"), b.table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    key = F.col("c_custkey")
+    keyed.create(rows, path, "c_custkey", buckets=16)
+    keyed.update(rows.where(key % 5 == 0).select(key, F.when(key % 2 < 2, "FIVE").alias("c_mktsegment")), path, ["c_mktsegment"])
+    keyed.update(rows.where(key == 77).select(key, F.lit("ONE").alias("c_mktsegment")), path, ["c_mktsegment"])
+    keyed.update(rows.where(key % 50 == 0).select((key + 10_000_000).alias("c_custkey"), F.lit("ADDED").alias("c_mktsegment")), path, ["c_mktsegment"], insert=True)
+    keyed.vacuum(spark, path, 1)
+    return keyed.read(spark, path)
+
+
 _STAMPS = ("20240101_000000", "20240102_120000", "20240103_115959", "20240109_000000", "notes")
 
 
@@ -335,7 +349,7 @@ def _answering() -> models.Client:
 @query("SELECT CAST(event_id AS VARCHAR) AS article_id, 'success' AS status, 'c' || event_id % 3 AS primary_category, CAST(event_id % 5 AS INT) AS relevance_score, event_id % 7 <> 0 AS complete FROM events")
 def model_answers(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.table(spark, sf, "events").select(F.col("event_id").alias("article_id"), F.concat(F.lit("question "), "event_id").alias("prompt"))
-    asked = models.ask(rows, _answering, wait=0.0)
+    asked = models.ask_once(rows, _answering, wait=0.0)
     return asked.select("article_id", "status", models.decoded(F.col("answer"))["primary_category"].alias("primary_category"), models.decoded(F.col("answer"))["relevance_score"].alias("relevance_score"), models.complete(F.col("answer")).alias("complete"))
 
 

@@ -338,6 +338,58 @@ def test_models_retry_and_stop(spark):
     assert got[2]["d"]["relevance_score"] == 4 and got[3]["d"] is None
 
 
+def counted(spark, answer):
+    """A client's factory, and how often factory and client were called in all tasks."""
+    made, calls = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def factory():
+        made.add(1)
+
+        def client(question):
+            calls.add(1)
+            return answer(question)
+
+        return client
+
+    return factory, made, calls
+
+
+def test_one_fallback_a_run(spark):
+    def spent(question):
+        raise models.QuotaExceeded("no more")
+
+    rows = spark.range(400).repartition(4).select(F.col("id").alias("article_id"), F.concat(F.lit("q"), "id").alias("prompt"))
+    first, _, calls = counted(spark, spent)
+    second, _, other_calls = counted(spark, lambda q: "answer to " + q)
+    got = models.ask_once(rows, first, fallback=second, wait=0.0)
+    assert values(got, "article_id", "answer", "status") == sorted(((str(i), f"answer to q{i}", "success") for i in range(400)), key=repr)
+    assert calls.value == 1 and other_calls.value == 400
+    first, _, calls = counted(spark, spent)
+    status = [r["status"] for r in models.ask_once(rows, first, wait=0.0).collect()]
+    assert calls.value == 1 and sorted(set(status)) == ["failed", "pending"] and status.count("failed") == 1 and len(status) == 400
+
+
+def test_one_breaker_a_run(spark):
+    def broken(question):
+        raise RuntimeError("down")
+
+    rows = spark.range(400).repartition(4).select(F.col("id").alias("article_id"), F.concat(F.lit("q"), "id").alias("prompt"))
+    first, _, calls = counted(spark, broken)
+    status = [r["status"] for r in models.ask_once(rows, first, wait=0.0).collect()]
+    assert calls.value <= 2 * models.BREAKER * models.TRIES and len(status) == 400
+    assert status.count("failed") <= 2 * models.BREAKER and status.count("pending") >= 390
+
+    def at_times(question):
+        if int(question[1:]) % 3 == 0:
+            raise RuntimeError("try another")
+        return "fine"
+
+    first, _, calls = counted(spark, at_times)
+    got = values(models.ask_once(rows, first, wait=0.0), "article_id", "status")
+    assert got == sorted(((str(i), "failed" if i % 3 == 0 else "success") for i in range(400)), key=repr)
+    assert models.ask_once(rows.limit(0), first, wait=0.0).count() == 0
+
+
 def test_models_fall_back_once(spark):
     def spent():
         def client(q):
