@@ -91,14 +91,19 @@ def _letter_counts(keys: list[str]) -> np.ndarray:
     return out
 
 
-def _near_titles(left: list[str], right: list[str], same: bool, threshold: float) -> list[tuple[str, str, float]]:
-    """Pairs of different keys with a ratio of the threshold or more.
+def _near_titles(left: list[str], right: list[str], same: bool, threshold: float, fresh: set[str] | None = None) -> list[tuple[str, str, float]]:
+    """Pairs of different keys with a ratio of the threshold or more; with ``fresh``, those of which one is in it at least.
 
     A common subsequence of L characters takes L of each string's characters, so strings of m and n over the threshold t share t (m + n) / 2 characters
     or more, whatever their order. Only keys whose lengths allow it are compared by their characters, and of these only those
     that share enough by their sequence.
     """
     t = threshold / 100
+    if fresh is not None:  # fresh ones with all, then the others with fresh ones
+        new, old = [k for k in left if k in fresh], [k for k in left if k not in fresh]
+        if same:
+            return _near_titles(new, new, True, threshold) + _near_titles(new, old, False, threshold)
+        return _near_titles(new, right, False, threshold) + _near_titles(old, [k for k in right if k in fresh], False, threshold)
     left, right = sorted(left, key=len), sorted(right, key=len)
     x, y = _letter_counts(left), _letter_counts(right)
     size = np.array([len(k) for k in right], dtype=np.int64)
@@ -148,6 +153,8 @@ def _length_blocks(counts: list[tuple[int, int]], t: float) -> list[tuple[int, i
 def title_pairs(titles: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
     """a, b, score of all pairs a < b of different keys (strings of sorted tokens) with a ratio of ``threshold`` or more.
 
+    Where ``titles`` have a column ``fresh``, pairs of keys without a fresh row aren't looked for.
+
     A ratio of the threshold's share t needs lengths within t / (2 - t) of each other. Keys are dealt into blocks of bounded size by length (and by
     hash where many have one length), and a block meets only those whose lengths it allows. Within a meeting lengths, then counts of
     characters, then sequences are compared; only pairs leave it. The table of lengths that the driver looks at has a row a different length.
@@ -156,19 +163,21 @@ def title_pairs(titles: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
     titles share those in any case.
     """
     t = threshold / 100
-    keys = titles.select("key").where("key <> ''").distinct()
+    fresh = F.max("fresh") if "fresh" in titles.columns else F.lit(True)
+    keys = titles.where("key <> ''").groupBy("key").agg(fresh.alias("fresh"))
     counts = [(r[0], r[1]) for r in keys.groupBy(F.length("key").alias("n")).agg(F.count("*")).orderBy("n").collect()]
     table = _length_blocks(counts, t)
     blocks = keys.sparkSession.createDataFrame(table, "size int, block int, blocks int, first int, last int")
     rows = keys.join(F.broadcast(blocks), F.length("key") == F.col("size")).withColumn("own", F.col("block") + F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    upper = rows.select("key", F.explode(F.sequence("own", "last")).alias("j"), F.col("own").alias("i"), F.lit(0).alias("side"))
-    lower = rows.where("first < own").select("key", F.col("own").alias("j"), F.explode(F.sequence(F.col("first"), F.col("own") - 1)).alias("i"), F.lit(1).alias("side"))
+    upper = rows.select("key", "fresh", F.explode(F.sequence("own", "last")).alias("j"), F.col("own").alias("i"), F.lit(0).alias("side"))
+    lower = rows.where("first < own").select("key", "fresh", F.col("own").alias("j"), F.explode(F.sequence(F.col("first"), F.col("own") - 1)).alias("i"), F.lit(1).alias("side"))
 
     def meet(key: tuple, found: pa.Table) -> pa.Table:
         names, side = found.column("key").to_pylist(), found.column("side").to_pylist()
         same = key[0].as_py() == key[1].as_py()
         left, right = ([n for n, s in zip(names, side, strict=True) if s == k] for k in (0, 1))
-        pairs = _near_titles(left, left if same else right, same, threshold)
+        new = found.filter(found.column("fresh")).column("key").to_pylist()
+        pairs = _near_titles(left, left if same else right, same, threshold, None if len(new) == len(names) else set(new))
         return pa.table({"a": pa.array([a for a, _, _ in pairs], pa.string()), "b": pa.array([b for _, b, _ in pairs], pa.string()), "score": pa.array([s for _, _, s in pairs], pa.float64())})
 
     # meetings are small in bytes and dear in time, so they aren't left to a plan that goes by bytes
@@ -194,12 +203,13 @@ def _within(counts: np.ndarray) -> np.ndarray:
 
 
 def _nonzero(vectors: DataFrame) -> DataFrame:
-    rows = vectors.select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"))
+    fresh = F.col("fresh") if "fresh" in vectors.columns else F.lit(True)
+    rows = vectors.select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"), fresh.alias("fresh"))
     return rows.where(F.exists("v", lambda x: x != 0))
 
 
 def cosine_meetings(vectors: DataFrame, threshold: float) -> DataFrame | None:
-    """id, v, cell, i, j and side of each vector for each meeting that it takes part in; None without vectors.
+    """id, v, fresh, cell, i, j and side of each vector for each meeting that it takes part in; None without vectors.
 
     Vectors belong to the nearest of some pivots. By the triangle inequality on the sphere, a vector can only be near one of another pivot's if its angle to
     that pivot is no more than the threshold's angle and the largest angle of that pivot's own vectors together; then it visits the later of the two pivots. A pivot's
@@ -242,7 +252,7 @@ def cosine_meetings(vectors: DataFrame, threshold: float) -> DataFrame | None:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             angles, cell = placed(b.column(1))
-            draw = b.column(2).to_numpy().astype(np.int64)
+            draw = b.column(3).to_numpy().astype(np.int64)
             mine, all_rows = draw % own[cell], np.arange(len(cell))
             row, other = visits(angles, cell)
             guest = draw[row] % guests[other]
@@ -256,15 +266,15 @@ def cosine_meetings(vectors: DataFrame, threshold: float) -> DataFrame | None:
                 parts.append((np.repeat(k, times), np.repeat(c, times), i_, j_, np.full(len(step), side)))
             take, *numbers = (np.concatenate(x) for x in zip(*parts, strict=True))
             take = pa.array(take)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *(pa.array(x, pa.int32()) for x in numbers)], names=["id", "v", "cell", "i", "j", "side"])
+            yield pa.RecordBatch.from_arrays([*(b.column(x).take(take) for x in range(3)), *(pa.array(x, pa.int32()) for x in numbers)], names=["id", "v", "fresh", "cell", "i", "j", "side"])
 
-    return rows.withColumn("draw", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).mapInArrow(deal, "id long, v array<double>, cell int, i int, j int, side int")
+    return rows.withColumn("draw", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).mapInArrow(deal, "id long, v array<double>, fresh boolean, cell int, i int, j int, side int")
 
 
 def cosine_pairs(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     """a, b, cosine of all pairs a < b (id, v) with a cosine of ``threshold`` (above 0) or more; a zero vector is like none.
 
-    Vectors in clusters meet few of the others; where there are no clusters, blocks of bounded size all meet each other once. Only
+    Where ``vectors`` have a column ``fresh``, pairs without a fresh one aren't looked for. Vectors in clusters meet few of the others; where there are no clusters, blocks of bounded size all meet each other once. Only
     pairs over the threshold leave a block.
     """
     if threshold <= 0:
@@ -277,13 +287,17 @@ def cosine_pairs(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     def meet(key: tuple, t: pa.Table) -> pa.Table:
         ids, side, x = t.column("id").to_numpy(), t.column("side").to_numpy(), _unit(t.column("v").to_pylist())
         same = key[1].as_py() == key[2].as_py()
+        new = t.column("fresh").to_numpy()
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
-        c = x[left] @ x[right].T
-        p, q = np.nonzero(c >= threshold)
-        a, b = ids[left[p]], ids[right[q]]
-        keep = (a < b) if same else np.ones(len(a), dtype=bool)
-        found = (np.minimum(a, b)[keep], np.maximum(a, b)[keep], c[p, q][keep])
-        return pa.table(dict(zip(("a", "b", "cosine"), map(pa.array, found), strict=True)))
+        found: list[tuple[np.ndarray, ...]] = []
+        for rows, others in ((left[new[left]], right), (left[~new[left]], right[new[right]])):  # fresh ones with all, the others with fresh ones
+            c = x[rows] @ x[others].T
+            p, q = np.nonzero(c >= threshold)
+            a, b = ids[rows[p]], ids[others[q]]
+            # a block meets itself from both sides, so each pair comes twice, once in order
+            keep = (a < b) if same else np.ones(len(a), dtype=bool)
+            found.append((np.minimum(a, b)[keep], np.maximum(a, b)[keep], c[p, q][keep]))
+        return pa.table(dict(zip(("a", "b", "cosine"), (pa.array(np.concatenate(f)) for f in zip(*found, strict=True)), strict=True)))
 
     return meetings.groupBy("cell", "i", "j").applyInArrow(meet, schema)
 
@@ -444,17 +458,18 @@ def _followed(open_: DataFrame, edges: DataFrame, keyed: DataFrame, meets: DataF
 def stacked(articles: DataFrame, ratio_threshold: float = TITLE_RATIO, cosine_threshold: float = COSINE) -> DataFrame:
     """Title and vector layers together (arrival, title, v, cached): near titles and near vectors as keys that meet, then as ``greedy``.
 
-    Titles of the same sorted words are one key, and equal vectors one key, so pairs within such groups are never formed.
+    Titles of the same sorted words are one key, and equal vectors one key, so pairs within such groups are never formed. Cached articles
+    are kept in any case, so they aren't compared with each other.
     """
     with scratch(articles.sparkSession) as keep_table:
         rows = materialise(articles.select("arrival", "cached", sorted_tokens(dedup_title(F.col("title"))).alias("key"), F.col("v").cast("array<double>").alias("v")), "stacked-rows")
         vectors = rows.where(F.exists("v", lambda x: x != 0))
-        of_vector = materialise(vectors.groupBy("v").agg(F.min("arrival").alias("id"), F.count("*").alias("n")).withColumn("digest", F.xxhash64("v")), "stacked-vectors")
+        of_vector = materialise(vectors.groupBy("v").agg(F.min("arrival").alias("id"), F.count("*").alias("n"), F.max(~F.col("cached")).alias("fresh")).withColumn("digest", F.xxhash64("v")), "stacked-vectors")
         slim = materialise(vectors.select("arrival", "v", F.xxhash64("v").alias("digest")), "stacked-slim")
         same = join_sized(slim, of_vector.withColumnRenamed("v", "w"), "digest", "n").where("v = w").select("arrival", F.concat(F.lit("v"), "id").alias("key"))
         titled = rows.where("key <> ''").select("arrival", F.concat(F.lit("t"), "key").alias("key"))
-        near = cosine_pairs(of_vector.select("id", "v"), cosine_threshold).select(F.concat(F.lit("v"), "a").alias("a"), F.concat(F.lit("v"), "b").alias("b"))
-        alike = title_pairs(rows.select("key"), ratio_threshold).select(F.concat(F.lit("t"), "a").alias("a"), F.concat(F.lit("t"), "b").alias("b"))
+        near = cosine_pairs(of_vector.select("id", "v", "fresh"), cosine_threshold).select(F.concat(F.lit("v"), "a").alias("a"), F.concat(F.lit("v"), "b").alias("b"))
+        alike = title_pairs(rows.select("key", (~F.col("cached")).alias("fresh")), ratio_threshold).select(F.concat(F.lit("t"), "a").alias("a"), F.concat(F.lit("t"), "b").alias("b"))
         none = rows.sparkSession.createDataFrame([], "a long, b long")
         return keep_table(_marks(rows.select("arrival", "cached"), none, titled.unionByName(same), near.unionByName(alike)), "stacked-marks")
 

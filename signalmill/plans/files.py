@@ -318,17 +318,20 @@ def ingest_runs(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schema).parquet(sink).select("raw_url", "title")
 
 
-_ROLLING_SQL = "SELECT event_id AS arrival, md5(CAST(event_id % 37 AS VARCHAR)) AS title FROM events WHERE event_id BETWEEN 1 AND 120"
-
-
-@query(f"WITH r AS ({_ROLLING_SQL}), firsts AS (SELECT title, min(arrival) AS first FROM r GROUP BY 1) SELECT arrival, CASE WHEN first < arrival THEN first END AS duplicate_of FROM r JOIN firsts USING (title)")
+@query("""WITH r AS (SELECT event_id AS arrival, md5(CAST(event_id % 499 AS VARCHAR)) AS title FROM events), firsts AS (SELECT title, min(arrival) AS first FROM r GROUP BY 1)
+SELECT arrival, CASE WHEN first < arrival THEN first END AS duplicate_of FROM r JOIN firsts USING (title)""")
 def rolling_marks(spark: SparkSession, sf: str) -> DataFrame:
-    """Two batches, the second against the cache that the first left."""
-    day = F.lit("2024-01-02 00:00:00").cast("timestamp")
-    rows = b.table(spark, sf, "events").where("event_id BETWEEN 1 AND 120").select(F.col("event_id").alias("arrival"), F.md5((F.col("event_id") % 37).cast("string").cast("binary")).alias("title"), F.lit(None).cast("array<double>").alias("v"), day.alias("published"))
-    first, cache = runs.mark_batch(rows.where("arrival <= 60"), spark.createDataFrame([], runs.CACHE), day)
-    second, _ = runs.mark_batch(rows.where("arrival > 60"), cache, day)
-    return first.unionByName(second).select("arrival", "duplicate_of")
+    """All events in three batches on three days, each against the cache that those before it left; the second batch is run twice."""
+    path, i = _folder(spark, "rolling"), F.col("event_id")
+    events = b.table(spark, sf, "events")
+    last = events.agg(F.max(i)).first()[0] or 0
+    rows = events.select(i.alias("arrival"), F.md5((i % 499).cast("string").cast("binary")).alias("title"), F.lit(None).cast("array<double>").alias("v"), F.least(F.lit(2), F.floor(i * 3 / (last + 1))).alias("part"))
+    out = None
+    for k in (0, 1, 1, 2):
+        day = F.lit(f"2024-01-0{k + 2} 00:00:00").cast("timestamp")
+        marks = runs.roll(rows.where(F.col("part") == k).withColumn("published", day), path, k, day).select("arrival", "duplicate_of", F.lit(k).alias("batch"))
+        out = marks if out is None else out.where(F.col("batch") != k).unionByName(marks)
+    return out.drop("batch")
 
 
 def _answering() -> models.Client:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .writers import delete, put, updated
+from .writers import delete, listed, make_folder, put, updated
 
 #: Manifests that ``vacuum`` keeps.
 KEPT = 2
@@ -25,16 +25,6 @@ class Conflict(RuntimeError):
     """Another writer added the version first."""
 
 
-def _fs(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    fs, at = _fs(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
-
-
 def _rename(spark: SparkSession, source: str, target: str) -> None:
     """A rename that doesn't replace anything."""
     jvm = spark._jvm
@@ -50,7 +40,7 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the versions that are there, ascending."""
-    return sorted(int(n.removesuffix(".json")) for n in _names(spark, f"{path}/manifests") if n.removesuffix(".json").isdigit())
+    return sorted(int(n.removesuffix(".json")) for n in listed(spark, f"{path}/manifests") if n.removesuffix(".json").isdigit())
 
 
 def manifest(spark: SparkSession, path: str, version: int) -> dict:
@@ -68,15 +58,14 @@ def _write(rows: DataFrame, path: str, key: str, buckets: int) -> dict[str, str]
     data = f"data/{uuid.uuid4().hex}"
     dealt = rows.withColumn(_BUCKET, _bucket(key, buckets))
     dealt.repartition(_BUCKET).write.partitionBy(_BUCKET).parquet(f"{path}/{data}")
-    return {n.split("=")[1]: f"{data}/{n}" for n in _names(rows.sparkSession, f"{path}/{data}") if n.startswith(f"{_BUCKET}=")}
+    return {n.split("=")[1]: f"{data}/{n}" for n in listed(rows.sparkSession, f"{path}/{data}") if n.startswith(f"{_BUCKET}=")}
 
 
 def commit(spark: SparkSession, path: str, version: int, content: dict) -> None:
     """Add a version, or raise ``Conflict`` if it is there."""
     draft = f"{path}/drafts/{uuid.uuid4().hex}"
     put(spark, draft, json.dumps(content).encode())
-    fs, at = _fs(spark, f"{path}/manifests")
-    fs.mkdirs(at)
+    make_folder(spark, f"{path}/manifests")
     try:
         _rename(spark, draft, f"{path}/manifests/{version}.json")
     except Conflict:
@@ -133,8 +122,8 @@ def vacuum(spark: SparkSession, path: str, kept: int = KEPT) -> list[str]:
     for v in there[:-kept]:
         delete(spark, f"{path}/manifests/{v}.json")
     gone = []
-    for data in _names(spark, f"{path}/data"):
-        buckets = [n for n in _names(spark, f"{path}/data/{data}") if n.startswith(f"{_BUCKET}=")]
+    for data in listed(spark, f"{path}/data"):
+        buckets = [n for n in listed(spark, f"{path}/data/{data}") if n.startswith(f"{_BUCKET}=")]
         free = [n for n in buckets if f"{data}/{n}" not in named]
         for n in [""] if len(free) == len(buckets) else free:
             delete(spark, f"{path}/data/{data}/{n}".rstrip("/"))

@@ -32,6 +32,17 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.mkdirs(at)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none where there is no folder."""
+    fs, at = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

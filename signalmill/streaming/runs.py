@@ -13,8 +13,9 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.dedup import blocked, stacked
 from ..operators.feed import unexpired
-from ..sources.readers import exists
-from ..sources.writers import delete
+from ..session import materialise
+from ..sources.readers import exists, read_or_empty
+from ..sources.writers import delete, listed
 
 SEEN_DAYS, CACHE_DAYS = 30, 14
 DAY_MS = 86_400_000
@@ -119,6 +120,34 @@ def mark_batch(rows: DataFrame, cache: DataFrame, now: Column, days: int = CACHE
     return marked, old.unionByName(marked.where(~F.col("is_duplicate")).select(*CACHE.names))
 
 
+def roll(rows: DataFrame, path: str, number: int, now: Column, days: int = CACHE_DAYS, **thresholds: float) -> DataFrame:
+    """``rows`` (arrival, title, v, published) of batch ``number`` with their marks against what batches before it have left in the cache at ``path``.
+
+    A batch compares its own rows with each other and with the cache, never the cache with itself, and adds only its own kept rows, in a folder of its batch and
+    days. Run again it reads the same batches before it and writes the same folder. Folders of days that are out of the window are deleted; the cache is not
+    rewritten. Arrivals rise from batch to batch.
+    """
+    spark = rows.sparkSession
+    schema = T.StructType([*CACHE.fields, T.StructField("batch", T.LongType()), T.StructField("day", T.DateType())])
+    cache = read_or_empty(spark, path, schema, "parquet").where(F.col("batch") < number)
+    today = F.to_date(now)
+    old = unexpired(cache.where(F.col("day") >= F.date_sub(today, days + 1)).select(*CACHE.names), "published", now, days)
+    both = old.withColumn("cached", F.lit(True)).unionByName(rows.select(*CACHE.names).withColumn("cached", F.lit(False)))
+    marked = materialise(rows.join(stacked(both, **thresholds), "arrival"), "rolled")
+    fresh = marked.where(~F.col("is_duplicate")).select(*CACHE.names).withColumn("day", F.coalesce(F.to_date("published"), today))
+    fresh.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={number}")
+    limit = spark.range(1).select(F.date_sub(today, days + 1).cast("string")).first()[0]
+    for batch in listed(spark, path):
+        there = listed(spark, f"{path}/{batch}")
+        gone = [d for d in there if d.startswith("day=") and d.removeprefix("day=") < limit]
+        if batch.startswith("batch=") and gone and len(gone) == len([d for d in there if d.startswith("day=")]):
+            delete(spark, f"{path}/{batch}")
+        else:
+            for d in gone:
+                delete(spark, f"{path}/{batch}/{d}")
+    return marked
+
+
 def first_in_window(stream: DataFrame, key: str, at: str, days: int = SEEN_DAYS) -> DataFrame:
     """Event-time form of the same for streams of any source: the first of each key within ``days`` days."""
     return stream.withWatermark(at, f"{days} days").dropDuplicatesWithinWatermark([key])

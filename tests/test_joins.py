@@ -12,6 +12,7 @@ from signalmill.functions import text
 from signalmill.operators import cells, dedup
 from signalmill.queries import REGISTRY
 from signalmill.sources import readers, writers
+from signalmill.streaming import runs
 
 SF = "/root/testdata/sf0.001"
 tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -201,3 +202,62 @@ def test_a_snapshot_is_taken_once(spark, tmp_path):
         writers.snapshot(spark, str(tmp_path / "in"), archive, stamp)
     got = spark.read.parquet(archive).groupBy("snapshot_ts").count().collect()
     assert sorted((str(r["snapshot_ts"]), r["count"]) for r in got) == [("20240101_000000", 1), ("20240102_000000", 1)]
+
+
+# rolling
+
+def stacked_fold(rows, days=14):
+    """duplicate_of by arrival of batches of (arrival, title, v, day), each against kept rows of the last days."""
+    kept, out = [], {}
+    for batch in rows:
+        now = max(r[3] for r in batch)
+        old = [k for k in kept if k[3] >= now - days]
+        mine = []
+        for arrival, title, v, day in sorted(batch):
+            first = None
+            for other, name, w, _ in sorted(old + mine):
+                titles = title and name and 200 * lcs(title, name) / (len(title) + len(name)) >= 88
+                vectors = v and w and np.dot(v, w) >= 0.999999 * np.linalg.norm(v) * np.linalg.norm(w)
+                if titles or vectors:
+                    first = other
+                    break
+            if first is None:
+                mine.append((arrival, title, v, day))
+            out[arrival] = first
+        kept += mine
+    return out
+
+
+def test_rolling_batches_are_the_sequential_fold(spark, tmp_path):
+    rnd = random.Random(9)
+    words = ["alpha", "beta", "gamma", "delta", "opens", "site"]
+    batches, arrival = [], 0
+    for day in (1, 2, 20):
+        batch = []
+        for _ in range(25):
+            arrival += 1
+            title = " ".join(sorted(rnd.sample(words, 4))) + rnd.choice(["", "s"])
+            batch.append((arrival, title, rnd.choice([None, [1.0, 0.0], [0.0, 1.0], [float(arrival), -1.0]]), day))
+        batches.append(batch)
+    want = stacked_fold(batches)
+    path, got = str(tmp_path / "cache"), {}
+    for k, batch in enumerate(batches):
+        rows = spark.createDataFrame([(a, t, v, f"2024-03-{d:02d}") for a, t, v, d in batch], "arrival long, title string, v array<double>, published string")
+        rows = rows.withColumn("published", F.col("published").cast("timestamp"))
+        now = F.lit(f"2024-03-{max(r[3] for r in batch):02d}").cast("timestamp")
+        for _ in range(2):  # run again, as after a crash
+            marked = {r["arrival"]: r["duplicate_of"] for r in runs.roll(rows, path, k, now, cosine_threshold=0.999999).collect()}
+        got |= marked
+    assert got == want
+    assert writers.listed(spark, path) == ["batch=2"]  # days 1 and 2 are out of the window
+
+
+def test_old_keys_are_not_compared_with_each_other(spark, monkeypatch):
+    left, right = [f"title number {i}" for i in range(40)], [f"title numbers {i}" for i in range(40)]
+    calls = []
+    monkeypatch.setattr(dedup, "_lcs", lambda a, b, *rest, f=dedup._lcs: calls.append((a, b)) or f(a, b, *rest))
+    fresh = {left[3], right[5]}
+    pairs = dedup._near_titles(left, right, False, 88.0, fresh)
+    assert all({a, b} & fresh for a, b in calls) and {(a, b) for a, b, _ in pairs} == {(a, b) for a, b, _ in near_titles(left + right) if {a, b} & fresh and (a in left) != (b in left)}
+    inside = dedup._near_titles(left, left, True, 88.0, {left[3]})
+    assert {(a, b) for a, b, _ in inside} == {(a, b) for a, b, _ in near_titles(left) if left[3] in (a, b)} and len(inside) == len(set(inside))
