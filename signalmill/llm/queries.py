@@ -236,6 +236,73 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(
 """
 
 
+def _repairs_sql() -> str:
+    """Rows (state, initial that the turn needs, code, cost, next state) of all macro edits."""
+    out = []
+    for state in range(4):
+        at = state
+        for k in range(3):
+            for edit in "KRD":
+                code, cost = "I" * k + edit, k * conversation_repair.INSERT
+                if edit == "D":
+                    out.append((state, "any", code, cost + conversation_repair.DELETE, at))
+                elif edit == "R":
+                    out.append((state, "any", code, cost + conversation_repair.REROLE, conversation_repair.FORCED[at]))
+                else:
+                    out += [(state, role, code, cost, end) for (a, role), end in conversation_repair.KEPT.items() if a == at]
+            at = conversation_repair.FORCED[at]
+    return ", ".join(f"({s}, '{role}', '{code}', {cost}, {end})" for s, role, code, cost, end in out)
+
+
+#: CRC-32 byte by byte, each byte by eight steps of its polynomial.
+_CRC_SQL = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(k, ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, step: xor(c >> 1, (c & 1) * 3988292384))), 4294967295)"""
+
+OP12_SQL = rf"""
+WITH RECURSIVE kinds AS (
+  SELECT *, {_CRC_SQL} % {conversation_repair.DAMAGES} AS kind FROM (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations)
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM kinds WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(sha256(role) || text)) AS i, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged
+), turns AS MATERIALIZED (
+  SELECT *, substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  FROM placed
+), macros(state, role, code, cost, next_) AS (VALUES {_repairs_sql()}
+), layers AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, 0 AS cost, '' AS audit FROM turns
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit FROM (
+    SELECT l.conv_id, t.i, m.next_ AS state, l.cost + m.cost + CASE WHEN t.fault = 'truncated' AND m.code NOT LIKE '%D' THEN {conversation_repair.TRUNCATED} ELSE 0 END AS cost, l.audit || m.code AS audit
+    FROM layers l JOIN turns t ON t.conv_id = l.conv_id AND t.i = l.i + 1 JOIN macros m ON m.state = l.state AND m.role IN ('any', t.initial) AND (m.code LIKE '%D' OR coalesce(t.fault, '') NOT IN ('blank', 'duplicate')))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, i, state ORDER BY cost, audit) = 1
+), cheapest AS (
+  SELECT conv_id, cost, audit FROM (
+    SELECT conv_id, cost + {conversation_repair.INSERT} * closing AS cost, audit || repeat('I', closing) AS audit
+    FROM layers JOIN (SELECT conv_id, max(i) AS i FROM turns GROUP BY 1) USING (conv_id, i) JOIN (VALUES {", ".join(map(str, conversation_repair.CLOSING.items()))}) AS c(state, closing) USING (state))
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1
+), edits AS (
+  SELECT *, count(*) FILTER (WHERE edit <> 'I') OVER w AS i, count(*) FILTER (WHERE edit <> 'D') OVER w AS place
+  FROM (SELECT conv_id, unnest(string_split(audit, '')) AS edit, unnest(range(length(audit))) AS j FROM cheapest WHERE audit <> '') WINDOW w AS (PARTITION BY conv_id ORDER BY j)
+), repaired AS (
+  SELECT e.conv_id, e.j, CASE WHEN edit = 'K' THEN role WHEN (place - max(CASE WHEN place = 1 AND edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id)) % 2 = 1 THEN 'user' ELSE 'assistant' END AS role,
+    CASE WHEN edit = 'I' THEN '' ELSE text END AS text
+  FROM edits e LEFT JOIN turns t ON t.conv_id = e.conv_id AND t.i = e.i WHERE edit <> 'D'
+), shas AS (SELECT conv_id, sha256(string_agg(role || ':' || text, chr(10) ORDER BY j)) AS repaired_sha256 FROM repaired GROUP BY 1
+), stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY 1
+)
+SELECT conv_id, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))}, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN stats USING (conv_id) LEFT JOIN cheapest USING (conv_id) LEFT JOIN shas USING (conv_id)
+"""
+
+
 def _rounds_sql() -> str:
     """Book 0, and of every round the assignment and the next book. A distance and its entry are one number, so that the least is the nearest entry of lowest index."""
     parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
@@ -280,4 +347,4 @@ FROM coded JOIN kept USING (vec_id)
 
 def oracle_sql() -> dict[str, str]:
     """Without op3, whose search is approximate at every size, and op4, op7 and op9, which SQL can't express; their tests are in tests/llm."""
-    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op8_secret_scan": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op11_substring_dedup": OP11_SQL, "op13_vector_codes": OP13_SQL}
+    return {"op1_lm_backoff": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op5_mix_sources": OP5_SQL, "op6_chat_format": OP6_SQL, "op8_secret_scan": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op11_substring_dedup": OP11_SQL, "op12_conversation_repair": OP12_SQL, "op13_vector_codes": OP13_SQL}
