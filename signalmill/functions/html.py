@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Elements and classes that are never article text, and where article text is looked for, in this order.
+# Elements and classes that are never article text (one list, kept apart as the parser tests tags and classes apart), and where article text is
+# looked for, in this order.
 NOISE_TAGS = ("nav", "header", "footer", "aside", "script", "style", "noscript")
 NOISE_CLASSES = ("ad", "advertisement", "related", "sidebar", "newsletter", "subscribe", "paywall")
 PLACES = ("article", "[role=main]", ".article-body", ".article-content", ".story-body", ".post-content", ".entry-content", ".content-body", "#article-body", "#main-content", "main")

@@ -17,8 +17,8 @@ HAYSTACK = 1500
 TOP = 3
 #: Names of one task of the fuzzy match.
 NAME_BLOCK = 2_000
-#: Up to so many names, some MB, are broadcast; more are shuffled to the articles.
-BROADCAST_NAMES = 100_000
+#: Names of up to so many bytes are broadcast; more are shuffled to the articles.
+BROADCAST_BYTES = 8 << 20
 
 
 def linked(articles: DataFrame) -> DataFrame:
@@ -143,15 +143,17 @@ def _best_names(names: list, hay: str, threshold: float) -> list[tuple]:
 def candidates(articles: DataFrame, facility_names: DataFrame, threshold: float) -> DataFrame:
     """id, dc_id, field, name, confidence of the three best facilities of each article with a partial ratio of ``threshold`` or more.
 
-    Every article is compared with every name. Up to BROADCAST_NAMES names go to the articles' tasks as they are; more meet the articles in blocks of
+    Every article is compared with every name. Names of up to BROADCAST_BYTES go to the articles' tasks as they are; more meet the articles in blocks of
     bounded size, by block and salt, so that articles are spread. Of each meeting only an article's best leave, so what comes out grows with
     articles and not with pairs.
     """
     spark = articles.sparkSession
-    size, width = facility_names.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    of_name = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("dc_id", "field", "name")), F.lit(0)).cast("long")
+    size, held_bytes = facility_names.agg(F.count("*"), F.coalesce(F.sum(of_name), F.lit(0))).first()
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = "id long, dc_id string, field string, name string, confidence double"
     columns = schema.replace(" long", "").replace(" string", "").replace(" double", "").split(", ")
-    if size <= BROADCAST_NAMES:
+    if held_bytes <= BROADCAST_BYTES:
         held = spark.sparkContext.broadcast([tuple(r) for r in facility_names.select("dc_id", "field", "name").collect()])
 
         def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -193,9 +193,9 @@ def test_partial_ratio():
     assert links.partial_ratio("acme", "the acme site") == 100 and links.partial_ratio("", "x") == 0
 
 
-@pytest.mark.parametrize("broadcast", [0, 100])
+@pytest.mark.parametrize("broadcast", [0, 10_000])
 def test_candidates_keep_three(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(links, "BROADCAST_NAMES", broadcast)
+    monkeypatch.setattr(links, "BROADCAST_BYTES", broadcast)
     monkeypatch.setattr(links, "NAME_BLOCK", 2)
     names = spark.createDataFrame([(f"DC-{i}", "canonical_name", f"Site {i} North") for i in range(6)], "dc_id string, field string, name string")
     rows = spark.createDataFrame([(1, "Site 1 North and Site 2 North"), (2, "nothing")], "id long, hay string")

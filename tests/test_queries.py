@@ -1,9 +1,11 @@
 """Every query with SQL gives the same rows as DuckDB, none of them empty."""
 
 import os
+import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from signalmill.queries import REGISTRY
 
@@ -58,6 +60,73 @@ def plain_partial_ratio(a, b):
     return max((200 * lcs(a, w) / (len(a) + len(w)) for w in windows), default=0.0)
 
 
+def plain_page_text(page):
+    """Main text by a tree of elements that is built from tags found by a pattern."""
+    from html import unescape
+
+    from signalmill.functions import html
+
+    root = {"tag": "", "attrs": {}, "items": []}
+    stack, at = [root], 0
+    for m in re.finditer(r"<!--.*?-->|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<![^>]*>", page, re.S):
+        if m.start() < at:
+            continue
+        stack[-1]["items"].append(unescape(page[at : m.start()]))
+        at, tag = m.end(), (m[2] or "").lower()
+        if not tag:
+            continue
+        if tag in html._BREAKS:
+            stack[-1]["items"].append("\n")
+        if m[1]:
+            if any(e["tag"] == tag for e in stack):
+                while stack.pop()["tag"] != tag:
+                    pass
+        elif tag not in html._VOID:
+            attrs = {k.lower(): unescape(v or w or x) for k, v, w, x in re.findall(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", m[3])}
+            element = {"tag": tag, "attrs": attrs, "items": []}
+            stack[-1]["items"].append(element)
+            stack.append(element)
+            if tag in ("script", "style") and (end := re.compile(f"</{tag}\\s*>", re.I).search(page, at)):
+                at = end.start()
+    stack[-1]["items"].append(unescape(page[at:]))
+
+    def noise(e):
+        return e["tag"] in html.NOISE_TAGS or set(e["attrs"].get("class", "").split()) & set(html.NOISE_CLASSES)
+
+    def places(e):
+        return {e["tag"], "#" + e["attrs"].get("id", ""), f"[role={e['attrs'].get('role', '')}]", *("." + c for c in e["attrs"].get("class", "").split())}
+
+    def words(e):
+        return "".join(x if isinstance(x, str) else "" if noise(x) else words(x) for x in e["items"])
+
+    def first(e, place):
+        for x in e["items"]:
+            if not isinstance(x, str) and not noise(x):
+                if place in places(x):
+                    return x
+                if found := first(x, place):
+                    return found
+        return None
+
+    for place in (*html.PLACES, "body"):
+        if e := first(root, place):
+            text = "\n".join(x for x in (" ".join(line.split()) for line in words(e).split("\n")) if x)
+            if len(text) >= html.LEAST:
+                return text
+    return ""
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_page_main_text_of_all_pages(spark):
+    from signalmill.functions import text
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html").collect()
+    plain = spark.createDataFrame([(p["page_id"], plain_page_text(p["html"] or "")) for p in pages], "page_id long, t string")
+    want = {r["page_id"]: r["body"] for r in plain.select("page_id", text.body_lines(F.col("t")).alias("body")).collect()}
+    got = {r["page_id"]: r["body"] for r in REGISTRY["page_main_text"][0](spark, SF).collect()}
+    assert got == want and len(got) == len(pages) and sum(bool(x) for x in got.values()) > len(pages) / 3
+
+
 def test_facility_candidates_are_the_best_three(spark, tmp_path):
     names = ["acme north hall and more", "boreal yard two", "cedar one two three", "acme south hall", "acme north mall", "delta"]
     texts = ["the acme north hall opens", "near boreal yrad two", "no name at all", "cedr one two, acme north hall", "", "acme north ball"]
