@@ -46,6 +46,8 @@ WINDOW, SEED_WORDS = 35, 8
 BLOCK_BYTES = 8 << 20
 #: Bits of hashes by which runs of words are told apart before their words are compared; fewer in tests.
 HASH_BITS = 64
+#: Words whose bytes are gathered at once.
+JOINED_WORDS = 1 << 16
 #: Bits of the bitmap of edges that are looked at again.
 BITMAP_BITS, PIECE_BITS = 1 << 25, 1 << 15
 
@@ -105,7 +107,10 @@ class Walks:
         """All words with a space behind each, and where each begins (and the end)."""
         size = self.ends - self.starts + 1
         at = np.r_[0, np.cumsum(size)]
-        out = np.r_[self.buf, np.uint8(0x20)][np.repeat(self.starts - at[:-1], size) + np.arange(at[-1])]
+        source, out = np.r_[self.buf, np.uint8(0x20)], np.empty(at[-1], dtype=np.uint8)
+        for i in range(0, len(size), JOINED_WORDS):
+            j = min(i + JOINED_WORDS, len(size))
+            out[at[i] : at[j]] = source[np.repeat(self.starts[i:j] - at[i:j], size[i:j]) + np.arange(at[i], at[j])]
         out[at[1:] - 1] = 0x20
         return out, at
 
