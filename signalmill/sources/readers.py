@@ -166,11 +166,15 @@ def table_of(rows: list[list[str | None]], marker: str) -> pd.DataFrame:
     return frame[[n for n in names if n]]
 
 
-def read_workbook(spark: SparkSession, path: str, sheet: str, columns: list[str], marker: str = "Plant ID") -> DataFrame:
-    """A sheet read through Spark's binary files, so a path may be in any store; all columns are text."""
+def read_workbook(spark: SparkSession, path: str, sheet: str, columns: list[str], marker: str = "Plant ID", order: bool = False) -> DataFrame:
+    """A sheet read through Spark's binary files, so a path may be in any store; all columns are text; with ``order``, ORDER beside them."""
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for content in b["content"]:
-                yield table_of(list(sheet_rows(content, sheet)), marker).reindex(columns=columns).astype(object).where(lambda x: x.notna(), None)
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, strings(columns))
+            for file, content in zip(b["path"], b["content"], strict=True):
+                rows = table_of(list(sheet_rows(content, sheet)), marker).reindex(columns=columns).astype(object).where(lambda x: x.notna(), None)
+                yield rows.assign(file_=file, row_=range(len(rows)))
+
+    schema = T.StructType([*strings([*columns, "file_"]).fields, T.StructField("row_", T.LongType())])
+    rows = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, schema)
+    place = F.struct(F.struct(F.col("file_").alias("file"), F.lit(0).cast("long").alias("block")).alias("block"), F.col("row_").alias("row"))
+    return rows.select(*(F.col(f"`{c}`") for c in columns), *([place.alias(ORDER)] if order else []))

@@ -237,6 +237,8 @@ def _workbook(path):
 def test_workbook(spark, tmp_path):
     _workbook(tmp_path / "w.xlsx")
     assert values(readers.read_workbook(spark, str(tmp_path / "w.xlsx"), "Operating", ["Plant ID", "State"]), "Plant ID", "State") == [("7", "VA"), ("8", None)]
+    ordered = readers.read_workbook(spark, str(tmp_path / "w.xlsx"), "Operating", ["Plant ID"], order=True).orderBy(readers.ORDER)
+    assert [(r["Plant ID"], r["row_idx"]["row"]) for r in ordered.collect()] == [("7", 0), ("8", 1)]
     with pytest.raises(ValueError):
         readers.table_of([["a"]], "Plant ID")
 

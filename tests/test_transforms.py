@@ -9,7 +9,7 @@ from signalmill.plans import transforms
 
 
 def frame(spark, columns, rows):
-    return spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in columns))
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], ", ".join(f"`{c}` string" for c in columns) + ", row_idx long")
 
 
 def values(df, *columns):
@@ -40,6 +40,11 @@ def plants(spark):
     return transforms.plant_points(operating, sheet(spark, [g("1", "9", "Nuclear", "1", "1"), g("4", "2", "Batteries", "40", "-80")]))
 
 
+def test_rows_without_their_order_are_refused(spark):
+    with pytest.raises(ValueError):
+        transforms.generator_table(sheet(spark, [("1", "P", "VA", "c", "5", "Nuclear", "OP", "0", "-75")]).drop("row_idx"))
+
+
 def test_plants(spark):
     assert values(plants(spark), "plant_id", "nameplate_mw", "generator_count", "lat", "lon", "tech_group", "pp_status", "eia_statuses") == [
         ("1", 10.0, 2, 38.0, -75.0, "Nuclear", "Operational", "OP, SB"), ("3", 1.0, 1, None, None, "Nuclear", "Operational", "OP"), ("4", 2.0, 1, 40.0, -80.0, "Other/Storage", "Planned", "OP"),
