@@ -43,7 +43,7 @@ LONG_UNIT = 256
 #: Texts of about so many bytes are a batch, whose units are told apart together.
 BATCH_BYTES = 4 << 20
 #: Different units of about so many bytes are indexed together.
-INDEX_BYTES = 1 << 19
+INDEX_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
