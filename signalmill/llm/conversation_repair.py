@@ -226,7 +226,9 @@ def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         letters = b.column(2).to_pylist()
         both = [segment_table(x) for x in letters]
-        arrays = [b.column(0), b.column(1), pa.array([c for c, _ in both], pa.list_(pa.int64())), pa.array([r for _, r in both], pa.list_(pa.int32())), pa.array([x[0] + x[-1] for x in letters]), pa.array(map(_illegal, letters), pa.int64())]
+        costs, ranks = pa.array([c for c, _ in both], pa.list_(pa.int64())), pa.array([r for _, r in both], pa.list_(pa.int32()))
+        ends, illegal = pa.array([x[0] + x[-1] for x in letters], pa.string()), pa.array(map(_illegal, letters), pa.int64())
+        arrays = [b.column(0), b.column(1), costs, ranks, ends, illegal]
         yield pa.RecordBatch.from_arrays(arrays, names=["conv_id", "at", "costs", "ranks", "ends", "illegal"])
 
 
@@ -236,9 +238,13 @@ def _ways(key: tuple, rows: pa.Table) -> pa.Table:
     between = _borders(rows.column("ends").to_pylist())
     last = [False] * (len(ways) - 1) + [True]
     return pa.table({
-        "at": rows.column("at"), "entered": pa.array([a for a, _ in ways], pa.int32()), "left": pa.array([b for _, b in ways], pa.int32()), "closing": pa.array([CLOSING[ways[-1][1]] * x for x in last], pa.int32()),
-        "cost": pa.array([cost * x for x in last], pa.int64()), "illegal": pa.array([n + between * x for n, x in zip(rows.column("illegal").to_pylist(), last, strict=True)], pa.int64()),
-    })
+        "at": rows.column("at"),
+        "entered": pa.array([a for a, _ in ways], pa.int32()),
+        "left": pa.array([b for _, b in ways], pa.int32()),
+        "closing": pa.array([CLOSING[ways[-1][1]] * x for x in last], pa.int32()),
+        "cost": pa.array([cost * x for x in last], pa.int64()),
+        "illegal": pa.array([n + between * x for n, x in zip(rows.column("illegal").to_pylist(), last, strict=True)], pa.int64()),
+    })
 
 
 def _borders(ends: list[str]) -> int:
@@ -253,9 +259,13 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def plan(rows: DataFrame) -> DataFrame:
-    """conv_id, gaps, blank, duplicate, truncated, illegal, cost and audit of every conversation of ``rows`` (conv_id, turn, role, text), in which there are no nulls but for conv_id and turn."""
+    """conv_id, gaps, blank, duplicate, truncated, illegal, cost and audit of every conversation of ``rows`` (conv_id, turn, role, text).
+
+    Only conv_id and turn may be null.
+    """
     found = materialise(faults(rows), "turns-faults")
-    inside = found.groupBy("conv_id", F.floor(F.col("place") / SEGMENT)).agg(F.min("place").alias("at"), F.array_sort(F.collect_list(F.struct("place", _letter().alias("letter")))).alias("turns"))
+    letters = F.array_sort(F.collect_list(F.struct("place", _letter().alias("letter"))))
+    inside = found.groupBy("conv_id", F.floor(F.col("place") / SEGMENT)).agg(F.min("place").alias("at"), letters.alias("turns"))
     segments = materialise(inside.select("conv_id", "at", F.array_join("turns.letter", "").alias("letters")), "turns-segments")
     tables = segments.mapInArrow(lean_batches(_tables), "conv_id long, at long, costs array<long>, ranks array<int>, ends string, illegal long")
     ways = tables.groupBy("conv_id").applyInArrow(_ways, "at long, entered int, left int, closing int, cost long, illegal long")
@@ -327,7 +337,8 @@ def _applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repaired(rows: DataFrame, plans: DataFrame) -> DataFrame:
     """conv_id, seq (from 0), role, text and edit (K, R or I) of the turns after repair, in order within a task; deleted turns are left out."""
     none = F.lit(None)
-    heads = plans.where("audit is not null").select("conv_id", none.cast("long").alias("turn"), none.cast("string").alias("role"), none.cast("string").alias("text"), none.cast("binary").alias("digest"), "audit")
+    missing = [none.cast(kind).alias(c) for c, kind in (("turn", "long"), ("role", "string"), ("text", "string"), ("digest", "binary"))]
+    heads = plans.where("audit is not null").select("conv_id", *missing, "audit")
     body = rows.select("conv_id", "turn", "role", "text", _digest().alias("digest"), none.cast("string").alias("audit"))
     n = shuffle_width(rows.sparkSession)
     tails = heads.withColumn("audit", none.cast("string"))
@@ -365,4 +376,5 @@ def audit_digests(conversations: DataFrame, rows: DataFrame) -> DataFrame:
     shas = repaired(rows, plans).select("conv_id", "seq", "role", "text").mapInArrow(lean_batches(_digested), "conv_id long, repaired_sha256 string")
     all_ = by_conversation(conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct(), plans, shas)
     numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
-    return all_.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("repaired_sha256"))
+    sha = F.coalesce("repaired_sha256", F.lit(hashlib.sha256(b"").hexdigest()))
+    return all_.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), sha.alias("repaired_sha256"))

@@ -155,7 +155,8 @@ class Graph:
         found = [(np.cumsum(expand(e, n), dtype=np.uint64), _array(i, n, np.uint8) > 0) for part, n, e, i in each if part >= 0]
         self.edges = np.concatenate([np.zeros(0, np.uint64), *(e for e, _ in found)])
         self.inner = np.concatenate([np.zeros(0, bool), *(i for _, i in found)])
-        self.false = np.array(sorted(x for part, x in zip(rows.column("part").to_pylist(), rows.column("places").to_pylist(), strict=True) if part < 0 for x in x), dtype=np.int64)
+        places = zip(rows.column("part").to_pylist(), rows.column("places").to_pylist(), strict=True)
+        self.false = np.array(sorted(x for part, of_part in places if part < 0 for x in of_part), dtype=np.int64)
 
     def look_up(self, walks: Walks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the window at each word: its edge, whether it is repeated, and whether it lies inside a path."""
@@ -207,7 +208,8 @@ def _documents(walks: Walks, covered: np.ndarray, joined: np.ndarray, at: np.nda
         body = (body[np.repeat(~mine, size[a:b])] if spans[-1] else body)[:-1].tobytes()
         shas.append(hashlib.sha256(body).hexdigest())
         kept.append(body.decode() if texts else None)
-    return [walks.docs.column("doc_id").combine_chunks(), walks.docs.column("digest").combine_chunks(), pa.array(np.diff(walks.first)), pa.array(spans, pa.list_(_SPAN)), pa.array(shas, pa.string()), pa.array(kept, pa.string())]
+    named = [walks.docs.column(c).combine_chunks() for c in ("doc_id", "digest")]
+    return [*named, pa.array(np.diff(walks.first)), pa.array(spans, pa.list_(_SPAN)), pa.array(shas, pa.string()), pa.array(kept, pa.string())]
 
 
 class Corpus:
@@ -253,10 +255,13 @@ class Corpus:
             cut = np.r_[0, np.searchsorted(edges, borders), len(edges)]
             rows = [(p, int(cut[p]), int(cut[p + 1])) for p in range(parts) if cut[p + 1] > cut[p]]
             return pa.table({
-                "part": pa.array([p for p, _, _ in rows], pa.int32()), "block": pa.array([key[0].as_py()] * len(rows), pa.int32()), "size": pa.array([b - a for _, a, b in rows], pa.int64()),
-                "edges": pa.array([_deltas(edges[a:b]) for _, a, b in rows], pa.binary()), "several": pa.array([_blob(np.packbits(several[a:b])) for _, a, b in rows], pa.binary()),
+                "part": pa.array([p for p, _, _ in rows], pa.int32()),
+                "block": pa.array([key[0].as_py()] * len(rows), pa.int32()),
+                "size": pa.array([b - a for _, a, b in rows], pa.int64()),
+                "edges": pa.array([_deltas(edges[a:b]) for _, a, b in rows], pa.binary()),
+                "several": pa.array([_blob(np.packbits(several[a:b])) for _, a, b in rows], pa.binary()),
                 "tags": pa.array([_tag_planes(tags[a:b]) for _, a, b in rows], pa.binary()),
-            })
+            })
 
         def count(key: tuple, rows: pa.Table) -> pa.Table:
             sent = list(zip(*(rows.column(c).to_pylist() for c in ("block", "size", "edges", "several", "tags")), strict=True))
@@ -274,11 +279,16 @@ class Corpus:
                 if hit.any():
                     out.append((block, int(hit.sum()), _deltas(mine[hit]), _blob(inner[number[hit]])))
             return pa.table({
-                "block": pa.array([r[0] for r in out], pa.int32()), "part": pa.array([key[0].as_py()] * len(out), pa.int32()), "size": pa.array([r[1] for r in out], pa.int64()),
-                "edges": pa.array([r[2] for r in out], pa.binary()), "inner": pa.array([r[3] for r in out], pa.binary()), "places": pa.array([None] * len(out), pa.list_(pa.int64())),
-            })
-
-        sent = self.blocks.cogroup(self.repeated_seeds().groupBy("block")).applyInArrow(lean_cogroup(send), "part int, block int, size long, edges binary, several binary, tags binary")
+                "block": pa.array([r[0] for r in out], pa.int32()),
+                "part": pa.array([key[0].as_py()] * len(out), pa.int32()),
+                "size": pa.array([r[1] for r in out], pa.int64()),
+                "edges": pa.array([r[2] for r in out], pa.binary()),
+                "inner": pa.array([r[3] for r in out], pa.binary()),
+                "places": pa.array([None] * len(out), pa.list_(pa.int64())),
+            })
+
+        schema = "part int, block int, size long, edges binary, several binary, tags binary"
+        sent = self.blocks.cogroup(self.repeated_seeds().groupBy("block")).applyInArrow(lean_cogroup(send), schema)
         return sent.groupBy("part").applyInArrow(lean_group(count), _REPLY)
 
     def walked(self, replies: DataFrame, texts: bool) -> DataFrame:
@@ -293,7 +303,11 @@ class Corpus:
             joined, at = walks.joined()
             docs = pa.StructArray.from_arrays(_documents(walks, covered, joined, at, texts), fields=_fields(_DOC))
             words = [hashlib.blake2b(joined[at[i] : at[i + n + window - 1]], digest_size=16).digest() for i, n in zip(begin.tolist(), length.tolist(), strict=True)]
-            paths = pa.StructArray.from_arrays([pa.array(edges[begin].view(np.int64)), pa.array(length, pa.int64()), pa.array(words, pa.binary()), pa.array([key[0].as_py()] * len(begin), pa.int32()), pa.array(begin, pa.int64())], fields=_fields(_PATH))
+            of_paths = [
+                pa.array(edges[begin].view(np.int64)), pa.array(length, pa.int64()), pa.array(words, pa.binary()),
+                pa.array([key[0].as_py()] * len(begin), pa.int32()), pa.array(begin, pa.int64()),
+            ]
+            paths = pa.StructArray.from_arrays(of_paths, fields=_fields(_PATH))
             return pa.table({"doc": pa.concat_arrays([docs, pa.nulls(len(paths), docs.type)]), "path": pa.concat_arrays([pa.nulls(len(docs), paths.type), paths])})
 
         return self.blocks.cogroup(replies.groupBy("block")).applyInArrow(lean_cogroup(run), f"doc struct<{_DOC}>, path struct<{_PATH}>")
@@ -309,7 +323,8 @@ class Corpus:
 
         again = self.blocks.cogroup(single.select("block", "at", "windows").groupBy("block")).applyInArrow(lean_cogroup(edges_of), "edge long")
         bit = F.pmod("edge", F.lit(BITMAP_BITS))
-        pieces = again.select(F.floor(bit / PIECE_BITS).cast("int").alias("piece"), (bit % PIECE_BITS).alias("bit")).groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+        pieces = again.select(F.floor(bit / PIECE_BITS).cast("int").alias("piece"), (bit % PIECE_BITS).alias("bit"))
+        pieces = pieces.groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
         marked = np.zeros(BITMAP_BITS, dtype=bool)
         for piece, bitmap in pieces.collect():  # BITMAP_BITS altogether at most
             part = np.unpackbits(np.frombuffer(bytes(bitmap), np.uint8), bitorder="little", count=PIECE_BITS).astype(bool)
@@ -332,7 +347,8 @@ class Corpus:
 
 def _fields(schema: str) -> list[pa.Field]:
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<struct<begin: long, end: long>>": pa.list_(_SPAN)}
-    return [pa.field(name, kinds[kind]) for name, kind in (x.split(" ", 1) for x in schema.replace("begin: long, end", "begin: long; end").split(", ")) for kind in [kind.replace(";", ",")]]
+    columns = (x.replace(";", ",").split(" ", 1) for x in schema.replace("begin: long, end", "begin: long; end").split(", "))
+    return [pa.field(name, kinds[kind]) for name, kind in columns]
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False, hash_bits: int = HASH_BITS) -> DataFrame:
@@ -345,11 +361,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False, h
     corpus = Corpus(docs, window, hash_bits)
     replies = corpus.repeated_edges()
     walked = materialise(corpus.walked(replies, texts), "repeats-walked")
-    paths = walked.where("path is not null").select("path.*").groupBy("edge", "windows", "words").agg(F.count("*").alias("n"), F.first("block").alias("block"), F.first("at").alias("at"))
+    paths = walked.where("path is not null").select("path.*").groupBy("edge", "windows", "words")
+    paths = paths.agg(F.count("*").alias("n"), F.first("block").alias("block"), F.first("at").alias("at"))
     single = paths.where("n = 1")
     if not single.isEmpty():
         single = materialise(single, "repeats-single")
-        false = corpus.false_windows(replies, single).select("block", F.lit(-1).alias("part"), F.lit(0).cast("long").alias("size"), F.lit(None).cast("binary").alias("edges"), F.lit(None).cast("binary").alias("inner"), "places")
+        none = F.lit(None).cast("binary")
+        false = corpus.false_windows(replies, single)
+        false = false.select("block", F.lit(-1).alias("part"), F.lit(0).cast("long").alias("size"), none.alias("edges"), none.alias("inner"), "places")
         walked = materialise(corpus.walked(replies.unionByName(materialise(false, "repeats-false")), texts), "repeats-again")
     return walked.where("doc is not null").select("doc.*")
 

@@ -105,7 +105,8 @@ def pack_blocks(vectors: DataFrame, dimension: int) -> DataFrame:
             for b in (whole.slice(i, BLOCK_ROWS) for i in range(0, whole.num_rows, BLOCK_ROWS)):
                 rows = _integers(b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension))
                 kind, data = _pack(np.ascontiguousarray(_filled(rows).T))
-                arrays = [pa.array([b.num_rows], pa.int32()), pa.array([kind]), pa.array([data], pa.binary()), pa.array([b.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([b.column(1).to_pylist()], pa.list_(pa.string()))]
+                named = [pa.array([b.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([b.column(1).to_pylist()], pa.list_(pa.string()))]
+                arrays = [pa.array([b.num_rows], pa.int32()), pa.array([kind]), pa.array([data], pa.binary()), *named]
                 yield pa.RecordBatch.from_arrays(arrays, names=["n", "kind", "integers", "vec_ids", "labels"])
 
     return vectors.mapInArrow(lean_batches(run), "n int, kind string, integers binary, vec_ids array<long>, labels array<string>")
@@ -201,7 +202,8 @@ def compress(vectors: DataFrame, vector: str = "embedding", rounds: int = ROUNDS
     # a label gets a mark before it, so that none is equal to what stands for null
     key = F.coalesce(F.concat(F.lit("="), F.col("label")), F.lit(""))
     coded = materialise(coded.withColumn("label", key), "vector-codes")
-    groups = coded.groupBy("label").agg(F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(_MOST).cast("decimal(38,0)")).cast("long").alias("label_error"), F.count("*").alias("rows"))
+    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(_MOST).cast("decimal(38,0)")).cast("long")
+    groups = coded.groupBy("label").agg(total.alias("label_error"), F.count("*").alias("rows"))
     joined = join_sized(coded, materialise(groups, "vector-labels"), "label", "rows")
     code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c.cast("long"))), 2, "0")), "")
     return joined.select("vec_id", code.alias("code"), "error", "label_error", F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"))
