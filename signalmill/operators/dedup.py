@@ -170,7 +170,8 @@ def title_pairs(titles: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
     blocks = keys.sparkSession.createDataFrame(table, "size int, block int, blocks int, first int, last int")
     rows = keys.join(F.broadcast(blocks), F.length("key") == F.col("size")).withColumn("own", F.col("block") + F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     upper = rows.select("key", "fresh", F.explode(F.sequence("own", "last")).alias("j"), F.col("own").alias("i"), F.lit(0).alias("side"))
-    lower = rows.where("first < own").select("key", "fresh", F.col("own").alias("j"), F.explode(F.sequence(F.col("first"), F.col("own") - 1)).alias("i"), F.lit(1).alias("side"))
+    earlier = F.explode(F.sequence(F.col("first"), F.col("own") - 1))
+    lower = rows.where("first < own").select("key", "fresh", F.col("own").alias("j"), earlier.alias("i"), F.lit(1).alias("side"))
 
     def meet(key: tuple, found: pa.Table) -> pa.Table:
         names, side = found.column("key").to_pylist(), found.column("side").to_pylist()
@@ -178,12 +179,14 @@ def title_pairs(titles: DataFrame, threshold: float = TITLE_RATIO) -> DataFrame:
         left, right = ([n for n, s in zip(names, side, strict=True) if s == k] for k in (0, 1))
         new = found.filter(found.column("fresh")).column("key").to_pylist()
         pairs = _near_titles(left, left if same else right, same, threshold, None if len(new) == len(names) else set(new))
-        return pa.table({"a": pa.array([a for a, _, _ in pairs], pa.string()), "b": pa.array([b for _, b, _ in pairs], pa.string()), "score": pa.array([s for _, _, s in pairs], pa.float64())})
+        a, b, score = ([p[k] for p in pairs] for k in range(3))
+        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string()), "score": pa.array(score, pa.float64())})
 
     # meetings are small in bytes and dear in time, so they aren't left to a plan that goes by bytes
     width = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = sum((last - first + 1) * n for _, _, n, first, last in table)
-    return upper.unionByName(lower).repartition(max(width, min(met, MEETING_TASKS * width)), "i", "j").groupBy("i", "j").applyInArrow(meet, "a string, b string, score double")
+    dealt = upper.unionByName(lower).repartition(max(width, min(met, MEETING_TASKS * width)), "i", "j")
+    return dealt.groupBy("i", "j").applyInArrow(meet, "a string, b string, score double")
 
 
 #: Pivots of the cosine join at most. They, and some numbers of each, are held by the driver and every task.
@@ -266,7 +269,8 @@ def cosine_meetings(vectors: DataFrame, threshold: float) -> DataFrame | None:
                 parts.append((np.repeat(k, times), np.repeat(c, times), i_, j_, np.full(len(step), side)))
             take, *numbers = (np.concatenate(x) for x in zip(*parts, strict=True))
             take = pa.array(take)
-            yield pa.RecordBatch.from_arrays([*(b.column(x).take(take) for x in range(3)), *(pa.array(x, pa.int32()) for x in numbers)], names=["id", "v", "fresh", "cell", "i", "j", "side"])
+            columns = [*(b.column(x).take(take) for x in range(3)), *(pa.array(x, pa.int32()) for x in numbers)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "fresh", "cell", "i", "j", "side"])
 
     return rows.withColumn("draw", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).mapInArrow(deal, "id long, v array<double>, fresh boolean, cell int, i int, j int, side int")
 
@@ -274,8 +278,8 @@ def cosine_meetings(vectors: DataFrame, threshold: float) -> DataFrame | None:
 def cosine_pairs(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     """a, b, cosine of all pairs a < b (id, v) with a cosine of ``threshold`` (above 0) or more; a zero vector is like none.
 
-    Where ``vectors`` have a column ``fresh``, pairs without a fresh one aren't looked for. Vectors in clusters meet few of the others; where there are no clusters, blocks of bounded size all meet each other once. Only
-    pairs over the threshold leave a block.
+    Where ``vectors`` have a column ``fresh``, pairs without a fresh one aren't looked for. Vectors in clusters meet few of the others; where
+    there are no clusters, blocks of bounded size all meet each other once. Only pairs over the threshold leave a block.
     """
     if threshold <= 0:
         raise ValueError("a threshold above 0 is needed")
@@ -306,7 +310,8 @@ def backstop(rows: DataFrame, cached: DataFrame, threshold: float = COSINE) -> D
     """Later-stage check: an article (arrival, v) is a duplicate if any earlier one or any cached one is near; duplicates stay comparable."""
     both = rows.select(F.col("arrival").alias("id"), "v").unionByName(cached.select((-1 - F.col("arrival")).alias("id"), "v"))
     near = cosine_pairs(both, threshold).where("b >= 0")
-    return rows.join(near.groupBy(F.col("b").alias("arrival")).agg(F.count("*").alias("n_near")), "arrival", "left").withColumn("is_duplicate", F.col("n_near").isNotNull()).drop("n_near")
+    near = near.groupBy(F.col("b").alias("arrival")).agg(F.count("*").alias("n_near"))
+    return rows.join(near, "arrival", "left").withColumn("is_duplicate", F.col("n_near").isNotNull()).drop("n_near")
 
 
 #: Rounds before the components of what is left are looked at.
@@ -348,17 +353,23 @@ def _marks(nodes: DataFrame, edges: DataFrame, keyed: DataFrame, near: DataFrame
     def of(rows: DataFrame) -> DataFrame:
         return keyed.join(rows.select("arrival"), "arrival")
 
+    def joined(rows: DataFrame, others: DataFrame) -> DataFrame:
+        """arrival of rows, and first: each of the others that an edge joins to it from before."""
+        found = edges.join(rows.select(F.col("arrival").alias("b")), "b").join(others.select(F.col("arrival").alias("a")), "a")
+        return found.select(F.col("b").alias("arrival"), F.col("a").alias("first"))
+
     def before(rows: DataFrame, others: DataFrame) -> DataFrame:
-        """arrival, first, last: of rows that have neighbours before them among the others the earliest, and the last of those that each edge, and each key by its first two, shows."""
-        by_edge = edges.join(rows.select(F.col("arrival").alias("b")), "b").join(others.select(F.col("arrival").alias("a")), "a").select(F.col("b").alias("arrival"), F.col("a").alias("first"), F.col("a").alias("last"))
+        """arrival, first, last: of rows that have neighbours before them among the others the earliest, and the last of those that edges, and keys by their first two, show."""
+        by_edge = joined(rows, others).withColumn("last", F.col("first"))
         first = of(others).groupBy(F.col("key").alias("other")).agg(F.min("arrival").alias("first"))
         second = of(others).withColumnRenamed("key", "other").join(first, "other").where("arrival > first").groupBy("other").agg(F.min("arrival").alias("second"))
         of_key = meets.join(first, "other").join(second, "other", "left").select("key", "first", "second")
-        by_key = of(rows).join(of_key, "key").where("first < arrival").select("arrival", "first", F.when(F.col("second") < F.col("arrival"), F.col("second")).otherwise(F.col("first")).alias("last"))
+        last = F.when(F.col("second") < F.col("arrival"), F.col("second")).otherwise(F.col("first"))
+        by_key = of(rows).join(of_key, "key").where("first < arrival").select("arrival", "first", last.alias("last"))
         return by_edge.unionByName(by_key).groupBy("arrival").agg(F.min("first").alias("first"), F.max("last").alias("last"))
 
     def earliest(rows: DataFrame, others: DataFrame) -> DataFrame:
-        by_edge = edges.join(rows.select(F.col("arrival").alias("b")), "b").join(others.select(F.col("arrival").alias("a")), "a").select(F.col("b").alias("arrival"), F.col("a").alias("first"))
+        by_edge = joined(rows, others)
         first = of(others).groupBy(F.col("key").alias("other")).agg(F.min("arrival").alias("first"))
         of_key = meets.join(first, "other").groupBy("key").agg(F.min("first").alias("first"))
         by_key = of(rows).join(of_key, "key").where("first < arrival").select("arrival", "first")
@@ -383,7 +394,8 @@ def _marks(nodes: DataFrame, edges: DataFrame, keyed: DataFrame, near: DataFrame
         if done >= GREEDY_ROUNDS and not open_.isEmpty():
             dup = materialise(open_.join(earliest(open_, kept), "arrival", "left_semi"), "greedy-dup")
             open_ = materialise(open_.join(dup, "arrival", "left_anti"), "greedy-open")
-            small, keep = (materialise(t, f"greedy-{name}") for name, t in zip(("small", "keep"), _followed(open_, edges, materialise(of(open_), "greedy-open-keys"), meets), strict=True))
+            small, keep = _followed(open_, edges, materialise(of(open_), "greedy-open-keys"), meets)
+            small, keep = materialise(small, "greedy-small"), materialise(keep, "greedy-keep")
             gone, kept = gone.unionByName(dup).unionByName(small.join(keep, "arrival", "left_anti")), kept.unionByName(keep)
             open_ = materialise(open_.join(small, "arrival", "left_anti"), "greedy-open")
     out = nodes.select("arrival").join(earliest(gone, kept), "arrival", "left")
@@ -462,14 +474,18 @@ def stacked(articles: DataFrame, ratio_threshold: float = TITLE_RATIO, cosine_th
     are kept in any case, so they aren't compared with each other.
     """
     with scratch(articles.sparkSession) as keep_table:
-        rows = materialise(articles.select("arrival", "cached", sorted_tokens(dedup_title(F.col("title"))).alias("key"), F.col("v").cast("array<double>").alias("v")), "stacked-rows")
+        key = sorted_tokens(dedup_title(F.col("title")))
+        rows = articles.select("arrival", "cached", key.alias("key"), F.col("v").cast("array<double>").alias("v"))
+        rows = materialise(rows, "stacked-rows")
         vectors = rows.where(F.exists("v", lambda x: x != 0))
-        of_vector = materialise(vectors.groupBy("v").agg(F.min("arrival").alias("id"), F.count("*").alias("n"), F.max(~F.col("cached")).alias("fresh")).withColumn("digest", F.xxhash64("v")), "stacked-vectors")
+        of_vector = vectors.groupBy("v").agg(F.min("arrival").alias("id"), F.count("*").alias("n"), F.max(~F.col("cached")).alias("fresh"))
+        of_vector = materialise(of_vector.withColumn("digest", F.xxhash64("v")), "stacked-vectors")
         slim = materialise(vectors.select("arrival", "v", F.xxhash64("v").alias("digest")), "stacked-slim")
         same = join_sized(slim, of_vector.withColumnRenamed("v", "w"), "digest", "n").where("v = w").select("arrival", F.concat(F.lit("v"), "id").alias("key"))
         titled = rows.where("key <> ''").select("arrival", F.concat(F.lit("t"), "key").alias("key"))
         near = cosine_pairs(of_vector.select("id", "v", "fresh"), cosine_threshold).select(F.concat(F.lit("v"), "a").alias("a"), F.concat(F.lit("v"), "b").alias("b"))
-        alike = title_pairs(rows.select("key", (~F.col("cached")).alias("fresh")), ratio_threshold).select(F.concat(F.lit("t"), "a").alias("a"), F.concat(F.lit("t"), "b").alias("b"))
+        alike = title_pairs(rows.select("key", (~F.col("cached")).alias("fresh")), ratio_threshold)
+        alike = alike.select(F.concat(F.lit("t"), "a").alias("a"), F.concat(F.lit("t"), "b").alias("b"))
         none = rows.sparkSession.createDataFrame([], "a long, b long")
         return keep_table(_marks(rows.select("arrival", "cached"), none, titled.unionByName(same), near.unionByName(alike)), "stacked-marks")
 
