@@ -74,6 +74,86 @@ def ratio(a: str, b: str) -> float:
     return 200.0 * _lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
 
 
+#: Pairs of strings that are compared at once, in times words of 64 characters; and with all characters' places, at most.
+LCS_WORDS, LCS_PLACES = 1 << 14, 1 << 20
+#: Fewer pairs than this are followed one by one.
+LCS_FEW = 24
+
+
+def _lcs_lengths(texts: list[str], a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """``_lcs`` of many pairs (numbers of ``texts``), side by side; one below its ``least`` may come out lower.
+
+    A subsequence of the least length leaves out so few characters that no match lies further from the diagonal than those, so of each row only the words near it are looked at.
+    """
+    out = np.zeros(len(a), dtype=np.int64)
+    points = [np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) for x in texts]
+    size = np.array([len(x) for x in points], dtype=np.int64)
+    letters = np.unique(np.concatenate([*points, np.zeros(0, np.uint32)]))
+    codes = [np.searchsorted(letters, x).astype(np.int32) for x in points]
+    k, order = len(letters) + 1, np.lexsort((size[b], size[a]))
+    at = 0
+    while at < len(order):
+        # the longest of the next pairs are the last ones, so the number of words is looked up twice
+        n = LCS_WORDS // (int(size[a[order[at]]]) // 64 + 1)
+        words = int(size[a[order[min(len(order), at + max(n, 1)) - 1]]]) // 64 + 1
+        n = max(1, min(n, LCS_WORDS // words, LCS_PLACES // (words * k)))
+        took = order[at : at + n]
+        at += n
+        live = _followed_pairs(codes, size, a[took], b[took], least[took], words, k, out, took) if n > LCS_FEW else took
+        for i in live.tolist():
+            out[i] = _lcs(texts[a[i]], texts[b[i]], int(least[i]))
+    return out
+
+
+def _followed_pairs(codes: list[np.ndarray], size: np.ndarray, a: np.ndarray, b: np.ndarray, least: np.ndarray, words: int, k: int, out: np.ndarray, took: np.ndarray) -> np.ndarray:
+    """Puts the lengths of pairs into ``out`` at ``took``; the numbers of the last few that are left, as soon as these are few."""
+    own, of = np.unique(a, return_inverse=True)
+    length = size[own]
+    places = np.zeros((words, len(own) * k), dtype=np.uint64)  # by word, string and character
+    place = _within(length)
+    np.bitwise_or.at(places, (place >> 6, np.repeat(np.arange(len(own)) * k, length) + np.concatenate([codes[i] for i in own])), np.uint64(1) << (place & 63).astype(np.uint64))
+    m, n = size[a], size[b]
+    others, which = np.unique(b, return_inverse=True)
+    wide = np.full((len(others), int(n.max())), k - 1, dtype=np.int32)
+    for row, i in zip(wide, others.tolist(), strict=True):
+        row[: size[i]] = codes[i]
+    steps, base = np.ascontiguousarray(wide.T), of * k
+    rows = np.full((words, len(a)), ~np.uint64(0))
+    above, below = int((m - least).max()), int((n - least).max())
+    for j in range(steps.shape[0]):
+        low, high = max(0, j - below), min(words * 64 - 1, j + above)
+        index = steps[j].take(which)
+        index += base
+        carry = None
+        for w in range(low >> 6, (high >> 6) + 1):
+            row = rows[w]
+            hit = places[w].take(index)
+            hit &= row
+            if low > w * 64 or high < w * 64 + 63:
+                hit &= np.uint64(((1 << (min(high - w * 64, 63) + 1)) - 1) & ~((1 << max(low - w * 64, 0)) - 1))
+            total = row + hit
+            over = total < hit
+            if carry is not None:
+                total += carry
+                over |= total < carry
+            row ^= hit
+            row |= total
+            carry = over.astype(np.uint64)
+        if j % 16 == 15 or j + 1 == steps.shape[0]:
+            found = 64 * words - np.bitwise_count(rows).sum(axis=0, dtype=np.int64)
+            rest = np.maximum(n - j - 1, 0)
+            done = (rest == 0) | (found + rest < least)
+            if done.all() or done.sum() > len(done) // 4:
+                out[took[done]] = found[done]
+                go = ~done
+                rows, base, which, n, m, least, took = rows[:, go], base[go], which[go], n[go], m[go], least[go], took[go]
+                if len(took) <= LCS_FEW:
+                    return took
+                above, below = int((m - least).max()), int((n - least).max())
+    out[took] = 64 * words - np.bitwise_count(rows).sum(axis=0, dtype=np.int64)
+    return took[:0]
+
+
 #: Width of the counts of characters that strings are first compared by.
 LETTERS = 32
 #: Characters of the strings of one block.

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import strip
 from .cells import with_running
-from .dedup import _lcs
+from .dedup import _lcs, _lcs_lengths
 
 HAYSTACK = 1500
 TOP = 3
@@ -129,15 +130,99 @@ def partial_ratio(needle: str, hay: str, least: float = 0.0) -> float:
     return best if best >= least else 0.0
 
 
-def _best_names(names: list, hay: str, threshold: float) -> list[tuple]:
-    """dc_id, field, name and share of the TOP facilities of a text, best first, ties by dc_id."""
-    best: dict[str, tuple] = {}
-    for dc_id, field, name in names:
-        score = partial_ratio(name, hay, threshold)
-        if score >= threshold and score > best.get(dc_id, (0.0,))[0]:
-            best[dc_id] = (score, field, name)
-    top = sorted(best.items(), key=lambda x: (-x[1][0], x[0]))[:TOP]
-    return [(d, field, name, round(score / 100, 3)) for d, (score, field, name) in top]
+#: Characters of the texts that names are compared with at once.
+HAY_CHARACTERS = 1 << 16
+
+
+def _partial_ratios(names: list[str], hays: list[str], least: float) -> Iterator[tuple[int, int, float]]:
+    """Numbers of names and texts with a partial ratio of ``least`` (above 0) or more, and the ratio.
+
+    Texts stand in one row with gaps, and from running counts of each character come those of all windows of a length. A window that shares too few of a name's characters
+    is ruled out for all texts at once; of the others the common subsequences are found side by side.
+    """
+    classes: dict[int, list[int]] = {}  # by length, as texts stand apart by the longest name
+    for x, name in enumerate(names):
+        classes.setdefault(len(name).bit_length(), []).append(x)
+    for chosen in classes.values():
+        longest = max(len(names[x]) for x in chosen)
+        batch: list[int] = []
+        held = 0
+        for k, hay in enumerate(hays):
+            if held and held + len(hay) + longest > HAY_CHARACTERS:
+                yield from _ratios_in_row(names, chosen, hays, batch, longest, least)
+                batch, held = [], 0
+            batch.append(k)
+            held += len(hay) + longest
+        yield from _ratios_in_row(names, chosen, hays, batch, longest, least)
+
+
+def _ratios_in_row(names: list[str], chosen: list[int], hays: list[str], batch: list[int], longest: int, least: float) -> Iterator[tuple[int, int, float]]:
+    sizes = np.array([len(hays[k]) for k in batch], dtype=np.int64)
+    starts = longest + np.cumsum(sizes + longest) - sizes - longest
+    total = int(longest + (sizes + longest).sum())
+    points = np.full(total, 0xFFFFFFFF, dtype=np.uint32)  # no character
+    for k, at in zip(batch, starts.tolist(), strict=True):
+        points[at : at + len(hays[k])] = np.frombuffer(hays[k].encode("utf-32-le"), dtype=np.uint32)
+    kind = np.uint8 if longest < 250 else np.int32  # a window's counts are differences of running ones, which may run over
+
+    def running(there: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(1, dtype=kind), np.cumsum(there, dtype=kind)])
+
+    by_length: dict[int, list[int]] = {}
+    for x in chosen:
+        by_length.setdefault(len(names[x]), []).append(x)
+    filled = running(points != 0xFFFFFFFF)
+    sums = {c: running(points == ord(c)) for c in set().union(*(names[x] for x in chosen))}
+    for m, group in by_length.items():
+        if not m:
+            continue
+        size = filled[m:] - filled[:-m]
+        need = np.array([m + 1] + [next((n for n in range(m + 1) if 200.0 * n / (m + s) >= least), m + 1) for s in range(1, m + 1)], dtype=kind)[size]
+        windows = {c: sums[c][m:] - sums[c][:-m] for c in set().union(*(names[x] for x in group))}
+        capped: dict[tuple[str, int], np.ndarray] = {}
+        short = np.flatnonzero(sizes < m)
+        for x in group:
+            name = names[x]
+            shared = np.zeros(total - m + 1, dtype=kind)
+            for c, n in Counter(name).items():
+                if (c, n) not in capped:
+                    capped[c, n] = np.minimum(windows[c], np.full_like(shared, n))
+                shared += capped[c, n]
+            at = np.flatnonzero(shared >= need)
+            of = np.searchsorted(starts - m, at, "right") - 1 if len(at) else at
+            at, of = at[sizes[of] >= m], of[sizes[of] >= m]
+            texts = {name: 0}  # each window once, as many are alike
+            which = np.empty(len(at), dtype=np.int64)
+            for y, (i, k) in enumerate(zip(at.tolist(), of.tolist(), strict=True)):
+                begin = i - int(starts[k])
+                which[y] = texts.setdefault(hays[batch[k]][max(0, begin) : begin + m], len(texts))
+            best: dict[int, float] = {}
+            if len(at):
+                listed, lengths = list(texts), np.array([len(text) for text in texts])
+                least_of = np.zeros(len(texts), dtype=np.int64)
+                least_of[which] = need[at]
+                others = np.flatnonzero(least_of)
+                found = np.full(len(texts), m)  # the name's own
+                others = others[others > 0]
+                found[others] = _lcs_lengths(listed, np.zeros(len(others), dtype=np.int64), others, least_of[others])
+                for k, score in zip(of.tolist(), (200.0 * found[which] / (m + lengths[which])).tolist(), strict=True):
+                    best[k] = max(best.get(k, 0.0), score)
+            for k in short.tolist():  # the text is the shorter one, and stands in windows of the name
+                best[k] = partial_ratio(name, hays[batch[k]], least)
+            yield from ((x, batch[k], score) for k, score in best.items() if score >= least and score > 0)
+
+
+def _best_names(names: list, hays: list[str], threshold: float) -> list[tuple]:
+    """Number of the text, dc_id, field, name and share of the TOP facilities of each text, best first, ties by dc_id."""
+    best: dict[tuple, tuple] = {}
+    for x, k, score in _partial_ratios([name for _, _, name in names], hays, threshold):
+        dc_id = names[x][0]
+        if (score, -x) > best.get((k, dc_id), (0.0, 0)):  # of equal ones the first
+            best[k, dc_id] = (score, -x)
+    by_text: dict[int, list] = {}
+    for (k, dc_id), (score, x) in best.items():
+        by_text.setdefault(k, []).append((-score, dc_id, names[-x]))
+    return [(k, d, field, name, round(-score / 100, 3)) for k, found in by_text.items() for score, d, (_, field, name) in sorted(found)[:TOP]]
 
 
 def candidates(articles: DataFrame, facility_names: DataFrame, threshold: float) -> DataFrame:
@@ -158,8 +243,8 @@ def candidates(articles: DataFrame, facility_names: DataFrame, threshold: float)
 
         def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                out = [(i, *x) for i, hay in zip(b["id"], b["hay"], strict=True) for x in _best_names(held.value, hay, threshold)]
-                yield pd.DataFrame(out, columns=columns)
+                ids = b["id"].tolist()
+                yield pd.DataFrame([(ids[k], *x) for k, *x in _best_names(held.value, b["hay"].tolist(), threshold)], columns=columns)
 
         found = articles.select("id", "hay").repartition(width).mapInPandas(alone, schema)
     else:
@@ -167,15 +252,16 @@ def candidates(articles: DataFrame, facility_names: DataFrame, threshold: float)
 
         def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                out = [(i, *x) for i, hay, names in zip(b["id"], b["hay"], b["names"], strict=True) for x in _best_names([(n["dc_id"], n["field"], n["name"]) for n in names], hay, threshold)]
-                yield pd.DataFrame(out, columns=columns)
+                for _, rows in b.groupby("block"):
+                    ids, names = rows["id"].tolist(), [(n["dc_id"], n["field"], n["name"]) for n in rows["names"].iloc[0]]
+                    yield pd.DataFrame([(ids[k], *x) for k, *x in _best_names(names, rows["hay"].tolist(), threshold)], columns=columns)
 
         def numbers(n: int) -> Column:
             return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
         dealt = facility_names.groupBy(F.pmod(F.xxhash64("name"), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(F.struct("dc_id", "field", "name")).alias("names"))
         rows = articles.select("id", "hay", F.pmod(F.xxhash64("id"), F.lit(width)).cast("int").alias("salt")).withColumn("block", numbers(blocks))
-        found = rows.join(dealt.withColumn("salt", numbers(width)), ["block", "salt"]).select("id", "hay", "names").mapInPandas(meet, schema)
+        found = rows.join(dealt.withColumn("salt", numbers(width)), ["block", "salt"]).select("id", "hay", "names", "block").mapInPandas(meet, schema)
     best = F.row_number().over(Window.partitionBy("id", "dc_id").orderBy(F.col("confidence").desc(), "field"))
     found = found.withColumn("n_", best).where("n_ = 1").drop("n_")
     place = F.row_number().over(Window.partitionBy("id").orderBy(F.col("confidence").desc(), "dc_id"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signalmill.functions import text
-from signalmill.operators import cells, dedup
+from signalmill.operators import cells, dedup, links
 from signalmill.queries import REGISTRY
 from signalmill.sources import readers, writers
 from signalmill.streaming import runs
@@ -79,6 +79,32 @@ def test_lcs_stops_only_below_its_bound():
         assert (dedup._lcs(a, b, least) == full) if full >= least else dedup._lcs(a, b, least) <= full
 
 
+def test_sequences_of_many_pairs_side_by_side():
+    rnd = random.Random(4)
+    for longest in (1, 30, 64, 65, 200):
+        texts = ["".join(rnd.choice("abcdé ") for _ in range(rnd.randint(1, longest))) for _ in range(40)]
+        texts += [t[: len(t) // 2] + "x" + t[len(t) // 2 + 1 :] for t in texts]
+        a, b = map(np.array, zip(*((i, j) for i in range(len(texts)) for j in range(i))))
+        least = np.array([int(0.44 * (len(texts[i]) + len(texts[j]))) for i, j in zip(a, b)])
+        for i, j, n, got in zip(a, b, least, dedup._lcs_lengths(texts, a, b, least)):
+            full = lcs(texts[i], texts[j])
+            assert got == full if full >= n else got < n
+
+
+def test_names_meet_all_texts_at_once(monkeypatch):
+    """The ratios of a block of names and texts are those of one pair after the other; only windows that may be near are followed."""
+    monkeypatch.setattr(links, "HAY_CHARACTERS", 300)
+    rnd = random.Random(5)
+    names = ["".join(rnd.choice("abcde é") for _ in range(rnd.randint(1, 18))) for _ in range(30)] + ["abca", "z" * 300]
+    hays = ["".join(rnd.choice("abcde é") for _ in range(rnd.choice((0, 3, 10, 90)))) for _ in range(40)]
+    hays += [names[3] + " b", "x" + names[4][1:], names[5][:-1], "z" * 280]
+    for least in (60.0, 85.0):
+        want = {(x, k): score for x, n in enumerate(names) for k, h in enumerate(hays) if (score := links.partial_ratio(n, h, least)) >= least}
+        assert want and {(x, k): score for x, k, score in links._partial_ratios(names, hays, least)} == want
+    monkeypatch.setattr(links, "partial_ratio", None)  # no pair is looked at alone where texts are the longer ones
+    assert dict(((x, k), s) for x, k, s in links._partial_ratios(["near by"], ["it is nearby", "far off from it"], 85.0)).keys() == {(0, 0)}
+
+
 # vectors
 
 def clusters(n_clusters, size, dimensions=16, seed=0):
