@@ -19,6 +19,10 @@ TITLE_RATIO = 88.0
 COSINE = 0.85
 #: Rows of one block of vectors or titles.
 BLOCK_ROWS = 4096
+#: Rows of a block of vectors whose products with the other block are held at once.
+TILE_ROWS = 256
+#: Vectors that are dealt to their meetings at once.
+DEALT_ROWS = 512
 
 
 def blocked(url: Column) -> Column:
@@ -275,8 +279,9 @@ PIVOTS = 256
 SLACK = 1e-6
 
 
-def _unit(rows: list) -> np.ndarray:
-    x = np.array(rows, dtype=np.float64).reshape(len(rows), -1)
+def _unit_rows(column: pa.Array) -> np.ndarray:
+    """Unit vectors of a column of arrays of one length, without a Python object a component."""
+    x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -303,12 +308,11 @@ def cosine_meetings(vectors: DataFrame, threshold: float) -> DataFrame | None:
     drawn = rows.orderBy(F.xxhash64("id"), "id").limit(most).collect() if most else []
     if not drawn:
         return None
-    pivots, near = _unit([r["v"] for r in drawn]), float(np.arccos(min(1.0, threshold)))
+    pivots, near = _unit_rows(pa.array([r["v"] for r in drawn], pa.list_(pa.float64()))), float(np.arccos(min(1.0, threshold)))
 
     def placed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Of vectors the angles to all pivots, and the nearest pivot's number, the first of equal ones."""
-        vs = column.to_pylist()
-        angles = np.arccos(np.clip(_unit(vs) @ pivots.T, -1.0, 1.0)) if vs else np.zeros((0, len(pivots)))
+        angles = np.arccos(np.clip(_unit_rows(column) @ pivots.T, -1.0, 1.0)) if len(column) else np.zeros((0, len(pivots)))
         return angles, np.argmin(angles, axis=1)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,7 +337,8 @@ def cosine_meetings(vectors: DataFrame, threshold: float) -> DataFrame | None:
         guests[cell] = -(-n // BLOCK_ROWS)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        # a row may go to hundreds of meetings, so few rows are dealt at once and leave in pieces
+        for b in (b.slice(at, DEALT_ROWS) for b in batches for at in range(0, b.num_rows, DEALT_ROWS)):
             angles, cell = placed(b.column(1))
             draw = b.column(3).to_numpy().astype(np.int64)
             mine, all_rows = draw % own[cell], np.arange(len(cell))
@@ -348,9 +353,10 @@ def cosine_meetings(vectors: DataFrame, threshold: float) -> DataFrame | None:
                 i_, j_ = (np.repeat(i, times) if i is not None else step), (np.repeat(j, times) if j is not None else np.repeat(first, times) + step)
                 parts.append((np.repeat(k, times), np.repeat(c, times), i_, j_, np.full(len(step), side)))
             take, *numbers = (np.concatenate(x) for x in zip(*parts, strict=True))
-            take = pa.array(take)
-            columns = [*(b.column(x).take(take) for x in range(3)), *(pa.array(x, pa.int32()) for x in numbers)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "fresh", "cell", "i", "j", "side"])
+            for at in range(0, len(take), BLOCK_ROWS):
+                rows_of = pa.array(take[at : at + BLOCK_ROWS])
+                columns = [*(b.column(x).take(rows_of) for x in range(3)), *(pa.array(x[at : at + BLOCK_ROWS], pa.int32()) for x in numbers)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "fresh", "cell", "i", "j", "side"])
 
     return rows.withColumn("draw", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).mapInArrow(deal, "id long, v array<double>, fresh boolean, cell int, i int, j int, side int")
 
@@ -368,20 +374,22 @@ def cosine_pairs(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     if meetings is None:
         return vectors.sparkSession.createDataFrame([], schema)
 
-    def meet(key: tuple, t: pa.Table) -> pa.Table:
-        ids, side, x = t.column("id").to_numpy(), t.column("side").to_numpy(), _unit(t.column("v").to_pylist())
+    def meet(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.column("id").to_numpy(), b.column("side").to_numpy(), b.column("fresh").to_numpy(zero_copy_only=False), _unit_rows(b.column("v"))) for b in batches]
+        ids, side, new, x = (np.concatenate(p) for p in zip(*parts, strict=True))
+        del parts
         same = key[1].as_py() == key[2].as_py()
-        new = t.column("fresh").to_numpy()
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
-        found: list[tuple[np.ndarray, ...]] = []
-        for rows, others in ((left[new[left]], right), (left[~new[left]], right[new[right]])):  # fresh ones with all, the others with fresh ones
-            c = x[rows] @ x[others].T
-            p, q = np.nonzero(c >= threshold)
-            a, b = ids[rows[p]], ids[others[q]]
-            # a block meets itself from both sides, so each pair comes twice, once in order
-            keep = (a < b) if same else np.ones(len(a), dtype=bool)
-            found.append((np.minimum(a, b)[keep], np.maximum(a, b)[keep], c[p, q][keep]))
-        return pa.table(dict(zip(("a", "b", "cosine"), (pa.array(np.concatenate(f)) for f in zip(*found, strict=True)), strict=True)))
+        for all_rows, others in ((left[new[left]], right), (left[~new[left]], right[new[right]])):  # fresh ones with all, the others with fresh ones
+            y = x[others].T
+            for at in range(0, len(all_rows), TILE_ROWS):  # pairs leave tile by tile, as there may be as many as cells
+                rows = all_rows[at : at + TILE_ROWS]
+                c = x[rows] @ y
+                p, q = np.nonzero(c >= threshold)
+                a, b = ids[rows[p]], ids[others[q]]
+                if same:  # a block meets itself from both sides, so each pair comes twice, once in order
+                    p, q, a, b = p[a < b], q[a < b], a[a < b], b[a < b]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(c[p, q])], names=["a", "b", "cosine"])
 
     return meetings.groupBy("cell", "i", "j").applyInArrow(meet, schema)
 

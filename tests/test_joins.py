@@ -5,6 +5,7 @@ import random
 import statistics
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,6 +140,28 @@ def test_clusters_of_vectors_meet_few_others(spark, monkeypatch):
         dedup.cosine_pairs(df, 0.0)
 
 
+def test_pairs_of_vectors_leave_in_tiles(spark, monkeypatch):
+    """Where all vectors are near, neither a batch's copies for its meetings nor a meeting's pairs are held at once."""
+    monkeypatch.setattr(dedup, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(dedup, "TILE_ROWS", 8)
+    monkeypatch.setattr(dedup, "DEALT_ROWS", 16)
+    rng = np.random.default_rng(7)
+    rows = [(i, (np.ones(8) + 0.2 * rng.normal(size=8)).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, v array<double>").coalesce(1)
+    steps = []
+    for kind, name in ((type(df), "mapInArrow"), (type(df.groupBy()), "applyInArrow")):
+        monkeypatch.setattr(kind, name, lambda self, f, schema, do=getattr(kind, name): steps.append(f) or do(self, f, schema))
+    assert dedup.cosine_pairs(df, 0.5).count() == 300 * 299 // 2
+    deal, meet = steps[-2:]
+    vectors = pa.array([v for _, v in rows], pa.list_(pa.float64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), vectors, pa.array([True] * 300), pa.array(range(300), pa.int64())], names=["id", "v", "fresh", "draw"])
+    dealt = list(deal(iter([batch])))
+    assert sum(b.num_rows for b in dealt) > 300 and max(b.num_rows for b in dealt) <= 64
+    met = pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([i % 2 for i in range(300)], pa.int32())], names=["id", "v", "fresh", "side"])
+    tiles = list(meet((pa.scalar(0), pa.scalar(0), pa.scalar(1)), iter([met])))
+    assert sum(b.num_rows for b in tiles) == 150 * 150 and max(b.num_rows for b in tiles) <= 8 * 150
+
+
 def test_equal_vectors_are_one_key(spark, monkeypatch):
     """300 equal vectors would be 44,850 pairs."""
     met = []
