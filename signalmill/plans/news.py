@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..functions import html, parse, rules, text
 from ..operators import dedup, feed, links
+from ..session import short_batches
 from . import bindings as b
 
 REGISTRY: dict = {}
@@ -324,7 +325,7 @@ def strip_snippet(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def page_main_text(spark: SparkSession, sf: str) -> DataFrame:
-    return b.table(spark, sf, "pages").select("page_id", text.body_lines(html.page_text(F.col("html"))).alias("body"))
+    return short_batches(b.table(spark, sf, "pages")).select("page_id", text.body_lines(html.page_text(F.col("html"))).alias("body"))
 
 
 _LABELS = [(1, 1234.56), (2, 0.0), (3, None), (4, 999.4), (5, 2.5e6), (6, 3.1e9)]

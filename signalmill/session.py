@@ -64,6 +64,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch of pages, at most.
+PAGE_BYTES = 2 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def short_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's bound on the bytes of an Arrow batch to PAGE_BYTES; a lower one stays. A batch is else 10,000 rows, however long they are."""
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH_CONF, str(2**31 - 1)).rstrip("b") or 0) > PAGE_BYTES:
+        conf.set(_BATCH_CONF, str(PAGE_BYTES))
+    return df
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Tables that are written inside are deleted at the end, but for those written by the function that this gives."""

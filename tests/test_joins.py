@@ -9,7 +9,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from signalmill.functions import text
+from signalmill import session
+from signalmill.functions import html, text
 from signalmill.operators import cells, dedup, links
 from signalmill.queries import REGISTRY
 from signalmill.sources import readers, writers
@@ -162,6 +163,21 @@ def test_pairs_of_vectors_leave_in_tiles(spark, monkeypatch):
     assert sum(b.num_rows for b in tiles) == 150 * 150 and max(b.num_rows for b in tiles) <= 8 * 150
 
 
+@tables
+def test_pages_come_in_short_batches(spark):
+    """A batch of pages is bounded by bytes, and pages are taken out of it one by one."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 30))
+        assert REGISTRY["page_main_text"][0](spark, SF).count() == spark.read.parquet(f"{SF}/pages.parquet").count()
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == session.PAGE_BYTES
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    long = "<article><p>" + "real words " * 30 + "</p></article>"
+    out = list(html.page_text.func(iter([pa.array([long, None, "<p>short</p>"]), pa.array([], pa.string())])))
+    assert [x.to_pylist() for x in out] == [[html.main_text(long), "", ""], []]
+
+
 def test_equal_vectors_are_one_key(spark, monkeypatch):
     """300 equal vectors would be 44,850 pairs."""
     met = []
