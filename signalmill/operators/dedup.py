@@ -162,6 +162,8 @@ def _followed_pairs(codes: list[np.ndarray], size: np.ndarray, a: np.ndarray, b:
 LETTERS = 32
 #: Characters of the strings of one block.
 BLOCK_CHARACTERS = 4 << 20
+#: Strings of the left side that are counted at once, and pairs that are looked at by their sequences at once.
+COUNTED_ROWS, PAIR_ROWS = 16, 1 << 17
 
 
 #: Tasks of the meetings of titles, in times the session's shuffle partitions, at most.
@@ -182,35 +184,59 @@ def _near_titles(left: list[str], right: list[str], same: bool, threshold: float
     or more, whatever their order. Only keys whose lengths allow it are compared by their characters, and of these only those
     that share enough by their sequence.
     """
-    t = threshold / 100
     if fresh is not None:  # fresh ones with all, then the others with fresh ones
         new, old = [k for k in left if k in fresh], [k for k in left if k not in fresh]
         if same:
             return _near_titles(new, new, True, threshold) + _near_titles(new, old, False, threshold)
         return _near_titles(new, right, False, threshold) + _near_titles(old, [k for k in right if k in fresh], False, threshold)
     left, right = sorted(left, key=len), sorted(right, key=len)
-    x, y = _letter_counts(left), _letter_counts(right)
-    size = np.array([len(k) for k in right], dtype=np.int64)
-    out = []
-    for i, a in enumerate(left):
-        m = len(a)
-        first, last = np.searchsorted(size, m * t / (2 - t) - 1e-6), np.searchsorted(size, m * (2 - t) / t + 1e-6, "right")
-        first = max(first, i + 1) if same else first
-        if first >= last:
-            continue
-        shared = np.minimum(y[first:last], x[i]).sum(axis=1)
-        places = None
-        for k in np.flatnonzero(shared >= t * (m + size[first:last]) / 2 - 1e-6):
-            b = right[first + int(k)]
-            if a == b:
-                continue
-            places = places or _places(a)
-            score = 200.0 * _lcs(a, b, int(np.ceil(t * (m + len(b)) / 2 - 1e-6)), places) / (m + len(b))
-            if score >= threshold:
+    out: list[tuple[str, str, float]] = []
+    if not left or not right:
+        return out
+    texts = left if same else left + right
+    for i, j, least in _sharing(left, right, same, threshold / 100):
+        found = _lcs_lengths(texts, i, j if same else j + len(left), least)
+        for x, y, n in zip(i.tolist(), j.tolist(), found.tolist(), strict=True):
+            a, b = left[x], right[y]
+            score = 200.0 * n / (len(a) + len(b))
+            if score >= threshold and a != b:
                 out.append((min(a, b), max(a, b), score))
     return out
 
 
+def _sharing(left: list[str], right: list[str], same: bool, t: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Numbers of pairs that share enough characters, and the length that their subsequence needs, up to about PAIR_ROWS at once. Both sides are sorted by length."""
+    m, n = (np.array([len(k) for k in keys], dtype=np.int64) for keys in (left, right))
+    longest = int(max(m[-1], n[-1]))
+    kind = np.uint8 if longest < 1 << 8 else np.uint16 if longest < 1 << 16 else np.int32
+    x, y = (np.ascontiguousarray(_letter_counts(keys).astype(kind).T) for keys in (left, right))
+    held: list[tuple[np.ndarray, ...]] = []
+    for start in range(0, len(left), COUNTED_ROWS):
+        stop = min(start + COUNTED_ROWS, len(left))
+        first, last = np.searchsorted(n, m[start] * t / (2 - t) - 1e-6), np.searchsorted(n, m[stop - 1] * (2 - t) / t + 1e-6, "right")
+        first = max(first, start + 1) if same else first
+        for at in range(int(first), int(last), BLOCK_ROWS):  # bounded, whatever the blocks hold
+            end = min(at + BLOCK_ROWS, int(last))
+            shared = np.zeros((stop - start, end - at), dtype=kind)
+            both = np.empty_like(shared)
+            for p, q in zip(x, y, strict=True):
+                both[:] = p[start:stop, None]
+                shared += np.minimum(both, q[at:end], out=both)
+            need = np.ceil(t * (m[start:stop, None] + n[None, at:end]) / 2 - 1e-6)
+            i, j = np.nonzero(shared >= need)
+            least = need[i, j].astype(np.int64)
+            i, j = i + start, j + at
+            if same:
+                keep = i < j
+                i, j, least = i[keep], j[keep], least[keep]
+            held.append((i, j, least))
+            if sum(len(h[0]) for h in held) >= PAIR_ROWS:
+                yield tuple(np.concatenate(h) for h in zip(*held, strict=True))
+                held = []
+    if held:
+        yield tuple(np.concatenate(h) for h in zip(*held, strict=True))
+
+
 def _length_blocks(counts: list[tuple[int, int]], t: float) -> list[tuple[int, int, int, int, int]]:
     """Of each length with its number of keys, ascending: length, first block, its blocks, and the first and last block that it meets.
 
