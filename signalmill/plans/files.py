@@ -230,10 +230,10 @@ def page_constants(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {b.FACILITIES_SQL} SELECT status, name FROM facilities")
 def archived_placemarks(spark: SparkSession, sf: str) -> DataFrame:
-    """Facilities from the folders of the written archive."""
-    path = _folder(spark, "kmz") + "/facilities.kmz"
+    """Facilities from the folders of the written archives."""
+    path = _folder(spark, "kmz") + "/facilities"
     rows = b.facilities(spark, sf).withColumn("sqft", F.lit(0.0))
-    writers.put(spark, path, writers.kmz(writers.placemarks(rows, {"Planned": "#FEB24C"}), dims.STATUSES))
+    writers.kmz_folder(writers.placemarks(rows, {"Planned": "#FEB24C"}), path, dims.STATUSES)
 
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
+from itertools import chain, groupby, islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import kml_colour, mw_label, slug, sqft_label, xml_escaped
+from ..session import materialise
 from .readers import read_or_empty
 
 
@@ -136,3 +140,37 @@ def kmz(marks: DataFrame, order: tuple[str, ...]) -> bytes:
             f.write(r["placemark"].encode())
         f.write((b"</Folder>" if now is not None else b"") + b"</Document></kml>")
     return out.getvalue()
+
+
+#: Placemarks of one archive of a folder of archives.
+ARCHIVE_ROWS = 50_000
+
+
+def kmz_folder(marks: DataFrame, path: str, order: tuple[str, ...], most: int | None = None) -> None:
+    """Archives of up to ``most`` placemarks each, numbered in the order of ``kmz``: each is whole by itself and is packed in a task.
+
+    Only packed archives, one after another, come to the driver, which puts them into the store.
+    """
+    most = most or ARCHIVE_ROWS
+    spark = marks.sparkSession
+    place = F.array_position(F.array(*(F.lit(s) for s in order)), F.col("status"))
+    rows = marks.select(F.when(place == 0, 99).otherwise(place).cast("int").alias("place"), "status", "name", "placemark")
+    ordered = rows.repartitionByRange("place", "status", "name").sortWithinPartitions("place", "status", "name").select("status", "placemark")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = ((s.as_py(), m.as_py()) for b in batches for s, m in zip(b.column(0), b.column(1), strict=True))
+        while first := next(pairs, None):
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z, z.open("doc.kml", "w") as f:
+                f.write(b'<?xml version="1.0" encoding="UTF-8"?><kml xmlns="http://www.opengis.net/kml/2.2"><Document>')
+                for status, of_status in groupby(chain([first], islice(pairs, most - 1)), key=lambda x: x[0]):
+                    f.write(f"<Folder><name>{status}</name>".encode())
+                    for _, mark in of_status:
+                        f.write(mark.encode())
+                    f.write(b"</Folder>")
+                f.write(b"</Document></kml>")
+            yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], names=["content"])
+
+    make_folder(spark, path)
+    for n, r in enumerate(materialise(ordered.mapInArrow(pack, "content binary").withColumn("part", F.monotonically_increasing_id()), "archives").orderBy("part").select("content").toLocalIterator()):
+        put(spark, f"{path}/part-{n:06d}.kmz", bytes(r["content"]))

@@ -2,7 +2,9 @@
 
 import os
 import random
+import re
 import statistics
+import zipfile
 
 import numpy as np
 import pyarrow as pa
@@ -178,6 +180,18 @@ def test_pages_come_in_short_batches(spark):
     assert [x.to_pylist() for x in out] == [[html.main_text(long), "", ""], []]
 
 
+def test_archives_are_packed_in_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(("Planned", "Closed")[i % 2], f"n{i:02}", f"<Placemark><name>n{i:02}</name></Placemark>") for i in range(40)], "status string, name string, placemark string")
+    writers.kmz_folder(rows, str(tmp_path / "a"), ("Closed", "Planned"), 7)
+    names = []
+    files = sorted((tmp_path / "a").glob("*.kmz"))
+    for file in files:
+        kml = zipfile.ZipFile(file).read("doc.kml").decode()
+        assert kml.count("<Folder>") == kml.count("</Folder>") and kml.count("<Placemark>") <= 7
+        names += re.findall("<Placemark><name>(.*?)</name>", kml)
+    assert len(files) >= 6 and names == [f"n{i:02}" for i in (*range(1, 40, 2), *range(0, 40, 2))]
+
+
 def test_equal_vectors_are_one_key(spark, monkeypatch):
     """300 equal vectors would be 44,850 pairs."""
     met = []
