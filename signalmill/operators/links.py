@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -280,9 +281,28 @@ def contained(articles: DataFrame, facility_names: DataFrame) -> DataFrame:
     """
     named = facility_names.where(F.length("name") > 0).withColumn("head_", F.substring("name", 1, HEAD))
     lengths = sorted(r[0] for r in named.select(F.length("head_")).distinct().collect())  # HEAD at most
-    parts = [F.regexp_extract_all("hay", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]  # the pieces of this length at every place
-    heads = articles.select("id", F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *parts))).alias("head_"))
-    met = heads.join(named, "head_").join(articles.select("id", "hay"), "id")
+    kinds = named.select("head_").distinct()
+    size = kinds.agg(F.coalesce(F.sum(F.octet_length("head_")), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        heads = frozenset(r[0] for r in kinds.collect())
+
+        def stand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                at, found = [], []
+                for k, hay in enumerate(b.column(1)):
+                    text = hay.as_py() or ""
+                    here = {text[i : i + n] for n in lengths for i in range(len(text) - n + 1)} & heads
+                    at += [k] * len(here)
+                    found += here
+                take = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(found, pa.string())], names=["id", "hay", "head_"])
+
+        # pieces that are no name's beginning don't leave the task, and the text goes along with the few others
+        met = articles.select("id", "hay").mapInArrow(stand, f"id {dict(articles.dtypes)['id']}, hay string, head_ string").join(named, "head_")
+    else:
+        parts = [F.regexp_extract_all("hay", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]  # the pieces of this length at every place
+        pieces = articles.select("id", F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *parts))).alias("head_"))
+        met = pieces.join(named, "head_").join(articles.select("id", "hay"), "id")
     return met.where(F.col("hay").contains(F.col("name"))).select("id", "dc_id", "field", "name")
 
 

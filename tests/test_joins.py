@@ -192,6 +192,16 @@ def test_archives_are_packed_in_tasks(spark, tmp_path):
     assert len(files) >= 6 and names == [f"n{i:02}" for i in (*range(1, 40, 2), *range(0, 40, 2))]
 
 
+@pytest.mark.parametrize("held", [0, 10_000])
+def test_only_pieces_that_begin_a_name_leave_a_task(spark, monkeypatch, held):
+    monkeypatch.setattr(links, "BROADCAST_BYTES", held)
+    names = spark.createDataFrame([("A", "f", "the acme"), ("B", "f", "the boreal hall"), ("C", "f", "éa"), ("D", "f", "")], "dc_id string, field string, name string")
+    rows = spark.createDataFrame([(1, "at the acme and the acme"), (2, "the boreal hal"), (3, "xéa the boreal hall"), (4, ""), (5, "a")], "id long, hay string")
+    found = links.contained(rows, names)
+    assert sorted((r["id"], r["dc_id"]) for r in found.collect()) == [(1, "A"), (3, "B"), (3, "C")]
+    assert ("Generate explode" in found._jdf.queryExecution().toString()) == (held == 0)
+
+
 def test_equal_vectors_are_one_key(spark, monkeypatch):
     """300 equal vectors would be 44,850 pairs."""
     met = []
