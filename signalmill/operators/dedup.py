@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..dims import BLOCKED_URLS
 from ..functions.text import dedup_title, title_fingerprint
-from ..session import materialise, scratch
+from ..session import materialise, measured_joins, scratch
 from .components import join_sized, smallest_labels
 
 TITLE_RATIO = 88.0
@@ -448,7 +448,7 @@ def greedy(nodes: DataFrame, edges: DataFrame, near: DataFrame | None = None) ->
     the logarithm of its length. After GREEDY_ROUNDS, components of up to FOLLOWED articles and links are followed in arrival order, each as a stream of
     sorted rows; larger ones go on in rounds, so no task's work grows with the largest component.
     """
-    with scratch(nodes.sparkSession) as keep_table:
+    with scratch(nodes.sparkSession) as keep_table, measured_joins(nodes.sparkSession):
         keyed = nodes.select("arrival", "key") if "key" in nodes.columns else nodes.select("arrival", F.lit(None).cast("string").alias("key"))
         return keep_table(_marks(nodes, edges, keyed, near), "greedy-marks")
 
@@ -587,7 +587,7 @@ def stacked(articles: DataFrame, ratio_threshold: float = TITLE_RATIO, cosine_th
     Titles of the same sorted words are one key, and equal vectors one key, so pairs within such groups are never formed. Cached articles
     are kept in any case, so they aren't compared with each other.
     """
-    with scratch(articles.sparkSession) as keep_table:
+    with scratch(articles.sparkSession) as keep_table, measured_joins(articles.sparkSession):
         key = sorted_tokens(dedup_title(F.col("title")))
         rows = articles.select("arrival", "cached", key.alias("key"), F.col("v").cast("array<double>").alias("v"))
         rows = materialise(rows, "stacked-rows")

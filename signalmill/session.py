@@ -77,6 +77,27 @@ def short_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+_STATIC_CONF, _MEASURED_CONF = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+
+
+@contextmanager
+def measured_joins(spark: SparkSession) -> Iterator[None]:
+    """Joins that are run inside broadcast a side by the bytes of its rows, which its shuffle has counted, and not by those of the files that it is read from.
+
+    A column of rising or repeated values takes a few bits a row in a file and 16 bytes in a broadcast, which the driver holds, so millions of rows
+    go below the bound by their files. The bound itself stays the session's. Broadcasts that a plan names are left.
+    """
+    before = {k: spark.conf.get(k, None) for k in (_STATIC_CONF, _MEASURED_CONF)}
+    try:
+        if before[_MEASURED_CONF] is None:
+            spark.conf.set(_MEASURED_CONF, spark.conf.get(_STATIC_CONF))
+        spark.conf.set(_STATIC_CONF, "-1")
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Tables that are written inside are deleted at the end, but for those written by the function that this gives."""

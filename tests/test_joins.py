@@ -341,6 +341,40 @@ def test_rolling_batches_are_the_sequential_fold(spark, tmp_path):
     assert writers.listed(spark, path) == ["batch=2"]  # days 1 and 2 are out of the window
 
 
+def broadcast_rows(spark, after=-1):
+    """Rows of the largest broadcast of the executions after one, and the last execution's number."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    store, most, last = spark._jsparkSession.sharedState().statusStore(), 0, after
+    runs_ = store.executionsList()
+    for i in range(runs_.size()):
+        number = runs_.apply(i).executionId()
+        if number > after:
+            last, values = max(last, number), store.executionMetrics(number)
+            nodes = store.planGraph(number).allNodes()
+            for node in (nodes.apply(k) for k in range(nodes.size())):
+                if node.name() == "BroadcastExchange":
+                    for metric in (node.metrics().apply(k) for k in range(node.metrics().size())):
+                        if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
+                            most = max(most, int(values.apply(metric.accumulatorId()).replace(",", "")))
+    return most, last
+
+
+def test_batches_of_few_bytes_in_files_are_not_broadcast(spark, tmp_path):
+    # a row takes 16 bytes and more, but few in a file: 100,000 are over the bound by the former only
+    bound, before = "1m", spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    rows = spark.range(100_000).select(F.col("id").alias("arrival"), F.concat(F.lit("title "), F.md5((F.col("id") % 5).cast("string"))).alias("title"), F.lit(None).cast("array<double>").alias("v"), F.lit("2024-01-02").cast("timestamp").alias("published"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    start = broadcast_rows(spark)[1]
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        marked = runs.roll(spark.read.parquet(str(tmp_path / "rows")), str(tmp_path / "cache"), 0, F.lit("2024-01-02").cast("timestamp"))
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == bound
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold") if before is None else spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert broadcast_rows(spark, start)[0] <= (1 << 20) // 16
+    assert marked.where("duplicate_of <=> CASE WHEN arrival >= 5 THEN arrival % 5 END").count() == 100_000
+
+
 def test_old_keys_are_not_compared_with_each_other(spark, monkeypatch):
     left, right = [f"title number {i}" for i in range(40)], [f"title numbers {i}" for i in range(40)]
     calls = []
