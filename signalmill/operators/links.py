@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import strip
+from ..session import short_batches
 from .cells import with_running
 from .dedup import _lcs, _lcs_lengths
 
@@ -271,39 +272,60 @@ def candidates(articles: DataFrame, facility_names: DataFrame, threshold: float)
 
 #: Characters of a name's beginning by which it meets articles.
 HEAD = 6
+#: Up to so many beginnings are looked for one by one, more by all pieces of a text.
+FEW_HEADS = 300
+#: Characters of the pieces that whole texts are cut into before copies of them meet names, at least.
+PIECE = 1500
+
+
+def _pieces(articles: DataFrame, longest: int) -> DataFrame:
+    """id, piece and hay of pieces of each whole text; every stretch of up to ``longest`` characters stands in one of them."""
+    step = max(PIECE, longest)
+    starts = F.sequence(F.lit(0), F.length("hay"), F.lit(step))
+    cut = F.transform(starts, lambda i: F.substring(F.col("hay"), i + 1, F.lit(step + longest)))
+    return articles.where(F.col("hay").isNotNull()).select("id", F.posexplode(cut).alias("piece", "hay"))
 
 
 def contained(articles: DataFrame, facility_names: DataFrame) -> DataFrame:
-    """id, dc_id, name of names that stand literally in an article.
+    """id, dc_id, field, name of names that stand literally in an article, anywhere in its text; an article's id is its own.
 
-    A name meets only the articles in which its first characters (``HEAD``, or all of a shorter name) stand. An article's text is a
-    haystack of bounded length, as every piece of it of up to so many characters becomes a row; its id is its own.
+    A name is looked for only where its first characters (``HEAD``, or all of a shorter name) stand. Names of up to BROADCAST_BYTES go to the articles' tasks, and
+    only what is found leaves them. More names meet the pieces of texts in which their first characters stand, so that no whole text is copied for each.
     """
     named = facility_names.where(F.length("name") > 0).withColumn("head_", F.substring("name", 1, HEAD))
-    lengths = sorted(r[0] for r in named.select(F.length("head_")).distinct().collect())  # HEAD at most
-    kinds = named.select("head_").distinct()
-    size = kinds.agg(F.coalesce(F.sum(F.octet_length("head_")), F.lit(0))).first()[0]
+    kind = dict(articles.dtypes)["id"]
+    of_name = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("dc_id", "field", "name")), F.lit(0)).cast("long")
+    size, longest = named.agg(F.coalesce(F.sum(of_name), F.lit(0)), F.coalesce(F.max(F.length("name")), F.lit(0))).first()
     if size <= BROADCAST_BYTES:
-        heads = frozenset(r[0] for r in kinds.collect())
-
-        def stand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[str, list[tuple]] = {}  # by name
+        for dc_id, field, name in named.select("dc_id", "field", "name").collect():
+            rows.setdefault(name, []).append((dc_id, field, name))
+        heads: dict[str, list[str]] = {}
+        for name in rows:
+            heads.setdefault(name[:HEAD], []).append(name)
+        held = articles.sparkSession.sparkContext.broadcast((rows, heads))
+
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows, heads = held.value
+            few, lengths = len(heads) <= FEW_HEADS, sorted({len(h) for h in heads})
             for b in batches:
                 at, found = [], []
                 for k, hay in enumerate(b.column(1)):
                     text = hay.as_py() or ""
-                    here = {text[i : i + n] for n in lengths for i in range(len(text) - n + 1)} & heads
-                    at += [k] * len(here)
-                    found += here
-                take = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(found, pa.string())], names=["id", "hay", "head_"])
-
-        # pieces that are no name's beginning don't leave the task, and the text goes along with the few others
-        met = articles.select("id", "hay").mapInArrow(stand, f"id {dict(articles.dtypes)['id']}, hay string, head_ string").join(named, "head_")
-    else:
-        parts = [F.regexp_extract_all("hay", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]  # the pieces of this length at every place
-        pieces = articles.select("id", F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *parts))).alias("head_"))
-        met = pieces.join(named, "head_").join(articles.select("id", "hay"), "id")
-    return met.where(F.col("hay").contains(F.col("name"))).select("id", "dc_id", "field", "name")
+                    here = [h for h in heads if h in text] if few else {text[i : i + n] for n in lengths for i in range(len(text) - n + 1)} & heads.keys()
+                    new = [row for h in here for name in heads[h] if name in text for row in rows[name]]
+                    at += [k] * len(new)
+                    found += new
+                columns = [pa.array([r[x] for r in found], pa.string()) for x in range(3)]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *columns], names=["id", "dc_id", "field", "name"])
+
+        return short_batches(articles).select("id", "hay").mapInArrow(look, f"id {kind}, dc_id string, field string, name string")
+    lengths = sorted(r[0] for r in named.select(F.length("head_")).distinct().collect())  # HEAD at most
+    cut = _pieces(articles, longest)
+    parts = [F.regexp_extract_all("hay", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]  # the characters of this length at every place
+    places = cut.select("id", "piece", F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *parts))).alias("head_"))
+    met = places.join(named, "head_").join(cut, ["id", "piece"])
+    return met.where(F.col("hay").contains(F.col("name"))).select("id", "dc_id", "field", "name").distinct()
 
 
 def review_queue(found: DataFrame, cap: int) -> DataFrame:

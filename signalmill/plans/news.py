@@ -554,13 +554,13 @@ _THREE_WORDS_SQL = "array_to_string(regexp_split_to_array(text, '\\s+')[1:3], '
 @query(f"""WITH f AS (SELECT * FROM {b.values_sql(_FACILITIES, "row_idx long, asset_id string, canonical_name string, alias string, operator string")} UNION ALL SELECT 1000 + item_id, 'DC-' || (1000 + item_id), {_THREE_WORDS_SQL}, NULL, '' FROM benchmark),
 named AS (SELECT row_idx, asset_id AS dc_id, 'canonical_name' AS field, trim(canonical_name) AS name FROM f UNION ALL SELECT row_idx, asset_id, 'alias', trim(alias) FROM f WHERE alias IS DISTINCT FROM canonical_name UNION ALL SELECT row_idx, asset_id, 'operator', trim(operator) FROM f WHERE length(trim(operator)) > 3),
 last_ AS (SELECT * FROM named WHERE coalesce(name, '') <> '' QUALIFY row_number() OVER (PARTITION BY name ORDER BY row_idx DESC, field) = 1),
-hays AS (SELECT * FROM {b.values_sql(_HAYS, "id long, hay string")} UNION ALL SELECT 1000 + doc_id, substr(text, 1, {links.HAYSTACK}) FROM documents)
+hays AS (SELECT * FROM {b.values_sql(_HAYS, "id long, hay string")} UNION ALL SELECT 1000 + doc_id, text FROM documents)
 SELECT id, dc_id, name FROM hays JOIN last_ ON contains(hay, name)""")
 def candidates_contained(spark: SparkSession, sf: str) -> DataFrame:
     schema = "row_idx long, asset_id string, canonical_name string, alias string, operator string"
     i, words = F.col("item_id") + 1000, F.split("text", r"\s+")
     made = b.table(spark, sf, "benchmark").select(i.alias("row_idx"), F.concat(F.lit("DC-"), i).alias("asset_id"), F.array_join(F.slice(words, 1, 3), " ").alias("canonical_name"), F.lit(None).cast("string").alias("alias"), F.lit("").alias("operator"))
-    hays = b.inline(spark, _HAYS, "id long, hay string").unionByName(b.table(spark, sf, "documents").select((F.col("doc_id") + 1000).alias("id"), F.substring("text", 1, links.HAYSTACK).alias("hay")))
+    hays = b.inline(spark, _HAYS, "id long, hay string").unionByName(b.table(spark, sf, "documents").select((F.col("doc_id") + 1000).alias("id"), F.col("text").alias("hay")))
     return links.contained(hays, links.names(b.inline(spark, _FACILITIES, schema).unionByName(made))).select("id", "dc_id", "name")
 
 

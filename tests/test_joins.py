@@ -202,6 +202,27 @@ def test_only_pieces_that_begin_a_name_leave_a_task(spark, monkeypatch, held):
     assert ("Generate explode" in found._jdf.queryExecution().toString()) == (held == 0)
 
 
+@pytest.mark.parametrize(("held", "few"), [(0, 300), (10_000, 300), (10_000, 0)])
+def test_names_are_found_anywhere_in_a_text(spark, monkeypatch, held, few):
+    monkeypatch.setattr(links, "BROADCAST_BYTES", held)
+    monkeypatch.setattr(links, "FEW_HEADS", few)
+    monkeypatch.setattr(links, "PIECE", 16)
+    names = ["acme north hall", "acme north", "é1", "boreal", "a hall of twenty-five cha"]
+    texts = ["." * n + name + "x" * k for name in names for n in (0, 15, 16, 17, 1499, 5000) for k in (0, 3, 40)] + ["acme nort", None, ""]
+    table = spark.createDataFrame([(f"D{i}", "f", n) for i, n in enumerate(names)], "dc_id string, field string, name string")
+    found = links.contained(spark.createDataFrame(list(enumerate(texts)), "id long, hay string"), table)
+    want = [(i, f"D{k}", "f", n) for i, t in enumerate(texts) for k, n in enumerate(names) if n in (t or "")]
+    assert sorted((r["id"], r["dc_id"], r["field"], r["name"]) for r in found.collect()) == sorted(want)
+
+
+def test_candidates_contained_reads_whole_texts(spark, tmp_path):
+    spark.createDataFrame([(1, "north hall two and more")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = ["x " * 900 + "north hall two", "north hall two", "x " * 900]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["id"] for r in REGISTRY["candidates_contained"][0](spark, str(tmp_path)).where("dc_id = 'DC-1001'").collect()}
+    assert got == {1000, 1001} and "substr" not in REGISTRY["candidates_contained"][1]
+
+
 def test_equal_vectors_are_one_key(spark, monkeypatch):
     """300 equal vectors would be 44,850 pairs."""
     met = []
