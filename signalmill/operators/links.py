@@ -16,7 +16,6 @@ from ..session import short_batches
 from .cells import with_running
 from .dedup import _lcs, _lcs_lengths
 
-HAYSTACK = 1500
 TOP = 3
 #: Names of one task of the fuzzy match.
 NAME_BLOCK = 2_000
@@ -96,7 +95,7 @@ def eligible(articles: DataFrame) -> DataFrame:
 
 
 def haystack(title: Column, summary: Column, text: Column) -> Column:
-    return F.substring(F.concat_ws(" ", title, summary, text), 1, HAYSTACK)
+    return F.concat_ws(" ", title, summary, text)
 
 
 def partial_ratio(needle: str, hay: str, least: float = 0.0) -> float:
@@ -134,37 +133,59 @@ def partial_ratio(needle: str, hay: str, least: float = 0.0) -> float:
 
 #: Characters of the texts that names are compared with at once.
 HAY_CHARACTERS = 1 << 16
+#: Number of a text, characters of it, and whether it begins and ends with them.
+Piece = tuple[int, str, bool, bool]
 
 
 def _partial_ratios(names: list[str], hays: list[str], least: float) -> Iterator[tuple[int, int, float]]:
     """Numbers of names and texts with a partial ratio of ``least`` (above 0) or more, and the ratio.
 
     Texts stand in one row with gaps, and from running counts of each character come those of all windows of a length. A window that shares too few of a name's characters
-    is ruled out for all texts at once; of the others the common subsequences are found side by side.
+    is ruled out for all texts at once; of the others the common subsequences are found side by side. Long texts stand there in pieces, each with the windows that begin in it.
     """
     classes: dict[int, list[int]] = {}  # by length, as texts stand apart by the longest name
     for x, name in enumerate(names):
         classes.setdefault(len(name).bit_length(), []).append(x)
     for chosen in classes.values():
         longest = max(len(names[x]) for x in chosen)
-        batch: list[int] = []
-        held = 0
-        for k, hay in enumerate(hays):
-            if held and held + len(hay) + longest > HAY_CHARACTERS:
-                yield from _ratios_in_row(names, chosen, hays, batch, longest, least)
-                batch, held = [], 0
-            batch.append(k)
-            held += len(hay) + longest
-        yield from _ratios_in_row(names, chosen, hays, batch, longest, least)
-
-
-def _ratios_in_row(names: list[str], chosen: list[int], hays: list[str], batch: list[int], longest: int, least: float) -> Iterator[tuple[int, int, float]]:
-    sizes = np.array([len(hays[k]) for k in batch], dtype=np.int64)
+        step = max(HAY_CHARACTERS, longest)
+        cut: dict[tuple[int, int], float] = {}  # of texts in pieces
+        for row in _rows_of_pieces(hays, step, longest):
+            for x, k, score in _ratios_in_row(names, chosen, row, longest, step, least):
+                if len(hays[k]) > step + longest:
+                    cut[x, k] = max(score, cut.get((x, k), 0.0))
+                else:
+                    yield x, k, score
+        yield from ((x, k, score) for (x, k), score in cut.items())
+
+
+def _rows_of_pieces(hays: list[str], step: int, longest: int) -> Iterator[list[Piece]]:
+    """Pieces of texts, a row of HAY_CHARACTERS together, or one larger piece. A piece but for the last reaches ``longest`` characters into the next one, so that no window is lost."""
+    row: list[Piece] = []
+    held = 0
+    for k, hay in enumerate(hays):
+        for begin in range(0, max(len(hay) - longest, 1), step):
+            last = len(hay) <= begin + step + longest
+            text = hay[begin : begin + step + longest]
+            if held and held + len(text) + longest > HAY_CHARACTERS:
+                yield row
+                row, held = [], 0
+            row.append((k, text, begin == 0, last))
+            held += len(text) + longest
+            if last:
+                break
+    yield row
+
+
+def _ratios_in_row(names: list[str], chosen: list[int], row: list[Piece], longest: int, step: int, least: float) -> Iterator[tuple[int, int, float]]:
+    sizes = np.array([len(text) for _, text, _, _ in row], dtype=np.int64)
     starts = longest + np.cumsum(sizes + longest) - sizes - longest
     total = int(longest + (sizes + longest).sum())
     points = np.full(total, 0xFFFFFFFF, dtype=np.uint32)  # no character
-    for k, at in zip(batch, starts.tolist(), strict=True):
-        points[at : at + len(hays[k])] = np.frombuffer(hays[k].encode("utf-32-le"), dtype=np.uint32)
+    for (_, text, _, _), at in zip(row, starts.tolist(), strict=True):
+        points[at : at + len(text)] = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    inner = np.array([not begins for _, _, begins, _ in row])
+    own = np.where([ends for _, _, _, ends in row], sizes, step)  # windows that begin further are the next piece's
     kind = np.uint8 if longest < 250 else np.int32  # a window's counts are differences of running ones, which may run over
 
     def running(there: np.ndarray) -> np.ndarray:
@@ -192,12 +213,13 @@ def _ratios_in_row(names: list[str], chosen: list[int], hays: list[str], batch:
                 shared += capped[c, n]
             at = np.flatnonzero(shared >= need)
             of = np.searchsorted(starts - m, at, "right") - 1 if len(at) else at
-            at, of = at[sizes[of] >= m], of[sizes[of] >= m]
+            mine = (sizes[of] >= m) & (at - starts[of] >= np.where(inner[of], 0, -m)) & (at - starts[of] < own[of])
+            at, of = at[mine], of[mine]
             texts = {name: 0}  # each window once, as many are alike
             which = np.empty(len(at), dtype=np.int64)
             for y, (i, k) in enumerate(zip(at.tolist(), of.tolist(), strict=True)):
                 begin = i - int(starts[k])
-                which[y] = texts.setdefault(hays[batch[k]][max(0, begin) : begin + m], len(texts))
+                which[y] = texts.setdefault(row[k][1][max(0, begin) : begin + m], len(texts))
             best: dict[int, float] = {}
             if len(at):
                 listed, lengths = list(texts), np.array([len(text) for text in texts])
@@ -210,8 +232,8 @@ def _ratios_in_row(names: list[str], chosen: list[int], hays: list[str], batch:
                 for k, score in zip(of.tolist(), (200.0 * found[which] / (m + lengths[which])).tolist(), strict=True):
                     best[k] = max(best.get(k, 0.0), score)
             for k in short.tolist():  # the text is the shorter one, and stands in windows of the name
-                best[k] = partial_ratio(name, hays[batch[k]], least)
-            yield from ((x, batch[k], score) for k, score in best.items() if score >= least and score > 0)
+                best[k] = partial_ratio(name, row[k][1], least)
+            yield from ((x, row[k][0], score) for k, score in best.items() if score >= least and score > 0)
 
 
 def _best_names(names: list, hays: list[str], threshold: float) -> list[tuple]:
@@ -248,7 +270,7 @@ def candidates(articles: DataFrame, facility_names: DataFrame, threshold: float)
                 ids = b["id"].tolist()
                 yield pd.DataFrame([(ids[k], *x) for k, *x in _best_names(held.value, b["hay"].tolist(), threshold)], columns=columns)
 
-        found = articles.select("id", "hay").repartition(width).mapInPandas(alone, schema)
+        found = short_batches(articles).select("id", "hay").repartition(width).mapInPandas(alone, schema)
     else:
         blocks = -(-size // NAME_BLOCK)
 
@@ -262,7 +284,7 @@ def candidates(articles: DataFrame, facility_names: DataFrame, threshold: float)
             return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
         dealt = facility_names.groupBy(F.pmod(F.xxhash64("name"), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(F.struct("dc_id", "field", "name")).alias("names"))
-        rows = articles.select("id", "hay", F.pmod(F.xxhash64("id"), F.lit(width)).cast("int").alias("salt")).withColumn("block", numbers(blocks))
+        rows = short_batches(articles).select("id", "hay", F.pmod(F.xxhash64("id"), F.lit(width)).cast("int").alias("salt")).withColumn("block", numbers(blocks))
         found = rows.join(dealt.withColumn("salt", numbers(width)), ["block", "salt"]).select("id", "hay", "names", "block").mapInPandas(meet, schema)
     best = F.row_number().over(Window.partitionBy("id", "dc_id").orderBy(F.col("confidence").desc(), "field"))
     found = found.withColumn("n_", best).where("n_ = 1").drop("n_")

@@ -109,6 +109,27 @@ def test_names_meet_all_texts_at_once(monkeypatch):
     assert dict(((x, k), s) for x, k, s in links._partial_ratios(["near by"], ["it is nearby", "far off from it"], 85.0)).keys() == {(0, 0)}
 
 
+def test_long_texts_meet_names_in_pieces(monkeypatch):
+    """Each window of a text in pieces counts once, and none hangs over a piece's ends."""
+    monkeypatch.setattr(links, "HAY_CHARACTERS", 40)
+    rnd = random.Random(6)
+    names = ["".join(rnd.choice("abcde ") for _ in range(rnd.randint(1, 18))) for _ in range(25)] + ["abcab" * 12]
+    hays = ["".join(rnd.choice("abcde ") for _ in range(n)) for n in (0, 5, 57, 58, 59, 99, 100, 101, 140, 300)]
+    hays += ["e" * n + names[-1][1:] + "e" * k for n in range(30, 50, 3) for k in (0, 1, 90)]
+    for least in (60.0, 85.0):
+        want = {(x, k): score for x, n in enumerate(names) for k, h in enumerate(hays) if (score := links.partial_ratio(n, h)) >= least}
+        got = list(links._partial_ratios(names, hays, least))
+        assert {(x, k): score for x, k, score in got} == want and len(got) == len(want)
+
+
+def test_facility_candidates_reads_whole_texts(spark, tmp_path):
+    spark.createDataFrame([(1, "north hall two and more")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = ["x " * 900 + "north hall twa", "north hall two", "x " * 900, "x " * 70_000 + "north hall two"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["id"]: r["confidence"] for r in REGISTRY["facility_candidates"][0](spark, str(tmp_path)).collect()}
+    assert got == {0: round(26 / 28, 3), 1: 1.0, 3: 1.0}
+
+
 # vectors
 
 def clusters(n_clusters, size, dimensions=16, seed=0):
