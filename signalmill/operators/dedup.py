@@ -49,8 +49,8 @@ def sorted_tokens(title: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(title, " "), lambda w: w != "")), " ")
 
 
-def _places(a: str) -> dict[str, int]:
-    places: dict[str, int] = {}
+def _places(a: str | list[int]) -> dict:
+    places: dict = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
     return places
@@ -60,7 +60,7 @@ def _places(a: str) -> dict[str, int]:
 LCS_STEP = 24
 
 
-def _lcs(a: str, b: str, least: int = 0, places: dict[str, int] | None = None) -> int:
+def _lcs(a: str | list[int], b: str | list[int], least: int = 0, places: dict | None = None) -> int:
     """Length of the longest common subsequence, a bit for each character of ``a``; if it is below ``least`` it may come out lower."""
     places, full = places if places is not None else _places(a), (1 << len(a)) - 1
     row = full
@@ -84,17 +84,27 @@ LCS_WORDS, LCS_PLACES = 1 << 14, 1 << 20
 LCS_FEW = 24
 
 
+def _encoded(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Characters of texts as numbers, and the code points that these stand for, ascending."""
+    points = [np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) for x in texts]
+    letters = np.unique(np.concatenate([*(np.unique(np.concatenate(points[at : at + 64])) for at in range(0, len(points), 64)), np.zeros(0, np.uint32)]))
+    return [np.searchsorted(letters, x).astype(np.int32) for x in points], letters
+
+
 def _lcs_lengths(texts: list[str], a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """``_lcs`` of many pairs (numbers of ``texts``), side by side; one below its ``least`` may come out lower.
+    """``_lcs`` of many pairs (numbers of ``texts``), side by side; one below its ``least`` may come out lower."""
+    codes, letters = _encoded(texts)
+    return _lcs_of_codes(codes, len(letters), a, b, least, texts)
+
+
+def _lcs_of_codes(codes: list[np.ndarray], letters: int, a: np.ndarray, b: np.ndarray, least: np.ndarray, texts: list[str] | None = None) -> np.ndarray:
+    """``_lcs_lengths`` of texts whose characters are numbers below ``letters``.
 
     A subsequence of the least length leaves out so few characters that no match lies further from the diagonal than those, so of each row only the words near it are looked at.
     """
     out = np.zeros(len(a), dtype=np.int64)
-    points = [np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) for x in texts]
-    size = np.array([len(x) for x in points], dtype=np.int64)
-    letters = np.unique(np.concatenate([*points, np.zeros(0, np.uint32)]))
-    codes = [np.searchsorted(letters, x).astype(np.int32) for x in points]
-    k, order = len(letters) + 1, np.lexsort((size[b], size[a]))
+    size = np.array([len(x) for x in codes], dtype=np.int64)
+    k, order = letters + 1, np.lexsort((size[b], size[a]))
     at = 0
     while at < len(order):
         # the longest of the next pairs are the last ones, so the number of words is looked up twice
@@ -105,10 +115,53 @@ def _lcs_lengths(texts: list[str], a: np.ndarray, b: np.ndarray, least: np.ndarr
         at += n
         live = _followed_pairs(codes, size, a[took], b[took], least[took], words, k, out, took) if n > LCS_FEW else took
         for i in live.tolist():
-            out[i] = _lcs(texts[a[i]], texts[b[i]], int(least[i]))
+            x, y = (texts[a[i]], texts[b[i]]) if texts is not None else (codes[a[i]].tolist(), codes[b[i]].tolist())
+            out[i] = _lcs(x, y, int(least[i]))
     return out
 
 
+#: Shares of all characters that the rarest, and the rare ones with them, make up: the classes of characters that pairs are sifted by.
+CLASSES = (0.15, 0.4)
+#: Pairs of fewer characters in all, or in the mean, are followed at once.
+SIFTED_CHARACTERS, SIFTED_LENGTH = 1 << 14, 192
+Sieve = list[tuple[list[np.ndarray], int, np.ndarray]]
+
+
+def _sieve(codes: list[np.ndarray], letters: np.ndarray, counts: np.ndarray) -> Sieve:
+    """Of each class of characters what texts have of it, its number of characters, and its columns of ``counts``."""
+    total = counts.sum(axis=0, dtype=np.int64)
+    order = np.argsort(total, kind="stable")
+    of_slot = np.empty(LETTERS, dtype=np.int64)
+    of_slot[order] = np.searchsorted(CLASSES, np.cumsum(total[order]) / max(1, total.sum()) - 1e-12)
+    of_letter = of_slot[letters % LETTERS]
+    out = []
+    for c in range(len(CLASSES)):
+        mine = of_letter == c
+        number = np.cumsum(mine, dtype=np.int32) - 1
+        out.append(([number[x[mine[x]]] for x in codes], int(mine.sum()), np.flatnonzero(of_slot == c)))
+    return out
+
+
+def _sifted(sieve: Sieve, counts: np.ndarray, a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs whose common subsequence may have the least length.
+
+    A common subsequence's characters of one class are a common subsequence of what both texts have of that class. So it is no longer than all classes' together, and of a
+    class that isn't looked at yet no longer than the characters that are shared in any order. The rare characters say most in few steps.
+    """
+    bound = np.zeros(len(a), dtype=np.int64)
+    for slot in counts.T:
+        bound += np.minimum(slot[a], slot[b])
+    live = np.arange(len(a))
+    for codes, letters, slots in sieve:
+        x, y = a[live], b[live]
+        shared = np.zeros(len(live), dtype=np.int64)
+        for slot in slots:
+            shared += np.minimum(counts[x, slot], counts[y, slot])
+        bound[live] += _lcs_of_codes(codes, letters, x, y, np.maximum(least[live] - bound[live] + shared, 0)) - shared
+        live = live[bound[live] >= least[live]]
+    return live
+
+
 def _followed_pairs(codes: list[np.ndarray], size: np.ndarray, a: np.ndarray, b: np.ndarray, least: np.ndarray, words: int, k: int, out: np.ndarray, took: np.ndarray) -> np.ndarray:
     """Puts the lengths of pairs into ``out`` at ``took``; the numbers of the last few that are left, as soon as these are few."""
     own, of = np.unique(a, return_inverse=True)
@@ -194,10 +247,19 @@ def _near_titles(left: list[str], right: list[str], same: bool, threshold: float
     if not left or not right:
         return out
     texts = left if same else left + right
+    codes, letters = _encoded(texts)
+    size, sieve, counts = np.array([len(x) for x in texts], dtype=np.int64), None, None
     for i, j, least in _sharing(left, right, same, threshold / 100):
-        found = _lcs_lengths(texts, i, j if same else j + len(left), least)
+        j = j if same else j + len(left)
+        if size[i].sum() >= max(SIFTED_CHARACTERS, SIFTED_LENGTH * len(i)):
+            if sieve is None:
+                counts = _letter_counts(texts)
+                sieve = _sieve(codes, letters, counts)
+            live = _sifted(sieve, counts, i, j, least)
+            i, j, least = i[live], j[live], least[live]
+        found = _lcs_of_codes(codes, len(letters), i, j, least, texts)
         for x, y, n in zip(i.tolist(), j.tolist(), found.tolist(), strict=True):
-            a, b = left[x], right[y]
+            a, b = texts[x], texts[y]
             score = 200.0 * n / (len(a) + len(b))
             if score >= threshold and a != b:
                 out.append((min(a, b), max(a, b), score))
@@ -207,9 +269,10 @@ def _near_titles(left: list[str], right: list[str], same: bool, threshold: float
 def _sharing(left: list[str], right: list[str], same: bool, t: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Numbers of pairs that share enough characters, and the length that their subsequence needs, up to about PAIR_ROWS at once. Both sides are sorted by length."""
     m, n = (np.array([len(k) for k in keys], dtype=np.int64) for keys in (left, right))
-    longest = int(max(m[-1], n[-1]))
-    kind = np.uint8 if longest < 1 << 8 else np.uint16 if longest < 1 << 16 else np.int32
-    x, y = (np.ascontiguousarray(_letter_counts(keys).astype(kind).T) for keys in (left, right))
+    x, y = (_letter_counts(keys) for keys in (left, right))
+    most, longest = max(int(x.max()), int(y.max())), int(max(m[-1], n[-1]))
+    of_slot, kind = (np.uint8 if size < 1 << 8 else np.uint16 if size < 1 << 16 else np.int32 for size in (most, longest))
+    x, y = (np.ascontiguousarray(c.astype(of_slot).T) for c in (x, y))
     held: list[tuple[np.ndarray, ...]] = []
     for start in range(0, len(left), COUNTED_ROWS):
         stop = min(start + COUNTED_ROWS, len(left))
@@ -218,7 +281,7 @@ def _sharing(left: list[str], right: list[str], same: bool, t: float) -> Iterato
         for at in range(int(first), int(last), BLOCK_ROWS):  # bounded, whatever the blocks hold
             end = min(at + BLOCK_ROWS, int(last))
             shared = np.zeros((stop - start, end - at), dtype=kind)
-            both = np.empty_like(shared)
+            both = np.empty(shared.shape, dtype=of_slot)
             for p, q in zip(x, y, strict=True):
                 both[:] = p[start:stop, None]
                 shared += np.minimum(both, q[at:end], out=both)

@@ -95,6 +95,27 @@ def test_sequences_of_many_pairs_side_by_side():
             assert got == full if full >= n else got < n
 
 
+def test_titles_are_sifted_by_their_rare_characters(monkeypatch):
+    """Titles of the same few syllables share most characters, but few of their pairs are followed as a whole; none that is near is lost."""
+    rnd = random.Random(8)
+    syllables = ["the", "an", "er", "on", "ing", "ti", "é", "wh", "sh", "ou", "ed", "or"]
+    keys = [" ".join(sorted("".join(rnd.choices(syllables, k=rnd.randint(1, 4))) for _ in range(40))) for _ in range(90)]
+    keys += [k[:100] + "x" + k[101:] for k in keys[:10]] + [k[9:] for k in keys[10:20]]
+    whole = []
+    monkeypatch.setattr(dedup, "_lcs_of_codes", lambda *x, f=dedup._lcs_of_codes: whole.append(len(x[2]) if len(x) == 6 else 0) or f(*x))
+    near = sorted(near_titles(keys))
+    assert sorted(dedup._near_titles(keys, keys, True, 88.0)) == near and len(near) >= 20
+    assert sum(whole) < 3 * len(near) < sum(len(i) for i, _, _ in dedup._sharing(*2 * (sorted(keys, key=len),), True, 0.88)) / 10
+    odd = ["a" * n for n in range(40, 80)] + ["ab" * 30 + c for c in "abcé\U0001f600"]
+    for few in (0, 1000):
+        monkeypatch.setattr(dedup, "SIFTED_CHARACTERS", 0)
+        monkeypatch.setattr(dedup, "SIFTED_LENGTH", 0)
+        monkeypatch.setattr(dedup, "LCS_FEW", few)
+        for left, right in ((odd, odd), (keys[:30] + odd, keys[80:])):
+            found = dedup._near_titles(left, right, left is right, 88.0)
+            assert sorted(found) == sorted(p for p in near_titles(left + right) if left is right or (p[0] in left) != (p[1] in left))
+
+
 def test_names_meet_all_texts_at_once(monkeypatch):
     """The ratios of a block of names and texts are those of one pair after the other; only windows that may be near are followed."""
     monkeypatch.setattr(links, "HAY_CHARACTERS", 300)
