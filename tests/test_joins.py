@@ -274,6 +274,19 @@ def test_equal_vectors_are_one_key(spark, monkeypatch):
     assert {r["arrival"]: r["duplicate_of"] for r in out.collect()} == {i: 0 if 0 < i < 300 else None for i in range(301)} and met == [2]
 
 
+def test_titles_of_the_stack_are_sifted(spark):
+    """The join of titles below ``greedy_dedup`` looks at rare characters before whole titles."""
+    rnd = random.Random(9)
+    keys = [" ".join(sorted("".join(rnd.choices(["the", "an", "er", "ing"], k=3)) for _ in range(30))) for _ in range(60)]
+    codes, letters = dedup._encoded(keys)
+    counts = dedup._letter_counts(keys)
+    a, b = (x.astype(np.int64) for x in np.triu_indices(len(keys), 1))
+    least = np.ceil(0.44 * (np.array([len(keys[i]) + len(keys[j]) for i, j in zip(a, b)]))).astype(np.int64)
+    live = set(dedup._sifted(dedup._sieve(codes, letters, counts), counts, a, b, least).tolist())
+    near = {x for x, (i, j) in enumerate(zip(a, b)) if lcs(keys[i], keys[j]) >= least[x]}
+    assert near <= live and len(live) < len(a) / 2
+
+
 # greedy
 
 def fold(n, edges):
